@@ -2,15 +2,20 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tilewright.llm import hash_tree, mixing, url_filters
+from tilewright.llm import hash_tree, mixing, token_counts, token_files, url_filters
 from tilewright.session import table
 
 #: Fixed values of the contract: explicit rules of op1 and the number of shards of op4.
 URL_RULES = [("block", "com/en/"), ("allow", "example.com/en/7"), ("allow", "net/de/"), ("block", "example.net/de/8"), ("block", "org/es/")]
 SHARDS = 8
+#: Where the public vocabulary files are.
+TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
+BYTE_BPE = f"{TOKENIZERS}/byte_bpe_50k.json"
 
 
 def op1_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -21,6 +26,11 @@ def op1_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filters.judge_urls(pages, outcomes, URL_RULES, number)
 
 
+def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = token_files.write_token_files(table(spark, sf_dir, "documents"), BYTE_BPE)
+    return token_files.read_token_files(files, spark)
+
+
 def op4_hash_tree_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hash_tree.shard_documents(table(spark, sf_dir, "documents"), hash_tree.HashTree.uniform(SHARDS))
 
@@ -29,5 +39,9 @@ def op5_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_documents(table(spark, sf_dir, "documents"))
 
 
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.length_histogram(token_counts.encoded_lengths(table(spark, sf_dir, "documents"), BYTE_BPE))
+
+
 def queries() -> dict:
     return {name: f for name, f in globals().items() if name.startswith("op")}
