@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tilewright.llm import hash_tree, mixing, token_counts, token_files, url_filters
+from tilewright.llm import hash_tree, mixing, token_counts, token_files, url_filters, word_bpe
 from tilewright.session import table
 
 #: Fixed values of the contract: explicit rules of op1 and the number of shards of op4.
@@ -16,6 +16,7 @@ SHARDS = 8
 #: Where the public vocabulary files are.
 TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
 BYTE_BPE = f"{TOKENIZERS}/byte_bpe_50k.json"
+WORD_BPE = f"{TOKENIZERS}/word_bpe_49k.json"
 
 
 def op1_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -43,5 +44,9 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.length_histogram(token_counts.encoded_lengths(table(spark, sf_dir, "documents"), BYTE_BPE))
 
 
+def op8_bpe_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return word_bpe.encode_decode(table(spark, sf_dir, "documents"), WORD_BPE, digest=True)
+
+
 def queries() -> dict:
     return {name: f for name, f in globals().items() if name.startswith("op")}
