@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tilewright.llm import hash_tree, mixing, token_counts, token_files, url_filters, word_bpe
+from tilewright.llm import hash_tree, mixing, simhash, token_counts, token_files, url_filters, word_bpe
 from tilewright.session import table
 
 #: Fixed values of the contract: explicit rules of op1 and the number of shards of op4.
@@ -32,6 +32,11 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_token_files(files, spark)
 
 
+def op3_simhash_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex(F.col("bands")[0]), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op4_hash_tree_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hash_tree.shard_documents(table(spark, sf_dir, "documents"), hash_tree.HashTree.uniform(SHARDS))
 
