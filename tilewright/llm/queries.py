@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tilewright.llm import hash_tree, mixing, simhash, token_counts, token_files, url_filters, word_bpe
+from tilewright.llm import bit_slices, hash_tree, mixing, simhash, token_counts, token_files, url_filters, word_bpe
 from tilewright.session import table
 
 #: Fixed values of the contract: explicit rules of op1 and the number of shards of op4.
@@ -45,6 +45,10 @@ def op5_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_documents(table(spark, sf_dir, "documents"))
 
 
+def op6_bit_sliced_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bit_slices.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.length_histogram(token_counts.encoded_lengths(table(spark, sf_dir, "documents"), BYTE_BPE))
 

@@ -94,5 +94,19 @@ select doc_id, size, source_size, target, (size * (whole + case when q is not nu
 """
 
 
+_OP6 = """
+with usable as (
+    select vec_id, embedding from embeddings
+    where vec_id is not null and len(embedding) > 0 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+), whole as (
+    select vec_id, list_transform(embedding, lambda x: floor(64 * x::double)::bigint) as v from usable
+), scored as (
+    select a.vec_id as query_id, b.vec_id, list_sum(list_transform(list_zip(a.v, b.v), lambda z: z[1] * z[2]))::bigint as score
+    from whole a join whole b on a.vec_id <> b.vec_id and len(a.v) = len(b.v) where a.vec_id % 20 = 0
+), ranked as (select query_id, row_number() over (partition by query_id order by score desc, vec_id)::int as rank, vec_id, score from scored)
+select * from ranked where rank <= 20
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_url_reputation": _op1(), "op5_pareto_mix": _OP5}
+    return {"op1_url_reputation": _op1(), "op5_pareto_mix": _OP5, "op6_bit_sliced_topk": _OP6}
