@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tilewright.llm import queries, url_filters
+from tilewright.llm import quality, queries, url_filters
 
 
 def _rules_sql() -> str:
@@ -108,5 +108,41 @@ select * from ranked where rank <= 20
 """
 
 
+def _op10() -> str:
+    r = quality.Rules()
+    value = {f: f"({scale} * {over}) // n_words" for f, (over, scale) in quality.FEATURES.items()}
+    rows = " union all ".join(f"select lang, source, '{f}' as feature, {v} as value, {r.slack[f]} as slack from based where not base_failed" for f, v in value.items())
+    within = " and ".join(f"{v} <= max(most) filter (feature = '{f}')" for f, v in value.items())
+    return rf"""
+    with split as (
+        select row_number() over () as rid, doc_id, lang, source, coalesce(text, '') as text, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as words from documents
+    ), windows as (
+        select rid, i, array_to_string(words[i : i + {r.window - 1}], ' ') as w from (select rid, words, unnest(range(1, len(words) - {r.window - 2})) as i from split where len(words) >= {r.window})
+    ), often as (select rid, w from windows group by all having count(*) > 1),
+    repeated as (select rid, count(distinct i + o) as n from windows join often using (rid, w), range({r.window}) t(o) group by rid),
+    lines as (select rid, unnest(string_split(text, chr(10))) as line from split),
+    dup as (select rid, count(*) - count(distinct line) as n from lines where regexp_matches(line, '[^\x20\x09-\x0D]') group by rid),
+    counted as (
+        select rid, doc_id, lang, source, len(words)::bigint as n_words, coalesce(list_sum(list_transform(words, lambda x: length(x))), 0)::bigint as word_chars,
+               (length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')))::bigint as n_symbols, coalesce(dup.n, 0)::bigint as n_dup_lines, coalesce(repeated.n, 0)::bigint as n_repeat_words
+        from split left join dup using (rid) left join repeated using (rid)
+    ), based as (select *, n_words < {r.min_words} or 100 * n_repeat_words > {r.max_repeat} * n_words as base_failed from counted),
+    featured as ({rows}),
+    sketch as (
+        select lang, source, feature, slack, case when value < 64 then value else (value >> (length(bin(value)) - 6)) << (length(bin(value)) - 6) end as bucket, count(*) as n from featured group by all
+    ), ranked as (
+        select *, sum(n) over (partition by lang, source, feature order by bucket) as upto, sum(n) over (partition by lang, source, feature) as whole from sketch
+    ), quartiles as (
+        select lang, source, feature, slack, min(bucket) filter (4 * upto >= whole) as q1, min(bucket) filter (4 * upto >= 3 * whole) as q3 from ranked group by all
+    ), limits as (select lang, source, feature, q1 - ({r.reach} * (q3 - q1) + slack) as least, q3 + {r.reach} * (q3 - q1) + slack as most from quartiles)
+    select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept from (
+        select b.rid, doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+               not base_failed and coalesce({within} and {value['word_size']} >= max(least) filter (feature = 'word_size'), true) as kept
+        from based b left join limits l on b.lang is not distinct from l.lang and b.source is not distinct from l.source
+        group by b.rid, doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed
+    )
+    """
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_url_reputation": _op1(), "op5_pareto_mix": _OP5, "op6_bit_sliced_topk": _OP6}
+    return {"op1_url_reputation": _op1(), "op5_pareto_mix": _OP5, "op6_bit_sliced_topk": _OP6, "op10_adaptive_quality": _op10()}
