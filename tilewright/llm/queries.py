@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tilewright.llm import bit_slices, hash_tree, mixing, quality, simhash, token_counts, token_files, url_filters, word_bpe
+from tilewright.llm import bit_slices, hash_tree, html_main, mixing, quality, simhash, token_counts, token_files, url_filters, word_bpe
 from tilewright.session import table
 
 #: Fixed values of the contract: explicit rules of op1 and the number of shards of op4.
@@ -57,6 +57,10 @@ def op8_bpe_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
     return word_bpe.encode_decode(table(spark, sf_dir, "documents"), WORD_BPE, digest=True)
 
 
+def op9_site_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_main.main_text(table(spark, sf_dir, "pages"))
+
+
 def op10_adaptive_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(table(spark, sf_dir, "documents"))
 
