@@ -2,24 +2,26 @@
 
 A text is cut before every single space that stands between two characters that are no white space. The
 pre-tokenizer's pattern never matches across such a place, and no special token holds one, so the ids of a text are
-the ids of its pieces in a row. Pieces repeat a lot: each worker keeps the ids of those it has met (at most
-``CACHE`` pieces, then it starts anew) and asks the library only for new ones, many strung together in one text:
-each byte belongs to one token, so the tokens' byte lengths show where a piece's ids end. A piece that is empty or
-begins or ends with white space shows that the text has runs of it; such a text goes to the library whole.
+the ids of its pieces in a row. Arrow cuts a batch and numbers its distinct pieces; each worker keeps the ids
+of pieces it has met (at most ``CACHE``, then it starts anew) and asks the library only for new ones. A space, letters
+and a tail of ASCII punctuation make two pre-tokens: the library's model merges the letters alone, and tails are kept
+apart; anything else goes through the whole library. A piece that is empty or begins or ends with white space
+shows that the text has runs of it; such a text goes to the library in one.
 """
 
 from __future__ import annotations
 
 import os
+from array import array
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Pieces a worker remembers; bounds its memory, not the result.
 CACHE = 400_000
-#: New pieces in one text for the library.
-STRUNG = 4096
-#: Texts are encoded in groups of so many bytes, so a batch's new pieces stay few.
-GROUP_BYTES = 8 << 20
+#: Neither letters, digits nor white space.
+TAIL = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 _encoders: dict[str, ByteBpe] = {}
 
@@ -31,6 +33,25 @@ def encoder(path: str) -> ByteBpe:
     return _encoders[path]
 
 
+def letters_of_bytes() -> list[str]:
+    """The printable character that byte-level vocabularies write for each byte: itself if printable, else from U+0100 on."""
+    out, spare = [], 256
+    for b in range(256):
+        if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255:
+            out.append(chr(b))
+        else:
+            out.append(chr(spare))
+            spare += 1
+    return out
+
+
+def gather(starts: np.ndarray, counts: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of the rows of each code's run in a flat table, for codes in a row, and each code's count."""
+    many = counts[codes]
+    ends = np.cumsum(many)
+    return np.repeat(starts[codes] - (ends - many), many) + np.arange(int(ends[-1]) if len(ends) else 0), many
+
+
 class ByteBpe:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -39,70 +60,82 @@ class ByteBpe:
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
+        self.size = self.library.get_vocab_size(with_added_tokens=True)
         self.known: dict[str, bytes | None] = {}
-        size = self.library.get_vocab_size(with_added_tokens=True)
-        self.lengths = np.array([len(self.library.id_to_token(i) or "") for i in range(size)], dtype=np.int64)
-        for i, token in self.library.get_added_tokens_decoder().items():
-            self.lengths[i] = len(token.content.encode())
+        letters = letters_of_bytes()
+        self.spell = [letters[b] for b in range(256)]
+        self.wide: dict[int, str] = {}
+        self.tails: dict[str, bytes] = {}
 
     def _ask(self, texts: list[str]) -> list[bytes]:
         return [np.array(x.ids, dtype="<u4").tobytes() for x in self.library.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, pieces: set[str]) -> None:
-        known = self.known
-        odd = [x for x in pieces if x == " " or x == "" or x[-1].isspace() or x[x[0] == " "].isspace()]
-        known.update(dict.fromkeys(odd))
-        pieces = pieces.difference(odd)
-        inner = [x for x in pieces if x[0] == " "]
-        first = list(pieces.difference(inner))
-        known.update(zip(first, self._ask(first)))
-        for at in range(0, len(inner), STRUNG):
-            some = inner[at : at + STRUNG]
-            known.update(zip(some, self._strung(some)))
-
-    def _strung(self, pieces: list[str]) -> list[bytes]:
-        """Ids of pieces that each begin with a space and a character that is none."""
-        ids = self._ask(["".join(pieces)])[0]
-        ends = np.cumsum(self.lengths[np.frombuffer(ids, "<u4")])
-        want = np.cumsum([len(x.encode()) for x in pieces])
-        cut = np.searchsorted(ends, want)
-        if cut[-1] >= len(ends) or not np.array_equal(ends[cut], want):
-            return self._ask(pieces)
-        cut = ((cut + 1) * 4).tolist()
-        return [ids[i:j] for i, j in zip([0, *cut], cut)]
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text as little-endian unsigned 32-bit integers."""
-        out: list[bytes] = []
-        at = 0
-        while at < len(texts):
-            end, held = at, 0
-            while end < len(texts) and held < GROUP_BYTES:
-                held += len(texts[end])
-                end += 1
-            out += self._group(texts[at:end])
-            at = end
-        return out
-
-    def _group(self, texts: list[str]) -> list[bytes]:
-        # each space goes to the piece after it
-        cut = [text.replace(" ", "\0 ").split("\0") if "\0" not in text else None for text in texts]
-        met: set[str] = set()
-        for pieces in cut:
-            if pieces:
-                met.update(pieces)
-        new = met.difference(self.known)
+    def _spelled(self, word: str) -> str:
+        """Letters as the vocabulary writes their bytes."""
+        for c in word:
+            if ord(c) not in self.wide:
+                self.wide[ord(c)] = "".join(self.spell[b] for b in c.encode())
+        return word.translate(self.wide)
+
+    def _learn(self, words: list[str]) -> None:
+        """words: what follows a space."""
+        known, tails, model, space, odd = self.known, self.tails, self.library.model.tokenize, self.spell[32], []
+        for word in words:
+            core = word.rstrip(TAIL)
+            if not core.isalpha():
+                if word == "" or word[0].isspace() or word[-1].isspace():
+                    known[word] = None
+                else:
+                    odd.append(word)
+                continue
+            ids = known.get(core)
+            if ids is None:
+                ids = known[core] = array("I", [t.id for t in model(space + (core if core.isascii() else self._spelled(core)))]).tobytes()
+            if len(core) < len(word):
+                tail = word[len(core) :]
+                if tail not in tails:
+                    if len(tails) > CACHE:
+                        tails.clear()
+                    tails[tail] = self._ask([tail])[0]
+                known[word] = ids + tails[tail]
+        known.update(zip(odd, self._ask([" " + x for x in odd])))
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """A string column (nulls as empty) -> all ids in a row, and the number of each text's."""
+        texts = pc.fill_null(texts, "")
+        cut = pc.split_pattern(texts, " ")
+        offsets = np.asarray(cut.offsets) - cut.offsets[0].as_py()
+        coded = pc.dictionary_encode(cut.flatten())
+        if isinstance(coded, pa.ChunkedArray):
+            coded = coded.combine_chunks()
+        words, codes = coded.dictionary.to_pylist(), np.asarray(coded.indices).astype(np.int64)
+        new = [w for w in words if w not in self.known]
         if len(self.known) + len(new) > CACHE:
             self.known.clear()
-            new = met
+            new = words
         self._learn(new)
-        get, out = self.known.get, []
-        for text, pieces in zip(texts, cut):
-            if text == "":
-                out.append(b"")
-                continue
-            try:
-                out.append(b"".join(map(get, pieces)) if pieces else self._ask([text])[0])
-            except TypeError:  # a piece that can't stand alone
-                out.append(self._ask([text])[0])
-        return out
+        get = self.known.get
+        ids = [get(w) for w in words]
+        first = offsets[:-1]
+        openings = [words[c] for c in codes[first].tolist()]  # a text's first piece has no space before it
+        distinct = list(dict.fromkeys(openings))
+        own = dict(zip(distinct, self._ask(distinct)))
+        ids += [own[w] for w in openings]
+        codes[first] = len(words) + np.arange(len(first))
+        whole = np.array([x is None for x in ids], dtype=bool)
+        whole[len(words) :] = [w == "" or w[0].isspace() or w[-1].isspace() for w in openings]
+        table = np.frombuffer(b"".join([x or b"" for x in ids]), "<u4")
+        lengths = np.array([len(x) // 4 if x else 0 for x in ids], dtype=np.int64)
+        at, many = gather(np.cumsum(lengths) - lengths, lengths, codes)
+        flat = table[at]
+        run = np.concatenate(([0], np.cumsum(many)))
+        counts = run[offsets[1:]] - run[offsets[:-1]]
+        bad = np.flatnonzero(np.add.reduceat(whole[codes], first)) if len(first) else []
+        if len(bad):
+            parts, last = [], 0
+            for i in bad.tolist():
+                own = np.frombuffer(self._ask([texts[i].as_py()])[0], "<u4")
+                parts += [flat[last : run[offsets[i]]], own]
+                last, counts[i] = run[offsets[i + 1]], len(own)
+            flat = np.concatenate([*parts, flat[last:]])
+        return flat, counts

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from tilewright.llm.byte_bpe import encoder
 from tilewright.llm.common import groups, ship
+from tilewright.session import materialize
 
 BIN = 1024
 
@@ -31,7 +32,7 @@ def encoded_lengths(docs: DataFrame, path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = encoder(path)
         for batch in groups(batches, "text"):
-            yield pa.RecordBatch.from_arrays([pa.array([len(x) // 4 for x in bpe.encode([t or "" for t in batch.column(0).to_pylist()])], pa.int64())], ["n_tokens"])
+            yield pa.RecordBatch.from_arrays([pa.array(bpe.encode(batch.column(0))[1], pa.int64())], ["n_tokens"])
 
     return docs.select(F.col("text").cast("string").alias("text")).mapInArrow(run, "n_tokens long")
 
@@ -39,6 +40,7 @@ def encoded_lengths(docs: DataFrame, path: str) -> DataFrame:
 def length_histogram(lengths: DataFrame) -> DataFrame:
     """lengths(n_tokens) -> a row per length that occurs: n_tokens, docs, docs_from (of this length or longer), ids_from (their ids), truncated (all ids if documents are cut to this length), share_below (of documents that are shorter)."""
     hist = lengths.groupBy("n_tokens").agg(F.count("*").alias("docs")).withColumn("bin", F.floor(F.col("n_tokens") / BIN))
+    hist = materialize(hist, "histogram")  # read twice; the encoding isn't to run twice
     bins = hist.groupBy("bin").agg(F.sum("docs").alias("d"), F.sum(F.col("docs") * F.col("n_tokens")).alias("i"))
     after = W.orderBy(F.desc("bin")).rowsBetween(W.unboundedPreceding, -1)
     whole = W.partitionBy()

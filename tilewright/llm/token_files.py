@@ -11,8 +11,8 @@ column ``part`` numbers the ranges, ``block`` the blocks of a range. Decoding lo
 256-row table and gathers all bytes of a block at once.
 
 Flow: tokenise once and keep the ids in the shared folder; count them (a row per id, at most the vocabulary, goes to
-the driver for the rank table); code each document, range-partition by doc_id and write blocks of at most
-``BLOCK_IDS`` ids or one document. Every stage streams; no stage holds more than a batch and a block.
+the driver for the rank table); range-partition by doc_id, code, and write blocks of at most ``BLOCK_IDS`` ids or one
+document. Every stage streams; no stage holds more than a batch and a block.
 
 Defined results: null and empty texts have only the end id; an empty table gives empty files and result; rows with the
 same doc_id follow each other in an order fixed by their ids; extra columns are ignored.
@@ -81,11 +81,10 @@ def decode(control: np.ndarray, data: np.ndarray, counts: np.ndarray) -> np.ndar
     return out
 
 
-def write_block(doc_ids: list[int | None], counts: list[int], controls: list[bytes], datas: list[bytes]) -> bytes:
+def write_block(doc_ids: list[int | None], counts: np.ndarray, control: bytes, data: bytes) -> bytes:
     null = np.array([x is None for x in doc_ids], dtype=np.uint8)
     ids = np.array([x or 0 for x in doc_ids], dtype="<i8")
-    control, data = b"".join(controls), b"".join(datas)
-    return b"".join((HEAD.pack(MAGIC, len(ids), len(control), len(data)), ids.tobytes(), null.tobytes(), np.array(counts, dtype="<u8").tobytes(), control, data))
+    return b"".join((HEAD.pack(MAGIC, len(ids), len(control), len(data)), ids.tobytes(), null.tobytes(), counts.astype("<u8").tobytes(), control, data))
 
 
 def read_block(block: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray]:
@@ -102,26 +101,40 @@ def read_block(block: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray]:
     return [None if n else i for i, n in zip(ids.tolist(), null.tolist())], counts, decode(control, data, counts)
 
 
-def tokenize(docs: DataFrame, path: str, end_id: int | None = 0) -> DataFrame:
-    """documents(doc_id, text) -> doc_id, n_tokens, ids (little-endian unsigned 32-bit integers)."""
+def tokenize(docs: DataFrame, path: str, end_id: int | None = 0, squeeze: bool = False) -> DataFrame:
+    """documents(doc_id, text) -> doc_id, n_tokens, ids (little-endian unsigned 32-bit integers; squeeze: the fewest bytes an id of the vocabulary needs, 2 or 4, and zstd)."""
     ship(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe, end = encoder(path), b"" if end_id is None else np.array([end_id], dtype="<u4").tobytes()
+        import zstandard
+
+        bpe, pack = encoder(path), zstandard.ZstdCompressor(level=3).compress
+        kind = id_type(bpe.size) if squeeze else np.dtype("<u4")
         for batch in groups(batches, "text"):
-            packed = [x + end for x in bpe.encode([t or "" for t in batch.column(1).to_pylist()])]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(x) // 4 for x in packed], pa.int64()), pa.array(packed, pa.binary())], ["doc_id", "n_tokens", "ids"])
+            ids, counts = bpe.encode(batch.column(1))
+            if end_id is not None:
+                ids, counts = np.insert(ids, np.cumsum(counts), end_id), counts + 1
+            octets = memoryview(ids.astype(kind).tobytes())
+            packed = [octets[a:b] for a, b in zip(*spans(counts * kind.itemsize))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), pa.array([pack(x) if squeeze else bytes(x) for x in packed], pa.binary())], ["doc_id", "n_tokens", "ids"])
 
     return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, n_tokens long, ids binary")
 
 
+def id_type(vocabulary: int) -> np.dtype:
+    return np.dtype("<u2" if vocabulary <= 1 << 16 else "<u4")
+
+
 def id_counts(tokens: DataFrame, vocabulary: int) -> DataFrame:
-    """tokens(ids) -> id, n: each task adds up arrays of the vocabulary's size."""
+    """tokens(ids), squeezed -> id, n: each task adds up arrays of the vocabulary's size."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import zstandard
+
+        unpack, kind = zstandard.ZstdDecompressor().decompress, id_type(vocabulary)
         total = np.zeros(vocabulary, dtype=np.int64)
         for batch in groups(batches, "ids"):
-            total += np.bincount(np.frombuffer(b"".join(batch.column(0).to_pylist()), "<u4"), minlength=vocabulary)
+            total += np.bincount(np.frombuffer(b"".join(map(unpack, batch.column(0).to_pylist())), kind), minlength=vocabulary)
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int64()), pa.array(total[seen], pa.int64())], ["id", "n"])
 
@@ -131,52 +144,42 @@ def id_counts(tokens: DataFrame, vocabulary: int) -> DataFrame:
 def write_token_files(docs: DataFrame, path: str, end_id: int | None = 0) -> TokenFiles:
     """Tokenise all of documents(doc_id, text) and write the files."""
     spark = docs.sparkSession
-    vocabulary = len(encoder(path).lengths)
-    tokens = materialize(tokenize(docs, path, end_id), "tokens")
+    vocabulary = encoder(path).size
+    tokens = materialize(tokenize(docs, path, end_id, squeeze=True), "tokens", "none")
     counted = id_counts(tokens, vocabulary).orderBy(F.desc("n"), "id").select("id").collect()  # at most the vocabulary
     by_rank = np.array([r.id for r in counted], dtype=np.uint32)
     rank_of = np.zeros(vocabulary, dtype=np.uint32)
     rank_of[by_rank] = np.arange(len(by_rank), dtype=np.uint32)
     shared = spark.sparkContext.broadcast(rank_of)  # 4 bytes for each id of the vocabulary
 
-    def coded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import zstandard
-
-        squeeze = zstandard.ZstdCompressor(level=1).compress
-        for batch in groups(batches, "ids"):
-            counts = np.asarray(batch.column(1), dtype=np.int64)
-            ranks = shared.value[np.frombuffer(b"".join(batch.column(2).to_pylist()), "<u4")]
-            control, c_len, data, d_len = code(ranks, counts)
-            packed = [squeeze(control[a:b] + data[c:d]) for a, b, c, d in zip(*spans(c_len), *spans(d_len))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(packed, pa.binary())], ["doc_id", "n_tokens", "coded"])
-
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
         from pyspark import TaskContext
 
-        unpack, part, number, held = zstandard.ZstdDecompressor().decompress, TaskContext.get().partitionId(), 0, 0
-        ids, counts, controls, datas = [], [], [], []
+        unpack, kind, part, number, held = zstandard.ZstdDecompressor().decompress, id_type(vocabulary), TaskContext.get().partitionId(), 0, 0
+        doc_ids, sizes, held_ids = [], [], []
 
         def flush() -> pa.RecordBatch:
             nonlocal number, held
-            row = {"part": [part], "block": [number], "n_docs": [len(ids)], "n_ids": [held], "bytes": [write_block(ids, counts, controls, datas)]}
+            counts = np.array(sizes, dtype=np.int64)
+            control, _, data, _ = code(shared.value[np.frombuffer(b"".join(held_ids), kind)], counts)
+            row = {"part": [part], "block": [number], "n_docs": [len(doc_ids)], "n_ids": [held], "bytes": [write_block(doc_ids, counts, control, data)]}
             number, held = number + 1, 0
-            for x in (ids, counts, controls, datas):
+            for x in (doc_ids, sizes, held_ids):
                 x.clear()
             return pa.RecordBatch.from_pydict(row, schema=pa.schema([("part", pa.int32()), ("block", pa.int64()), ("n_docs", pa.int64()), ("n_ids", pa.int64()), ("bytes", pa.binary())]))
 
-        for batch in groups(batches, "coded", 2 << 20):
+        for batch in groups(batches, "ids", 2 << 20):
             for doc_id, n, packed in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                if ids and held + n > BLOCK_IDS:
+                if doc_ids and held + n > BLOCK_IDS:
                     yield flush()
-                raw, c = unpack(packed), -(-n // 4)
-                ids.append(doc_id), counts.append(n), controls.append(raw[:c]), datas.append(raw[c:])
+                doc_ids.append(doc_id), sizes.append(n), held_ids.append(unpack(packed))
                 held += n
-        if ids:
+        if doc_ids:
             yield flush()
 
     out = scratch(spark, "token-files")
-    ordered = tokens.mapInArrow(coded, "doc_id long, n_tokens long, coded binary").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "n_tokens", "coded")
+    ordered = tokens.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "n_tokens", "ids")
     ordered.mapInArrow(blocks, "part int, block long, n_docs long, n_ids long, bytes binary").write.option("compression", "zstd").parquet(out)
     return TokenFiles(out, by_rank)
 
