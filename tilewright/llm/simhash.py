@@ -6,6 +6,8 @@ shared bytes and keeps pairs that reach this guaranteed minimum, then counts bit
 hold a 256th of all rows each, so a posting is three positions together: 20 of the 56 triples are enough for every
 set of 4 positions to hold one (Turan's system for 8 positions).
 
+With several bands (drop_near_duplicates) a value of a band stands for the least of its nodes.
+
 Equal fingerprints are one row from the start. Posting lists are counted first, with partial sums. Lists of up to
 ``LIST`` fingerprints are searched in place and give a spanning forest of links, not all pairs. Rows of longer
 lists take an exact linear way instead: fingerprints at most 4 bits apart have a common neighbour at most 2 bits from
@@ -26,6 +28,7 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tilewright.llm.common import as_bytes, groups, ship
@@ -84,16 +87,17 @@ def _votes(hashes: np.ndarray, bands: int) -> np.ndarray:
 
 
 def fingerprints(docs: DataFrame, shingle: int = 4, bands: int = 1) -> DataFrame:
-    """documents(doc_id, text) -> doc_id, bands array<long>, a row per row."""
+    """documents(doc_id, text, key if there is one) -> doc_id, key, bands array<long>, a row per row."""
     ship(docs.sparkSession)
+    keep = [c for c in ("doc_id", "key") if c in docs.columns]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in groups(batches, "text"):
-            prints = [fingerprint(text, shingle, bands) for text in as_bytes(batch.column(1))]
+            prints = [fingerprint(text, shingle, bands) for text in as_bytes(batch.column(0))]
             flat = pa.array(np.concatenate(prints).view("<i8"), pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(pa.array(np.arange(len(prints) + 1) * bands, pa.int32()), flat)], ["doc_id", "bands"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.ListArray.from_arrays(pa.array(np.arange(len(prints) + 1) * bands, pa.int32()), flat)], [*keep, "bands"])
 
-    return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, bands array<long>")
+    return docs.select(F.col("text").cast("string").alias("text"), *keep).mapInArrow(run, ", ".join([*(f"{c} long" for c in keep), "bands array<long>"]))
 
 
 def _near(a: np.ndarray, b: np.ndarray, bits: int) -> np.ndarray:
@@ -103,31 +107,40 @@ def _near(a: np.ndarray, b: np.ndarray, bits: int) -> np.ndarray:
     return (shared >= 8 - bits) & (np.bitwise_count(x) <= bits)
 
 
-def _search_lists(bits: int):
+def _search_lists(bits: int, limit: int | None):
+    """Lists of (value, node, with a limit also all bands) -> links that span what is near in each list."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lists = batch.column(0)
             rows = lists.flatten()
             values = np.asarray(rows.field("value")).astype(np.int64).view(np.uint64)
             nodes = np.asarray(rows.field("node"))
+            whole = None if limit is None else np.asarray(rows.field("bands").flatten()).astype(np.int64).view(np.uint64).reshape(len(rows), -1)
             offsets = np.asarray(lists.offsets) - lists.offsets[0].as_py()
             sizes = np.diff(offsets)
             us, vs = [], []
+
+            def near(i: np.ndarray, j: np.ndarray) -> np.ndarray:
+                found = _near(values[i], values[j], bits)
+                if whole is not None:
+                    found &= np.bitwise_count(whole[i] ^ whole[j]).sum(axis=-1) <= limit
+                return found
+
             for n in range(2, 9):  # short lists of one size together
                 at = offsets[:-1][sizes == n]
                 for i, j in combinations(range(n), 2) if len(at) else ():
-                    near = _near(values[at + i], values[at + j], bits)
-                    us.append(nodes[at[near] + i])
-                    vs.append(nodes[at[near] + j])
+                    hit = near(at + i, at + j)
+                    us.append(nodes[at[hit] + i])
+                    vs.append(nodes[at[hit] + j])
             for at, n in zip(offsets[:-1][sizes > 8].tolist(), sizes[sizes > 8].tolist()):
-                left = np.arange(at, at + n)
-                front = []
-                while len(left) or front:  # a spanning forest, breadth first
+                left, front = np.arange(at, at + n), []
+                while len(left):  # a spanning forest, node by node
                     if not front:
                         front, left = [left[0]], left[1:]
                     node = front.pop()
-                    near = _near(values[left], values[node], bits)
-                    found, left = left[near], left[~near]
+                    hit = near(left, node)
+                    found, left = left[hit], left[~hit]
                     us.append(np.full(len(found), nodes[node]))
                     vs.append(nodes[found])
                     front += found.tolist()
@@ -149,48 +162,73 @@ def _neighbours(bits: int):
     return run
 
 
-def near_links(entries: DataFrame, bits: int = BITS, longest: int = LIST) -> DataFrame:
-    """entries(band, value, node), a row per (band, value) -> links (u, v) between nodes that join all whose values in a band differ in at most ``bits`` (even, 4 or less) bits."""
+def near_links(entries: DataFrame, bits: int = BITS, longest: int = LIST, limit: int | None = None) -> DataFrame:
+    """entries(band, value, node), a row per (band, value) -> links (u, v) that join up all nodes whose values in a band differ in at most ``bits`` (4 or 2).
+
+    limit: most bits that all bands together may differ in; entries then have bands too.
+    """
     triples = covering_triples()
+    own = ["value", "node"] if limit is None else ["value", "node", "bands"]
     at = lambda p: F.shiftrightunsigned("value", 8 * p).bitwiseAND(F.lit(255))
     key = lambda i, t: F.lit(i).cast("long") * (1 << 24) + at(t[0]) * 65_536 + at(t[1]) * 256 + at(t[2])
     keys = F.array(*(F.col("band").cast("long") * (len(triples) << 24) + key(i, t) for i, t in enumerate(triples)))
     index = entries.select("band", "value", "node", F.explode(keys).alias("posting"))
     sizes = materialize(index.groupBy("posting").agg(F.count("*").alias("n")).where("n > 1"), "postings")
-    listed = index.join(sizes, "posting")
-    short = listed.where(F.col("n") <= longest).groupBy("posting").agg(F.collect_list(F.struct("value", "node")).alias("rows"))
-    links = short.select("rows").mapInArrow(_search_lists(bits), "u long, v long")
+    listed = entries.select("band", *own, F.explode(keys).alias("posting")).join(sizes, "posting")
+    short = listed.where(F.col("n") <= longest).groupBy("posting").agg(F.collect_list(F.struct(*own)).alias("rows"))
+    links = short.select("rows").mapInArrow(_search_lists(bits, limit), "u long, v long")
     if sizes.where(F.col("n") > longest).isEmpty():
         return links
-    long_ = materialize(listed.where(F.col("n") > longest).select("band", "value", "node").distinct(), "long-lists")
-    met = long_.mapInArrow(_neighbours(bits), "band int, centre long, node long").groupBy("band", "centre").agg(F.sort_array(F.collect_set("node")).alias("nodes"))
-    pairs = F.arrays_zip(F.slice("nodes", 1, F.size("nodes") - 1).alias("u"), F.slice("nodes", 2, F.size("nodes") - 1).alias("v"))
-    return links.unionByName(met.where(F.size("nodes") > 1).select(F.explode(pairs).alias("p")).select("p.u", "p.v").distinct())
-
-
-def components(prints: DataFrame, bits: int = BITS, longest: int = LIST) -> DataFrame:
-    """prints(doc_id, bands) -> doc_id, bands, component_id: the least doc_id reachable over links, its own included."""
+    long_ = materialize(listed.where(F.col("n") > longest).select("band", *own).distinct(), "long-lists")
+    met = long_.select("band", "value", "node").mapInArrow(_neighbours(bits), "band int, centre long, node long")
+    if limit is None:
+        nodes = met.groupBy("band", "centre").agg(F.sort_array(F.collect_set("node")).alias("nodes")).where(F.size("nodes") > 1)
+        pairs = F.arrays_zip(F.slice("nodes", 1, F.size("nodes") - 1).alias("u"), F.slice("nodes", 2, F.size("nodes") - 1).alias("v"))
+        return links.unionByName(nodes.select(F.explode(pairs).alias("p")).select("p.u", "p.v").distinct())
+    rows = met.join(long_, ["band", "node"]).groupBy("band", "centre").agg(F.collect_list(F.struct(*own)).alias("rows")).where(F.size("rows") > 1)
+    return links.unionByName(rows.select("rows").mapInArrow(_search_lists(bits, limit), "u long, v long").distinct())
+
+
+def components(prints: DataFrame, bits: int = BITS, longest: int = LIST, limit: int | None = None) -> DataFrame:
+    """prints(doc_id, bands, ...) -> + root (names the component) and component_id: the least doc_id reachable over links, its own included."""
     ship(prints.sparkSession)
     single = prints.select(F.max(F.size("bands"))).first()[0] in (None, 1)
-    node = F.col("bands")[0] if single else F.xxhash64("bands")
-    prints = prints.withColumn("node", node)
+    columns = prints.columns
+    prints = prints.withColumn("node", F.col("bands")[0] if single else F.xxhash64("bands"))
     nodes = materialize(prints.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands")), "nodes")
-    every = nodes.select("node", F.posexplode("bands").alias("band", "value"))
     if single:
-        entries, equal = every, None
+        entries, equal = nodes.select(F.lit(0).alias("band"), F.col("node").alias("value"), "node"), None
     else:
-        entries = materialize(every.groupBy("band", "value").agg(F.min("node").alias("node")), "entries")
-        first = entries.withColumnRenamed("node", "u")
-        equal = every.join(first, ["band", "value"]).where("node <> u").select("u", F.col("node").alias("v"))
-    links = near_links(entries, bits, longest)
+        every = nodes.select("node", "bands", F.posexplode("bands").alias("band", "value"))
+        entries = materialize(every.groupBy("band", "value").agg(F.min(F.struct("node", "bands")).alias("m")).select("band", "value", "m.node", "m.bands"), "entries")
+        equal = every.select("band", "value", "node").join(entries.select("band", "value", F.col("node").alias("u")), ["band", "value"]).where("node <> u").select("u", F.col("node").alias("v"))
+    links = near_links(entries, bits, longest, None if single else limit)
     roots = materialize(connected_components(links if equal is None else links.unionByName(equal)), "roots")
-    held = roots.join(nodes.select("node", "doc_id"), "node")
-    least = materialize(held.groupBy("root").agg(F.min("doc_id").alias("component_id")), "least")
-    linked = roots.join(least, "root").select("node", "component_id")
-    labels = materialize(nodes.select("node", "doc_id").join(linked, "node", "left").select("node", F.coalesce("component_id", "doc_id").alias("component_id")), "labels")
-    return prints.join(labels, "node").select("doc_id", "bands", "component_id")
-
-
-def near_duplicates(docs: DataFrame, shingle: int = 4, bands: int = 1, bits: int = BITS, longest: int = LIST) -> DataFrame:
-    """documents(doc_id, text) -> doc_id, bands, component_id, a row per row."""
-    return components(materialize(fingerprints(docs, shingle, bands), "fingerprints"), bits, longest)
+    least = materialize(roots.join(nodes.select("node", "doc_id"), "node").groupBy("root").agg(F.min("doc_id").alias("component_id")), "least")
+    linked = roots.join(least, "root").select("node", "root", "component_id")
+    labels = nodes.select("node", "doc_id").join(linked, "node", "left").select("node", F.coalesce("root", "node").alias("root"), F.coalesce("component_id", "doc_id").alias("component_id"))
+    return prints.join(materialize(labels, "labels"), "node").select(*columns, "root", "component_id")
+
+
+def near_duplicates(docs: DataFrame, shingle: int = 4, bands: int = 1, bits: int = BITS, longest: int = LIST, limit: int | None = None) -> DataFrame:
+    """documents(doc_id, text) -> doc_id, bands, root, component_id, a row per row."""
+    return components(materialize(fingerprints(docs, shingle, bands), "fingerprints"), bits, longest, limit)
+
+
+def drop_near_duplicates(docs: DataFrame, shingle: int = 5, bands: int = 16, share: float = 0.14) -> DataFrame:
+    """The rows of documents but for near copies: of each group the one with the least doc_id (nulls last) stays.
+
+    Meant for word shingles with a similarity of 0.8 or more. Bands, each a fingerprint of its own, are linked if equal, or if at most
+    4 bits apart while all bands together differ in at most ``share`` of their bits; such documents of similarity
+    0.9 are found nearly always, of 0.8 about every other time, and hardly any below 0.7.
+    """
+    keyed = docs.withColumn("key", F.xxhash64("doc_id", "text")) if "key" not in docs.columns else docs.withColumnRenamed("key", "_key").withColumn("key", F.xxhash64("doc_id", "text"))
+    found = near_duplicates(keyed.select("doc_id", "text", "key"), shingle, bands, limit=int(share * 64 * bands))
+    best = F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("key").alias("key"), F.lit(1)))["key"]
+    stay = materialize(found.groupBy("root").agg(best.alias("key"), F.count("*").alias("rows")).select("key", "rows"), "stay")
+    kept = keyed.join(stay.select("key"), "key", "left_semi")
+    twice = found.select("key").groupBy("key").agg(F.count("*").alias("n")).where("n > 1").join(stay, "key", "left_semi")
+    if not twice.isEmpty():  # repeated rows: one of them
+        kept = kept.withColumn("_n", F.row_number().over(W.partitionBy("key").orderBy("doc_id"))).where("_n = 1").drop("_n")
+    kept = kept.drop("key")
+    return (kept.withColumnRenamed("_key", "key") if "_key" in kept.columns else kept).select(*docs.columns)
