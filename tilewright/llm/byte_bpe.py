@@ -3,7 +3,7 @@
 A text is cut before every single space that stands between two characters that are no white space. The
 pre-tokenizer's pattern never matches across such a place, and no special token holds one, so the ids of a text are
 the ids of its pieces in a row. Arrow cuts a batch and numbers its distinct pieces; each worker keeps the ids
-of pieces it has met (at most ``CACHE``, then it starts anew) and asks the library only for new ones. A space, letters
+of words it has met (about ``CACHE``, then the half met first stays, which holds the common ones) and asks the library only for new ones. A space, letters
 and a tail of ASCII punctuation make two pre-tokens: the library's model merges the letters alone, and tails are kept
 apart; anything else goes through the whole library. A piece that is empty or begins or ends with white space
 shows that the text has runs of it; such a text goes to the library in one.
@@ -13,12 +13,13 @@ from __future__ import annotations
 
 import os
 from array import array
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-#: Pieces a worker remembers; bounds its memory, not the result.
+#: Words a worker remembers; bounds its memory, not the result.
 CACHE = 400_000
 #: Neither letters, digits nor white space.
 TAIL = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
@@ -45,13 +46,6 @@ def letters_of_bytes() -> list[str]:
     return out
 
 
-def gather(starts: np.ndarray, counts: np.ndarray, codes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Positions of the rows of each code's run in a flat table, for codes in a row, and each code's count."""
-    many = counts[codes]
-    ends = np.cumsum(many)
-    return np.repeat(starts[codes] - (ends - many), many) + np.arange(int(ends[-1]) if len(ends) else 0), many
-
-
 class ByteBpe:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -61,7 +55,7 @@ class ByteBpe:
         self.library.no_truncation()
         self.library.no_padding()
         self.size = self.library.get_vocab_size(with_added_tokens=True)
-        self.known: dict[str, bytes | None] = {}
+        self.known: tuple[dict[str, bytes], dict[str, bytes]] = ({}, {})
         letters = letters_of_bytes()
         self.spell = [letters[b] for b in range(256)]
         self.wide: dict[int, str] = {}
@@ -77,28 +71,37 @@ class ByteBpe:
                 self.wide[ord(c)] = "".join(self.spell[b] for b in c.encode())
         return word.translate(self.wide)
 
-    def _learn(self, words: list[str]) -> None:
-        """words: what follows a space."""
-        known, tails, model, space, odd = self.known, self.tails, self.library.model.tokenize, self.spell[32], []
+    def _ids(self, words: list[str], inner: bool) -> list[bytes | None]:
+        """Ids of each word, after a space if inner; None where it can't stand alone."""
+        known, tails, model, space = self.known[inner], self.tails, self.library.model.tokenize, self.spell[32] if inner else ""
+        if len(known) > CACHE:
+            for word in list(islice(known, CACHE // 2, None)):
+                del known[word]
+        out: list[bytes | None] = []
+        add, odd, missing = out.append, [], ()
         for word in words:
-            core = word.rstrip(TAIL)
-            if not core.isalpha():
-                if word == "" or word[0].isspace() or word[-1].isspace():
-                    known[word] = None
-                else:
-                    odd.append(word)
-                continue
-            ids = known.get(core)
-            if ids is None:
-                ids = known[core] = array("I", [t.id for t in model(space + (core if core.isascii() else self._spelled(core)))]).tobytes()
-            if len(core) < len(word):
+            ids = known.get(word, missing)
+            if ids is missing:
+                core = word.rstrip(TAIL)
                 tail = word[len(core) :]
-                if tail not in tails:
-                    if len(tails) > CACHE:
-                        tails.clear()
-                    tails[tail] = self._ask([tail])[0]
-                known[word] = ids + tails[tail]
-        known.update(zip(odd, self._ask([" " + x for x in odd])))
+                if core.isalpha():
+                    ids = known.get(core) if tail else None
+                    if ids is None:
+                        ids = known[core] = array("I", [t.id for t in model(space + (core if core.isascii() else self._spelled(core)))]).tobytes()
+                    if tail:
+                        if tail not in tails:
+                            if len(tails) > CACHE:
+                                tails.clear()
+                            tails[tail] = self._ask([tail])[0]
+                        ids += tails[tail]
+                elif word == "" or word[0].isspace() or word[-1].isspace():
+                    ids = None
+                else:
+                    odd.append(len(out))
+            add(ids)
+        for i, ids in zip(odd, self._ask([" " + words[i] if inner else words[i] for i in odd])):
+            out[i] = known[words[i]] = ids
+        return out
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """A string column (nulls as empty) -> all ids in a row, and the number of each text's."""
@@ -108,29 +111,17 @@ class ByteBpe:
         coded = pc.dictionary_encode(cut.flatten())
         if isinstance(coded, pa.ChunkedArray):
             coded = coded.combine_chunks()
-        words, codes = coded.dictionary.to_pylist(), np.asarray(coded.indices).astype(np.int64)
-        new = [w for w in words if w not in self.known]
-        if len(self.known) + len(new) > CACHE:
-            self.known.clear()
-            new = words
-        self._learn(new)
-        get = self.known.get
-        ids = [get(w) for w in words]
+        words, codes = coded.dictionary.to_pylist(), np.array(coded.indices, dtype=np.int32)
         first = offsets[:-1]
         openings = [words[c] for c in codes[first].tolist()]  # a text's first piece has no space before it
-        distinct = list(dict.fromkeys(openings))
-        own = dict(zip(distinct, self._ask(distinct)))
-        ids += [own[w] for w in openings]
-        codes[first] = len(words) + np.arange(len(first))
+        codes[first] = len(words) + np.arange(len(first), dtype=np.int32)
+        ids = self._ids(words, True) + self._ids(openings, False)
         whole = np.array([x is None for x in ids], dtype=bool)
-        whole[len(words) :] = [w == "" or w[0].isspace() or w[-1].isspace() for w in openings]
-        table = np.frombuffer(b"".join([x or b"" for x in ids]), "<u4")
-        lengths = np.array([len(x) // 4 if x else 0 for x in ids], dtype=np.int64)
-        at, many = gather(np.cumsum(lengths) - lengths, lengths, codes)
-        flat = table[at]
-        run = np.concatenate(([0], np.cumsum(many)))
-        counts = run[offsets[1:]] - run[offsets[:-1]]
-        bad = np.flatnonzero(np.add.reduceat(whole[codes], first)) if len(first) else []
+        packed = pa.array([x or b"" for x in ids], pa.binary()).take(pa.array(codes))
+        run = np.frombuffer(packed.buffers()[1], np.int32, len(codes) + 1, 4 * packed.offset) // 4
+        flat = np.frombuffer(packed.buffers()[2] or b"", "<u4", int(run[-1]))
+        counts = (run[offsets[1:]] - run[offsets[:-1]]).astype(np.int64)
+        bad = np.flatnonzero(np.add.reduceat(whole[codes], first)) if len(first) and whole.any() else []
         if len(bad):
             parts, last = [], 0
             for i in bad.tolist():

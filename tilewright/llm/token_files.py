@@ -50,34 +50,41 @@ class TokenFiles:
     ids: np.ndarray
 
 
-def code(ranks: np.ndarray, counts: np.ndarray) -> tuple[bytes, np.ndarray, bytes, np.ndarray]:
-    """Control and data bytes of documents with ``counts`` ranks each, and the bytes of both that each document has."""
-    length = (ranks > 0xFF).astype(np.uint8) + (ranks > 0xFFFF) + (ranks > 0xFFFFFF)
-    quads = -(-counts // 4)
-    starts, at = np.cumsum(quads) - quads, np.cumsum(counts) - counts
-    slots = np.zeros(int(quads.sum()) * 4, dtype=np.uint8)
-    slots[np.arange(len(ranks)) + np.repeat(starts * 4 - at, counts)] = length
+def _used(counts: np.ndarray) -> np.ndarray:
+    """Which of the 2-bit lengths belong to ids: a document's last control byte may have up to three to spare."""
+    ends = np.cumsum(-(-counts // 4)) * 4
+    spare = -counts % 4
+    used = np.ones(int(ends[-1]) if len(ends) else 0, dtype=bool)
+    for k in range(1, 4):
+        used[ends[spare >= k] - k] = False
+    return used
+
+
+def code(ranks: np.ndarray, counts: np.ndarray) -> tuple[bytes, bytes]:
+    """Control and data bytes of documents with ``counts`` ranks each, in a row."""
+    length = (ranks > 0xFF).astype(np.uint8)
+    for least in (0xFFFF, 0xFFFFFF):
+        if ranks.max(initial=0) > least:
+            length += ranks > least
+    used = _used(counts)
+    slots = np.zeros(len(used), dtype=np.uint8)
+    slots[used] = length
     four = slots.reshape(-1, 4)
     control = four[:, 0] | four[:, 1] << 2 | four[:, 2] << 4 | four[:, 3] << 6
     width = int(length.max(initial=0)) + 1
     octets = ranks.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :width]
-    data = octets[np.arange(width, dtype=np.uint8) <= length[:, None]]
-    sums = np.concatenate(([0], np.cumsum(length, dtype=np.int64) + np.arange(1, len(ranks) + 1)))
-    return control.tobytes(), quads, data.tobytes(), sums[at + counts] - sums[at]
+    return control.tobytes(), octets[np.arange(width, dtype=np.uint8) <= length[:, None]].tobytes()
 
 
 def decode(control: np.ndarray, data: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """The ranks of documents with ``counts`` each, in a row."""
-    lengths = LENGTHS[control].reshape(-1)
-    quads = -(-counts // 4)
-    first = np.cumsum(quads) * 4 - quads * 4
-    at = np.cumsum(counts) - counts
-    lengths = lengths[np.arange(int(counts.sum())) + np.repeat(first - at, counts)]
-    start = np.cumsum(lengths, dtype=np.int64) - lengths
-    padded = np.concatenate((data, np.zeros(3, dtype=np.uint8)))
-    out = padded[start].astype(np.uint32)
+    lengths = LENGTHS[control].reshape(-1)[_used(counts)]
+    start = np.cumsum(lengths, dtype=np.int32 if len(data) < 1 << 31 else np.int64)
+    start -= lengths
+    out = data[start].astype(np.uint32)
     for j in range(1, int(lengths.max(initial=1))):
-        out |= np.where(lengths > j, padded[start + j], 0).astype(np.uint32) << np.uint32(8 * j)
+        more = np.flatnonzero(lengths > j)
+        out[more] |= data[start[more] + j].astype(np.uint32) << np.uint32(8 * j)
     return out
 
 
@@ -162,7 +169,7 @@ def write_token_files(docs: DataFrame, path: str, end_id: int | None = 0) -> Tok
         def flush() -> pa.RecordBatch:
             nonlocal number, held
             counts = np.array(sizes, dtype=np.int64)
-            control, _, data, _ = code(shared.value[np.frombuffer(b"".join(held_ids), kind)], counts)
+            control, data = code(shared.value[np.frombuffer(b"".join(held_ids), kind)], counts)
             row = {"part": [part], "block": [number], "n_docs": [len(doc_ids)], "n_ids": [held], "bytes": [write_block(doc_ids, counts, control, data)]}
             number, held = number + 1, 0
             for x in (doc_ids, sizes, held_ids):
