@@ -7,8 +7,8 @@ automaton is one flat file: Spark ships it to every executor, whose workers map
 are looked up in it all at once, a byte of each a step. Words that it lacks are merged exactly, also all at once: the pair of
 lowest rank in each, leftmost first, until none is left.
 
-Texts are cut at ASCII white space, which no word and no special token crosses; each worker remembers the ids of
-the pieces it has met (at most ``CACHE``, then it starts anew). Decoding looks each id's string up and joins them by a
+Texts are cut at ASCII white space, which no word and no special token crosses, and Arrow numbers a batch's distinct
+pieces; each worker remembers the ids of words it has met (about ``CACHE``, then the half met first stays). Decoding looks each id's string up and joins them by a
 space, as the library does for a vocabulary without a decoder.
 
 Defined results: null is the empty text, which has no ids and decodes to nothing; special tokens in a text become their
@@ -27,22 +27,27 @@ import tempfile
 import unicodedata
 from collections import Counter
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tilewright.llm.common import as_bytes, groups, ship, spans
+from tilewright.llm.common import groups, ship, spans
+from tilewright.session import materialize
 
 #: Words compiled into the automaton: bounds the file (some MB), not the result.
 LEXICON = 65_536
-#: Pieces a worker remembers, and distinct words it counts before it hands them on.
+#: Words a worker remembers, and distinct words it counts before it hands them on.
 CACHE = 400_000
 #: Longer words are left to the merging code.
 LONGEST = 40
+#: Neither letters, digits nor white space.
+TAIL = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 HEAD = struct.Struct("<4sIII")
 NONE = np.int32(1 << 30)
 
@@ -192,6 +197,15 @@ class WordBpe:
             return out
         return self._plain(text)
 
+    @staticmethod
+    def core_and_tail(piece: str) -> tuple[str, str] | None:
+        """A piece of Latin letters and then ASCII punctuation, either or both, is these two words; else None."""
+        core = piece.rstrip(TAIL)
+        if core and not (core.isalpha() and (core.isascii() or max(core) <= "ɏ")):
+            return None
+        low = core.lower()
+        return (low, piece[len(core) :]) if len(low) == len(core) else None
+
     def _plain(self, text: str) -> list[bytes]:
         if text.isascii() and text.isprintable() or all(" " < c <= "~" or "\xa1" <= c <= "ɏ" for c in text):
             return [w.encode() for w in self.pattern.findall(unicodedata.normalize("NFC", text).lower())]
@@ -306,44 +320,66 @@ def model(path: str) -> WordBpe:
     return _models[path]
 
 
+def cut_pieces(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
+    """Distinct pieces of a string column between ASCII white space, the number of each piece in a row, and where each text's begin."""
+    cut = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+    coded = pc.dictionary_encode(cut.flatten())
+    if isinstance(coded, pa.ChunkedArray):
+        coded = coded.combine_chunks()
+    return coded.dictionary.to_pylist(), np.array(coded.indices, dtype=np.int32), np.asarray(cut.offsets) - cut.offsets[0].as_py()
+
+
 class Coder:
     """Encodes and decodes with one vocabulary and one automaton."""
 
     def __init__(self, path: str, lexicon: str):
         self.bpe, self.automaton = model(path), Automaton(lexicon)
-        self.known: dict[bytes, bytes] = {}
-
-    def _learn(self, pieces: set[bytes]) -> None:
-        cut = {piece: self.bpe.words(piece) for piece in pieces}
-        words = list({w for x in cut.values() for w in x if isinstance(w, bytes)})
-        ids: dict[bytes, bytes] = {}
-        unseen = []
-        for word, place in zip(words, self.automaton.find(words).tolist()):
-            if place >= 0:
-                ids[word] = self.automaton.ids_of(place).tobytes()
-            else:
-                unseen.append(word)
-        ids.update((w, x.tobytes()) for w, x in zip(unseen, self.bpe.merge(unseen)))
-        for piece, parts in cut.items():
-            self.known[piece] = b"".join([ids[w] if isinstance(w, bytes) else struct.pack("<I", w) for w in parts])
-
-    def encode(self, texts: list[bytes]) -> list[bytes]:
-        """UTF-8 texts -> ids as little-endian unsigned 32-bit integers."""
-        cut = [text.split() for text in texts]
-        met: set[bytes] = set()
-        for pieces in cut:
-            met.update(pieces)
-        new = met.difference(self.known)
-        if len(self.known) + len(new) > CACHE:
-            self.known.clear()
-            new = met
-        if new:
-            self._learn(new)
-        get = self.known.__getitem__
-        return [b"".join(map(get, pieces)) for pieces in cut]
-
-    def decode(self, packed: bytes) -> bytes:
-        return b" ".join(map(self.bpe.strings.__getitem__, memoryview(packed).cast("I").tolist()))
+        self.known: dict[str, bytes] = {"": b""}
+        self.spaced = pa.array([x + b" " for x in self.bpe.strings], pa.binary())
+
+    def _learn(self, words: list[str]) -> None:
+        spelled = [w.encode() for w in words]
+        places = self.automaton.find(spelled)
+        unseen = np.flatnonzero(places < 0).tolist()
+        self.known.update((words[i], x.tobytes()) for i, x in zip(unseen, self.bpe.merge([spelled[i] for i in unseen])))
+        seen = np.flatnonzero(places >= 0)
+        at, flat = self.automaton.at, self.automaton.ids.tobytes()
+        starts, ends = (at[places[seen]] * 4).tolist(), (at[places[seen] + 1] * 4).tolist()
+        self.known.update((words[i], flat[a:b]) for i, a, b in zip(seen.tolist(), starts, ends))
+
+    def _ids(self, pieces: list[str]) -> list[bytes]:
+        if len(self.known) > CACHE:
+            for word in list(islice(self.known, CACHE // 2, None)):
+                del self.known[word]
+        pairs = [self.bpe.core_and_tail(x) for x in pieces]
+        odd = {i: self.bpe.words(pieces[i].encode()) for i, pair in enumerate(pairs) if pair is None}
+        known = self.known
+        new = {w for pair in pairs if pair for w in pair if w not in known}
+        new.update(w for x in odd.values() for w in map(_as_text, x) if w is not None and w not in known)
+        self._learn(list(new))
+        out = [known[pair[0]] + known[pair[1]] if pair else b"" for pair in pairs]
+        for i, words in odd.items():
+            out[i] = b"".join([struct.pack("<I", w) if isinstance(w, int) else known[w.decode()] for w in words])
+        return out
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """A string column (nulls as empty) -> all ids in a row, and the number of each text's."""
+        pieces, codes, offsets = cut_pieces(texts)
+        packed = pa.array(self._ids(pieces), pa.binary()).take(pa.array(codes))
+        run = np.frombuffer(packed.buffers()[1], np.int32, len(codes) + 1, 4 * packed.offset) // 4
+        return np.frombuffer(packed.buffers()[2] or b"", "<u4", int(run[-1])), (run[offsets[1:]] - run[offsets[:-1]]).astype(np.int64)
+
+    def decode(self, ids: np.ndarray, counts: np.ndarray) -> list[bytes]:
+        """The text of each run of ids: their strings, joined by a space."""
+        strings = self.spaced.take(pa.array(ids))
+        run = np.frombuffer(strings.buffers()[1], np.int32, len(ids) + 1, 4 * strings.offset)
+        octets = memoryview(strings.buffers()[2]) if len(ids) else memoryview(b"")
+        ends = np.cumsum(counts)
+        return [bytes(octets[a : max(a, b - 1)]) for a, b in zip(run[ends - counts].tolist(), run[ends].tolist())]
+
+
+def _as_text(word: bytes | int) -> str | None:
+    return None if isinstance(word, int) else word.decode()
 
 
 def coder(path: str, lexicon: str) -> Coder:
@@ -361,40 +397,58 @@ def word_counts(docs: DataFrame, path: str) -> DataFrame:
     ship(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe, pieces = model(path), Counter()
+        bpe, words = model(path), Counter()
 
         def hand_on() -> pa.RecordBatch:
-            words = Counter()
-            for piece, n in pieces.items():
-                for word in bpe.words(piece):
-                    if isinstance(word, bytes):
-                        words[word] += n
-            pieces.clear()
-            return pa.RecordBatch.from_arrays([pa.array(words.keys(), pa.binary()), pa.array(words.values(), pa.int64())], ["word", "n"])
+            out = pa.RecordBatch.from_arrays([pa.array(words.keys(), pa.string()).cast(pa.binary()), pa.array(words.values(), pa.int64())], ["word", "n"])
+            words.clear()
+            return out
 
         for batch in groups(batches, "text"):
-            for text in as_bytes(batch.column(0)):
-                pieces.update(text.split())
-                if len(pieces) > CACHE:
-                    yield hand_on()
+            pieces, codes, _ = cut_pieces(batch.column(0))
+            for piece, n in zip(pieces, np.bincount(codes, minlength=len(pieces)).tolist()):
+                pair = bpe.core_and_tail(piece)
+                for word in pair or map(_as_text, bpe.words(piece.encode())):
+                    if word:
+                        words[word] += n
+            if len(words) > CACHE:
+                yield hand_on()
         yield hand_on()
 
     return docs.select(F.col("text").cast("string").alias("text")).mapInArrow(run, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def frequent(counts: DataFrame, size: int) -> list[bytes]:
+    """Up to ``size`` most frequent words: all with at least some count, found from a histogram with 6 leading bits of each count, so at most size rows reach the driver."""
+    counts = materialize(counts.where((F.col("n") > 1) & (F.length("word") <= LONGEST)), "words")
+    shift = F.greatest(F.length(F.bin("n")) - 6, F.lit(0))
+    step = F.call_function("shiftleft", F.call_function("shiftright", F.col("n"), shift), shift)
+    least, total = None, 0
+    for r in sorted(counts.groupBy(step.alias("step")).agg(F.count("*").alias("words")).collect(), key=lambda r: -r.step):  # some 2,000 rows at most
+        if (total := total + r.words) > size:
+            break
+        least = r.step
+    return [] if least is None else sorted(bytes(r.word) for r in counts.where(F.col("n") >= least).select("word").collect())
+
+
 def compile_lexicon(docs: DataFrame, path: str, size: int = LEXICON) -> str:
     """Compile the most frequent words of all documents and ship the file; returns its name for SparkFiles."""
-    top = word_counts(docs, path).where(F.length("word") <= LONGEST).orderBy(F.desc("n"), "word").limit(size).select("word").collect()  # at most size words
-    words = sorted(bytes(r.word) for r in top)
+    words = frequent(word_counts(docs, path), size)
     content = build_automaton(words, [x.tolist() for x in model(path).merge(words)])
     name = f"lexicon-{hashlib.sha256(content).hexdigest()[:24]}.twa"
-    local = os.path.join(tempfile.mkdtemp(), name)
-    with open(local, "wb") as f:
-        f.write(content)
-    docs.sparkSession.sparkContext.addFile(local)
+    context = docs.sparkSession.sparkContext
+    if (context.applicationId, name) not in _sent:
+        local = os.path.join(tempfile.mkdtemp(), name)
+        with open(local, "wb") as f:
+            f.write(content)
+        context.addFile(local)
+        _sent.add((context.applicationId, name))
     return name
 
 
+_sent: set[tuple[str, str]] = set()
+
+
 def encode_decode(docs: DataFrame, path: str, size: int = LEXICON, digest: bool = False) -> DataFrame:
     """documents(doc_id, text) -> doc_id, n_tokens, ids (little-endian unsigned 32-bit integers), decoded (UTF-8).
 
@@ -406,13 +460,15 @@ def encode_decode(docs: DataFrame, path: str, size: int = LEXICON, digest: bool
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = coder(path, SparkFiles.get(lexicon))
         for batch in groups(batches, "text"):
-            packed = own.encode(as_bytes(batch.column(1)))
-            decoded = map(own.decode, packed)
+            ids, counts = own.encode(batch.column(1))
+            octets = memoryview(ids.tobytes())
+            packed = [octets[a:b] for a, b in zip(*spans(counts * 4))]
+            decoded = own.decode(ids, counts)
             if digest:
                 out = [pa.array([hashlib.sha256(x).hexdigest() for x in column], pa.string()) for column in (packed, decoded)]
             else:
-                out = [pa.array(packed, pa.binary()), pa.array(list(decoded), pa.binary()).cast(pa.string())]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(x) // 4 for x in packed], pa.int64()), *out], names)
+                out = [pa.array(map(bytes, packed), pa.binary()), pa.array(decoded, pa.binary()).cast(pa.string())]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), *out], names)
 
     kinds = ("string", "string") if digest else ("binary", "string")
     schema = f"doc_id long, n_tokens long, {names[2]} {kinds[0]}, {names[3]} {kinds[1]}"
