@@ -179,7 +179,7 @@ def cigar_simplify(spark, sf):
 
 def cigar_adjust(spark, sf):
     at = F.explode(F.sequence(F.lit(1), F.lit(1000), F.lit(111)))
-    return _cigars(spark, sf).select("uid", "cigar", at.alias("pos")).select("uid", "pos", cigar.adjust(F.col("pos"), F.col("cigar")).alias("on_seq"))
+    return _cigars(spark, sf).select("uid", "cigar", at.alias("pos")).select("uid", "pos", F.coalesce(cigar.adjust(F.col("pos"), F.col("cigar")), F.lit(-1)).alias("on_seq"))
 
 
 # ---------------------------------------------------------------- trees
