@@ -28,36 +28,66 @@ def spaced_key(window: str, pattern: str):
     return F.concat(*(F.substring(window, i + 1, 1) for i, c in enumerate(pattern) if c == "1"))
 
 
-def diagonal_identity(hits: DataFrame, a: DataFrame, b: DataFrame, length: int) -> DataFrame:
-    """hits(a_id, b_id, strand, diagonal) -> + best: most equal bases of any window of ``length`` on the diagonal, and at: its start in a (the first)."""
+def _overlaps(hits: DataFrame, a: DataFrame, b: DataFrame) -> DataFrame:
+    """The stretches of both sequences that meet on each diagonal: keys, start (in a), x, y."""
     mine = a.select(F.col("id").alias("a_id"), F.col("seq").alias("a_seq"))
     theirs = b.select(F.col("id").alias("b_id"), F.col("seq").alias("b_seq"))
-    pairs = hits.join(theirs, "b_id").join(mine, "a_id")
     query = F.when(F.col("strand") == "-", S.revcomp(F.col("b_seq"))).otherwise(F.col("b_seq"))
+    pairs = hits.join(theirs, "b_id").join(mine, "a_id").withColumn("_q", query)
     start = F.greatest(F.lit(1), F.col("diagonal") + 1)
-    cut = pairs.withColumn("_q", query).select(
-        "a_id", "b_id", "strand", "diagonal", start.alias("start"),
-        F.substring(F.col("a_seq"), start, F.length("_q")).alias("x"), F.substring(F.col("_q"), start - F.col("diagonal"), F.length("_q")).alias("y"),
-    )
+    return pairs.select(
+        *DIAGONAL, start.alias("start"), F.substring(F.col("a_seq"), start, F.length("_q")).alias("x"), F.substring(F.col("_q"), start - F.col("diagonal"), F.length("_q")).alias("y")
+    )
+
+
+DIAGONAL = ("a_id", "b_id", "strand", "diagonal")
+
+
+def _equal_bases(x: str, y: str, length: int) -> np.ndarray:
+    """Equal bases of each window of ``length``."""
+    n = min(len(x), len(y))
+    same = np.frombuffer(x[:n].encode(), np.uint8) == np.frombuffer(y[:n].encode(), np.uint8)
+    total = np.concatenate(([0], np.cumsum(same)))
+    return total[length:] - total[:-length] if n >= length else total[:0]
+
+
+def _schema(cut: DataFrame, more: str) -> str:
+    kinds = {f.name: f.dataType.simpleString() for f in cut.schema}
+    return ", ".join([*(f"{c} {kinds[c]}" for c in DIAGONAL), more])
+
+
+def diagonal_identity(hits: DataFrame, a: DataFrame, b: DataFrame, length: int) -> DataFrame:
+    """hits(a_id, b_id, strand, diagonal) -> + best: most equal bases of any window of ``length`` on the diagonal, and at: its start in a (the first)."""
+    cut = _overlaps(hits, a, b)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            best, at = [], []
-            for start, x, y in zip(*(batch.column(i).to_pylist() for i in (4, 5, 6))):
-                n = min(len(x), len(y))
-                if n < length:
-                    best.append(None)
-                    at.append(None)
-                    continue
-                same = np.frombuffer(x[:n].encode(), np.uint8) == np.frombuffer(y[:n].encode(), np.uint8)
-                total = np.concatenate(([0], np.cumsum(same)))
-                sums = total[length:] - total[:-length]
-                best.append(int(sums.max()))
-                at.append(start + int(sums.argmax()))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(best, pa.int32()), pa.array(at, pa.int32())], [*batch.schema.names[:4], "best", "at"])
+            sums = [_equal_bases(x, y, length) for x, y in zip(batch.column(5).to_pylist(), batch.column(6).to_pylist())]
+            best = [int(s.max()) if len(s) else None for s in sums]
+            at = [start + int(s.argmax()) if len(s) else None for start, s in zip(batch.column(4).to_pylist(), sums)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(best, pa.int32()), pa.array(at, pa.int32())], [*DIAGONAL, "best", "at"])
 
-    kinds = {f.name: f.dataType.simpleString() for f in cut.schema}
-    return cut.mapInArrow(run, ", ".join([*(f"{c} {kinds[c]}" for c in ("a_id", "b_id", "strand", "diagonal")), "best int", "at int"]))
+    return cut.mapInArrow(run, _schema(cut, "best int, at int"))
+
+
+def similar_spans(hits: DataFrame, a: DataFrame, b: DataFrame, length: int, least: int) -> DataFrame:
+    """hits -> + s, e: half-open stretches of a under windows of ``length`` with ``least`` equal bases or more on the diagonal."""
+    cut = _overlaps(hits, a, b)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, s, e = [], [], []
+            for i, (start, x, y) in enumerate(zip(*(batch.column(k).to_pylist() for k in (4, 5, 6)))):
+                on = np.flatnonzero(_equal_bases(x, y, length) >= least)
+                if len(on):
+                    turns = np.flatnonzero(np.diff(on) > length)
+                    firsts, lasts = on[np.concatenate(([0], turns + 1))], on[np.concatenate((turns, [len(on) - 1]))]
+                    rows += [i] * len(firsts)
+                    s += (firsts + start).tolist()
+                    e += (lasts + start + length).tolist()
+            yield pa.RecordBatch.from_arrays([*(batch.column(k).take(pa.array(rows, pa.int64())) for k in range(4)), pa.array(s, pa.int32()), pa.array(e, pa.int32())], [*DIAGONAL, "s", "e"])
+
+    return cut.mapInArrow(run, _schema(cut, "s int, e int"))
 
 
 def dust_intervals(seqs: DataFrame, window: int = 64, threshold: float = 20.0) -> DataFrame:

@@ -85,8 +85,8 @@ def filter_regions(regions: DataFrame, p: Params, blacklists: list[DataFrame] |
             break
         seqs = out.select(F.col("region_id").alias("id"), "seq")
         hits = homology.seed_hits(seqs, black, min(p.contiguity, p.hit_length))
-        best = homology.diagonal_identity(hits, seqs, black, p.hit_length).where(F.col("best") * 100 >= p.hit_identity * p.hit_length)
-        spans = merge_intervals(best.select(F.col("a_id").alias("region_id"), F.col("at").alias("s"), (F.col("at") + p.hit_length).alias("e")), ["region_id"])
+        found = homology.similar_spans(hits, seqs, black, p.hit_length, -(-int(p.hit_identity * p.hit_length) // 100))
+        spans = merge_intervals(found.select(F.col("a_id").alias("region_id"), "s", "e"), ["region_id"])
         out = materialize(cut(out, spans), "filtered")
     return out
 

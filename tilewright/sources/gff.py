@@ -23,7 +23,7 @@ def read_genome_list(spark: SparkSession, path: str | None, files: tuple[str, ..
 
 def read_gff(spark: SparkSession, paths: list[str]) -> DataFrame:
     """-> path, part (0 features, 1 FASTA), at (line number), value."""
-    whole = spark.read.option("wholetext", True).text(paths).select(F.col("_metadata.file_path").alias("path"), F.split(F.regexp_replace("value", "\r", ""), "##FASTA", 2).alias("parts"))
+    whole = spark.read.text(paths, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.split(F.regexp_replace("value", "\r", ""), "##FASTA", 2).alias("parts"))
     return whole.select("path", F.posexplode("parts").alias("part", "text"))
 
 

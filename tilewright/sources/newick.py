@@ -47,7 +47,7 @@ def parse(text: str) -> list[tuple[str, str | None, bool]]:
 
 
 def read_newick(spark: SparkSession, path: str) -> DataFrame:
-    text = "".join(r.value for r in spark.read.option("wholetext", True).text(path).collect())
+    text = "".join(r.value for r in spark.read.text(path, wholetext=True).collect())
     return spark.createDataFrame(parse(text), NODES)
 
 
