@@ -49,7 +49,25 @@ def materialize(df: DataFrame, label: str, compression: str = "zstd") -> DataFra
     spark = df.sparkSession
     path = scratch(spark, label)
     df.write.option("compression", compression).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._scratch = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete what materialize wrote, once nothing reads it any more."""
+    for df in tables:
+        path = getattr(df, "_scratch", None)
+        if path:
+            spark = df.sparkSession
+            target = spark._jvm.org.apache.hadoop.fs.Path(path)
+            target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def clean_up(spark: SparkSession) -> None:
+    """Delete all intermediate tables below the shared folder; results that were not written elsewhere can't be read afterwards."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/tilewright")
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
