@@ -8,7 +8,7 @@ set of 4 positions to hold one (Turan's system for 8 positions).
 
 With several bands (drop_near_duplicates) a value of a band stands for the least of its nodes.
 
-Equal fingerprints are one row from the start. Posting lists are counted first, with partial sums. Lists of up to
+Equal fingerprints are one row from the start. Postings are dealt out and sorted once and read as a stream. Lists of up to
 ``LIST`` fingerprints are searched in place and give a spanning forest of links, not all pairs. Rows of longer
 lists take an exact linear way instead: fingerprints at most 4 bits apart have a common neighbour at most 2 bits from
 both, so each sends its 2,081 neighbours and those that meet are linked in a row (no more than 2,081 can meet).
@@ -38,6 +38,8 @@ from tilewright.session import materialize
 BITS = 4
 LIST = 4096
 SEED = 42
+#: Band values whose postings one task makes.
+SPREAD = 40_000
 #: Shingles hashed at once; bounds the memory for long texts.
 LOT = 1 << 15
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
@@ -86,10 +88,9 @@ def _votes(hashes: np.ndarray, bands: int) -> np.ndarray:
     return total
 
 
-def fingerprints(docs: DataFrame, shingle: int = 4, bands: int = 1) -> DataFrame:
-    """documents(doc_id, text, key if there is one) -> doc_id, key, bands array<long>, a row per row."""
+def fingerprints(docs: DataFrame, shingle: int = 4, bands: int = 1, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """documents(text and the longs ``keep``) -> keep, bands array<long>, a row per row."""
     ship(docs.sparkSession)
-    keep = [c for c in ("doc_id", "key") if c in docs.columns]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in groups(batches, "text"):
@@ -97,7 +98,7 @@ def fingerprints(docs: DataFrame, shingle: int = 4, bands: int = 1) -> DataFrame
             flat = pa.array(np.concatenate(prints).view("<i8"), pa.int64())
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.ListArray.from_arrays(pa.array(np.arange(len(prints) + 1) * bands, pa.int32()), flat)], [*keep, "bands"])
 
-    return docs.select(F.col("text").cast("string").alias("text"), *keep).mapInArrow(run, ", ".join([*(f"{c} long" for c in keep), "bands array<long>"]))
+    return docs.select(F.col("text").cast("string").alias("text"), *(F.col(c).cast("long").alias(c) for c in keep)).mapInArrow(run, ", ".join([*(f"{c} long" for c in keep), "bands array<long>"]))
 
 
 def _near(a: np.ndarray, b: np.ndarray, bits: int) -> np.ndarray:
@@ -162,24 +163,62 @@ def _neighbours(bits: int):
     return run
 
 
-def near_links(entries: DataFrame, bits: int = BITS, longest: int = LIST, limit: int | None = None) -> DataFrame:
-    """entries(band, value, node), a row per (band, value) -> links (u, v) that join up all nodes whose values in a band differ in at most ``bits`` (4 or 2).
+def _shared_postings(longest: int):
+    """Rows (posting, node) in order of postings -> those of postings with several nodes, and whether these are more than ``longest``. Holds no more than a batch and longest rows."""
 
-    limit: most bits that all bands together may differ in; entries then have bands too.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, nodes, over = None, np.zeros(0, dtype=np.int64), False  # the posting at the end of the last batch, its nodes not yet handed on
+
+        def rows(postings: np.ndarray, nodes: np.ndarray, long_: np.ndarray) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(postings, pa.int64()), pa.array(nodes, pa.int64()), pa.array(long_, pa.bool_())], ["posting", "node", "long"])
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys, own = np.asarray(batch.column(0)), np.asarray(batch.column(1))
+            if held is not None:
+                keys, own = np.concatenate((np.full(len(nodes), held), keys)), np.concatenate((nodes, own))
+            starts = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
+            sizes = np.diff(np.concatenate((starts, [len(keys)])))
+            long_ = sizes > longest
+            long_[0] |= over and keys[0] == held
+            done = (sizes > 1) | long_
+            last = len(starts) - 1
+            over, held = bool(long_[last]), int(keys[-1])
+            done[last] = over  # the last posting may go on
+            nodes = own[:0] if over else own[starts[last] :]
+            pick = np.repeat(done, sizes)
+            if pick.any():
+                yield rows(keys[pick], own[pick], np.repeat(long_, sizes)[pick])
+        if len(nodes) > 1:
+            yield rows(np.full(len(nodes), held), nodes, np.zeros(len(nodes), dtype=bool))
+
+    return run
+
+
+def near_links(entries: DataFrame, nodes: DataFrame, bits: int = BITS, longest: int = LIST, limit: int | None = None) -> DataFrame:
+    """entries(band, value, id), a row per (band, value), nodes(id, bands) -> links (u, v) that join up all ids whose values in a band differ in at most ``bits`` (4 or 2).
+
+    limit: most bits that all bands together may differ in. A node has 20 postings for each band, so the longest posting is a small
+    part of the rows that are dealt out.
     """
+    ship(entries.sparkSession)
     triples = covering_triples()
-    own = ["value", "node"] if limit is None else ["value", "node", "bands"]
     at = lambda p: F.shiftrightunsigned("value", 8 * p).bitwiseAND(F.lit(255))
     key = lambda i, t: F.lit(i).cast("long") * (1 << 24) + at(t[0]) * 65_536 + at(t[1]) * 256 + at(t[2])
     keys = F.array(*(F.col("band").cast("long") * (len(triples) << 24) + key(i, t) for i, t in enumerate(triples)))
-    index = entries.select("band", "value", "node", F.explode(keys).alias("posting"))
-    sizes = materialize(index.groupBy("posting").agg(F.count("*").alias("n")).where("n > 1"), "postings")
-    listed = entries.select("band", *own, F.explode(keys).alias("posting")).join(sizes, "posting")
-    short = listed.where(F.col("n") <= longest).groupBy("posting").agg(F.collect_list(F.struct(*own)).alias("rows"))
+    few = entries.repartition(-(-max(1, entries.count()) // SPREAD))  # each row becomes 20: tasks stay small
+    index = few.select(F.explode(keys).alias("posting"), F.col("id").alias("node")).repartition("posting").sortWithinPartitions("posting")
+    listed = materialize(index.mapInArrow(_shared_postings(longest), "posting long, node long, long boolean"), "listed")  # few: most postings stand alone
+    value = F.col("bands")[F.floor(F.col("posting") / (len(triples) << 24)).cast("int")]
+    own = ["value", "node"] if limit is None else ["value", "node", "bands"]
+    listed = listed.join(nodes.select(F.col("id").alias("node"), "bands"), "node").withColumn("value", value)
+    short = listed.where("not long").groupBy("posting").agg(F.collect_list(F.struct(*own)).alias("rows"))
     links = short.select("rows").mapInArrow(_search_lists(bits, limit), "u long, v long")
-    if sizes.where(F.col("n") > longest).isEmpty():
+    if listed.where("long").isEmpty():
         return links
-    long_ = materialize(listed.where(F.col("n") > longest).select("band", *own).distinct(), "long-lists")
+    band = F.floor(F.col("posting") / (len(triples) << 24)).cast("int").alias("band")
+    long_ = materialize(listed.where("long").select(band, *own).distinct(), "long-lists")
     met = long_.select("band", "value", "node").mapInArrow(_neighbours(bits), "band int, centre long, node long")
     if limit is None:
         nodes = met.groupBy("band", "centre").agg(F.sort_array(F.collect_set("node")).alias("nodes")).where(F.size("nodes") > 1)
@@ -191,28 +230,28 @@ def near_links(entries: DataFrame, bits: int = BITS, longest: int = LIST, limit:
 
 def components(prints: DataFrame, bits: int = BITS, longest: int = LIST, limit: int | None = None) -> DataFrame:
     """prints(doc_id, bands, ...) -> + root (names the component) and component_id: the least doc_id reachable over links, its own included."""
-    ship(prints.sparkSession)
     single = prints.select(F.max(F.size("bands"))).first()[0] in (None, 1)
     columns = prints.columns
     prints = prints.withColumn("node", F.col("bands")[0] if single else F.xxhash64("bands"))
-    nodes = materialize(prints.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands")), "nodes")
+    groups_ = prints.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands"))
+    nodes = materialize(groups_.withColumn("id", F.col("node") if single else F.monotonically_increasing_id()), "nodes")  # written once: ids stay
     if single:
-        entries, equal = nodes.select(F.lit(0).alias("band"), F.col("node").alias("value"), "node"), None
+        entries, equal = nodes.select(F.lit(0).alias("band"), F.col("node").alias("value"), "id"), None
     else:
-        every = nodes.select("node", "bands", F.posexplode("bands").alias("band", "value"))
-        entries = materialize(every.groupBy("band", "value").agg(F.min(F.struct("node", "bands")).alias("m")).select("band", "value", "m.node", "m.bands"), "entries")
-        equal = every.select("band", "value", "node").join(entries.select("band", "value", F.col("node").alias("u")), ["band", "value"]).where("node <> u").select("u", F.col("node").alias("v"))
-    links = near_links(entries, bits, longest, None if single else limit)
-    roots = materialize(connected_components(links if equal is None else links.unionByName(equal)), "roots")
-    least = materialize(roots.join(nodes.select("node", "doc_id"), "node").groupBy("root").agg(F.min("doc_id").alias("component_id")), "least")
-    linked = roots.join(least, "root").select("node", "root", "component_id")
-    labels = nodes.select("node", "doc_id").join(linked, "node", "left").select("node", F.coalesce("root", "node").alias("root"), F.coalesce("component_id", "doc_id").alias("component_id"))
+        every = nodes.select("id", F.posexplode("bands").alias("band", "value"))
+        entries = materialize(every.groupBy("band", "value").agg(F.min("id").alias("id")), "entries")
+        equal = every.join(entries.withColumnRenamed("id", "u"), ["band", "value"]).where("id <> u").select("u", F.col("id").alias("v"))
+    links = near_links(entries, nodes, bits, longest, None if single else limit)
+    roots = materialize(connected_components(links if equal is None else links.unionByName(equal)).withColumnRenamed("node", "id"), "roots")
+    least = materialize(roots.join(nodes.select("id", "doc_id"), "id").groupBy("root").agg(F.min("doc_id").alias("component_id")), "least")
+    linked = roots.join(least, "root").select("id", "root", "component_id")
+    labels = nodes.select("id", "node", "doc_id").join(linked, "id", "left").select("node", F.coalesce("root", "id").alias("root"), F.coalesce("component_id", "doc_id").alias("component_id"))
     return prints.join(materialize(labels, "labels"), "node").select(*columns, "root", "component_id")
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 4, bands: int = 1, bits: int = BITS, longest: int = LIST, limit: int | None = None) -> DataFrame:
-    """documents(doc_id, text) -> doc_id, bands, root, component_id, a row per row."""
-    return components(materialize(fingerprints(docs, shingle, bands), "fingerprints"), bits, longest, limit)
+def near_duplicates(docs: DataFrame, shingle: int = 4, bands: int = 1, bits: int = BITS, longest: int = LIST, limit: int | None = None, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """documents(doc_id, text) -> keep, bands, root, component_id, a row per row."""
+    return components(materialize(fingerprints(docs, shingle, bands, keep), "fingerprints"), bits, longest, limit)
 
 
 def drop_near_duplicates(docs: DataFrame, shingle: int = 5, bands: int = 16, share: float = 0.14) -> DataFrame:
@@ -222,13 +261,12 @@ def drop_near_duplicates(docs: DataFrame, shingle: int = 5, bands: int = 16, sha
     4 bits apart while all bands together differ in at most ``share`` of their bits; such documents of similarity
     0.9 are found nearly always, of 0.8 about every other time, and hardly any below 0.7.
     """
-    keyed = docs.withColumn("key", F.xxhash64("doc_id", "text")) if "key" not in docs.columns else docs.withColumnRenamed("key", "_key").withColumn("key", F.xxhash64("doc_id", "text"))
-    found = near_duplicates(keyed.select("doc_id", "text", "key"), shingle, bands, limit=int(share * 64 * bands))
-    best = F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("key").alias("key"), F.lit(1)))["key"]
-    stay = materialize(found.groupBy("root").agg(best.alias("key"), F.count("*").alias("rows")).select("key", "rows"), "stay")
-    kept = keyed.join(stay.select("key"), "key", "left_semi")
+    keyed = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("doc_id", "text").alias("key"))
+    found = near_duplicates(keyed, shingle, bands, limit=int(share * 64 * bands), keep=("doc_id", "key"))
+    best = F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("key").alias("key")))["key"]
+    stay = materialize(found.groupBy("root").agg(best.alias("key")).select("key"), "stay")
+    kept = keyed.join(stay, "key", "left_semi")
     twice = found.select("key").groupBy("key").agg(F.count("*").alias("n")).where("n > 1").join(stay, "key", "left_semi")
     if not twice.isEmpty():  # repeated rows: one of them
-        kept = kept.withColumn("_n", F.row_number().over(W.partitionBy("key").orderBy("doc_id"))).where("_n = 1").drop("_n")
-    kept = kept.drop("key")
-    return (kept.withColumnRenamed("_key", "key") if "_key" in kept.columns else kept).select(*docs.columns)
+        kept = kept.withColumn("n", F.row_number().over(W.partitionBy("key").orderBy("doc_id"))).where("n = 1")
+    return kept.select("row.*")
