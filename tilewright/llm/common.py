@@ -11,11 +11,17 @@ import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 from pyspark.sql import SparkSession
 
+BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 _shipped: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Make this package importable on executors wherever the driver was started from."""
+    """Make this package importable on executors wherever the driver was started from, and bound the batches that go to Python.
+
+    A session that still has Spark's default of 64 MB a batch gets 16 MB: a worker holds a batch several times over.
+    """
+    if spark.conf.get(BATCH, None) == "67108864b":
+        spark.conf.set(BATCH, "16m")
     app = spark.sparkContext.applicationId
     if app in _shipped:
         return

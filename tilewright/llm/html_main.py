@@ -214,7 +214,7 @@ def site_templates(pages: DataFrame, t: Template = Template()) -> DataFrame:
 
 def main_text(pages: DataFrame, t: Template = Template(), broadcast_rows: int = BROADCAST) -> DataFrame:
     """pages(page_id, url, html) -> page_id, url, text, n_chars."""
-    rows = pages.select("page_id", "url", F.col("html").cast("string").alias("html"), url_host(F.col("url")).alias("host"))
+    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", F.col("html").cast("string").alias("html"), url_host(F.col("url")).alias("host"))
     rows = rows.withColumn("host", F.coalesce("host", F.lit("")))
     templates = materialize(site_templates(rows, t), "templates")
     schema = "page_id long, url string, text string, n_chars long"

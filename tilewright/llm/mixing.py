@@ -13,7 +13,7 @@ and only the rows of one bin of the second round are ranked. The table of source
 the shared folder and broadcast by Spark only below its threshold.
 
 Defined results: null texts have size 0; the null source is a source, last in order; a source without words has target
-0; documents without words take 0 words; rows equal in (doc_id, size) are taken or left together; an empty table gives
+0; documents without words are not taken; rows equal in (doc_id, size) are taken or left together; an empty table gives
 an empty result; extra columns pass by.
 """
 
@@ -120,7 +120,7 @@ def apply_mix(sized: DataFrame, plan: DataFrame, seed: str = "mix", odds: Column
     extra = (F.col("bin") < F.col("cut_bin")) | ((F.col("bin") == F.col("cut_bin")) & (own <= F.col("edge")))
     joined = sized.join(p, F.col("source").eqNullSafe(F.col("p_source")), "left")
     joined = joined.withColumn("rank", F.when(F.col("rate") > 0, rank)).withColumn("bin", _bin(F.col("rank")))
-    copies = F.col("whole") + F.coalesce(extra & (F.col("size") > 0), F.lit(False)).cast("long")
+    copies = F.when(F.col("size") > 0, F.col("whole") + F.coalesce(extra, F.lit(False)).cast("long")).otherwise(0)
     return joined.withColumn("copies", copies).drop("p_source", "whole", "rate", "cut_bin", "edge", "rank", "bin")
 
 

@@ -42,7 +42,7 @@ class Rules:
     max_repeat: int = 20
     window: int = 5
     reach: int = 4
-    slack: dict[str, int] = field(default_factory=lambda: {"symbols": 100, "dup_lines": 100, "repeats": 200, "word_size": 100})
+    slack: dict[str, int] = field(default_factory=lambda: {"symbols": 100, "dup_lines": 100, "repeats": 200, "word_size": 200})
 
 
 #: Feature -> numerator and scale over n_words; word_size is limited on both sides, the others above.
@@ -102,7 +102,7 @@ def base_failed(r: Rules) -> Column:
 def feature(name: str) -> Column:
     """A whole number; only texts with words have one."""
     over, scale = FEATURES[name]
-    return F.expr(f"({scale} * {over}) div n_words")
+    return F.expr(f"case when n_words > 0 then ({scale} * {over}) div n_words end")
 
 
 def bucket(value: Column) -> Column:

@@ -45,7 +45,7 @@ def _op1() -> str:
     ks as {strength("select s.*, t.n as pn, t.bad as pb from suffixes s, total t")},
     kd as {strength("select d.*, s.n as pn, s.bad as pb from domains d join suffixes s using (suffix)")},
     kh as {strength("select b.*, d.n as pn, d.bad as pb from based b join domains d using (domain)")},
-    rate_s as (select suffix, (s.bad + k * ((t.bad + 1) / (t.n + 2))) / (s.n + k) as r from suffixes s, total t, ks),
+    rate_s as (select suffix, (s.bad + k * ((t.bad + {p.max_bad_rate}) / (t.n + 1))) / (s.n + k) as r from suffixes s, total t, ks),
     rate_d as (select domain, (bad + k * r) / (n + k) as r from domains join rate_s using (suffix), kd),
     shrunk as (select host, bad + k * r as a, n - bad + k * (1 - r) as b from based join rate_d using (domain), kh),
     blocked as (select host, a / (a + b) - {p.z} * sqrt(a * b / ((a + b) * (a + b) * (a + b + 1))) > {p.max_bad_rate} as blocked from shrunk),

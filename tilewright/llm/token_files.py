@@ -125,7 +125,7 @@ def tokenize(docs: DataFrame, path: str, end_id: int | None = 0, squeeze: bool =
             packed = [octets[a:b] for a, b in zip(*spans(counts * kind.itemsize))]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), pa.array([pack(x) if squeeze else bytes(x) for x in packed], pa.binary())], ["doc_id", "n_tokens", "ids"])
 
-    return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, n_tokens long, ids binary")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, n_tokens long, ids binary")
 
 
 def id_type(vocabulary: int) -> np.dtype:

@@ -100,14 +100,14 @@ def host_reputation(hosts: DataFrame, p: Reputation = Reputation(), long_suffixe
     def under(children: DataFrame, parents: DataFrame, key: str) -> DataFrame:
         return children.join(parents.select(key, F.col("n").alias("parent_n"), F.col("bad").alias("parent_bad")), key)
 
-    of_suffix = _strength(suffixes.withColumns({"parent_n": F.lit(every.n), "parent_bad": F.lit(every.bad)}), p)
+    of_suffix = _strength(suffixes.withColumns({"parent_n": F.lit(every.n), "parent_bad": F.lit(every.bad)}), p) if every.n else p.strength[1]
     of_domain = _strength(under(domains, suffixes, "suffix"), p)
     of_host = _strength(under(base, domains, "domain"), p)
 
     def shrunk(strength: float, prior: Column | float) -> Column:
         return (F.col("bad") + strength * prior) / (F.col("n") + strength)
 
-    top = (every.bad + 1) / (every.n + 2)
+    top = (every.bad + p.max_bad_rate) / (every.n + 1)  # without labels nothing is beyond the limit
     suffix_rates = suffixes.select("suffix", shrunk(of_suffix, top).alias("suffix_rate"))
     domain_rates = domains.join(suffix_rates, "suffix").select("domain", shrunk(of_domain, F.col("suffix_rate")).alias("domain_rate"))
     a = F.col("bad") + of_host * F.col("domain_rate")

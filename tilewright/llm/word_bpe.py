@@ -472,4 +472,4 @@ def encode_decode(docs: DataFrame, path: str, size: int = LEXICON, digest: bool
 
     kinds = ("string", "string") if digest else ("binary", "string")
     schema = f"doc_id long, n_tokens long, {names[2]} {kinds[0]}, {names[3]} {kinds[1]}"
-    return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(run, schema)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, schema)
