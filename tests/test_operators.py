@@ -315,3 +315,18 @@ def test_params():
         Params(penetrance=101)
     assert Params.from_pairs({"length": "80", "gc-min": "20.5", "nonsense": "1"}) == Params(length=80, gc_min=20.5)
     assert Counter([Params().length])[75] == 1
+
+
+def test_packed_kmers_and_gc_runs(spark):
+    from tilewright.operators import kmers
+
+    rng = random.Random(4)
+    seqs = ["", "ACG", "ACGTNACGTTACG", "".join(rng.choice("ACGT") for _ in range(200))]
+    df = spark.createDataFrame([(i, s) for i, s in enumerate(seqs)] + [(9, None)], "id int, seq string")
+    value = lambda w: int("".join(str("ACGT".index(c)) for c in w), 4)
+    for canonical in (True, False):
+        want = {(i, p + 1, value(min(w, w.translate(FLIP)[::-1]) if canonical else w)) for i, s in enumerate(seqs) for p in range(len(s) - 3) if "N" not in (w := s[p : p + 4])}
+        assert {tuple(r) for r in kmers.packed_kmers(df, 4, canonical).collect()} == want
+    plain = df.where("id <> 2")
+    slow = intervals.collapse_runs(identify.gc_windows(plain, 20, 8, 12, 3), ["id"], length=20)
+    assert Counter((r.id, r.pos, r.len, r.n) for r in kmers.gc_runs(plain, 20, 8, 12, 3).collect()) == Counter((r.id, r.pos, r.len, r.n) for r in slow.collect())

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tilewright.functions import seq as S
+from tilewright.operators.kmers import packed_kmers
 
 
 def seed_hits(a: DataFrame, b: DataFrame, k: int) -> DataFrame:
@@ -17,9 +18,9 @@ def seed_hits(a: DataFrame, b: DataFrame, k: int) -> DataFrame:
 
     b is the query set; its reverse complement is searched too. Hits on a diagonal are added up before anything is verified.
     """
-    own = S.explode_windows(a.select("id", "seq"), k, window="kmer").select(F.col("id").alias("a_id"), F.col("pos").alias("a_pos"), S.pack2bit(F.col("kmer")).alias("kmer"))
+    own = packed_kmers(a.select(F.col("id").alias("a_id"), "seq"), k, canonical=False).withColumnRenamed("pos", "a_pos")
     both = b.select("id", F.explode(F.array(F.struct(F.lit("+").alias("strand"), F.col("seq").alias("seq")), F.struct(F.lit("-").alias("strand"), S.revcomp(F.col("seq")).alias("seq")))).alias("x")).select("id", "x.strand", "x.seq")
-    query = S.explode_windows(both, k, window="kmer").select(F.col("id").alias("b_id"), "strand", F.col("pos").alias("b_pos"), S.pack2bit(F.col("kmer")).alias("kmer"))
+    query = packed_kmers(both.withColumnRenamed("id", "b_id"), k, canonical=False).withColumnRenamed("pos", "b_pos")
     return own.join(query, "kmer").groupBy("a_id", "b_id", "strand", (F.col("a_pos") - F.col("b_pos")).alias("diagonal")).agg(F.count("*").alias("seeds"))
 
 

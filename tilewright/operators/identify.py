@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tilewright.functions import seq as S
 from tilewright.operators.intervals import merge_intervals, segment_offsets, subtract_intervals
+from tilewright.operators.kmers import packed_kmers
 
 #: Unified nearest-neighbour enthalpies (kcal/mol) and entropies (cal/mol/K) of DNA duplexes, SantaLucia 1998.
 NEIGHBOURS = {
@@ -41,8 +42,7 @@ def shared_kmer_positions(seqs: DataFrame, k: int) -> DataFrame:
 
     The first pass keeps the least and greatest node of each k-mer, as partial sums; only k-mers of several nodes are joined back.
     """
-    kmers = S.explode_windows(seqs.select("id", "node_id", "seq"), k, window="kmer").withColumn("kmer", S.canonical(F.col("kmer")))
-    packed = kmers.withColumn("kmer", S.pack2bit(F.col("kmer")) if k <= 31 else F.col("kmer"))
+    packed = packed_kmers(seqs.select("id", "node_id", "seq"), k)
     shared = packed.groupBy("kmer").agg(F.min("node_id").alias("_a"), F.max("node_id").alias("_b")).where("_a <> _b").select("kmer")
     return packed.join(shared, "kmer", "left_semi").select("id", "pos")
 

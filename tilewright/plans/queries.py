@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from tilewright.functions import cigar, seq as S
 from tilewright.operators import cluster, homology, identify, intervals, select, targets, tree
+from tilewright.operators.kmers import gc_runs, packed_kmers
 from tilewright.params import Params
 from tilewright.session import materialize, table
 
@@ -41,9 +42,7 @@ def seq_gc(spark, sf):
 
 
 def seq_kmers(spark, sf):
-    kmers = S.explode_windows(dna(spark, sf).select("id", "seq"), P.contiguity, window="kmer")
-    packed = kmers.groupBy(S.pack2bit(S.canonical(F.col("kmer"))).alias("kmer")).agg(F.count("*").alias("n"))
-    return packed.where("n > 1")
+    return packed_kmers(dna(spark, sf).select("seq"), P.contiguity).groupBy("kmer").agg(F.count("*").alias("n")).where("n > 1")
 
 
 def seq_pack2bit(spark, sf):
@@ -67,6 +66,11 @@ def windows_gc_filter(spark, sf):
 
 
 def collapse_runs(spark, sf):
+    return gc_runs(dna(spark, sf), P.length, *P.gc_bounds)
+
+
+def collapse_window_rows(spark, sf):
+    """The same regions from windows as rows: the general operator, which takes windows of any kind."""
     return intervals.collapse_runs(_gc_windows(spark, sf), ["id"], length=P.length)
 
 
@@ -264,8 +268,8 @@ def identity_reject(spark, sf):
 
 
 def semi_pruned_clusters(spark, sf):
-    hits = S.explode_windows(items(spark, sf), P.contiguity, window="kmer").select(S.pack2bit(F.col("kmer")).alias("kmer")).distinct()
-    own = S.explode_windows(dna(spark, sf).select("id", "seq"), P.contiguity, window="kmer").select("id", S.pack2bit(F.col("kmer")).alias("kmer"))
+    hits = packed_kmers(items(spark, sf).select("seq"), P.contiguity, canonical=False).select("kmer").distinct()
+    own = packed_kmers(dna(spark, sf).select("id", "seq"), P.contiguity, canonical=False).select("id", "kmer")
     return own.join(hits, "kmer", "left_semi").groupBy("id").agg(F.count("*").alias("kmers"))
 
 

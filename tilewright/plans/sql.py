@@ -106,6 +106,7 @@ def oracle_sql() -> dict[str, str]:
         "codon_translation": f"with {DNA} select id, array_to_string(list_transform(range(0, length(seq) // 3), lambda i: substr('{STANDARD_CODE}', (16 * (instr('TCAG', substr(seq, 3 * i + 1, 1)) - 1) + 4 * (instr('TCAG', substr(seq, 3 * i + 2, 1)) - 1) + instr('TCAG', substr(seq, 3 * i + 3, 1)))::int, 1)), '') as protein from dna",
         "windows_gc_filter": f"{win} select id, count(*) as windows, min(gc) as least, max(gc) as most from ok group by 1",
         "collapse_runs": f"{win}, {RUNS} select * from runs",
+        "collapse_window_rows": f"{win}, {RUNS} select * from runs",
         "melting_temp": f"with {DNA}, {TM} select id, count(*) as windows, round(min(tm), 6) as least, round(max(tm), 6) as most from tms group by 1",
         "tm_best_interval": f"""with {DNA}, {TM}, bins as (select distinct coalesce(org, '') as org, floor(tm * 100)::bigint as bin from tms), range_ as (select min(bin) - {round(P.tm_range * 100) - 1} as a, max(bin) as b from bins),
             cand as (select unnest(range(a, b + 1)) as low from range_), covered as (select low, count(distinct org) as nodes from cand join bins on bin >= low and bin < low + {round(P.tm_range * 100)} group by 1)
