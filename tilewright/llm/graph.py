@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tilewright.llm.common import ship
-from tilewright.session import materialize
+from tilewright.session import discard, materialize
 
 #: Links that a task joins up at once before the stars; bounds its memory.
 LOCAL = 200_000
@@ -51,7 +51,9 @@ def connected_components(links: DataFrame) -> DataFrame:
     """
     ship(links.sparkSession)
     e = links.where("u is not null and v is not null and u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
-    e = materialize(materialize(e, "links").mapInArrow(_local_stars, "u long, v long").distinct(), "stars")
+    first = materialize(e, "links")
+    e = materialize(first.mapInArrow(_local_stars, "u long, v long").distinct(), "stars")
+    discard(first)
 
     def mark(t: DataFrame) -> tuple:
         return tuple(t.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
@@ -61,9 +63,11 @@ def connected_components(links: DataFrame) -> DataFrame:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = materialize(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "least")
         large = materialize(both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "large")
-        least = materialize(large.groupBy("u").agg(F.min("v").alias("m")), "least")
-        small = large.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        e = materialize(small.unionByName(least.withColumnRenamed("m", "v")).distinct(), "stars")
+        nearest = materialize(large.groupBy("u").agg(F.min("v").alias("m")), "least")
+        small = large.join(nearest, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        old = (e, least, large, nearest)
+        e = materialize(small.unionByName(nearest.withColumnRenamed("m", "v")).distinct(), "stars")
+        discard(*old)
         now = mark(e)
         if now == was:
             break

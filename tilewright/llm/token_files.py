@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from tilewright.llm.byte_bpe import encoder
 from tilewright.llm.common import groups, ship, spans
-from tilewright.session import materialize, scratch
+from tilewright.session import discard, materialize, scratch
 
 MAGIC = b"TWF1"
 HEAD = struct.Struct("<4sIQQ")
@@ -188,6 +188,7 @@ def write_token_files(docs: DataFrame, path: str, end_id: int | None = 0) -> Tok
     out = scratch(spark, "token-files")
     ordered = tokens.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "n_tokens", "ids")
     ordered.mapInArrow(blocks, "part int, block long, n_docs long, n_ids long, bytes binary").write.option("compression", "zstd").parquet(out)
+    discard(tokens)
     return TokenFiles(out, by_rank)
 
 
