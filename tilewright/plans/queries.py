@@ -101,7 +101,8 @@ def pos_to_segment(spark, sf):
     segs = materialize(intervals.segment_offsets(dna(spark, sf), ["org"], ["id"], F.length("seq")).select("org", F.col("id").alias("segment"), "start", F.length("seq").alias("len")), "segments")
     ends = segs.groupBy("org").agg(F.max(F.col("start") + F.col("len")).alias("total"))
     points = ends.select("org", F.explode(F.sequence(F.lit(0).cast("long"), F.col("total") - 1, F.lit(1000).cast("long"))).alias("pos"))
-    return intervals.locate(points, segs, ["org"])
+    found = intervals.locate(points, segs, ["org"])
+    return found.select("org", "pos", *(F.coalesce(c, F.lit(-1)).cast("long").alias(c) for c in ("segment", "local")))
 
 
 def middle_windows(spark, sf):

@@ -116,7 +116,7 @@ def oracle_sql() -> dict[str, str]:
         "segment_offsets": f"with {DNA} select org, id, (row_number() over (partition by org order by id))::int as ord, coalesce(sum(length(seq) + 1) over (partition by org order by id rows between unbounded preceding and 1 preceding), 0)::bigint as start from dna",
         "pos_to_segment": f"""with {DNA}, segs as (select org, id, length(seq) as len, coalesce(sum(length(seq) + 1) over (partition by org order by id rows between unbounded preceding and 1 preceding), 0)::bigint as start from dna),
             points as (select org, unnest(range(0, total, 1000)) as pos from (select org, max(start + len)::bigint as total from segs group by 1))
-            select p.org, p.pos, case when p.pos - start < len then id end as segment, case when p.pos - start < len then p.pos - start end as local from points p asof join segs s on p.org = s.org and p.pos >= s.start""",
+            select p.org, p.pos, case when p.pos - start < len then id else -1 end as segment, case when p.pos - start < len then p.pos - start else -1 end as local from points p asof join segs s on p.org = s.org and p.pos >= s.start""",
         "middle_windows": f"with {DNA}, {UNIQUE} select node_id, id, floor((s + e - 1) / 2)::int as pos from (select *, row_number() over (partition by node_id order by e - s desc, id, s) as k from uniq) where k <= 25",
         "interval_merge": f"with {SPANS}, {merged('user_id')} select * from merged",
         "region_overlap_merge": f"with {SPANS}, {merged('user_id, event_type')} select * from merged",
