@@ -161,21 +161,34 @@ def upgma_clusters(distances: DataFrame, cut: float) -> DataFrame:
     return distances.groupBy("family").applyInPandas(label, "family string, uid string, part int")
 
 
+def _single_and_several(aligned: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
+    """Rows that are alone with their keys, which need no vote, and the others."""
+    counted = aligned.withColumn("_n", F.count("*").over(W.partitionBy(*keys)))
+    return counted.where("_n = 1").drop("_n"), counted.where("_n > 1").drop("_n")
+
+
+def _joined(best: DataFrame, keys: list[str], name: str) -> DataFrame:
+    return best.groupBy(*keys).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "base"))), lambda x: x["base"]), "").alias(name))
+
+
 def consensus(aligned: DataFrame, keys: list[str]) -> DataFrame:
     """aligned(keys, aligned) -> keys, seq: each column's most frequent base, of equals the least letter; columns without a base drop out."""
-    columns = aligned.select(*keys, F.posexplode(F.split("aligned", "")).alias("at", "base")).where(F.col("base").isin(*S.BASES))
+    single, several = _single_and_several(aligned, keys)
+    columns = several.select(*keys, F.posexplode(F.split("aligned", "")).alias("at", "base")).where(F.col("base").isin(*S.BASES))
     votes = columns.groupBy(*keys, "at", "base").agg(F.count("*").alias("n"))
     best = votes.groupBy(*keys, "at").agg(F.max_by("base", F.struct("n", -F.ascii("base"))).alias("base"))
-    return best.groupBy(*keys).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "base"))), lambda x: x["base"]), "").alias("seq"))
+    alone = single.select(*keys, F.regexp_replace("aligned", "[^ACGT]", "").alias("seq")).where("seq <> ''")
+    return _joined(best, keys, "seq").unionByName(alone)
 
 
 def aligned_consensus(aligned: DataFrame, keys: list[str]) -> DataFrame:
     """The same with a gap for columns in which no row of the key has a base, so it lines up with the rows."""
-    columns = aligned.select(*keys, F.posexplode(F.filter(F.split("aligned", ""), lambda c: c != "")).alias("at", "base"))
+    single, several = _single_and_several(aligned, keys)
+    columns = several.select(*keys, F.posexplode(F.filter(F.split("aligned", ""), lambda c: c != "")).alias("at", "base"))
     votes = columns.groupBy(*keys, "at", "base").agg(F.count("*").alias("n"))
     rank = F.struct(F.col("base").isin(*S.BASES).alias("real"), F.col("n"), (-F.ascii("base")).alias("low"))
     best = votes.groupBy(*keys, "at").agg(F.max_by(F.when(F.col("base").isin(*S.BASES), F.col("base")).otherwise(GAP), rank).alias("base"))
-    return best.groupBy(*keys).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("at", "base"))), lambda x: x["base"]), "").alias("reference"))
+    return _joined(best, keys, "reference").unionByName(single.select(*keys, F.regexp_replace("aligned", "[^ACGT]", GAP).alias("reference")))
 
 
 def cluster_genes(genes: DataFrame, divergence: float = 0.15, by_protein: bool = True) -> tuple[DataFrame, DataFrame]:

@@ -68,12 +68,12 @@ def packed_kmers(df: DataFrame, k: int, canonical: bool = True, seq: str = "seq"
     return df.select(seq, *keep).mapInArrow(run, schema)
 
 
-def gc_runs(seqs: DataFrame, length: int, low: int, high: int, first: int = 1) -> DataFrame:
-    """seqs(id, seq of ACGT) -> id, pos, len, n: runs of consecutive windows with low <= G and C < high, found in place."""
+def gc_runs(seqs: DataFrame, length: int, low: int, high: int, first: int = 1, with_seq: bool = False) -> DataFrame:
+    """seqs(id, seq of ACGT) -> id, pos, len, n: runs of consecutive windows with low <= G and C < high, found in place; with_seq adds the bases of each."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            own, pos, n = [], [], []
+            own, pos, n, cut = [], [], [], []
             for i, text in enumerate(batch.column(1).to_pylist()):
                 base = codes(text or "")
                 total = np.concatenate(([0], np.cumsum((base == 1) | (base == 2))))
@@ -84,7 +84,11 @@ def gc_runs(seqs: DataFrame, length: int, low: int, high: int, first: int = 1) -
                 own += [i] * (len(edges) // 2)
                 pos += (edges[::2] + 1).tolist()
                 n += (edges[1::2] - edges[::2]).tolist()
+                if with_seq:
+                    cut += [text[a : b + length - 1] for a, b in zip(edges[::2].tolist(), edges[1::2].tolist())]
             lengths = np.array(n, dtype=np.int64) + (length - 1)
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(own, pa.int64())), pa.array(pos, pa.int32()), pa.array(lengths, pa.int32()), pa.array(n, pa.int64())], ["id", "pos", "len", "n"])
+            out = [batch.column(0).take(pa.array(own, pa.int64())), pa.array(pos, pa.int32()), pa.array(lengths, pa.int32()), pa.array(n, pa.int64()), *([pa.array(cut, pa.string())] if with_seq else [])]
+            yield pa.RecordBatch.from_arrays(out, names)
 
-    return seqs.select("id", "seq").mapInArrow(run, f"id {seqs.schema['id'].dataType.simpleString()}, pos int, len int, n long")
+    names = ["id", "pos", "len", "n", *(["seq"] if with_seq else [])]
+    return seqs.select("id", "seq").mapInArrow(run, f"id {seqs.schema['id'].dataType.simpleString()}, pos int, len int, n long" + ", seq string" * with_seq)

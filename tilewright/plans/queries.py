@@ -296,8 +296,9 @@ def self_dimers(spark, sf):
 
 def _regions(spark, sf):
     """Runs of windows within the GC limits, with the source as organism; a stretch that several sources have is one region of them all."""
-    runs = collapse_runs(spark, sf).join(dna(spark, sf).select("id", "node_id", "org", "seq"), "id")
-    rows = runs.select("id", "node_id", "org", "pos", F.col("len").cast("int").alias("len"), F.substring(F.col("seq"), F.col("pos"), F.col("len")).alias("seq"))
+    rows = dna(spark, sf)
+    runs = gc_runs(rows, P.length, *P.gc_bounds, with_seq=True)
+    rows = runs.join(rows.select("id", "node_id", "org"), "id").select("id", "node_id", "org", "pos", "len", "seq")
     return materialize(rows.withColumn("region_id", F.md5("seq")), "regions")
 
 
