@@ -20,7 +20,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Words a worker remembers; bounds its memory, not the result.
-CACHE = 250_000
+CACHE = 320_000
 #: Neither letters, digits nor white space.
 TAIL = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
