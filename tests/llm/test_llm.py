@@ -227,6 +227,67 @@ def test_near_copies_go(spark, odd):
     assert simhash.drop_near_duplicates(odd.where("false")).count() == 0
 
 
+def shingles(text, n=5):
+    words = [w.lower() for w in WORD.findall(text)]
+    return {tuple(words[i : i + n]) for i in range(max(1, len(words) - n + 1))} if words else set()
+
+
+def slow_similar(texts, least=0.8):
+    """Least index of each text's component over all pairs of the asked Jaccard similarity."""
+    sets, root = [shingles(t) for t in texts], list(range(len(texts)))
+    for j in range(len(texts)):
+        for i in range(j):
+            both = len(sets[i] & sets[j])
+            if root[i] != root[j] and both and both >= least * (len(sets[i]) + len(sets[j]) - both) - 1e-9:
+                old, new = max(root[i], root[j]), min(root[i], root[j])
+                root = [new if x == old else x for x in root]
+    return root
+
+
+def edited(rng, words, edits):
+    """A copy with so many words replaced, far enough apart that each takes five shingles."""
+    out = list(words)
+    for at in rng.sample(range(len(words) // 11), edits):
+        out[at * 11 + 5] = f"new{rng.getrandbits(40)}"
+    return out
+
+
+def test_near_copies_equal_all_pairs(spark):
+    """Isolated pairs of similarity 0.75 to 0.9, texts with repeats, and a chain, against all pairs of sets."""
+    rng = random.Random(8)
+    texts = []
+    for k in range(160):
+        words = [f"w{rng.getrandbits(30)}" for _ in range(304)]
+        texts += [words, edited(rng, words, 3 + k % 6)]  # 300 shingles, 5 changed by each edit
+    repeated = [f"w{rng.getrandbits(30)}" for _ in range(60)]
+    texts += [repeated, repeated + repeated[-7:] * 40, repeated[:20]]
+    chain = [f"w{rng.getrandbits(30)}" for _ in range(304)]
+    for _ in range(6):
+        texts.append(chain)
+        chain = edited(rng, chain, 6)
+    texts = [" ".join(t) for t in texts]
+    want = {i for i, root in enumerate(slow_similar(texts)) if root == i}
+    left = simhash.drop_near_duplicates(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    assert {r.doc_id for r in left.collect()} == want and len(want) < len(texts) - 100
+
+
+@pytest.mark.parametrize("block", [8, 64])
+def test_exact_links_in_large_groups(spark, block):
+    """A candidate group of several pieces: near copies of two texts, what links to few of them, and what links to none."""
+    rng = random.Random(9)
+    base = [[f"w{rng.getrandbits(30)}" for _ in range(304)] for _ in range(2)]
+    texts = [edited(rng, b, n) for b in base for n in (0, 2, 3, 3, 4, 6, 6, 6, 7) for _ in range(8)] + [edited(rng, base[0], 20) for _ in range(6)]
+    texts += [edited(rng, texts[-1], 5)]
+    texts = [" ".join(t) for t in texts]
+    df = spark.createDataFrame([(i, 7, t) for i, t in enumerate(texts)], "id long, root long, text string")
+    links = [(r.u, r.v) for r in simhash.exact_links(df, 5, 0.8, block).collect()]
+    root = list(range(len(texts)))
+    for u, v in links:
+        old, new = max(root[u], root[v]), min(root[u], root[v])
+        root = [new if x == old else x for x in root]
+    assert root == slow_similar(texts)
+
+
 # ---------------------------------------------------------------- op4
 
 

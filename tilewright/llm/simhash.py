@@ -6,7 +6,9 @@ shared bytes and keeps pairs that reach this guaranteed minimum, then counts bit
 hold a 256th of all rows each, so a posting is three positions together: 20 of the 56 triples are enough for every
 set of 4 positions to hold one (Turan's system for 8 positions).
 
-With several bands (drop_near_duplicates) a value of a band stands for the least of its nodes.
+With several bands (drop_near_duplicates) the index only finds candidates: nodes that share a posting of any band, while
+all bands together differ in at most a limit of bits. Candidates are joined up, and within each such group the pairs whose sets of
+shingles have the asked Jaccard similarity are found exactly (exact_links).
 
 Equal fingerprints are one row from the start. Postings are dealt out and sorted once and read as a stream. Lists of up to
 ``LIST`` fingerprints are searched in place and give a spanning forest of links, not all pairs. Rows of longer
@@ -21,7 +23,8 @@ extra columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
@@ -38,10 +41,17 @@ from tilewright.session import materialize
 BITS = 4
 LIST = 4096
 SEED = 42
+#: Members of a candidate group that are compared in one piece.
+BLOCK = 64
+#: Shingles that a piece's members are compared on at once.
+COLUMNS = 1 << 14
 #: Band values whose postings one task makes.
 SPREAD = 40_000
+#: Bands whose postings are dealt out at once, and postings that a task then sorts; they bound disk and memory.
+PASS = 8
+SORTED = 1 << 19
 #: Shingles hashed at once; bounds the memory for long texts.
-LOT = 1 << 15
+LOT = 1 << 13
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 
 
@@ -53,11 +63,11 @@ def covering_triples() -> list[tuple[int, int, int]]:
     return sorted(tuple(sorted(t)) for t in within + across)
 
 
-def fingerprint(text: bytes, shingle: int = 4, bands: int = 1) -> np.ndarray:
-    """64-bit bands: a bit is 1 if set in more than half of the hashes of all shingles, repeats included. Further bands remix the same hashes."""
+def _lots(text: bytes, shingle: int) -> Iterator[np.ndarray]:
+    """Hashes of all shingles in order, in bounded lots."""
     words = text.translate(LOWER).split()
     if not words:
-        return np.zeros(bands, dtype=np.uint64)
+        return
     joined, digest = b" ".join(words), xxhash.xxh64_intdigest
     ends = np.cumsum(np.fromiter(map(len, words), dtype=np.int64, count=len(words)) + 1) - 1
     starts = np.concatenate(([0], ends[:-1] + 1))
@@ -65,11 +75,27 @@ def fingerprint(text: bytes, shingle: int = 4, bands: int = 1) -> np.ndarray:
         starts, ends = starts[: len(words) - shingle + 1], ends[shingle - 1 :]
     else:
         starts, ends = starts[:1], ends[-1:]
-    votes = np.zeros(bands * 64, dtype=np.int64)
     for at in range(0, len(starts), LOT):
-        some = [digest(joined[i:j], SEED) for i, j in zip(starts[at : at + LOT].tolist(), ends[at : at + LOT].tolist())]
-        votes += _votes(np.array(some, dtype="<u8"), bands)
-    return np.packbits(votes * 2 > len(starts), bitorder="little").view("<u8")
+        yield np.array([digest(joined[i:j], SEED) for i, j in zip(starts[at : at + LOT].tolist(), ends[at : at + LOT].tolist())], dtype="<u8")
+
+
+def shingle_set(text: bytes, shingle: int) -> np.ndarray:
+    """Sorted distinct hashes of a text's shingles."""
+    return np.unique(np.concatenate([np.zeros(0, dtype="<u8"), *_lots(text, shingle)]))
+
+
+def fingerprint(text: bytes, shingle: int = 4, bands: int = 1, distinct: bool = False) -> np.ndarray:
+    """64-bit bands: a bit is 1 if set in more than half of the hashes of all shingles, repeats included unless distinct. Further bands remix the same hashes."""
+    votes, n = np.zeros(bands * 64, dtype=np.int64), 0
+    if distinct:
+        every = shingle_set(text, shingle)
+        lots = (every[at : at + LOT] for at in range(0, len(every), LOT))
+    else:
+        lots = _lots(text, shingle)
+    for some in lots:
+        votes += _votes(some, bands)
+        n += len(some)
+    return np.packbits(votes * 2 > n, bitorder="little").view("<u8")
 
 
 def _votes(hashes: np.ndarray, bands: int) -> np.ndarray:
@@ -88,13 +114,13 @@ def _votes(hashes: np.ndarray, bands: int) -> np.ndarray:
     return total
 
 
-def fingerprints(docs: DataFrame, shingle: int = 4, bands: int = 1, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+def fingerprints(docs: DataFrame, shingle: int = 4, bands: int = 1, keep: tuple[str, ...] = ("doc_id",), distinct: bool = False) -> DataFrame:
     """documents(text and the longs ``keep``) -> keep, bands array<long>, a row per row."""
     ship(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in groups(batches, "text"):
-            prints = [fingerprint(text, shingle, bands) for text in as_bytes(batch.column(0))]
+            prints = [fingerprint(text, shingle, bands, distinct) for text in as_bytes(batch.column(0))]
             flat = pa.array(np.concatenate(prints).view("<i8"), pa.int64())
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.ListArray.from_arrays(pa.array(np.arange(len(prints) + 1) * bands, pa.int32()), flat)], [*keep, "bands"])
 
@@ -123,10 +149,9 @@ def _search_lists(bits: int, limit: int | None):
             us, vs = [], []
 
             def near(i: np.ndarray, j: np.ndarray) -> np.ndarray:
-                found = _near(values[i], values[j], bits)
-                if whole is not None:
-                    found &= np.bitwise_count(whole[i] ^ whole[j]).sum(axis=-1) <= limit
-                return found
+                if whole is None:
+                    return _near(values[i], values[j], bits)
+                return np.bitwise_count(whole[i] ^ whole[j]).sum(axis=-1) <= limit
 
             for n in range(2, 9):  # short lists of one size together
                 at = offsets[:-1][sizes == n]
@@ -197,72 +222,176 @@ def _shared_postings(longest: int):
 
 
 def near_links(entries: DataFrame, nodes: DataFrame, bits: int = BITS, longest: int = LIST, limit: int | None = None) -> DataFrame:
-    """entries(band, value, id), a row per (band, value), nodes(id, bands) -> links (u, v) that join up all ids whose values in a band differ in at most ``bits`` (4 or 2).
+    """entries(band, value, id), nodes(id, bands) -> links (u, v) that join up all ids whose values in a band differ in at most ``bits`` (4 or 2).
 
-    limit: most bits that all bands together may differ in. A node has 20 postings for each band, so the longest posting is a small
-    part of the rows that are dealt out.
+    limit: instead, links join up all ids that share a posting and whose bands together differ in at most so many bits; those of a posting of more than
+    ``longest`` are all joined up, whatever they differ in. A node has 20 postings for each band, so the longest posting is a small part of
+    the rows that are dealt out.
     """
     ship(entries.sparkSession)
     triples = covering_triples()
     at = lambda p: F.shiftrightunsigned("value", 8 * p).bitwiseAND(F.lit(255))
     key = lambda i, t: F.lit(i).cast("long") * (1 << 24) + at(t[0]) * 65_536 + at(t[1]) * 256 + at(t[2])
     keys = F.array(*(F.col("band").cast("long") * (len(triples) << 24) + key(i, t) for i, t in enumerate(triples)))
-    few = entries.repartition(-(-max(1, entries.count()) // SPREAD))  # each row becomes 20: tasks stay small
-    index = few.select(F.explode(keys).alias("posting"), F.col("id").alias("node")).repartition("posting").sortWithinPartitions("posting")
+    n = max(1, entries.count())
+    few = entries.repartition(-(-n // SPREAD))  # each row becomes 20: tasks stay small
+    dealt = few.select(F.explode(keys).alias("posting"), F.col("id").alias("node"))
+    index = (dealt.repartition("posting") if limit is None else dealt.repartition(-(-n * len(triples) // SORTED), "posting")).sortWithinPartitions("posting")
     listed = materialize(index.mapInArrow(_shared_postings(longest), "posting long, node long, long boolean"), "listed")  # few: most postings stand alone
     value = F.col("bands")[F.floor(F.col("posting") / (len(triples) << 24)).cast("int")]
     own = ["value", "node"] if limit is None else ["value", "node", "bands"]
-    listed = listed.join(nodes.select(F.col("id").alias("node"), "bands"), "node").withColumn("value", value)
-    short = listed.where("not long").groupBy("posting").agg(F.collect_list(F.struct(*own)).alias("rows"))
+    found = listed if limit is None else listed.where("not long")
+    found = found.join(nodes.select(F.col("id").alias("node"), "bands"), "node").withColumn("value", value)
+    short = found.where("not long").groupBy("posting").agg(F.collect_list(F.struct(*own)).alias("rows"))
     links = short.select("rows").mapInArrow(_search_lists(bits, limit), "u long, v long")
     if listed.where("long").isEmpty():
         return links
+    if limit is not None:
+        heads = materialize(listed.where("long").groupBy("posting").agg(F.min("node").alias("u")), "heads")
+        return links.unionByName(listed.where("long").join(heads, "posting").where("u <> node").select("u", F.col("node").alias("v")).distinct())
     band = F.floor(F.col("posting") / (len(triples) << 24)).cast("int").alias("band")
-    long_ = materialize(listed.where("long").select(band, *own).distinct(), "long-lists")
+    long_ = materialize(found.where("long").select(band, *own).distinct(), "long-lists")
     met = long_.select("band", "value", "node").mapInArrow(_neighbours(bits), "band int, centre long, node long")
-    if limit is None:
-        nodes = met.groupBy("band", "centre").agg(F.sort_array(F.collect_set("node")).alias("nodes")).where(F.size("nodes") > 1)
-        pairs = F.arrays_zip(F.slice("nodes", 1, F.size("nodes") - 1).alias("u"), F.slice("nodes", 2, F.size("nodes") - 1).alias("v"))
-        return links.unionByName(nodes.select(F.explode(pairs).alias("p")).select("p.u", "p.v").distinct())
-    rows = met.join(long_, ["band", "node"]).groupBy("band", "centre").agg(F.collect_list(F.struct(*own)).alias("rows")).where(F.size("rows") > 1)
-    return links.unionByName(rows.select("rows").mapInArrow(_search_lists(bits, limit), "u long, v long").distinct())
+    nodes = met.groupBy("band", "centre").agg(F.sort_array(F.collect_set("node")).alias("nodes")).where(F.size("nodes") > 1)
+    pairs = F.arrays_zip(F.slice("nodes", 1, F.size("nodes") - 1).alias("u"), F.slice("nodes", 2, F.size("nodes") - 1).alias("v"))
+    return links.unionByName(nodes.select(F.explode(pairs).alias("p")).select("p.u", "p.v").distinct())
+
+
+def _similar(least: float):
+    """Pieces of (id, hashes) -> links that join up the members of a piece whose sets have a Jaccard similarity of ``least`` or more."""
+
+    def shared(sets: list[np.ndarray]) -> np.ndarray:
+        out = np.zeros((len(sets), len(sets)))
+        owner = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+        _, column, times = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+        several = times > 1
+        pick = several[column]
+        owner, column = owner[pick], (np.cumsum(several) - 1)[column[pick]]
+        order = np.argsort(column, kind="stable")
+        owner, column = owner[order], column[order]
+        for at in range(0, int(several.sum()), COLUMNS):
+            i, j = np.searchsorted(column, (at, at + COLUMNS))
+            has = np.zeros((len(sets), COLUMNS), dtype=np.float32)
+            has[owner[i:j], column[i:j] - at] = 1
+            out += has @ has.T
+        return out
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            us, vs = [], []
+            for k in range(batch.num_rows):
+                rows = batch.column(0)[k].values
+                piece = dict(zip(rows.field("id").to_pylist(), (np.frombuffer(x, dtype="<u8") for x in rows.field("hashes").to_pylist())))
+                ids, sets = list(piece), list(piece.values())
+                sizes = np.array([len(x) for x in sets])
+                both = shared(sets)
+                root = list(range(len(ids)))
+                for i, j in np.argwhere(np.triu((both > 0) & (both >= least * (sizes[:, None] + sizes - both) - 1e-9), 1)).tolist():
+                    while root[i] != i:
+                        i = root[i]
+                    while root[j] != j:
+                        j = root[j]
+                    if i != j:
+                        root[max(i, j)] = min(i, j)
+                        us.append(ids[i])
+                        vs.append(ids[j])
+            yield pa.RecordBatch.from_arrays([pa.array(us, pa.int64()), pa.array(vs, pa.int64())], ["u", "v"])
+
+    return run
+
 
+def exact_links(members: DataFrame, shingle: int, least: float, block: int = BLOCK) -> DataFrame:
+    """members(id, root, text): nodes by candidate group -> links (u, v) that join up the nodes of a group with a Jaccard similarity of ``least`` or more.
 
-def components(prints: DataFrame, bits: int = BITS, longest: int = LIST, limit: int | None = None) -> DataFrame:
-    """prints(doc_id, bands, ...) -> + root (names the component) and component_id: the least doc_id reachable over links, its own included."""
+    All pairs of a group count. Groups of more than ``block`` are cut into pieces, each with the same two members of the group besides; what these leave apart
+    is then compared with all pieces, unless it belongs to what has most members. So a large group of near copies costs its rows and not its pairs.
+    """
+    ship(members.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in groups(batches, "text"):
+            found = [shingle_set(text, shingle).tobytes() for text in as_bytes(batch.column(2))]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(found, pa.binary())], ["id", "root", "hashes"])
+
+    sets = materialize(members.select("id", "root", "text").mapInArrow(run, "id long, root long, hashes binary"), "sets")
+    sizes = sets.groupBy("root").agg(F.count("*").alias("n"), F.min("id").alias("first"), F.max("id").alias("last")).where(F.col("n") > block)
+    large = materialize(sizes.withColumn("blocks", F.ceil(F.col("n") / block).cast("int")), "large-groups")
+
+    def links(rows: DataFrame, *keys: str) -> DataFrame:
+        pieces = rows.groupBy("root", *keys).agg(F.collect_list(F.struct("id", "hashes")).alias("rows")).where(F.size("rows") > 1)
+        return pieces.select("rows").mapInArrow(_similar(least), "u long, v long")
+
+    rows = sets.join(large.select("root", "n", "blocks"), "root", "left").withColumn("piece", F.pmod(F.xxhash64("id"), F.coalesce("blocks", F.lit(1))).cast("int"))
+    if large.isEmpty():
+        return links(rows, "piece")
+    upto = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    two = large.select("root", "blocks", F.explode(F.array("first", "last")).alias("id")).join(sets.select("id", "hashes"), "id")
+    first = materialize(links(rows.select("root", "piece", "id", "hashes").unionByName(two.select("root", upto("blocks").alias("piece"), "id", "hashes")), "piece"), "similar")
+    joined = connected_components(first).select(F.col("node").alias("id"), F.col("root").alias("part"))
+    parted = materialize(rows.where("n is not null").join(joined, "id", "left").withColumn("part", F.coalesce("part", "id")), "parted")
+    parts = parted.groupBy("root", "part").agg(F.count("*").alias("m"), F.first("n").alias("n"))
+    most = parts.groupBy("root").agg(F.max(F.struct("m", "part")).alias("most"), F.first("n").alias("n")).where("most.m < n")
+    most = materialize(most.select("root", F.col("most.part").alias("main"), F.ceil((F.col("n") - F.col("most.m")) / block).cast("int").alias("rest")), "most")
+    apart = parted.join(most, "root")
+    ones = apart.where("part <> main").withColumn("other", F.pmod(F.xxhash64("id", F.lit(1)), F.col("rest")).cast("int")).select("root", "other", upto("blocks").alias("piece"), "id", "hashes")
+    every = apart.select("root", upto("rest").alias("other"), "piece", "id", "hashes")
+    return first.unionByName(links(ones.unionByName(every), "other", "piece"))
+
+
+def components(prints: DataFrame, bits: int = BITS, longest: int = LIST, limit: int | None = None, verify: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
+    """prints(doc_id, bands, ...) -> + root (names the component) and component_id: the least doc_id reachable over links, its own included.
+
+    verify: makes links (u, v) of members(id, root, key), the nodes of each component with the key of one of its rows; these links count then.
+    """
     single = prints.select(F.max(F.size("bands"))).first()[0] in (None, 1)
     columns = prints.columns
     prints = prints.withColumn("node", F.col("bands")[0] if single else F.xxhash64("bands"))
-    groups_ = prints.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands"))
+    groups_ = prints.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands"), *([F.min("key").alias("key")] if verify else []))
     nodes = materialize(groups_.withColumn("id", F.col("node") if single else F.monotonically_increasing_id()), "nodes")  # written once: ids stay
     if single:
-        entries, equal = nodes.select(F.lit(0).alias("band"), F.col("node").alias("value"), "id"), None
+        links = near_links(nodes.select(F.lit(0).alias("band"), F.col("node").alias("value"), "id"), nodes, bits, longest)
     else:
-        every = nodes.select("id", F.posexplode("bands").alias("band", "value"))
-        entries = materialize(every.groupBy("band", "value").agg(F.min("id").alias("id")), "entries")
-        equal = every.join(entries.withColumnRenamed("id", "u"), ["band", "value"]).where("id <> u").select("u", F.col("id").alias("v"))
-    links = near_links(entries, nodes, bits, longest, None if single else limit)
-    roots = materialize(connected_components(links if equal is None else links.unionByName(equal)).withColumnRenamed("node", "id"), "roots")
+        entries = nodes.select("id", F.posexplode("bands").alias("band", "value"))
+        most = nodes.select(F.max(F.size("bands"))).first()[0]
+        lots = [entries.where((F.col("band") >= i) & (F.col("band") < i + PASS)) for i in range(0, most, PASS)]
+        links = reduce(DataFrame.unionByName, [materialize(near_links(lot, nodes, bits, longest, limit), "links") for lot in lots])
+    if verify:
+        near = materialize(connected_components(links).withColumnRenamed("node", "id"), "candidates")
+        links = verify(near.join(nodes.select("id", "key"), "id"))
+    roots = materialize(connected_components(links).withColumnRenamed("node", "id"), "roots")
     least = materialize(roots.join(nodes.select("id", "doc_id"), "id").groupBy("root").agg(F.min("doc_id").alias("component_id")), "least")
     linked = roots.join(least, "root").select("id", "root", "component_id")
     labels = nodes.select("id", "node", "doc_id").join(linked, "id", "left").select("node", F.coalesce("root", "id").alias("root"), F.coalesce("component_id", "doc_id").alias("component_id"))
     return prints.join(materialize(labels, "labels"), "node").select(*columns, "root", "component_id")
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 4, bands: int = 1, bits: int = BITS, longest: int = LIST, limit: int | None = None, keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """documents(doc_id, text) -> keep, bands, root, component_id, a row per row."""
-    return components(materialize(fingerprints(docs, shingle, bands, keep), "fingerprints"), bits, longest, limit)
+def near_duplicates(docs: DataFrame, shingle: int = 4, longest: int = LIST) -> DataFrame:
+    """documents(doc_id, text) -> doc_id, bands, root, component_id, a row per row."""
+    return components(materialize(fingerprints(docs, shingle), "fingerprints"), longest=longest)
+
+
+def similar_documents(keyed: DataFrame, shingle: int = 5, least: float = 0.8, bands: int = 24, share: float = 0.22, longest: int = LIST) -> DataFrame:
+    """documents(doc_id, text, key), key the same for equal rows only -> doc_id, key, bands, root, component_id, a row per row.
+
+    Links are the pairs of word shingle sets with a Jaccard similarity of ``least`` or more. Sets of similarity 0.8 differ in 15% of the bits; those
+    within ``share`` that agree in one of the index's triples of bytes are candidates.
+    """
+
+    def verify(members: DataFrame) -> DataFrame:
+        texts = keyed.select("key", F.col("text").cast("string").alias("text")).join(members, "key")
+        return exact_links(texts.groupBy("id", "root").agg(F.first("text").alias("text")), shingle, least)
+
+    prints = materialize(fingerprints(keyed, shingle, bands, ("doc_id", "key"), distinct=True), "fingerprints")
+    return components(prints, longest=longest, limit=int(share * 64 * bands), verify=verify)
 
 
-def drop_near_duplicates(docs: DataFrame, shingle: int = 5, bands: int = 16, share: float = 0.14) -> DataFrame:
+def drop_near_duplicates(docs: DataFrame, shingle: int = 5, least: float = 0.8) -> DataFrame:
     """The rows of documents but for near copies: of each group the one with the least doc_id (nulls last) stays.
 
-    Meant for word shingles with a similarity of 0.8 or more. Bands, each a fingerprint of its own, are linked if equal, or if at most
-    4 bits apart while all bands together differ in at most ``share`` of their bits; such documents of similarity
-    0.9 are found nearly always, of 0.8 about every other time, and hardly any below 0.7.
+    Groups are joined up by pairs whose sets of word shingles have a Jaccard similarity of ``least`` or more, each verified on the sets.
     """
     keyed = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("doc_id", "text").alias("key"))
-    found = near_duplicates(keyed, shingle, bands, limit=int(share * 64 * bands), keep=("doc_id", "key"))
+    found = similar_documents(keyed, shingle, least)
     best = F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("key").alias("key")))["key"]
     stay = materialize(found.groupBy("root").agg(best.alias("key")).select("key"), "stay")
     kept = keyed.join(stay, "key", "left_semi")
