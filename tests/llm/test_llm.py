@@ -472,6 +472,17 @@ def test_templates_go(spark, limit):
     assert html_main.main_text(df.where("false")).count() == 0
 
 
+def test_templates_of_a_section_go(spark):
+    """An unmarked advert on a fiftieth of a large host's pages is cut; an article that six pages of the host copy stays."""
+    page = lambda i, x: f"<body><div>{x}</div><div>Own text number {i} of this host, with words of its own</div></body>"
+    rows = [(i, f"http://large.com/{i}", page(i, "Buy now" if i % 50 == 0 else f"Seen {i}")) for i in range(400)]
+    rows += [(1000 + i, f"http://large.com/copy/{i}", page("c", f"Seen {i} times")) for i in range(6)]
+    rows += [(2000 + i, f"http://large.com/same/{i}", page("s", "Short note")) for i in range(6)]
+    got = {r.page_id: r.text for r in html_main.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert len(got) == len(rows) and not any("Buy now" in x for x in got.values())
+    assert all("Own text number" in x for x in got.values()) and all("Short note" in got[2000 + i] for i in range(6))
+
+
 def test_pages_hold_their_documents(spark, sf):
     texts = {r.doc_id: r.text for r in table(spark, sf, "documents").collect()}
     rows = queries.op9_site_templates(spark, sf).collect()

@@ -3,8 +3,9 @@
 A page is read once into a flat list of events (text, block edges) in which each element covers a range. Elements whose
 tag, role, class or id says that they are no article text (menus, forms, comments, ...) are dropped on any page, so a
 host with few pages is clean too. Every container's subtree is hashed from its tags and text; Spark counts, per host, the pages on which each hash
-occurs (a page once, summed up in the task first). Subtrees found on at least ``min_pages`` pages and ``min_share`` of
-a host's pages are its template and are cut from its pages. Running text inside an article or main element is
+occurs (a page once). Subtrees found on at least ``min_pages`` pages and ``min_share`` of a host's pages are its template and are cut
+from its pages. So are those of a section or a rotating advert: on at least ``min_pages`` pages of different main text, each more than twice as long
+as the subtree, and on ``section_share`` of the host's pages or ``enough`` pages however many it has. Copies of an article count once there. Running text inside an article or main element is
 never hashed: a paragraph that many pages quote is text. What is left of main or article elements, or else of the
 body, is the main text: a line per block.
 
@@ -60,10 +61,12 @@ EDGE = "\0"
 
 @dataclass(frozen=True)
 class Template:
-    """When a subtree is a host's template: on so many of its pages and such a share of them."""
+    """When a subtree is a host's template: on so many of its pages and such a share of them; for a small part of different pages a smaller share, or enough pages, will do."""
 
     min_pages: int = 5
     min_share: float = 0.5
+    section_share: float = 0.01
+    enough: int = 50
 
 
 def is_marked(tag: str, attributes: str) -> bool:
@@ -154,14 +157,16 @@ class Page:
             stack.append(["main" if main and tag != "article" else tag, start, here, bool(above and (above[2] or above[3])), main or bool(above and above[4])])
         close(0)
 
-    def hashes(self) -> dict[int, list[tuple[int, int]]]:
-        """Hash of each part that has text -> its ranges."""
+    def hashes(self, sizes: dict[int, int] | None = None) -> dict[int, list[tuple[int, int]]]:
+        """Hash of each part that has text -> its ranges. sizes: gets the characters of each."""
         out: dict[int, list[tuple[int, int]]] = {}
         for tag, start, end in self.parts:
             text = " ".join("".join(self.events[start:end]).split())
             if text.strip("\0 "):
                 key = xxhash.xxh64_intdigest(f"{tag}\n{text}") - (1 << 63)
                 out.setdefault(key, []).append((start, end))
+                if sizes is not None:
+                    sizes[key] = len(text)
         return out
 
     def text(self, templates: frozenset[int] | set[int] = frozenset()) -> str:
@@ -181,7 +186,7 @@ class Page:
 
 
 def subtree_counts(pages: DataFrame) -> DataFrame:
-    """pages(host, html) -> host, hash, n: pages of the host with the subtree; hash null: all its pages."""
+    """pages(host, html) -> host, hash, n, apart: pages of the host with the subtree, and different main texts more than twice as long as it; hash null: all its pages."""
     ship(pages.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -189,27 +194,34 @@ def subtree_counts(pages: DataFrame) -> DataFrame:
 
         def hand_on() -> pa.RecordBatch:
             keys = list(seen)
-            out = [pa.array([h for h, _ in keys], pa.string()), pa.array([k for _, k in keys], pa.int64()), pa.array([seen[k] for k in keys], pa.int64())]
+            out = [pa.array([k[0] for k in keys], pa.string()), *(pa.array([k[i] for k in keys], pa.int64()) for i in (1, 2)), pa.array([seen[k] for k in keys], pa.int64())]
             seen.clear()
-            return pa.RecordBatch.from_arrays(out, ["host", "hash", "n"])
+            return pa.RecordBatch.from_arrays(out, ["host", "hash", "body", "n"])
 
         for batch in groups(batches, "html"):
             for host, html in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                seen[host, None] += 1
-                for key in Page(html or "").hashes():
-                    seen[host, key] += 1
-            if len(seen) > COUNTED:
-                yield hand_on()
+                seen[host, None, None] += 1
+                page, sizes = Page(html or ""), {}
+                text = page.text()
+                body = xxhash.xxh64_intdigest(text) - (1 << 63)
+                for key in page.hashes(sizes):
+                    seen[host, key, body if 2 * sizes[key] < len(text) else None] += 1
+                if len(seen) > COUNTED:
+                    yield hand_on()
         yield hand_on()
 
-    return pages.select("host", "html").mapInArrow(run, "host string, hash long, n long").groupBy("host", "hash").agg(F.sum("n").alias("n"))
+    rows = pages.select("host", "html").mapInArrow(run, "host string, hash long, body long, n long")
+    once = rows.groupBy("host", "hash", "body").agg(F.sum("n").alias("n"))
+    return once.groupBy("host", "hash").agg(F.sum("n").alias("n"), F.count("body").alias("apart"))
 
 
 def site_templates(pages: DataFrame, t: Template = Template()) -> DataFrame:
     """pages(host, html) -> host, hash of the subtrees that are a host's template."""
     counts = materialize(subtree_counts(pages).where((F.col("n") >= t.min_pages) | F.col("hash").isNull()), "subtrees")
     of_host = counts.where("hash is null").select("host", F.col("n").alias("pages"))
-    return counts.where("hash is not null").join(of_host, "host").where(F.col("n") >= t.min_share * F.col("pages")).select("host", "hash")
+    often = F.col("n") >= t.min_share * F.col("pages")
+    section = (F.col("apart") >= t.min_pages) & (F.col("apart") >= F.least(t.section_share * F.col("pages"), F.lit(float(t.enough))))
+    return counts.where("hash is not null").join(of_host, "host").where(often | section).select("host", "hash")
 
 
 def main_text(pages: DataFrame, t: Template = Template(), broadcast_rows: int = BROADCAST) -> DataFrame:
