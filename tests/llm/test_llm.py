@@ -82,7 +82,7 @@ def test_url_parts_and_rules(spark):
 
 def test_reputation_shrinks_and_blocks(spark):
     hosts = spark.createDataFrame([("bad.x.com", 200, 190), ("good.x.com", 200, 2), ("new.x.com", 0, 0), ("one.y.com", 1, 1), ("", 3, 0), ("a.co.uk", 5, 1), ("big.y.com", 500, 20)], "host string, n long, bad long")
-    got = {r.host: r for r in url_filters.host_reputation(hosts, long_suffixes=("co.uk",)).collect()}
+    got = {r.host: r for r in url_filters.host_reputation(hosts).collect()}
     assert got["bad.x.com"].bound > 0.8 and got["good.x.com"].bound < 0.1
     assert 0 < got["one.y.com"].rate < 0.9 and got["one.y.com"].bound < got["one.y.com"].rate
     assert got["good.x.com"].rate < got["new.x.com"].rate < got["bad.x.com"].rate
@@ -93,6 +93,42 @@ def test_reputation_shrinks_and_blocks(spark):
     assert url_filters.judge_urls(pages.where("false"), none, queries.URL_RULES, key).count() == 0
 
 
+def test_registered_domains(spark):
+    want = {"a.b.co.uk": ("b.co.uk", "co.uk"), "www.x.com:80": ("x.com", "com"), "x.com.": ("x.com", "com"), "u:p@m.x.org:1": ("x.org", "org"), "10.2.0.1:8080": ("10.2.0.1", "ip"), "[::1]:80": ("[::1]", "ip"), "": ("", ""), "localhost": ("localhost", "localhost"), "co.uk": ("co.uk", "uk"), "a.co.com": ("co.com", "com")}
+    df = spark.createDataFrame([(h,) for h in want], "host string").withColumn("d", url_filters.registered_domain(F.col("host")))
+    assert {r.host: (r.d, r.s) for r in df.withColumn("s", url_filters.suffix_of(F.col("d"))).collect()} == want
+
+
+def planted_hosts(tmp_path, spark):
+    """Pages of hosts with bad rates of 0.1, but for a bad host, a bad domain with a new host, one host too small to judge, and a host behind a rule."""
+    rng = random.Random(6)
+    rates = {f"h{i}.good{i % 7}.test": (60, 0.1) for i in range(30)} | {"evil.good1.test": (80, 0.9), "a.spam.co.uk": (90, 0.9), "b.spam.co.uk": (80, 0.95), "new.spam.co.uk": (6, None), "ok.fine.co.uk": (80, 0.08), "10.0.0.7": (50, 0.9), "tiny.good2.test": (1, 1.0), "x.example.net": (40, 0.9)}
+    pages, labels, at = [], [], 0
+    for host, (n, rate) in rates.items():
+        for _ in range(n):
+            pages.append((at, f"http://{host}/de/{at}", "<p>x"))
+            if rate is not None:
+                labels.append((at, int(rng.random() >= rate), 0))
+            at += 1
+    pages += [(at, "http://com/en/" + "x" * 200_000, ""), (at, None, None), (None, "nothing", "")]
+    spark.createDataFrame(pages, "page_id long, url string, html string").write.parquet(f"{tmp_path}/pages.parquet")
+    spark.createDataFrame([*labels, (None, 0, 0), (10**9, None, None)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    return str(tmp_path)
+
+
+def test_planted_hosts_are_blocked(spark, tmp_path):
+    folder = planted_hosts(tmp_path, spark)
+    got = queries.op1_url_reputation(spark, folder).collect()
+    blocked = {r.host for r in got if r.verdict == "block" and r.rule is None}
+    assert blocked == {"evil.good1.test", "a.spam.co.uk", "b.spam.co.uk", "new.spam.co.uk", "10.0.0.7"}
+    assert {(r.rule, r.verdict) for r in got if r.host == "x.example.net"} == {("net/de/", "allow")}
+    db = duckdb.connect()
+    for t in ("pages", "labels"):
+        db.sql(f"create view {t} as select * from read_parquet('{folder}/{t}.parquet/*.parquet')")
+    want = db.sql("select page_id, host, path, rule, verdict from (" + sql.oracle_sql()["op1_url_reputation"] + ") where page_id is not null").fetchall()
+    assert Counter(tuple(r) for r in got if r.page_id is not None and r.page_id < len(got) - 3) == Counter(r for r in want if r[0] < len(got) - 3)
+
+
 # ---------------------------------------------------------------- op2, op7
 
 
@@ -531,6 +567,21 @@ def test_quality_separates(spark, sf):
     assert sum(good) >= 0.97 * len(good)
 
 
+def test_adaptive_rules_fire(spark):
+    """Each rule rejects a text that the base rules let pass; a source of which a third is junk doesn't set its own rule."""
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(rng.randrange(3, 8)))
+    plain = lambda n=80: [word() for _ in range(n)]
+    rows = [(i, " ".join(plain()), "en", f"s{i % 4}") for i in range(400)]
+    repeats = plain(8)
+    odd = {1000: "# ".join(plain()), 1001: " ".join(plain(70) + repeats + plain(10) + repeats), 1002: "\n".join(" ".join(plain(9)) for _ in range(8)) + "\nok\nok\nok\nok\nok\nok", 1003: "".join(plain(3)).join(plain(12)).replace("a", " a")}
+    rows += [(i, t, "en", "s0") for i, t in odd.items() if i != 1003] + [(1003, " ".join(word() * 6 for _ in range(60)), "en", "s0")]
+    rows += [(2000 + i, " ".join(plain()) if i % 3 else "### ".join(plain()), "en", "dirty") for i in range(30)]
+    kept = {r.doc_id: r.kept for r in quality.quality_report(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
+    assert not any(kept[i] for i in odd) and all(kept[i] for i in range(400))
+    assert all(kept[2000 + i] == bool(i % 3) for i in range(30))
+
+
 def test_sketches_add_up(spark, docs):
     r = quality.Rules()
     counted = materialize(quality.with_counts(docs, keep=["doc_id", "lang", "source"]), "counted")

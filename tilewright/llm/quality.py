@@ -4,12 +4,13 @@ Fixed base rules reject texts that are short or repeat themselves. The others ar
 and source: for each such group and feature a sketch counts values in buckets of 6 significant bits (relative error
 below 1/32). Sketches are integer counts, so they merge by addition in any order to the same result; here they are partial
 aggregates that Spark merges. A text is kept if each feature stays within the quartiles by ``reach`` times their
-distance plus ``slack``, which keeps groups without any spread from rejecting the first trace. Thresholds, a row per
-group, are written out and joined back.
+distance plus ``slack``, which keeps groups without any spread from rejecting the first trace. So that a source of
+which over a quarter is junk doesn't set its own rule, no limit goes beyond what 95% of the language's texts stay within
+(all its sources' sketches merged), plus the slack. Thresholds, a row per group, are written out and joined back.
 
 Defined results: null text is empty; null language or source is a group of its own; texts of fewer than 10 words fail; a
 group whose texts all failed has no thresholds and needs none; repeated rows count and are judged each; an
-empty table gives an empty result; extra columns pass by.
+empty empty table gives an empty result; extra columns pass by, whatever their names.
 """
 
 from __future__ import annotations
@@ -36,13 +37,14 @@ COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 @dataclass(frozen=True)
 class Rules:
-    """min_words and max_repeat (percent of words) are the base rules; slack: of each feature, in its unit."""
+    """min_words and max_repeat (percent of words) are the base rules; slack: of each feature, in its unit, small enough for each rule to fire below the base rules; tail: percent of a language beyond which no limit goes."""
 
     min_words: int = 10
     max_repeat: int = 20
     window: int = 5
     reach: int = 4
-    slack: dict[str, int] = field(default_factory=lambda: {"symbols": 100, "dup_lines": 100, "repeats": 200, "word_size": 200})
+    tail: int = 5
+    slack: dict[str, int] = field(default_factory=lambda: {"symbols": 100, "dup_lines": 50, "repeats": 150, "word_size": 200})
 
 
 #: Feature -> numerator and scale over n_words; word_size is limited on both sides, the others above.
@@ -95,14 +97,15 @@ def with_counts(docs: DataFrame, window: int = 5, keep: list[str] | None = None)
     return own.mapInArrow(run, schema).withColumnsRenamed({f"_{i}": c for i, c in enumerate(keep)})
 
 
-def base_failed(r: Rules) -> Column:
-    return (F.col("n_words") < r.min_words) | (100 * F.col("n_repeat_words") > r.max_repeat * F.col("n_words"))
+def base_failed(r: Rules, prefix: str = "") -> Column:
+    words, repeated = F.col(f"{prefix}n_words"), F.col(f"{prefix}n_repeat_words")
+    return (words < r.min_words) | (100 * repeated > r.max_repeat * words)
 
 
-def feature(name: str) -> Column:
+def feature(name: str, prefix: str = "") -> Column:
     """A whole number; only texts with words have one."""
     over, scale = FEATURES[name]
-    return F.expr(f"case when n_words > 0 then ({scale} * {over}) div n_words end")
+    return F.expr(f"case when {prefix}n_words > 0 then ({scale} * {prefix}{over}) div {prefix}n_words end")
 
 
 def bucket(value: Column) -> Column:
@@ -118,26 +121,36 @@ def sketch(counted: DataFrame, r: Rules) -> DataFrame:
 
 
 def thresholds(sketches: DataFrame, r: Rules) -> DataFrame:
-    """A row per (lang, source): least and most of each feature."""
-    group = W.partitionBy("lang", "source", "feature")
-    ranked = sketches.select("*", F.sum("n").over(group.orderBy("bucket")).alias("upto"), F.sum("n").over(group).alias("all"))
-    quarter = lambda k: F.min(F.when(4 * F.col("upto") >= k * F.col("all"), F.col("bucket")))
-    q = ranked.groupBy("lang", "source", "feature").agg(quarter(1).alias("q1"), quarter(3).alias("q3"))
-    wide = F.lit(r.reach) * (F.col("q3") - F.col("q1")) + F.element_at(F.create_map(*(x for f, s in r.slack.items() for x in (F.lit(f), F.lit(s)))), F.col("feature"))
-    limits = q.select("lang", "source", "feature", (F.col("q1") - wide).alias("least"), (F.col("q3") + wide).alias("most"))
-    pick = lambda f, c: F.max(F.when(F.col("feature") == f, F.col(c))).alias(f"{f}_{c}")
+    """A row per (lang, source): least and most of each feature, within what the language allows."""
+
+    def quantiles(rows: DataFrame, keys: list[str], parts: dict[str, int]) -> DataFrame:
+        group = W.partitionBy(*keys)
+        ranked = rows.select("*", F.sum("n").over(group.orderBy("bucket")).alias("upto"), F.sum("n").over(group).alias("all"))
+        at = lambda k: F.min(F.when(100 * F.col("upto") >= k * F.col("all"), F.col("bucket")))
+        return ranked.groupBy(*keys).agg(*(at(k).alias(name) for name, k in parts.items()))
+
+    slack = F.element_at(F.create_map(*(x for f, s in r.slack.items() for x in (F.lit(f), F.lit(s)))), F.col("feature"))
+    own = quantiles(sketches, ["lang", "source", "feature"], {"q1": 25, "q3": 75})
+    merged = sketches.groupBy("lang", "feature", "bucket").agg(F.sum("n").alias("n"))
+    tails = quantiles(merged, ["lang", "feature"], {"low": r.tail, "high": 100 - r.tail}).withColumnsRenamed({"lang": "_lang", "feature": "_feature"})
+    both = own.join(tails, F.col("lang").eqNullSafe(F.col("_lang")) & (F.col("feature") == F.col("_feature")))
+    wide = F.lit(r.reach) * (F.col("q3") - F.col("q1"))
+    least, most = F.greatest(F.col("q1") - wide, F.col("low")) - slack, F.least(F.col("q3") + wide, F.col("high")) + slack
+    limits = both.select("lang", "source", "feature", least.alias("least"), most.alias("most"))
+    pick = lambda f, c: F.max(F.when(F.col("feature") == f, F.col(c))).alias(f"_{f}_{c}")
     return limits.groupBy("lang", "source").agg(*(pick(f, "most") for f in FEATURES), pick("word_size", "least"))
 
 
-def judge(counted: DataFrame, limits: DataFrame, r: Rules) -> DataFrame:
-    """Adds base_failed and kept to rows with lang, source and COUNTS."""
+def judge(counted: DataFrame, limits: DataFrame, r: Rules, prefix: str = "") -> DataFrame:
+    """Adds base_failed and kept (names after ``prefix``) to rows with lang, source and COUNTS (names after ``prefix``)."""
     own = limits.withColumnsRenamed({"lang": "_lang", "source": "_source"})
-    joined = counted.join(own, F.col("lang").eqNullSafe(F.col("_lang")) & F.col("source").eqNullSafe(F.col("_source")), "left")
-    within = feature("word_size") >= F.col("word_size_least")
+    joined = counted.join(own, counted["lang"].eqNullSafe(own["_lang"]) & counted["source"].eqNullSafe(own["_source"]), "left")
+    within = feature("word_size", prefix) >= F.col("_word_size_least")
     for f in FEATURES:
-        within &= feature(f) <= F.col(f"{f}_most")
-    judged = joined.withColumn("base_failed", base_failed(r)).withColumn("kept", ~F.col("base_failed") & F.coalesce(within, F.lit(True)))
-    return judged.drop("_lang", "_source", "word_size_least", *(f"{f}_most" for f in FEATURES))
+        within &= feature(f, prefix) <= F.col(f"_{f}_most")
+    judged = joined.withColumn(f"{prefix}base_failed", base_failed(r, prefix))
+    judged = judged.withColumn(f"{prefix}kept", ~F.col(f"{prefix}base_failed") & F.coalesce(within, F.lit(True)))
+    return judged.drop("_lang", "_source", "_word_size_least", *(f"_{f}_most" for f in FEATURES))
 
 
 def quality_report(docs: DataFrame, r: Rules = Rules()) -> DataFrame:

@@ -35,20 +35,22 @@ def _op1() -> str:
         select host, count(o.bad)::double as n, coalesce(sum(o.bad), 0)::double as bad
         from cut left join outcome o on o.key = try_cast(nullif(regexp_extract(path, '^/[^/]+/([0-9]+)', 1), '') as bigint) group by 1
     ), base as (
-        select *, case when len(string_split(h, '.')) > 2 then array_to_string(string_split(h, '.')[-2:], '.') else h end as domain
-        from (select *, regexp_replace(host, ':[0-9]*$', '') as h from hosts)
+        select *, case when regexp_matches(h, '{url_filters.ADDRESS}') then h when regexp_matches(h, '{url_filters.LONG_SUFFIX}') then regexp_extract(h, '{url_filters.LONG_SUFFIX}')
+                       when len(string_split(h, '.')) > 2 then array_to_string(string_split(h, '.')[-2:], '.') else h end as domain
+        from (select *, regexp_replace(regexp_replace(host, '^.*@', ''), '\\.*(:[0-9]*)?\\z', '') as h from hosts)
     ), based as (
-        select host, n, bad, domain, case when instr(domain, '.') > 0 then regexp_extract(domain, '\\.(.*)$', 1) else domain end as suffix from base
+        select host, n, bad, domain, case when regexp_matches(domain, '{url_filters.ADDRESS}') then 'ip' when instr(domain, '.') > 0 then regexp_extract(domain, '\\.(.*)', 1) else domain end as suffix from base
     ), domains as (select suffix, domain, sum(n) as n, sum(bad) as bad from based group by all),
     suffixes as (select suffix, sum(n) as n, sum(bad) as bad from domains group by all),
-    total as (select coalesce(sum(n), 0) as n, coalesce(sum(bad), 0) as bad from based),
-    ks as {strength("select s.*, t.n as pn, t.bad as pb from suffixes s, total t")},
+    every as (select coalesce(sum(n), 0) as n, coalesce(sum(bad), 0) as bad from based),
+    total as (select (bad + 0.5) / (n + 1) as top from every),
+    ks as {strength("select s.*, t.n as pn, t.bad as pb from suffixes s, every t")},
     kd as {strength("select d.*, s.n as pn, s.bad as pb from domains d join suffixes s using (suffix)")},
     kh as {strength("select b.*, d.n as pn, d.bad as pb from based b join domains d using (domain)")},
-    rate_s as (select suffix, (s.bad + k * ((t.bad + {p.max_bad_rate}) / (t.n + 1))) / (s.n + k) as r from suffixes s, total t, ks),
+    rate_s as (select suffix, (s.bad + k * t.top) / (s.n + k) as r from suffixes s, total t, ks),
     rate_d as (select domain, (bad + k * r) / (n + k) as r from domains join rate_s using (suffix), kd),
     shrunk as (select host, bad + k * r as a, n - bad + k * (1 - r) as b from based join rate_d using (domain), kh),
-    blocked as (select host, a / (a + b) - {p.z} * sqrt(a * b / ((a + b) * (a + b) * (a + b + 1))) > {p.max_bad_rate} as blocked from shrunk),
+    blocked as (select host, a / (a + b) - {p.z} * sqrt(a * b / ((a + b) * (a + b) * (a + b + 1))) > {p.odds} * top / (1 - top + {p.odds} * top) as blocked from shrunk, total),
     rules(say, rule, name, prefix) as (values {_rules_sql()}),
     hit as (
         select page_id, max_by(struct_pack(rule, say), length(rule)) as best
@@ -134,7 +136,16 @@ def _op10() -> str:
         select *, sum(n) over (partition by lang, source, feature order by bucket) as upto, sum(n) over (partition by lang, source, feature) as whole from sketch
     ), quartiles as (
         select lang, source, feature, slack, min(bucket) filter (4 * upto >= whole) as q1, min(bucket) filter (4 * upto >= 3 * whole) as q3 from ranked group by all
-    ), limits as (select lang, source, feature, q1 - ({r.reach} * (q3 - q1) + slack) as least, q3 + {r.reach} * (q3 - q1) + slack as most from quartiles)
+    ), merged as (select lang, feature, bucket, sum(n) as n from sketch group by all),
+    pooled as (
+        select *, sum(n) over (partition by lang, feature order by bucket) as upto, sum(n) over (partition by lang, feature) as whole from merged
+    ), tails as (
+        select lang, feature, min(bucket) filter (100 * upto >= {r.tail} * whole) as low, min(bucket) filter (100 * upto >= {100 - r.tail} * whole) as high
+        from pooled group by all
+    ), limits as (
+        select q.lang, source, q.feature, greatest(q1 - {r.reach} * (q3 - q1), low) - slack as least, least(q3 + {r.reach} * (q3 - q1), high) + slack as most
+        from quartiles q join tails t on q.lang is not distinct from t.lang and q.feature = t.feature
+    )
     select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept from (
         select b.rid, doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
                not base_failed and coalesce({within} and {value['word_size']} >= max(least) filter (feature = 'word_size'), true) as kept

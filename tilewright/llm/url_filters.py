@@ -4,7 +4,11 @@ Each labelled page outcome (bad or not) is a Bernoulli draw of its host. Host ra
 beta-binomial priors: a host towards its registered domain, the domain towards its suffix, the suffix towards
 all pages. The strength of each prior is estimated from the spread between siblings (method of moments), so
 a host with few labels is judged by its domain and one with many by itself. A host is blocked where the lower
-posterior bound of its bad rate exceeds ``max_bad_rate``.
+posterior bound of its bad rate has more than ``odds`` times the odds of all labelled pages: the limit moves with the base
+rate, so a host is judged by what sets it apart. Where hosts don't differ beyond chance, none is blocked.
+
+The suffix is the last label, or two where a country's label follows a second-level one such as ``co`` (SECOND_LEVEL). An
+address in digits or brackets is its own domain, under the suffix ``ip``.
 
 Everything is DataFrame expressions. Counts are pre-aggregated by (host, outcome key) before any shuffle, so a
 host with a third of all pages costs one row per task. The reputation table goes back to the pages through the
@@ -25,14 +29,17 @@ from pyspark.sql import functions as F
 from tilewright.session import materialize
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-LEVELS = ("suffix", "domain", "host")
+#: Labels that registries put before a country's own.
+SECOND_LEVEL = "ac co com edu go gob gov mil ne net nom or org".split()
+LONG_SUFFIX = rf"[^.]+\.({'|'.join(SECOND_LEVEL)})\.[a-z][a-z]\z"
+ADDRESS = r"^([0-9]+\.[0-9]+\.[0-9]+\.[0-9]+|\[.*)\z"
 
 
 @dataclass(frozen=True)
 class Reputation:
-    """max_bad_rate: block above it; z: standard deviations below the posterior mean; strength: limits of a prior's pseudo-counts."""
+    """odds: block above so many times the odds of all pages; z: standard deviations below the posterior mean; strength: limits of a prior's pseudo-counts."""
 
-    max_bad_rate: float = 0.25
+    odds: float = 2.0
     z: float = 1.645
     strength: tuple[float, float] = (2.0, 2000.0)
 
@@ -52,18 +59,15 @@ def _rest(url: Column) -> Column:
     return F.when(at > 0, F.substring(url, at + 3, F.length(url))).otherwise("")
 
 
-def registered_domain(host: Column, long_suffixes: tuple[str, ...] = ()) -> Column:
-    """The suffix (last label, or one of long_suffixes such as ``co.uk``) and the label before it, without a port."""
-    bare = F.regexp_replace(host, r":\d*$", "")
-    out = F.substring_index(bare, ".", -2)
-    for suffix in long_suffixes:
-        out = F.when(bare.endswith("." + suffix), F.substring_index(bare, ".", -(suffix.count(".") + 2))).otherwise(out)
-    return out
+def registered_domain(host: Column) -> Column:
+    """The suffix and the label before it, without user, port and closing dots; the whole of an address."""
+    bare = F.regexp_replace(F.regexp_replace(host, r"^.*@", ""), r"\.*(:[0-9]*)?\z", "")
+    return F.when(bare.rlike(ADDRESS), bare).when(bare.rlike(LONG_SUFFIX), F.regexp_extract(bare, LONG_SUFFIX, 0)).otherwise(F.substring_index(bare, ".", -2))
 
 
 def suffix_of(domain: Column) -> Column:
-    """What follows the first dot of a registered domain; the whole where it has none."""
-    return F.when(F.instr(domain, ".") > 0, F.regexp_extract(domain, r"\.(.*)$", 1)).otherwise(domain)
+    """What follows the first dot of a registered domain; the whole where it has none; ip for an address."""
+    return F.when(domain.rlike(ADDRESS), "ip").when(F.instr(domain, ".") > 0, F.regexp_extract(domain, r"\.(.*)", 1)).otherwise(domain)
 
 
 def match_rules(host: Column, path: Column, rules: list[tuple[str, str]]) -> tuple[Column, Column]:
@@ -88,9 +92,9 @@ def _strength(children: DataFrame, p: Reputation) -> float:
     return min(high, max(low, sums.binomial / between - 1)) if between > 0 else high
 
 
-def host_reputation(hosts: DataFrame, p: Reputation = Reputation(), long_suffixes: tuple[str, ...] = ()) -> DataFrame:
-    """hosts(host, n, bad), a row per host -> host, n, bad, rate (posterior mean), bound (its lower bound)."""
-    base = hosts.withColumn("domain", registered_domain(F.col("host"), long_suffixes)).withColumn("suffix", suffix_of(F.col("domain")))
+def host_reputation(hosts: DataFrame, p: Reputation = Reputation()) -> DataFrame:
+    """hosts(host, n, bad), a row per host -> host, n, bad, rate (posterior mean), bound (its lower bound), blocked."""
+    base = hosts.withColumn("domain", registered_domain(F.col("host"))).withColumn("suffix", suffix_of(F.col("domain")))
     base = materialize(base, "hosts")
     add = (F.sum("n").alias("n"), F.sum("bad").alias("bad"))
     domains = base.groupBy("suffix", "domain").agg(*add)
@@ -107,16 +111,17 @@ def host_reputation(hosts: DataFrame, p: Reputation = Reputation(), long_suffixe
     def shrunk(strength: float, prior: Column | float) -> Column:
         return (F.col("bad") + strength * prior) / (F.col("n") + strength)
 
-    top = (every.bad + p.max_bad_rate) / (every.n + 1)  # without labels nothing is beyond the limit
+    top = (every.bad + 0.5) / (every.n + 1)  # without labels every host has this rate and none is beyond the limit
+    limit = p.odds * top / (1 - top + p.odds * top)
     suffix_rates = suffixes.select("suffix", shrunk(of_suffix, top).alias("suffix_rate"))
     domain_rates = domains.join(suffix_rates, "suffix").select("domain", shrunk(of_domain, F.col("suffix_rate")).alias("domain_rate"))
     a = F.col("bad") + of_host * F.col("domain_rate")
     b = F.col("n") - F.col("bad") + of_host * (1 - F.col("domain_rate"))
     bound = a / (a + b) - p.z * F.sqrt(a * b / ((a + b) * (a + b) * (a + b + 1)))
-    return base.join(domain_rates, "domain").select("host", "n", "bad", (a / (a + b)).alias("rate"), bound.alias("bound"))
+    return base.join(domain_rates, "domain").select("host", "n", "bad", (a / (a + b)).alias("rate"), bound.alias("bound"), (bound > limit).alias("blocked"))
 
 
-def judge_urls(pages: DataFrame, outcomes: DataFrame, rules: list[tuple[str, str]], outcome_key: Column, p: Reputation = Reputation(), long_suffixes: tuple[str, ...] = ()) -> DataFrame:
+def judge_urls(pages: DataFrame, outcomes: DataFrame, rules: list[tuple[str, str]], outcome_key: Column, p: Reputation = Reputation()) -> DataFrame:
     """pages(page_id, url), outcomes(key, bad) -> page_id, host, path, rule, verdict.
 
     outcome_key: what a page's row in outcomes is found by, an expression over page_id, host and path; the worst of repeated outcomes counts.
@@ -127,7 +132,7 @@ def judge_urls(pages: DataFrame, outcomes: DataFrame, rules: list[tuple[str, str
     hosts = seen.join(worst, "key", "left").groupBy("host").agg(
         F.coalesce(F.sum(F.when(F.col("bad").isNotNull(), F.col("pages"))), F.lit(0)).alias("n"), F.coalesce(F.sum(F.col("pages") * F.col("bad")), F.lit(0)).alias("bad")
     )
-    judged = materialize(host_reputation(hosts, p, long_suffixes).select("host", (F.col("bound") > p.max_bad_rate).alias("blocked")), "reputation")
+    judged = materialize(host_reputation(hosts, p).select("host", "blocked"), "reputation")
     rule, verdict = match_rules(F.col("host"), F.col("path"), rules)
     own = F.when(F.col("blocked"), "block").otherwise("allow")
     return parts.join(judged, "host", "left").select("page_id", "host", "path", rule.alias("rule"), F.coalesce(verdict, own).alias("verdict"))
