@@ -226,6 +226,29 @@ def test_covering_triples():
     assert len(triples) == 20 and all(any(t <= set(four) for t in triples) for four in combinations(range(8), 4))
 
 
+def test_long_lists_are_split_without_loss():
+    """Two values within 4 bits that share a list's key share a key of the next level, down to the last position."""
+    rng = random.Random(11)
+    step = simhash._further(4)
+
+    def further(used, pattern, value):
+        rows = [pa.RecordBatch.from_arrays([pa.array([x], pa.int64()) for x in (0, used, pattern, 1, value)], simhash.PLACED)]
+        return {(u, p) for b in step(rows) for u, p in zip(b.column(1).to_pylist(), b.column(2).to_pylist())}
+
+    signed = lambda x: x - (1 << 64) if x >> 63 else x
+    for _ in range(200):
+        a = rng.getrandbits(64)
+        b = a ^ sum(1 << i for i in rng.sample(range(64), rng.randrange(5)))
+        same = {p for p in range(8) if (a ^ b) >> 8 * p & 255 == 0}
+        triple = next(t for t in simhash.covering_triples() if set(t) <= same)
+        used = sum(1 << p for p in triple)
+        pattern = signed(a & sum(255 << 8 * p for p in triple))
+        while used != 255:
+            met = further(used, pattern, signed(a)) & further(used, pattern, signed(b))
+            assert met and all(u.bit_count() == used.bit_count() + 1 for u, _ in met)
+            used, pattern = rng.choice(sorted(met))
+
+
 @pytest.mark.parametrize("longest", [4096, 2])
 def test_simhash(docs, odd, longest):
     for df in (docs, odd):

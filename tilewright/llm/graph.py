@@ -47,19 +47,18 @@ def connected_components(links: DataFrame) -> DataFrame:
     """links(u, v) of longs -> node, root: the least node of its component, for every node that has a link to another.
 
     Each round hangs a node's larger neighbours, then its smaller ones, on the least; rounds grow with the logarithm of a
-    component's size. Minima are partial aggregates, joins read written tables, so a hub's links spread over tasks.
+    component's size. Minima are partial aggregates, joins read written tables, so a hub's links spread over tasks. What is left at up to
+    ``LOCAL`` / 2 links is joined up in one task, with the same result.
     """
     ship(links.sparkSession)
     e = links.where("u is not null and v is not null and u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
-    first = materialize(e, "links")
-    e = materialize(first.mapInArrow(_local_stars, "u long, v long").distinct(), "stars")
-    discard(first)
+    e = materialize(e.mapInArrow(_local_stars, "u long, v long").distinct(), "stars")
 
     def mark(t: DataFrame) -> tuple:
         return tuple(t.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
 
     was = mark(e)
-    while was[0]:
+    while was[0] > LOCAL // 2:
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = materialize(both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "least")
         large = materialize(both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct(), "large")
@@ -72,5 +71,7 @@ def connected_components(links: DataFrame) -> DataFrame:
         if now == was:
             break
         was = now
+    if was[0] <= LOCAL // 2:  # the stars of a single lot are the components
+        e = materialize(e.coalesce(1).mapInArrow(_local_stars, "u long, v long"), "stars")
     roots = e.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct()
     return e.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots)

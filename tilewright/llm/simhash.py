@@ -1,24 +1,27 @@
 """SimHash near-duplicates through an index of byte positions.
 
 A fingerprint is one or more bands of 64 bits. Two documents are linked if any of their bands differ in at most 4
-bits. Then at most 4 of the band's 8 bytes differ, so at least 4 positional bytes are shared: the index tallies
-shared bytes and keeps pairs that reach this guaranteed minimum, then counts bits. Posting lists of single bytes would
-hold a 256th of all rows each, so a posting is three positions together: 20 of the 56 triples are enough for every
-set of 4 positions to hold one (Turan's system for 8 positions).
+bits. Then at most 4 of the band's 8 bytes differ, so at least 4 positional bytes are shared. Posting lists of single bytes
+would hold a 256th of all rows each, so a posting is three positions together: 20 of the 56 triples are enough for every
+set of 4 positions to hold one (Turan's system for 8 positions). Within a list, the shared positional bytes of each pair are
+tallied, pairs that reach the guaranteed minimum of 4 are retained, and only for these bits are counted.
+
+A list of more than ``LIST`` rows is split by a further byte position. Three positions are joined by a fourth: the pairs
+that matter share one more. At four, all pairs of a list have reached the minimum, and lists up to ``DEEP`` times as long are searched. Longer ones are
+split on: the differing bits lie in the positions that are left, so one of these
+has at most its share of them (1, 1, 2, 4), and each row is dealt to its own byte there and to those within that many bits.
+No link is lost, and a list whose eight positions are all used has a bounded number of values.
 
 With several bands (drop_near_duplicates) the index only finds candidates: nodes that share a posting of any band, while
 all bands together differ in at most a limit of bits. Candidates are joined up, and within each such group the pairs whose sets of
 shingles have the asked Jaccard similarity are found exactly (exact_links).
 
-Equal fingerprints are one row from the start. Postings are dealt out and sorted once and read as a stream. Lists of up to
-``LIST`` fingerprints are searched in place and give a spanning forest of links, not all pairs. Rows of longer
-lists take an exact linear way instead: fingerprints at most 4 bits apart have a common neighbour at most 2 bits from
-both, so each sends its 2,081 neighbours and those that meet are linked in a row (no more than 2,081 can meet).
-A pair either shares a short list or has both ends in long ones, so no link is lost.
+Equal fingerprints are one row from the start. Postings are dealt out and sorted once and read as a stream. Lists are
+searched in place and give a spanning forest of links, not all pairs.
 
 Defined results: texts without words (null, empty, white space) have fingerprint 0 and are linked like any other; null
 doc_ids get the least id of their component; repeated rows each get a row; an empty table gives an empty result;
-extra columns are ignored.
+extra columns are ignored, whatever their names. drop_near_duplicates returns the columns of its input.
 """
 
 from __future__ import annotations
@@ -31,7 +34,6 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tilewright.llm.common import as_bytes, groups, ship
@@ -40,6 +42,8 @@ from tilewright.session import materialize
 
 BITS = 4
 LIST = 4096
+#: How many times as long a list of four positions or more may be: 65,536 rows take half a megabyte and, at worst, some seconds.
+DEEP = 16
 SEED = 42
 #: Members of a candidate group that are compared in one piece.
 BLOCK = 64
@@ -115,8 +119,9 @@ def _votes(hashes: np.ndarray, bands: int) -> np.ndarray:
 
 
 def fingerprints(docs: DataFrame, shingle: int = 4, bands: int = 1, keep: tuple[str, ...] = ("doc_id",), distinct: bool = False) -> DataFrame:
-    """documents(text and the longs ``keep``) -> keep, bands array<long>, a row per row."""
+    """documents(text, keep) -> keep, bands array<long>, a row per row."""
     ship(docs.sparkSession)
+    own = docs.select(F.col("text").cast("string").alias("text"), *keep)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in groups(batches, "text"):
@@ -124,14 +129,16 @@ def fingerprints(docs: DataFrame, shingle: int = 4, bands: int = 1, keep: tuple[
             flat = pa.array(np.concatenate(prints).view("<i8"), pa.int64())
             yield pa.RecordBatch.from_arrays([*batch.columns[1:], pa.ListArray.from_arrays(pa.array(np.arange(len(prints) + 1) * bands, pa.int32()), flat)], [*keep, "bands"])
 
-    return docs.select(F.col("text").cast("string").alias("text"), *(F.col(c).cast("long").alias(c) for c in keep)).mapInArrow(run, ", ".join([*(f"{c} long" for c in keep), "bands array<long>"]))
+    return own.mapInArrow(run, ", ".join([*(f"{c} {own.schema[c].dataType.simpleString()}" for c in keep), "bands array<long>"]))
 
 
 def _near(a: np.ndarray, b: np.ndarray, bits: int) -> np.ndarray:
-    """Count filter, then bits: at least 8 - bits positional bytes are shared, and at most ``bits`` bits differ."""
+    """Tally the shared positional bytes of each pair, retain those with at least 8 - bits, and count bits for these only."""
     x = np.ascontiguousarray(a ^ b)
-    shared = (x.view(np.uint8).reshape(*x.shape, 8) == 0).sum(axis=-1)
-    return (shared >= 8 - bits) & (np.bitwise_count(x) <= bits)
+    out = (x.view(np.uint8).reshape(-1, 8) == 0).sum(axis=1) >= 8 - bits
+    kept = np.flatnonzero(out)
+    out[kept] = np.bitwise_count(x[kept]) <= bits
+    return out
 
 
 def _search_lists(bits: int, limit: int | None):
@@ -176,53 +183,70 @@ def _search_lists(bits: int, limit: int | None):
     return run
 
 
-def _neighbours(bits: int):
-    masks = np.array([sum(1 << b for b in c) for n in range(bits // 2 + 1) for c in combinations(range(64), n)], dtype=np.uint64)
+def _shared(keys: int, longest: int, names: list[str]):
+    """Rows (``keys`` columns of a key, node, more longs) in order of keys -> those of keys with several rows, and whether these are more than ``longest``. Holds no more than a batch and longest rows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for band, value, node in zip(*(batch.column(i).to_pylist() for i in range(3))):
-                around = (np.uint64(value & 0xFFFFFFFFFFFFFFFF) ^ masks).view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(masks), band), pa.int32()), pa.array(around, pa.int64()), pa.array(np.full(len(masks), node), pa.int64())], ["band", "centre", "node"])
-
-    return run
-
+        held: list[np.ndarray] | None = None  # the rows of the last key, not yet handed on; none of a key that is known to be long
+        key, over = None, False
 
-def _shared_postings(longest: int):
-    """Rows (posting, node) in order of postings -> those of postings with several nodes, and whether these are more than ``longest``. Holds no more than a batch and longest rows."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, nodes, over = None, np.zeros(0, dtype=np.int64), False  # the posting at the end of the last batch, its nodes not yet handed on
-
-        def rows(postings: np.ndarray, nodes: np.ndarray, long_: np.ndarray) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(postings, pa.int64()), pa.array(nodes, pa.int64()), pa.array(long_, pa.bool_())], ["posting", "node", "long"])
+        def rows(columns: list[np.ndarray], long_: np.ndarray) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([*(pa.array(x, pa.int64()) for x in columns), pa.array(long_, pa.bool_())], [*names, "long"])
 
         for batch in batches:
             if not batch.num_rows:
                 continue
-            keys, own = np.asarray(batch.column(0)), np.asarray(batch.column(1))
+            columns = [np.asarray(c) for c in batch.columns]
             if held is not None:
-                keys, own = np.concatenate((np.full(len(nodes), held), keys)), np.concatenate((nodes, own))
-            starts = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
-            sizes = np.diff(np.concatenate((starts, [len(keys)])))
+                columns = [np.concatenate(x) for x in zip(held, columns)]
+            turn = np.zeros(len(columns[0]) - 1, dtype=bool)
+            for c in columns[:keys]:
+                turn |= c[1:] != c[:-1]
+            starts = np.flatnonzero(np.concatenate(([True], turn)))
+            sizes = np.diff(np.concatenate((starts, [len(columns[0])])))
             long_ = sizes > longest
-            long_[0] |= over and keys[0] == held
+            long_[0] |= over and key == tuple(int(c[0]) for c in columns[:keys])
             done = (sizes > 1) | long_
             last = len(starts) - 1
-            over, held = bool(long_[last]), int(keys[-1])
-            done[last] = over  # the last posting may go on
-            nodes = own[:0] if over else own[starts[last] :]
+            over, key = bool(long_[last]), tuple(int(c[-1]) for c in columns[:keys])
+            done[last] = over  # the last key may go on
+            held = [c[:0] if over else c[starts[last] :] for c in columns]
             pick = np.repeat(done, sizes)
             if pick.any():
-                yield rows(keys[pick], own[pick], np.repeat(long_, sizes)[pick])
-        if len(nodes) > 1:
-            yield rows(np.full(len(nodes), held), nodes, np.zeros(len(nodes), dtype=bool))
+                yield rows([c[pick] for c in columns], np.repeat(long_, sizes)[pick])
+        if held is not None and len(held[0]) > 1:
+            yield rows(held, np.zeros(len(held[0]), dtype=bool))
+
+    return run
+
+
+#: A row of a list that is to be split: its key (band, the byte positions used as bits, their bytes), node and whole value.
+PLACED = ["band", "used", "pattern", "node", "value"]
+
+
+def _further(bits: int):
+    """Rows PLACED -> PLACED with one more position used, for each position and each byte there within the bits that fall to it."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            band, used, pattern, node, value = (np.asarray(c).astype(np.int64) for c in batch.columns)
+            for have in np.unique(used).tolist():
+                own = used == have
+                rest = [p for p in range(8) if not have >> p & 1]
+                radius = bits // len(rest) if len(rest) <= bits else 0  # before that, a pair shares a whole byte more
+                flips = [sum(1 << b for b in c) for n in range(radius + 1) for c in combinations(range(8), n)]
+                for p in rest:
+                    for flip in flips:
+                        byte = value[own].view(np.uint64) & np.uint64(255 << 8 * p) ^ np.uint64(flip << 8 * p)
+                        wide = (pattern[own].view(np.uint64) | byte).view(np.int64)
+                        out = [band[own], np.full(own.sum(), have | 1 << p), wide, node[own], value[own]]
+                        yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in out], PLACED)
 
     return run
 
 
 def near_links(entries: DataFrame, nodes: DataFrame, bits: int = BITS, longest: int = LIST, limit: int | None = None) -> DataFrame:
-    """entries(band, value, id), nodes(id, bands) -> links (u, v) that join up all ids whose values in a band differ in at most ``bits`` (4 or 2).
+    """entries(band, value, id), nodes(id, bands) -> links (u, v) that join up all ids whose values in a band differ in at most ``bits`` (at most 4).
 
     limit: instead, links join up all ids that share a posting and whose bands together differ in at most so many bits; those of a posting of more than
     ``longest`` are all joined up, whatever they differ in. A node has 20 postings for each band, so the longest posting is a small part of
@@ -237,11 +261,11 @@ def near_links(entries: DataFrame, nodes: DataFrame, bits: int = BITS, longest:
     few = entries.repartition(-(-n // SPREAD))  # each row becomes 20: tasks stay small
     dealt = few.select(F.explode(keys).alias("posting"), F.col("id").alias("node"))
     index = (dealt.repartition("posting") if limit is None else dealt.repartition(-(-n * len(triples) // SORTED), "posting")).sortWithinPartitions("posting")
-    listed = materialize(index.mapInArrow(_shared_postings(longest), "posting long, node long, long boolean"), "listed")  # few: most postings stand alone
-    value = F.col("bands")[F.floor(F.col("posting") / (len(triples) << 24)).cast("int")]
+    listed = materialize(index.mapInArrow(_shared(1, longest, ["posting", "node"]), "posting long, node long, long boolean"), "listed")  # few: most postings stand alone
+    band = F.floor(F.col("posting") / (len(triples) << 24)).cast("int")
     own = ["value", "node"] if limit is None else ["value", "node", "bands"]
     found = listed if limit is None else listed.where("not long")
-    found = found.join(nodes.select(F.col("id").alias("node"), "bands"), "node").withColumn("value", value)
+    found = found.join(nodes.select(F.col("id").alias("node"), "bands"), "node").withColumn("value", F.col("bands")[band])
     short = found.where("not long").groupBy("posting").agg(F.collect_list(F.struct(*own)).alias("rows"))
     links = short.select("rows").mapInArrow(_search_lists(bits, limit), "u long, v long")
     if listed.where("long").isEmpty():
@@ -249,12 +273,20 @@ def near_links(entries: DataFrame, nodes: DataFrame, bits: int = BITS, longest:
     if limit is not None:
         heads = materialize(listed.where("long").groupBy("posting").agg(F.min("node").alias("u")), "heads")
         return links.unionByName(listed.where("long").join(heads, "posting").where("u <> node").select("u", F.col("node").alias("v")).distinct())
-    band = F.floor(F.col("posting") / (len(triples) << 24)).cast("int").alias("band")
-    long_ = materialize(found.where("long").select(band, *own).distinct(), "long-lists")
-    met = long_.select("band", "value", "node").mapInArrow(_neighbours(bits), "band int, centre long, node long")
-    nodes = met.groupBy("band", "centre").agg(F.sort_array(F.collect_set("node")).alias("nodes")).where(F.size("nodes") > 1)
-    pairs = F.arrays_zip(F.slice("nodes", 1, F.size("nodes") - 1).alias("u"), F.slice("nodes", 2, F.size("nodes") - 1).alias("v"))
-    return links.unionByName(nodes.select(F.explode(pairs).alias("p")).select("p.u", "p.v").distinct())
+    used = F.array(*(F.lit(sum(1 << p for p in t)) for t in triples))[F.pmod(F.floor(F.col("posting") / (1 << 24)), F.lit(len(triples))).cast("int")]
+    octets = F.array(*(F.lit(sum(255 << 8 * p for p in t) - (1 << 64 if 7 in t else 0)).cast("long") for t in triples))
+    octets = octets[F.pmod(F.floor(F.col("posting") / (1 << 24)), F.lit(len(triples))).cast("int")]
+    rest = found.where("long").select(band.cast("long").alias("band"), used.cast("long").alias("used"), F.col("value").bitwiseAND(octets).alias("pattern"), "node", "value")
+    while True:
+        schema = ", ".join(f"{c} long" for c in PLACED)
+        split = rest.select(*PLACED).mapInArrow(_further(bits), schema).distinct()
+        split = split.repartition("band", "used", "pattern").sortWithinPartitions("band", "used", "pattern")
+        placed = materialize(split.mapInArrow(_shared(3, DEEP * longest, PLACED), f"{schema}, long boolean"), "split")
+        lists = placed.where("not long or used = 255").groupBy("band", "used", "pattern").agg(F.collect_list(F.struct("value", "node")).alias("rows"))
+        links = links.unionByName(lists.select("rows").mapInArrow(_search_lists(bits, None), "u long, v long"))
+        rest = placed.where("long and used <> 255")
+        if rest.isEmpty():
+            return links
 
 
 def _similar(least: float):
@@ -343,26 +375,20 @@ def components(prints: DataFrame, bits: int = BITS, longest: int = LIST, limit:
 
     verify: makes links (u, v) of members(id, root, key), the nodes of each component with the key of one of its rows; these links count then.
     """
-    single = prints.select(F.max(F.size("bands"))).first()[0] in (None, 1)
-    columns = prints.columns
-    prints = prints.withColumn("node", F.col("bands")[0] if single else F.xxhash64("bands"))
-    groups_ = prints.groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.first("bands").alias("bands"), *([F.min("key").alias("key")] if verify else []))
-    nodes = materialize(groups_.withColumn("id", F.col("node") if single else F.monotonically_increasing_id()), "nodes")  # written once: ids stay
-    if single:
-        links = near_links(nodes.select(F.lit(0).alias("band"), F.col("node").alias("value"), "id"), nodes, bits, longest)
-    else:
-        entries = nodes.select("id", F.posexplode("bands").alias("band", "value"))
-        most = nodes.select(F.max(F.size("bands"))).first()[0]
-        lots = [entries.where((F.col("band") >= i) & (F.col("band") < i + PASS)) for i in range(0, most, PASS)]
-        links = reduce(DataFrame.unionByName, [materialize(near_links(lot, nodes, bits, longest, limit), "links") for lot in lots])
+    most = prints.select(F.max(F.size("bands"))).first()[0] or 1
+    groups_ = prints.groupBy("bands").agg(F.min("doc_id").alias("doc_id"), *([F.min("key").alias("key")] if verify else []))
+    nodes = materialize(groups_.withColumn("id", F.col("bands")[0] if most == 1 else F.monotonically_increasing_id()), "nodes")  # written once: ids stay
+    entries = nodes.select("id", F.posexplode("bands").alias("band", "value"))
+    lots = [entries.where((F.col("band") >= i) & (F.col("band") < i + PASS)) for i in range(0, most, PASS)]
+    links = reduce(DataFrame.unionByName, [near_links(lot, nodes, bits, longest, limit) for lot in lots])
     if verify:
         near = materialize(connected_components(links).withColumnRenamed("node", "id"), "candidates")
         links = verify(near.join(nodes.select("id", "key"), "id"))
     roots = materialize(connected_components(links).withColumnRenamed("node", "id"), "roots")
-    least = materialize(roots.join(nodes.select("id", "doc_id"), "id").groupBy("root").agg(F.min("doc_id").alias("component_id")), "least")
+    least = roots.join(nodes.select("id", "doc_id"), "id").groupBy("root").agg(F.min("doc_id").alias("component_id"))
     linked = roots.join(least, "root").select("id", "root", "component_id")
-    labels = nodes.select("id", "node", "doc_id").join(linked, "id", "left").select("node", F.coalesce("root", "id").alias("root"), F.coalesce("component_id", "doc_id").alias("component_id"))
-    return prints.join(materialize(labels, "labels"), "node").select(*columns, "root", "component_id")
+    labels = nodes.select("id", "bands", "doc_id").join(linked, "id", "left").select("bands", F.coalesce("root", "id").alias("root"), F.coalesce("component_id", "doc_id").alias("component_id"))
+    return prints.join(materialize(labels, "labels"), "bands").select(*prints.columns, "root", "component_id")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 4, longest: int = LIST) -> DataFrame:
@@ -386,16 +412,25 @@ def similar_documents(keyed: DataFrame, shingle: int = 5, least: float = 0.8, ba
 
 
 def drop_near_duplicates(docs: DataFrame, shingle: int = 5, least: float = 0.8) -> DataFrame:
-    """The rows of documents but for near copies: of each group the one with the least doc_id (nulls last) stays.
+    """The rows of documents but for near copies: of each group the one with the least doc_id (nulls last, then by text) stays.
 
     Groups are joined up by pairs whose sets of word shingles have a Jaccard similarity of ``least`` or more, each verified on the sets.
+    A row is known by a digest of its doc_id and text (SHA-256). Of rows with the same digest the first in order of their other columns stays.
     """
-    keyed = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("doc_id", "text").alias("key"))
+    inner = docs.select(*(F.col(f"`{c}`").alias(f"_{i}") for i, c in enumerate(docs.columns)))
+    doc_id, text = (F.col(f"_{docs.columns.index(c)}") for c in ("doc_id", "text"))
+    whole = F.concat(F.coalesce(doc_id.cast("string"), F.lit("null")), F.coalesce(F.concat(F.lit("|"), text.cast("string")), F.lit("")))
+    keyed = inner.select("*", doc_id.cast("long").alias("doc_id"), text.alias("text"), F.unhex(F.sha2(whole.cast("binary"), 256)).alias("key"))
     found = similar_documents(keyed, shingle, least)
     best = F.min(F.struct(F.col("doc_id").isNull(), F.col("doc_id"), F.col("key").alias("key")))["key"]
-    stay = materialize(found.groupBy("root").agg(best.alias("key")).select("key"), "stay")
-    kept = keyed.join(stay, "key", "left_semi")
-    twice = found.select("key").groupBy("key").agg(F.count("*").alias("n")).where("n > 1").join(stay, "key", "left_semi")
-    if not twice.isEmpty():  # repeated rows: one of them
-        kept = kept.withColumn("n", F.row_number().over(W.partitionBy("key").orderBy("doc_id"))).where("n = 1")
-    return kept.select("row.*")
+    stay = materialize(found.groupBy("root").agg(best.alias("key"), F.min("component_id")).select("key"), "stay")
+    names = [F.col(f"_{i}").alias(c) for i, c in enumerate(docs.columns)]
+    twice = materialize(found.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").join(stay, "key", "left_semi").select("key"), "twice")
+    if twice.isEmpty():
+        return keyed.join(stay, "key", "left_semi").select(*names)
+    # only the rows of repeated keys are gathered, as partial minima
+    rows = [f"_{i}" for i in range(len(docs.columns))]
+    others = [F.coalesce(F.to_json(F.struct(c)), F.lit("")) for c in rows if c not in (f"_{docs.columns.index('text')}",)]
+    once = keyed.join(stay.join(twice, "key", "left_anti"), "key", "left_semi").select(*rows)
+    again = keyed.join(twice, "key", "left_semi").groupBy("key").agg(F.min_by(F.struct(*rows), F.concat_ws("|", *others)).alias("row")).select("row.*")
+    return once.unionByName(again).select(*names)
