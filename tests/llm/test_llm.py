@@ -590,6 +590,17 @@ def test_quality_separates(spark, sf):
     assert sum(good) >= 0.97 * len(good)
 
 
+def test_windows_of_long_texts():
+    rng = random.Random(7)
+    for n in (6, 30, 400):
+        words = [rng.choice("abcdefgh").encode() for _ in range(n)]
+        before, quality.LONG = quality.LONG, 5
+        try:
+            assert quality.repeated_in_windows(b" ".join(words), words, 5) == quality.repeated_words(words, 5) == slow_counts(" ".join(w.decode() for w in words))[4]
+        finally:
+            quality.LONG = before
+
+
 def test_adaptive_rules_fire(spark):
     """Each rule rejects a text that the base rules let pass; a source of which a third is junk doesn't set its own rule."""
     rng = random.Random(3)

@@ -27,12 +27,14 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tilewright.llm.common import as_bytes, groups, ship
-from tilewright.session import materialize
+from tilewright.llm.common import groups, ship
+from tilewright.session import discard, materialize
 
 SPACE = b"\x20\x09\x0a\x0b\x0c\x0d"
 SYMBOLS = b"#*$%&|<>"
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+#: Words from which a text's windows are counted as integers.
+LONG = 2000
 
 
 @dataclass(frozen=True)
@@ -74,27 +76,49 @@ def repeated_lines(text: bytes) -> int:
     return len(lines) - len(set(lines))
 
 
-def with_counts(docs: DataFrame, window: int = 5, keep: list[str] | None = None) -> DataFrame:
-    """Adds the columns COUNTS, computed from the whole text, to the columns ``keep`` of docs (all by default)."""
+def repeated_in_windows(text: bytes, words: list[bytes], window: int) -> int:
+    """repeated_words; long texts number their words first and hold integers instead of tuples."""
+    if len(words) <= LONG:
+        return repeated_words(words, window)
+    number: dict[bytes, int] = {}
+    ids = np.fromiter((number.setdefault(w, len(number)) for w in words), dtype=np.int64, count=len(words))
+    n = len(ids) - window + 1
+    runs = ids[:n]
+    for i in range(1, window):  # the runs of i words are numbered, so a pair with the next word fits a long
+        _, runs = np.unique(runs * len(number) + ids[i : i + n], return_inverse=True)
+    hit = (np.bincount(runs) > 1)[runs].astype(np.int64)
+    edges = np.zeros(len(ids) + 1, dtype=np.int64)
+    edges[:n] += hit
+    edges[window:] -= hit
+    return int((np.cumsum(edges) > 0).sum())
+
+
+def with_counts(docs: DataFrame, window: int = 5, keep: list[str] | None = None, prefix: str = "") -> DataFrame:
+    """Adds the columns COUNTS (names after ``prefix``), computed from the whole text, to the columns ``keep`` of docs (all by default). A text goes to Python once, kept or not."""
     ship(docs.sparkSession)
     keep = docs.columns if keep is None else keep
-    kept = docs.select(*keep)
-    schema = T.StructType([*(T.StructField(f"_{i}", f.dataType, f.nullable) for i, f in enumerate(kept.schema.fields)), *(T.StructField(c, T.LongType()) for c in COUNTS)])
+    if dict(docs.dtypes)["text"] != "string":
+        docs = docs.withColumn("text", F.col("text").cast("string"))
+    held = keep if "text" in keep else [*keep, "text"]
+    at = held.index("text")
+    own = docs.select(*(F.col(f"`{c}`").alias(f"_{i}") for i, c in enumerate(held)))
+    schema = T.StructType([*own.schema.fields[: len(keep)], *(T.StructField(f"_n{i}", T.LongType()) for i in range(len(COUNTS)))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in groups(batches, "_text"):
-            texts = as_bytes(batch.column(0))
-            points = np.asarray(pc.fill_null(pc.utf8_length(batch.column(0)), 0), dtype=np.int64)
+        for batch in groups(batches, f"_{at}"):
+            texts = batch.column(at)
+            points = np.asarray(pc.fill_null(pc.utf8_length(texts), 0), dtype=np.int64).tolist()
             rows = []
-            for text, n in zip(texts, points.tolist()):
+            for i, n in enumerate(points):
+                text = (texts[i].as_py() or "").encode()
                 words = text.split()
                 blanks, symbols = len(text) - len(text.translate(None, SPACE)), len(text) - len(text.translate(None, SYMBOLS))
-                rows.append((len(words), n - blanks, symbols, repeated_lines(text), repeated_words(words, window)))
+                rows.append((len(words), n - blanks, symbols, repeated_lines(text), repeated_in_windows(text, words, window)))
             counts = [pa.array(x, pa.int64()) for x in zip(*rows)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[1:], *counts], [f.name for f in schema.fields])
+            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], *counts], [f.name for f in schema.fields])
 
-    own = docs.select(F.col("text").cast("string").alias("_text"), *(F.col(c).alias(f"_{i}") for i, c in enumerate(keep)))
-    return own.mapInArrow(run, schema).withColumnsRenamed({f"_{i}": c for i, c in enumerate(keep)})
+    names = {f"_{i}": c for i, c in enumerate(keep)} | {f"_n{i}": prefix + c for i, c in enumerate(COUNTS)}
+    return own.mapInArrow(run, schema).withColumnsRenamed(names)
 
 
 def base_failed(r: Rules, prefix: str = "") -> Column:
@@ -161,7 +185,10 @@ def quality_report(docs: DataFrame, r: Rules = Rules()) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, r: Rules = Rules()) -> DataFrame:
-    """The rows of documents that are kept, with their columns. Counting again is cheaper than moving every text to its verdict."""
-    limits = materialize(thresholds(sketch(with_counts(docs, r.window, ["lang", "source"]), r), r), "thresholds")
-    rows = with_counts(docs.select("text", "lang", "source", F.struct("*").alias("_row")), r.window, ["lang", "source", "_row"])
-    return judge(rows, limits, r).where("kept").select("_row.*")
+    """The rows of documents that are kept, with their columns. Texts are counted twice: that is cheaper than moving each to its verdict."""
+    counted = materialize(with_counts(docs, r.window, ["lang", "source"]), "counts")
+    limits = materialize(thresholds(sketch(counted, r), r), "thresholds")
+    discard(counted)
+    prefix = "_tilewright_"
+    rows = with_counts(docs, r.window, prefix=prefix)
+    return judge(rows, limits, r, prefix).where(F.col(f"{prefix}kept")).select(*(F.col(f"`{c}`").cast(docs.schema[c].dataType) for c in docs.columns))
