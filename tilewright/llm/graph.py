@@ -52,7 +52,10 @@ def connected_components(links: DataFrame) -> DataFrame:
     """
     ship(links.sparkSession)
     e = links.where("u is not null and v is not null and u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
-    e = materialize(e.mapInArrow(_local_stars, "u long, v long").distinct(), "stars")
+    first = materialize(e, "links")
+    lots = max(1, -(-first.count() // LOCAL))  # tasks of many links each: a hub's nodes leave few of them
+    e = materialize(first.coalesce(lots).mapInArrow(_local_stars, "u long, v long").distinct(), "stars")
+    discard(first)
 
     def mark(t: DataFrame) -> tuple:
         return tuple(t.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())

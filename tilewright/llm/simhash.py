@@ -396,7 +396,7 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, longest: int = LIST) -> D
     return components(materialize(fingerprints(docs, shingle), "fingerprints"), longest=longest)
 
 
-def similar_documents(keyed: DataFrame, shingle: int = 5, least: float = 0.8, bands: int = 24, share: float = 0.22, longest: int = LIST) -> DataFrame:
+def similar_documents(keyed: DataFrame, shingle: int = 5, least: float = 0.8, bands: int = 16, share: float = 0.22, longest: int = LIST) -> DataFrame:
     """documents(doc_id, text, key), key the same for equal rows only -> doc_id, key, bands, root, component_id, a row per row.
 
     Links are the pairs of word shingle sets with a Jaccard similarity of ``least`` or more. Sets of similarity 0.8 differ in 15% of the bits; those
