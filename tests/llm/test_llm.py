@@ -434,23 +434,69 @@ def test_repeat_documents(odd):
 # ---------------------------------------------------------------- op6
 
 
+def slow_top_k(rows):
+    """query -> (rank, vec_id, score), with Python's whole numbers; a repeated query id is searched with its least usable vector."""
+    from fractions import Fraction
+
+    usable = [(i, [(64 * Fraction(x)).__floor__() for x in v], v) for i, v in rows if i is not None and v and all(x is not None and np.isfinite(x) for x in v)]
+    out = {}
+    for q in {i for i, *_ in usable if i % 20 == 0}:
+        _, v = min((raw, w) for i, w, raw in usable if i == q)
+        scored = sorted((-sum(a * b for a, b in zip(v, w)), i) for i, w, _ in usable if i != q and len(w) == len(v))[:20]
+        out[q] = [(n + 1, i, max(-(2**63), min(2**63 - 1, -s))) for n, (s, i) in enumerate(scored)]
+    return {q: x for q, x in out.items() if x}
+
+
 def test_bit_sliced_top_k(spark):
     rng = np.random.default_rng(3)
     rows = [(i, [float(x) for x in rng.integers(-4, 4, 6) / 4]) for i in range(300)]
     rows += [(None, rows[0][1]), (400, None), (401, [1.0, None, 0.0, 0.0, 0.0, 0.0]), (402, [float("nan")] * 6), (403, [float("inf")] * 6), (420, [0.5, 0.5]), (421, [1.0, -1.0]), (440, []), (7, rows[8][1]), (20, rows[20][1])]
+    rows += [(500, [None, 1.0, 0.0, 0.0, 0.0, 0.0]), (500, [1.0, 2.0, -1.0, 0.0, 0.5, 0.0]), (500, None), (60, [0.25] * 6)]  # an id with one usable vector; one with two
     df = spark.createDataFrame([(*r, "x") for r in rows], "vec_id long, embedding array<double>, score string")
-    for block in (1 << 16, 64):
+    want = slow_top_k(rows)
+    assert want[500] and want[60]
+    for block, held, cells in ((1 << 16, 8, 3), (64, 2, 4), (32, 1, 40)):
         got = defaultdict(list)
-        for r in bit_slices.top_k(df, F.col("vec_id") % 20 == 0, block=block, lanes=3).collect():
+        for r in bit_slices.top_k(df, F.col("vec_id") % 20 == 0, block=block, held=held, cells=cells).collect():
             got[r.query_id].append((r["rank"], r.vec_id, r.score))
-        usable = [(i, np.floor(64 * np.array(v)).astype(int)) for i, v in rows if i is not None and v and all(x is not None and np.isfinite(x) for x in v)]
-        for q, v in {i: v for i, v in usable if i % 20 == 0}.items():
-            scored = sorted((-int(v @ w), i) for i, w in usable if i != q and len(w) == len(v))[:20]
-            assert sorted(got.pop(q, [])) == [(n + 1, i, -s) for n, (s, i) in enumerate(scored)]
-        assert not got
+        assert {q: sorted(x) for q, x in got.items()} == want
     assert bit_slices.top_k(df.where("false"), F.lit(True)).count() == 0
 
 
+def test_large_components_take_part(spark):
+    """Finite components of any size, as floats and as doubles; scores beyond a long are ordered exactly."""
+    rng = np.random.default_rng(4)
+    rows = [(i, [float(x) for x in rng.integers(-4, 4, 2) / 4]) for i in range(40)]
+    rows += [(100, [5e6, 1.0]), (101, [-5e6, 3.0]), (102, [3e38, -3e38]), (120, [3e38, 2.9e38]), (103, [2.0**28 / 64, 0.0]), (104, [1e300, 1.0]), (140, [1.7e308, -1e300]), (105, [-1.7e308, 5e-324]), (160, [float(2**53 + 2), -0.001])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = defaultdict(list)
+    for r in bit_slices.top_k(df, F.col("vec_id") % 20 == 0).collect():
+        got[r.query_id].append((r["rank"], r.vec_id, r.score))
+    assert {q: sorted(x) for q, x in got.items()} == slow_top_k(rows)
+    values = [0, 1, -1, 255, 256, -255, -256, 1 << 63, -(1 << 63), 1 << 2000, -(1 << 2000), 5, 1 << 200]
+    assert sorted(values, key=bit_slices.order_key) == sorted(values)
+    assert bit_slices.unpack_whole(bit_slices.pack_whole(np.array(values, dtype=object))).tolist() == values
+
+
+def test_index_is_copied_no_more_than_there_are_chunks(spark):
+    df = materialize(spark.range(2000).selectExpr("id as vec_id", "array(double(id % 7), double(id % 11)) as embedding"), "vectors")
+    cells = {}
+    real = bit_slices.materialize
+
+    def watched(df, label, *more):
+        cells[label] = df.rdd.getNumPartitions()
+        return real(df, label, *more)
+
+    bit_slices.materialize = watched
+    try:
+        bit_slices.top_k(df, F.col("vec_id") % 500 == 0, cells=64).count()
+        one = cells["best"]
+        bit_slices.top_k(df, F.col("vec_id") % 2 == 0, block=500, held=1, cells=6).count()
+    finally:
+        bit_slices.materialize = real
+    assert one == 1 and cells["best"] > 1, "one block and one chunk make one cell"
+
+
 def test_signed_digits():
     for q in range(-300, 300):
         digits = bit_slices.signed_digits(q)

@@ -7,47 +7,91 @@ over whole bitmaps sum them to the slices of all scores at once. The top rows ar
 significant slice downward; rows still equal after the last slice have equal scores, and the boundary takes the smallest ids
 among them. Scores are read off the summed slices. Nothing is approximate.
 
-The index is built in place, block by block, from the scan; queries are cut into chunks. Blocks are copied to
-``lanes`` lanes and each chunk meets every block in its own lane, so work spreads over lanes whatever the number of blocks, and no
-task holds more than a few blocks and chunks. Every block returns its k best per query; a window limits these to k.
+Components beyond 28 bits (any finite number may occur) are kept as Python's whole numbers, in blocks and chunks of their own: the
+same slices, only more of them. Scores are ordered exactly whatever their size; ``score`` holds what a long can, and
+its limit beyond.
 
-Defined results: rows with a null id, a null vector, null or non-finite components take no part, nor do those whose
-quantised components need over 28 bits (their scores might overflow a long) or that have no components; vectors meet
-only those of their own length. A repeated query id is searched once, with its least vector; repeated candidates each
+The index is built in place, block by block, from the scan; queries are cut into chunks. Blocks are dealt to groups of
+``HELD``, chunks to lanes, and each cell (group, lane) is a task that holds its group's blocks while the lane's chunks stream by. There
+are no more lanes than chunks and no more than give each core two cells, so an index of many blocks is copied once and one of a
+single block as often as cores need it. Every block returns its k best per query; a window limits these to k.
+
+Defined results: rows with a null id, a null vector, null or non-finite components or no components take no part; vectors
+meet only those of their own length. A repeated query id is one query, with the least of its vectors that take part; repeated candidates each
 take a rank; rows with the query's own id are no candidates. An empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
 
+import struct
 from collections import defaultdict
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tilewright.llm.common import ship
-from tilewright.session import materialize
+from tilewright.session import discard, materialize
 
 BLOCK = 1 << 16
 CHUNK = 64
-LIMIT = 1 << 28
+#: Components from here on are Python's whole numbers: sums of products of smaller ones fit a long.
+LARGE = 1 << 28
+#: Blocks that a task holds, some MB each.
+HELD = 8
+
+
+def takes_part(vector: Column) -> Column:
+    """Whether a vector of doubles has components, all of them finite."""
+    finite = F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
+    return F.coalesce((F.size(vector) > 0) & finite, F.lit(False))
+
+
+def whole(x: float, scale: int) -> int:
+    """floor(scale * x) of a finite double without rounding."""
+    n, d = x.as_integer_ratio()
+    return n * scale // d
+
+
+def pack_whole(values: np.ndarray) -> bytes:
+    """Whole numbers of any size: the bytes of each, then all in a row."""
+    width = max([8, *((int(v).bit_length() + 8) // 8 for v in values.ravel())])
+    return struct.pack("<I", width) + (values.astype("<i8").tobytes() if width == 8 else b"".join(int(v).to_bytes(width, "little", signed=True) for v in values.ravel()))
+
+
+def unpack_whole(octets: bytes) -> np.ndarray:
+    (width,) = struct.unpack_from("<I", octets)
+    if width == 8:
+        return np.frombuffer(octets, "<i8", offset=4)
+    return np.array([int.from_bytes(octets[i : i + width], "little", signed=True) for i in range(4, len(octets), width)], dtype=object)
+
+
+def order_key(score: int) -> bytes:
+    """Bytes that compare as the whole numbers do."""
+    n = (abs(score).bit_length() + 7) // 8
+    octets = struct.pack(">H", n) + abs(score).to_bytes(n, "big")
+    return b"\1" + octets if score >= 0 else b"\0" + bytes(255 - b for b in octets)
 
 
 def quantise(ids: pa.Array, vectors: pa.Array, scale: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(ids, integer matrix) of the rows that take part, for each vector length."""
-    sizes = np.asarray(pc.fill_null(pc.list_value_length(vectors), 0))
-    usable = np.asarray(pc.and_(pc.is_valid(ids), pc.is_valid(vectors)))
-    for n in np.unique(sizes[usable & (sizes > 0)]).tolist():
-        rows = np.flatnonzero(usable & (sizes == n))
+    """(ids, matrix of whole numbers) for each vector length, large components apart. All rows take part."""
+    sizes = np.asarray(pc.list_value_length(vectors))
+    for n in np.unique(sizes).tolist():
+        rows = np.flatnonzero(sizes == n)
         flat = np.asarray(vectors.take(pa.array(rows)).flatten().cast(pa.float64())).reshape(-1, n)
-        with np.errstate(over="ignore", invalid="ignore"):
+        own = np.asarray(ids.take(pa.array(rows))).astype(np.int64)
+        with np.errstate(over="ignore"):
             values = np.floor(flat * scale)
-            rows_fit = (np.isfinite(flat) & (np.abs(values) < LIMIT)).all(axis=1)
-        yield np.asarray(ids.take(pa.array(rows[rows_fit]))).astype(np.int64), values[rows_fit].astype(np.int64)
+        small = (np.abs(values) < LARGE).all(axis=1)
+        if small.any():
+            yield own[small], values[small].astype(np.int64)
+        if not small.all():
+            yield own[~small], np.array([[whole(x, scale) for x in row] for row in flat[~small].tolist()], dtype=object)
 
 
 def _pack(rows: np.ndarray) -> np.ndarray:
@@ -67,12 +111,13 @@ class Block:
         ids, values = ids[order], values[order]
         low = values.min(axis=0)
         above = values - low
-        bits = np.array([int(x).bit_length() for x in above.max(axis=0)], dtype=np.uint8)
-        slices = [_pack((above[:, d, None] >> np.arange(bits[d]) & 1).astype(np.uint8)) for d in range(values.shape[1]) if bits[d]]
-        return {"dim": values.shape[1], "ids": ids.astype("<i8").tobytes(), "low": low.astype("<i8").tobytes(), "bits": bits.tobytes(), "slices": b"".join(x.tobytes() for x in slices)}
+        bits = np.array([int(x).bit_length() for x in above.max(axis=0)], dtype="<u2")
+        kind = above.dtype if above.dtype != object else object
+        slices = [_pack((above[:, d, None] >> np.arange(bits[d], dtype=np.int64).astype(kind) & 1).astype(np.uint8)) for d in range(values.shape[1]) if bits[d]]
+        return {"dim": values.shape[1], "ids": ids.astype("<i8").tobytes(), "low": pack_whole(low), "bits": bits.tobytes(), "slices": b"".join(x.tobytes() for x in slices)}
 
     def __init__(self, ids: bytes, low: bytes, bits: bytes, slices: bytes):
-        self.ids, self.low, self.bits = np.frombuffer(ids, "<i8"), np.frombuffer(low, "<i8"), np.frombuffer(bits, np.uint8)
+        self.ids, self.low, self.bits = np.frombuffer(ids, "<i8"), unpack_whole(low), np.frombuffer(bits, "<u2")
         self.words = -(-len(self.ids) // 64)
         self.slices = np.frombuffer(slices, "<u8").reshape(-1, self.words)
         self.first = np.cumsum(self.bits, dtype=np.int64) - self.bits
@@ -132,10 +177,11 @@ class Block:
         picked = _positions(sure)
         if n_sure < k:
             picked = np.concatenate((picked, _positions(tied)[: k - n_sure]))
-        scores = np.full(len(picked), base, dtype=np.int64)
+        kind = np.int64 if len(slices) < 62 and abs(base) < 1 << 62 else object
+        scores = np.full(len(picked), base, dtype=kind)
         word, bit = picked >> 6, (picked & 63).astype(np.uint64)
         for p, s in enumerate(slices):
-            scores += (s[word] >> bit & np.uint64(1)).astype(np.int64) << p
+            scores += (s[word] >> bit & np.uint64(1)).astype(np.int64).astype(kind) << p
         return self.ids[picked], scores
 
 
@@ -159,14 +205,24 @@ def signed_digits(q: int) -> list[tuple[int, int]]:
     return out
 
 
+def usable(vectors: DataFrame) -> DataFrame:
+    """vectors(vec_id, embedding) -> the rows that take part, as long and array<double>."""
+    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
+    return rows.where(F.col("vec_id").isNotNull() & takes_part(F.col("embedding")))
+
+
+INDEX = pa.schema([("dim", pa.int32()), ("ids", pa.binary()), ("low", pa.binary()), ("bits", pa.binary()), ("slices", pa.binary())])
+CHUNKS = pa.schema([("dim", pa.int32()), ("q_ids", pa.binary()), ("queries", pa.binary())])
+
+
 def build_index(vectors: DataFrame, scale: int = 64, block: int = BLOCK) -> DataFrame:
     """vectors(vec_id, embedding) -> blocks of up to ``block`` rows."""
     ship(vectors.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, list[tuple[np.ndarray, np.ndarray]]] = defaultdict(list)
+        held: dict[tuple[int, bool], list[tuple[np.ndarray, np.ndarray]]] = defaultdict(list)
 
-        def emit(n: int) -> pa.RecordBatch:
+        def emit(n: tuple[int, bool]) -> pa.RecordBatch:
             ids, values = (np.concatenate(x) for x in zip(*held.pop(n)))
             return pa.RecordBatch.from_pylist([Block.build(ids, values)], schema=INDEX)
 
@@ -174,61 +230,84 @@ def build_index(vectors: DataFrame, scale: int = 64, block: int = BLOCK) -> Data
             for at in range(0, batch.num_rows, block):
                 some = batch.slice(at, block)
                 for ids, values in quantise(some.column(0), some.column(1), scale):
-                    n = values.shape[1]
+                    n = values.shape[1], values.dtype == object
                     if held[n] and sum(len(i) for i, _ in held[n]) + len(ids) > block:
                         yield emit(n)
-                    if len(ids):
-                        held[n].append((ids, values))
+                    held[n].append((ids, values))
         for n in [n for n, x in held.items() if x]:
             yield emit(n)
 
     tasks = max(1, vectors.count() // (block // 2))
-    rows = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
-    return rows.coalesce(tasks).mapInArrow(run, "dim int, ids binary, low binary, bits binary, slices binary")
-
+    return usable(vectors).coalesce(tasks).mapInArrow(run, "dim int, ids binary, low binary, bits binary, slices binary")
 
-INDEX = pa.schema([("dim", pa.int32()), ("ids", pa.binary()), ("low", pa.binary()), ("bits", pa.binary()), ("slices", pa.binary())])
 
-
-def query_chunks(vectors: DataFrame, scale: int, lanes: int) -> DataFrame:
-    """vectors(vec_id, embedding) -> chunks of up to CHUNK queries and the lane of each."""
+def query_chunks(vectors: DataFrame, scale: int) -> DataFrame:
+    """vectors(vec_id, embedding) -> chunks of up to CHUNK queries."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for ids, values in quantise(batch.column(0), batch.column(1), scale):
                 for at in range(0, len(ids), CHUNK):
-                    row = {"dim": values.shape[1], "lane": hash(int(ids[at]) // CHUNK) % lanes, "q_ids": ids[at : at + CHUNK].astype("<i8").tobytes(), "queries": values[at : at + CHUNK].astype("<i8").tobytes()}
-                    yield pa.RecordBatch.from_pylist([row], schema=pa.schema([("dim", pa.int32()), ("lane", pa.int32()), ("q_ids", pa.binary()), ("queries", pa.binary())]))
+                    row = {"dim": values.shape[1], "q_ids": ids[at : at + CHUNK].astype("<i8").tobytes(), "queries": pack_whole(values[at : at + CHUNK])}
+                    yield pa.RecordBatch.from_pylist([row], schema=CHUNKS)
+
+    rows = usable(vectors).groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
+    return rows.mapInArrow(run, "dim int, q_ids binary, queries binary")
+
 
-    rows = vectors.groupBy(F.col("vec_id").cast("long").alias("vec_id")).agg(F.min(F.col("embedding").cast("array<double>")).alias("embedding"))
-    return rows.mapInArrow(run, "dim int, lane int, q_ids binary, queries binary")
+def _turn(parts: int) -> Column:
+    """A part for each number of monotonically_increasing_id: the task that made the row plus the row's place there, in turn."""
+    return F.pmod(F.shiftright("number", 33) + F.col("number").bitwiseAND(F.lit((1 << 33) - 1)), F.lit(parts)).cast("int")
 
 
-def top_k(vectors: DataFrame, is_query: Column, k: int = 20, scale: int = 64, block: int = BLOCK, lanes: int | None = None) -> DataFrame:
-    """vectors(vec_id, embedding) -> query_id, rank, vec_id, score: the k best of all rows for each row that is_query holds for."""
+def top_k(vectors: DataFrame, is_query: Column, k: int = 20, scale: int = 64, block: int = BLOCK, held: int = HELD, cells: int | None = None) -> DataFrame:
+    """vectors(vec_id, embedding) -> query_id, rank, vec_id, score: the k best of all rows for each row that is_query holds for. cells: tasks to aim at, by default two a core."""
     spark = vectors.sparkSession
-    lanes = lanes or 2 * spark.sparkContext.defaultParallelism
-    index = materialize(build_index(vectors, scale, block), "bit-slices", "none")
-    chunks = materialize(query_chunks(vectors.where(is_query), scale, lanes), "queries", "none")
-    met = index.withColumn("lane", F.explode(F.sequence(F.lit(0), F.lit(lanes - 1)))).join(chunks.hint("merge"), ["dim", "lane"])
+    number = F.monotonically_increasing_id().alias("number")
+    index = materialize(build_index(vectors, scale, block).select("*", number), "bit-slices", "none")
+    chunks = materialize(query_chunks(vectors.where(is_query), scale).select("*", number), "queries", "none")
+    cells = cells or 2 * spark.sparkContext.defaultParallelism
+    n_blocks, n_chunks = max(1, index.count()), max(1, chunks.count())
+    n_groups = max(-(-n_blocks // held), min(n_blocks, cells))
+    n_lanes = max(1, min(n_chunks, cells // n_groups))
+    none = F.lit(None).cast("binary")
+    blocks = index.select(_turn(n_groups).alias("group"), F.explode(F.sequence(F.lit(0), F.lit(n_lanes - 1))).alias("lane"), "dim", "ids", "low", "bits", "slices", none.alias("q_ids"), none.alias("queries"))
+    asked = chunks.select(F.explode(F.sequence(F.lit(0), F.lit(n_groups - 1))).alias("group"), _turn(n_lanes).alias("lane"), "dim", *(none.alias(c) for c in ("ids", "low", "bits", "slices")), "q_ids", "queries")
+    cell = (F.col("group") * n_lanes + F.col("lane")).cast("int")
+    met = blocks.unionByName(asked).withColumn("cell", cell).repartitionById(n_groups * n_lanes, F.col("cell")).sortWithinPartitions("cell", F.col("ids").isNull())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, own = None, None
+        own: list[tuple[int, Block]] = []  # a partition is a cell: its blocks come before its chunks
         for batch in batches:
-            for ids, low, bits, slices, q_ids, queries in zip(*(batch.column(i).to_pylist() for i in range(6))):
-                if (ids, low) != last:
-                    last, own = (ids, low), Block(ids, low, bits, slices)
-                q_ids = np.frombuffer(q_ids, "<i8")
-                found = [own.top(q, i, k) for i, q in zip(q_ids.tolist(), np.frombuffer(queries, "<i8").reshape(len(q_ids), -1).tolist())]
-                arrays = (np.repeat(q_ids, [len(x) for x, _ in found]), *(np.concatenate(x) for x in zip(*found)))
-                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in arrays], ["query_id", "vec_id", "score"])
+            for i in range(batch.num_rows):
+                dim, ids, low, bits, slices, q_ids, queries = (batch.column(c)[i].as_py() for c in range(7))
+                if ids is not None:
+                    own.append((dim, Block(ids, low, bits, slices)))
+                    continue
+                asked = np.frombuffer(q_ids, "<i8")
+                for query, q in zip(asked.tolist(), unpack_whole(queries).reshape(len(asked), -1).tolist()):
+                    for n, part in own:
+                        if n == dim:
+                            found, scores = part.top(q, query, k)
+                            exact = [int(x) for x in scores]
+                            near = [min(max(x, -(1 << 63)), (1 << 63) - 1) for x in exact]
+                            yield pa.RecordBatch.from_arrays([pa.array([query] * len(found), pa.int64()), pa.array(found, pa.int64()), pa.array(near, pa.int64()), pa.array(map(order_key, exact), pa.binary())], ["query_id", "vec_id", "score", "place"])
+
+    with batch_rows(spark, 8):  # a row holds a block, some MB
+        rows = met.select("dim", "ids", "low", "bits", "slices", "q_ids", "queries").mapInArrow(run, "query_id long, vec_id long, score long, place binary")
+        best = materialize(rows, "best")
+    discard(index, chunks)
+    rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("place"), "vec_id"))
+    return best.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+
 
+@contextmanager
+def batch_rows(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Arrow batches of at most so many rows for what runs inside; the session's setting is put back."""
     setting = "spark.sql.execution.arrow.maxRecordsPerBatch"
     before = spark.conf.get(setting)
-    spark.conf.set(setting, "8")  # a row holds a block, some MB
+    spark.conf.set(setting, str(rows))
     try:
-        best = materialize(met.select("ids", "low", "bits", "slices", "q_ids", "queries").mapInArrow(run, "query_id long, vec_id long, score long"), "best")
+        yield
     finally:
         spark.conf.set(setting, before)
-    rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
-    return best.withColumn("rank", rank).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
