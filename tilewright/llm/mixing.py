@@ -2,28 +2,34 @@
 
 Targets: each source gets its weight's share of ``budget`` words, at most ``cap`` times its size; what is over is
 reshared by weight until none is above its limit (solved at once: sources run into their limits in the order of
-limit / weight). A source with target ``f`` times its size takes ``floor(f)`` certain whole copies of every
-document. The fractional part ``r`` is a fixed-size sample: each document has inclusion odds ``w * r / (1 - r)``
-(``w`` an optional weight, 1 by default) and a uniform number ``u`` hashed from its id; documents are ranked by
-``(u / (1 - u)) / odds`` and taken in that order until the sample's words come as near to the rest as whole
-documents allow.
+limit / weight).
+
+Within a source documents are wanted unequally: a document's expected copies are proportional to its measure (by default
+the bits of its size, so that a text of 10,000 words is wanted nearly twice as often as one of 100), at most ``cap``, and scaled so that the
+expected words add up to the target. The whole part of the expected copies is certain. The fractional part is its inclusion
+probability ``p`` in a sample of fixed size: with a uniform number ``u`` hashed from (doc_id, size, number among equal rows), documents are ranked by
+``(u / (1 - u)) / (p / (1 - p))`` and taken in that order until the sample's words come as near to the rest as whole documents allow.
 
 No source is ever gathered in one task: the order's cut is found by two rounds of 256-bin histograms per source,
-and only the rows of one bin of the second round are ranked. The table of sources, a row each, is written to
+and only the rows of one bin of the second round are ranked. Equal rows are numbered within the tasks that hold them, and the counts
+of tasks are added up. The tables of sources and of their measures (some 20 each) are written to
 the shared folder and broadcast by Spark only below its threshold.
 
 Defined results: null texts have size 0; the null source is a source, last in order; a source without words has target
-0; documents without words are not taken; rows equal in (doc_id, size) are taken or left together; an empty table gives
-an empty result; extra columns pass by.
+0; documents without words are not taken; rows equal in (source, doc_id, size), also null ids, are numbered and drawn for each, so reruns agree in what is taken of them
+(which of several texts under one id and size is taken follows the layout of the input); an empty table gives
+an empty result; extra columns pass by, whatever their names.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tilewright.session import materialize
+from tilewright.session import discard, materialize
 
 WORD = r"[^\x20\x09-\x0D]+"
 BINS = 256
@@ -36,12 +42,12 @@ def n_words(text: Column) -> Column:
 
 def uniform(key: Column, seed: str) -> Column:
     """Strictly between 0 and 1, from 52 bits of an MD5; the same on every run and engine."""
-    digest = F.md5(F.concat(F.lit(seed + "|"), F.coalesce(key.cast("string"), F.lit("null"))))
+    digest = F.md5(F.concat(F.lit(seed + "|"), key))
     return (F.conv(F.substring(digest, 1, BITS // 4), 16, 10).cast("long").cast("double") + 0.5) / float(1 << BITS)
 
 
 def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (1, 2, 3), cap: int = 3, budget: float = 1.0) -> DataFrame:
-    """sizes(source, source_size), a row per source -> + target, copies, rest (words beyond the copies), rate (rest / size).
+    """sizes(source, source_size), a row per source -> + target.
 
     Sources in order of code points, nulls last, get the weights in turn. One row per source: a window over these rows is small.
     """
@@ -61,16 +67,67 @@ def source_targets(sizes: DataFrame, weights: tuple[int, ...] = (1, 2, 3), cap:
     open_at = F.min(F.when(~F.col("stops"), F.struct(F.col("limit") / F.col("weight"), F.col("source").isNull().cast("int"), F.coalesce("source", F.lit("")), F.col("left").alias("left"), F.col("heavy").alias("heavy")))).over(whole)
     rows = rows.withColumn("level", open_at)
     target = F.when(F.col("stops"), F.col("limit").cast("double")).otherwise((F.col("level.left") * F.col("weight")).cast("double") / F.col("level.heavy"))
-    rows = rows.select("source", "source_size", F.coalesce(target, F.lit(0.0)).alias("target"))
-    copies = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(0).cast("long")
-    rows = rows.withColumn("copies", copies)
-    rows = rows.withColumn("rest", F.col("target") - (F.col("copies") * F.col("source_size")).cast("double"))
-    return rows.withColumn("rate", F.when(F.col("source_size") > 0, F.col("rest") / F.col("source_size")).otherwise(0.0))
+    return rows.select("source", "source_size", F.coalesce(target, F.lit(0.0)).alias("target"))
+
+
+KEYS = ("source", "doc_id", "size")
+
+
+def _same(a: DataFrame, b: DataFrame, keys: tuple[str, ...] = KEYS) -> Column:
+    return reduce(lambda x, y: x & y, (a[k].eqNullSafe(b[k]) for k in keys))
+
+
+def repeated_keys(sized: DataFrame) -> DataFrame | None:
+    """The keys of several rows of sized, or None."""
+    peers = materialize(sized.groupBy(*KEYS).agg(F.count("*").alias("n")).where("n > 1").select(*KEYS), "repeated")
+    return None if peers.isEmpty() else peers
+
+
+def numbered(rows: DataFrame, peers: DataFrame | None, tie: Column | None = None) -> DataFrame:
+    """Adds nth: 0, 1, ... among rows with equal KEYS. No task gathers a key: each numbers its own rows, and the counts of the tasks are added up."""
+    zero = F.lit(0).cast("long")
+    if peers is None:
+        return rows.withColumn("nth", zero)
+    single = rows.join(peers, _same(rows, peers), "left_anti").withColumn("nth", zero)
+    held = materialize(rows.join(peers, _same(rows, peers), "left_semi").withColumn("_task", F.spark_partition_id()), "repeated-rows")
+    of_task = held.groupBy(*KEYS, "_task").agg(F.count("*").alias("n"))
+    before = of_task.select(*KEYS, "_task", (F.sum("n").over(W.partitionBy(*KEYS).orderBy("_task")) - F.col("n")).alias("_before"))
+    own = held.withColumn("_own", F.row_number().over(W.partitionBy(*KEYS, "_task").orderBy(zero if tie is None else tie)) - 1)
+    joined = own.join(before, _same(own, before, (*KEYS, "_task")))
+    return single.unionByName(joined.select(*(own[c] for c in rows.columns), (F.col("_own") + F.col("_before")).cast("long").alias("nth")))
+
 
+def measure_of(size: Column) -> Column:
+    """Bits of the size; 0 for texts without words. Few values: a row for each of a source's is kept."""
+    return F.when(size > 0, F.length(F.bin(size))).otherwise(0).cast("long")
 
-def _rank(u: Column, rate: Column, weight: Column | None) -> Column:
-    odds = rate / (1 - rate)
-    return (u / (1 - u)) / (odds if weight is None else odds * weight)
+
+def expected_copies(classes: DataFrame, targets: DataFrame, cap: int) -> DataFrame:
+    """classes(source, measure, words), targets(source, target) -> source, measure, whole, rate, rest (of the source).
+
+    The expected copies are min(cap, c * measure) with c such that they come to the target: measures run into the cap from the largest down.
+    """
+    t = targets.select(F.col("source").alias("t_source"), "target")
+    rows = classes.where("words > 0").join(t, F.col("source").eqNullSafe(F.col("t_source"))).drop("t_source")
+    down = W.partitionBy("source").orderBy(F.desc("measure"))
+    above = F.coalesce(F.sum("words").over(down.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    weighted = F.sum(F.col("measure") * F.col("words")).over(W.partitionBy("source").orderBy("measure").rowsBetween(W.unboundedPreceding, W.currentRow))
+    rows = rows.withColumn("c", (F.col("target") - (above * cap).cast("double")) / weighted)
+    fits = F.when(F.col("c") * F.col("measure") <= cap, F.struct(F.col("measure").alias("m"), F.col("c").alias("c")))
+    rows = rows.withColumn("c", F.max(fits).over(W.partitionBy("source"))["c"])  # of the largest measure below the cap
+    rows = rows.withColumn("copies", F.coalesce(F.greatest(F.least(F.col("c") * F.col("measure"), F.lit(float(cap))), F.lit(0.0)), F.lit(float(cap))))
+    rows = rows.withColumn("whole", F.floor("copies").cast("long"))
+    rest = F.col("target") - F.sum(F.col("whole") * F.col("words")).over(W.partitionBy("source")).cast("double")
+    return rows.select("source", "measure", "whole", (F.col("copies") - F.col("whole")).alias("rate"), rest.alias("rest"))
+
+
+def _rank(u: Column, rate: Column) -> Column:
+    return (u / (1 - u)) / (rate / (1 - rate))
+
+
+def _draw(seed: str) -> Column:
+    key = F.concat_ws("|", *(F.coalesce(F.col(c).cast("string"), F.lit("null")) for c in ("doc_id", "size", "nth")))
+    return uniform(key, seed)
 
 
 def _bin(rank: Column) -> Column:
@@ -79,62 +136,76 @@ def _bin(rank: Column) -> Column:
 
 
 def _cut(rows: DataFrame, step: Column) -> DataFrame:
-    """rows(source, rest, before, size, _bin) -> source, cut (the bin in which the words reach the rest), before (words of lower bins)."""
+    """rows(source, rest, before, size) -> source, cut (the bin in which the words reach the rest, else the last), before (words of lower bins)."""
     sums = rows.groupBy("source", step.alias("cut")).agg(F.sum("size").alias("words"), F.first("rest").alias("rest"), F.first("before").alias("base"))
-    ahead = sums.withColumn("until", F.col("base") + F.sum("words").over(W.partitionBy("source").orderBy("cut")))
-    crossing = ahead.where(F.col("until") >= F.col("rest"))
+    until = F.col("base") + F.sum("words").over(W.partitionBy("source").orderBy("cut"))
+    every = F.col("base") + F.sum("words").over(W.partitionBy("source"))
+    crossing = sums.select("*", until.alias("until"), every.alias("every")).where(F.col("until") >= F.least("rest", F.col("every")))
     return crossing.groupBy("source").agg(F.min(F.struct("cut", (F.col("until") - F.col("words")).alias("before"))).alias("c")).select("source", "c.cut", "c.before")
 
 
-def plan_mix(sized: DataFrame, weights: tuple[int, ...] = (1, 2, 3), cap: int = 3, budget: float = 1.0, seed: str = "mix", odds: Column | None = None) -> DataFrame:
-    """sized(doc_id, source, size) -> a row per source: source, source_size, target, copies, rate and the cut of the Pareto order.
+def plan_mix(sized: DataFrame, weights: tuple[int, ...] = (1, 2, 3), cap: int = 3, budget: float = 1.0, seed: str = "mix") -> tuple[DataFrame, DataFrame]:
+    """sized(doc_id, source, size, measure, nth) -> two small tables: source, source_size, target, cut_bin, edge; and source, measure, whole, rate.
 
-    A document is in the sample where its bin is below cut_bin, or equal to it and (rank, doc_id, size) at most the cut's.
+    A document is in the sample where its bin is below cut_bin, or equal to it and (rank, doc_id, size, nth) at most the edge.
     """
-    sizes = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
-    targets = materialize(source_targets(sizes, weights, cap, budget), "targets")
-    same = lambda a, b: a["source"].eqNullSafe(b["source"])
-    t = targets.where("rest > 0").withColumnRenamed("source", "t_source").select("t_source", "rest", "rate")
-    ranked = sized.where("size > 0").join(t, F.col("source").eqNullSafe(F.col("t_source"))).drop("t_source")
-    ranked = ranked.withColumn("rank", _rank(uniform(F.col("doc_id"), seed), F.col("rate"), odds)).withColumn("bin", _bin(F.col("rank")))
+    classes = materialize(sized.groupBy("source", "measure").agg(F.sum("size").alias("words")), "measures")
+    sizes = classes.groupBy("source").agg(F.sum("words").alias("source_size"))
+    targets = materialize(source_targets(sizes, weights, cap, budget).select("source", "source_size", "target"), "targets")
+    wanted = materialize(expected_copies(classes, targets, cap), "wanted")
+    open_ = wanted.where("rate > 0").select(F.col("source").alias("t_source"), F.col("measure").alias("t_measure"), "rate", "rest")
+    ranked = sized.where("size > 0").join(open_, F.col("source").eqNullSafe(F.col("t_source")) & (F.col("measure") == F.col("t_measure"))).drop("t_source", "t_measure")
+    ranked = ranked.withColumn("rank", _rank(_draw(seed), F.col("rate"))).withColumn("bin", _bin(F.col("rank")))
     zero = F.lit(0).cast("long")
     coarse = materialize(_cut(ranked.withColumn("before", zero), F.floor(F.col("bin") / BINS).cast("int")), "cut").withColumnsRenamed({"source": "c_source", "cut": "coarse"})
     inside = ranked.join(coarse, F.col("source").eqNullSafe(F.col("c_source")) & (F.floor(F.col("bin") / BINS) == F.col("coarse"))).drop("c_source")
     fine = materialize(_cut(inside, F.col("bin")), "cut").withColumnsRenamed({"source": "f_source", "cut": "cut_bin"})
     last = ranked.join(fine, F.col("source").eqNullSafe(F.col("f_source")) & (F.col("bin") == F.col("cut_bin"))).drop("f_source")
-    peers = last.groupBy("source", "rank", "doc_id", "size").agg(F.sum("size").alias("words"), F.first("rest").alias("rest"), F.first("before").alias("before"))
-    until = F.col("before") + F.sum("words").over(W.partitionBy("source").orderBy("rank", F.col("doc_id").isNull(), "doc_id", "size"))
-    near = peers.withColumn("until", until).where(2 * F.col("until") - F.col("words") <= 2 * F.col("rest"))
-    edge = near.groupBy("source").agg(F.max(F.struct("rank", F.col("doc_id").isNull().alias("no_id"), F.coalesce("doc_id", F.lit(0)).alias("id"), "size")).alias("edge"))
+    until = F.col("before") + F.sum("size").over(W.partitionBy("source").orderBy("rank", F.col("doc_id").isNull(), "doc_id", "size", "nth").rowsBetween(W.unboundedPreceding, 0))
+    near = last.withColumn("until", until).where(2 * F.col("until") - F.col("size") <= 2 * F.col("rest"))
+    edge = near.groupBy("source").agg(F.max(_place()).alias("edge"))
     bins = fine.select(F.col("f_source").alias("source"), "cut_bin")
-    out = targets.join(bins, same(targets, bins), "left").drop(bins["source"])
-    out = out.join(edge, same(targets, edge), "left").drop(edge["source"])
-    return materialize(out, "mix-plan")
+    out = targets.join(bins, _same(targets, bins, ("source",)), "left").drop(bins["source"])
+    out = out.join(edge, _same(targets, edge, ("source",)), "left").drop(edge["source"])
+    plan = materialize(out, "mix-plan")
+    discard(classes, targets, coarse, fine)
+    return plan, wanted
+
+
+def _place() -> Column:
+    return F.struct("rank", F.col("doc_id").isNull().alias("no_id"), F.coalesce("doc_id", F.lit(0)).alias("id"), "size", "nth")
+
+
+def apply_mix(sized: DataFrame, plan: tuple[DataFrame, DataFrame], seed: str = "mix") -> DataFrame:
+    """Adds source_size, target and copies (how often the mix takes the document whole) to rows with doc_id, source, size, measure and nth."""
+    p = plan[0].select(F.col("source").alias("p_source"), "source_size", "target", "cut_bin", "edge")
+    w = plan[1].select(F.col("source").alias("w_source"), F.col("measure").alias("w_measure"), "whole", "rate")
+    joined = sized.join(p, F.col("source").eqNullSafe(F.col("p_source")), "left").join(w, F.col("source").eqNullSafe(F.col("w_source")) & (F.col("measure") == F.col("w_measure")), "left")
+    joined = joined.withColumn("rank", F.when(F.col("rate") > 0, _rank(_draw(seed), F.col("rate")))).withColumn("bin", _bin(F.col("rank")))
+    extra = (F.col("bin") < F.col("cut_bin")) | ((F.col("bin") == F.col("cut_bin")) & (_place() <= F.col("edge")))
+    copies = F.when(F.col("size") > 0, F.coalesce("whole", F.lit(0)) + F.coalesce(extra, F.lit(False)).cast("long")).otherwise(0)
+    return joined.withColumn("copies", copies).drop("p_source", "w_source", "w_measure", "whole", "rate", "cut_bin", "edge", "rank", "bin")
 
 
-def apply_mix(sized: DataFrame, plan: DataFrame, seed: str = "mix", odds: Column | None = None) -> DataFrame:
-    """Adds source_size, target and copies (how often the mix takes the document whole) to rows with doc_id, source and size."""
-    p = plan.select(F.col("source").alias("p_source"), "source_size", "target", F.col("copies").alias("whole"), "rate", "cut_bin", "edge")
-    rank = _rank(uniform(F.col("doc_id"), seed), F.col("rate"), odds)
-    own = F.struct(F.col("rank"), F.col("doc_id").isNull().alias("no_id"), F.coalesce("doc_id", F.lit(0)).alias("id"), F.col("size"))
-    extra = (F.col("bin") < F.col("cut_bin")) | ((F.col("bin") == F.col("cut_bin")) & (own <= F.col("edge")))
-    joined = sized.join(p, F.col("source").eqNullSafe(F.col("p_source")), "left")
-    joined = joined.withColumn("rank", F.when(F.col("rate") > 0, rank)).withColumn("bin", _bin(F.col("rank")))
-    copies = F.when(F.col("size") > 0, F.col("whole") + F.coalesce(extra, F.lit(False)).cast("long")).otherwise(0)
-    return joined.withColumn("copies", copies).drop("p_source", "whole", "rate", "cut_bin", "edge", "rank", "bin")
+def _sized(docs: DataFrame, row: bool = False) -> DataFrame:
+    size = n_words(F.col("text"))
+    return docs.select(*(["row"] if row else []), F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), size.alias("size"), measure_of(size).alias("measure"))
 
 
 def mix_documents(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), cap: int = 3, budget: float = 1.0, seed: str = "mix") -> DataFrame:
     """documents(doc_id, text, source) -> doc_id, size, source_size, target, taken."""
-    sized = materialize(docs.select("doc_id", "source", n_words(F.col("text")).alias("size")), "sizes")
+    sized = materialize(_sized(docs), "sizes")
+    sized = numbered(sized, repeated_keys(sized))
     mixed = apply_mix(sized, plan_mix(sized, weights, cap, budget, seed), seed)
     return mixed.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("copies")).alias("taken"))
 
 
 def repeat_documents(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), cap: int = 3, budget: float = 1.0, seed: str = "mix") -> DataFrame:
     """The mix itself: each row of documents as often as the mix takes it, with its columns as they were."""
-    sized = materialize(docs.select("doc_id", "source", n_words(F.col("text")).alias("size")), "sizes")
-    plan = plan_mix(sized, weights, cap, budget, seed)
-    own = docs.select(F.struct("*").alias("row"), "doc_id", "source", n_words(F.col("text")).alias("size"))
-    many = apply_mix(own, plan, seed).where("copies > 0")
+    sized = materialize(_sized(docs), "sizes")
+    peers = repeated_keys(sized)
+    plan = plan_mix(numbered(sized, peers), weights, cap, budget, seed)
+    discard(sized)
+    own = _sized(docs.select(F.struct("*").alias("row"), "doc_id", "source", "text"), row=True)
+    many = apply_mix(numbered(own, peers, F.xxhash64("row.text")), plan, seed).where("copies > 0")
     return many.select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("copy")).select("row.*")

@@ -78,21 +78,30 @@ with sized as (
 ), targets as (
     select r.source, source_size, coalesce(case when cap * r.heavy <= r.remaining * w then cap::double else (l.remaining * w)::double / l.heavy end, 0.0)::double as target
     from run r, level l
-), rates as (
-    select *, case when source_size > 0 then floor(target / source_size) else 0 end::bigint as whole from targets
+), counted as (
+    select *, case when size > 0 then length(bin(size)) else 0 end as measure, row_number() over (partition by source, doc_id, size) - 1 as nth from sized
+), classes as (
+    select c.source, measure, sum(size)::bigint as words, any_value(target) as target from counted c join targets t on c.source is not distinct from t.source group by c.source, measure
+), scaled as (
+    select *, (target - (3 * coalesce(sum(words) over (partition by source order by measure desc rows between unbounded preceding and 1 preceding), 0))::double)
+              / sum(measure * words) over (partition by source order by measure rows between unbounded preceding and current row)::double as c
+    from classes where words > 0
+), solved as (
+    select source, measure, words, target, greatest(least(arg_max(c, measure) filter (c * measure <= 3) over (partition by source) * measure, 3.0), 0.0) as fits from scaled
+), wanted as (
+    select source, measure, words, target, coalesce(fits, 3.0) as copies, floor(coalesce(fits, 3.0))::bigint as whole from solved
 ), planned as (
-    select *, target - (whole * source_size)::double as rest, case when source_size > 0 then (target - (whole * source_size)::double) / source_size else 0.0 end as rate from rates
+    select source, measure, whole, copies - whole as rate, target - (sum(whole * words) over (partition by source))::double as rest from wanted
 ), ranked as (
-    select doc_id, size, p.source, source_size, target, whole, rest, rate,
-           (('0x' || substr(md5('mix|' || coalesce(doc_id::varchar, 'null')), 1, 13))::bigint::double + 0.5) / 4503599627370496.0 as u
-    from sized s join planned p on s.source is not distinct from p.source
+    select c.doc_id, c.size, c.source, c.nth, source_size, t.target, coalesce(whole, 0) as whole, rest, rate,
+           (('0x' || substr(md5('mix|' || coalesce(c.doc_id::varchar, 'null') || '|' || c.size || '|' || c.nth), 1, 13))::bigint::double + 0.5) / 4503599627370496.0 as u
+    from counted c join targets t on c.source is not distinct from t.source left join planned p on c.source is not distinct from p.source and c.measure = p.measure
 ), ordered as (
     select *, case when rate > 0 and size > 0 then (u / (1 - u)) / (rate / (1 - rate)) end as q from ranked
 ), summed as (
-    select *, sum(size) over (partition by source, q is null order by q, doc_id nulls last, size) as upto,
-           sum(size) over (partition by source, q, doc_id, size) as peers from ordered
+    select *, sum(size) over (partition by source, q is null order by q, doc_id nulls last, size, nth rows between unbounded preceding and current row) as upto from ordered
 )
-select doc_id, size, source_size, target, (size * (whole + case when q is not null and 2 * upto - peers <= 2 * rest then 1 else 0 end))::bigint as taken from summed
+select doc_id, size, source_size, target, (size * (whole + case when q is not null and 2 * upto - size <= 2 * rest then 1 else 0 end))::bigint as taken from summed
 """
 
 
