@@ -171,6 +171,24 @@ def test_token_files(spark, docs, odd):
     assert token_files.read_token_files(token_files.write_token_files(docs.where("false"), queries.BYTE_BPE), spark).count() == 0
 
 
+def test_token_files_stand_alone(spark, docs):
+    """The folder is all that a reader needs; null and equal ids spread over ranges."""
+    many = docs.select(F.when(F.col("doc_id") % 3 > 0, F.col("doc_id") % 2).alias("doc_id"), "text")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        files = token_files.write_token_files(many, queries.BYTE_BPE)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    again = token_files.TokenFiles(str(files.path))
+    rows = sorted(token_files.read_token_files(again, spark.newSession()).collect(), key=lambda r: r.start)
+    assert [r.doc_id for r in rows] == sorted([r.doc_id for r in rows], key=lambda x: (x is not None, x or 0)) and len(rows) == docs.count()
+    assert all(a.start + a.n_tokens == b.start for a, b in zip(rows, rows[1:]))
+    parts = spark.read.parquet(f"{files.path}/blocks").select("part").distinct().count()
+    assert parts > 3, "three ids, more ranges"
+    ids = again.ids(spark)
+    assert len(set(ids.tolist())) == len(ids) and ids[0] != 0
+
+
 def test_token_counts(spark, docs, odd):
     for df in (docs, odd, docs.where("false")):
         lengths = [len(x) for x in reference_ids([r.text for r in df.select("text").collect()])]

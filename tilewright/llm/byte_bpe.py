@@ -77,28 +77,25 @@ class ByteBpe:
         if len(known) > CACHE:
             for word in list(islice(known, CACHE // 2, None)):
                 del known[word]
-        out: list[bytes | None] = []
-        add, odd, missing = out.append, [], ()
-        for word in words:
-            ids = known.get(word, missing)
-            if ids is missing:
-                core = word.rstrip(TAIL)
-                tail = word[len(core) :]
-                if core.isalpha():
-                    ids = known.get(core) if tail else None
-                    if ids is None:
-                        ids = known[core] = array("I", [t.id for t in model(space + (core if core.isascii() else self._spelled(core)))]).tobytes()
-                    if tail:
-                        if tail not in tails:
-                            if len(tails) > CACHE:
-                                tails.clear()
-                            tails[tail] = self._ask([tail])[0]
-                        ids += tails[tail]
-                elif word == "" or word[0].isspace() or word[-1].isspace():
-                    ids = None
-                else:
-                    odd.append(len(out))
-            add(ids)
+        out: list[bytes | None] = list(map(known.get, words))
+        odd = []
+        for i in [i for i, ids in enumerate(out) if ids is None]:
+            word = words[i]
+            core = word.rstrip(TAIL)
+            if core.isalpha():
+                ids = known.get(core)
+                if ids is None:
+                    ids = known[core] = array("I", [t.id for t in model(space + (core if core.isascii() else self._spelled(core)))]).tobytes()
+                if len(core) < len(word):
+                    tail = word[len(core) :]
+                    if tail not in tails:
+                        if len(tails) > CACHE:
+                            tails.clear()
+                        tails[tail] = self._ask([tail])[0]
+                    ids += tails[tail]
+                out[i] = ids
+            elif word and not word[0].isspace() and not word[-1].isspace():
+                odd.append(i)
         for i, ids in zip(odd, self._ask([" " + words[i] if inner else words[i] for i in odd])):
             out[i] = known[words[i]] = ids
         return out

@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import os
-
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,10 +12,8 @@ from tilewright.session import table
 #: Fixed values of the contract: explicit rules of op1 and the number of shards of op4.
 URL_RULES = [("block", "com/en/"), ("allow", "example.com/en/7"), ("allow", "net/de/"), ("block", "example.net/de/8"), ("block", "org/es/")]
 SHARDS = 8
-#: Where the public vocabulary files are.
-TOKENIZERS = os.environ.get("TOKENIZER_DIR", "/opt/tokenizers")
-BYTE_BPE = f"{TOKENIZERS}/byte_bpe_50k.json"
-WORD_BPE = f"{TOKENIZERS}/word_bpe_49k.json"
+#: The public vocabulary files; operators take a path.
+BYTE_BPE, WORD_BPE = map(public_tokenizers.path, ("byte_bpe_50k.json", "word_bpe_49k.json"))
 
 
 def op1_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:

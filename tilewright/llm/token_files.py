@@ -7,11 +7,13 @@ documents in a row:
     magic "TWF1" | docs u4 | control bytes u8 | data bytes u8 | doc_id i8[] | null flag u1[] | ids u8[] | control | data
 
 Blocks are rows of Parquet files in the shared folder, committed by Spark's writer, in ascending doc_id (null first):
-column ``part`` numbers the ranges, ``block`` the blocks of a range. Decoding looks the lengths of four ids up in a
+column ``part`` numbers the ranges, ``block`` the blocks of a range. The id of each rank stands beside them (``blocks`` and
+``ranks`` below the folder), so the folder alone is enough to read them, in any session. Decoding looks the lengths of four ids up in a
 256-row table and gathers all bytes of a block at once.
 
-Flow: tokenise once and keep the ids in the shared folder; count them (a row per id, at most the vocabulary, goes to
-the driver for the rank table); range-partition by doc_id, code, and write blocks of at most ``BLOCK_IDS`` ids or one
+Flow: tokenise once and keep the ids in the shared folder, with each task's counts of ids; add the counts up (a row per id, at most the
+vocabulary, goes to the driver for the rank table); range-partition by doc_id, length, a hash of the ids and the row, so that equal and null ids
+spread over ranges; code, and write blocks of at most ``BLOCK_IDS`` ids or one
 document. Every stage streams; no stage holds more than a batch and a block.
 
 Defined results: null and empty texts have only the end id; an empty table gives empty files and result; rows with the
@@ -27,7 +29,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -44,10 +46,16 @@ LENGTHS = (np.arange(256)[:, None] >> np.array([0, 2, 4, 6]) & 3).astype(np.uint
 
 @dataclass(frozen=True)
 class TokenFiles:
-    """path: folder of blocks; ids: the id of each rank."""
+    """A folder with ``blocks`` (part, block, n_docs, n_ids, bytes) and ``ranks`` (rank, id)."""
 
     path: str
-    ids: np.ndarray
+
+    def ids(self, spark: SparkSession) -> np.ndarray:
+        """The id of each rank, at most the vocabulary."""
+        rows = spark.read.schema("rank int, id long").parquet(f"{self.path}/ranks").collect()
+        out = np.zeros(len(rows), dtype=np.uint32)
+        out[[r["rank"] for r in rows]] = [r["id"] for r in rows]
+        return out
 
 
 def _used(counts: np.ndarray) -> np.ndarray:
@@ -108,24 +116,32 @@ def read_block(block: bytes) -> tuple[list[int | None], np.ndarray, np.ndarray]:
     return [None if n else i for i, n in zip(ids.tolist(), null.tolist())], counts, decode(control, data, counts)
 
 
-def tokenize(docs: DataFrame, path: str, end_id: int | None = 0, squeeze: bool = False) -> DataFrame:
-    """documents(doc_id, text) -> doc_id, n_tokens, ids (little-endian unsigned 32-bit integers; squeeze: the fewest bytes an id of the vocabulary needs, 2 or 4, and zstd)."""
+def tokenize(docs: DataFrame, path: str, end_id: int | None = 0) -> DataFrame:
+    """documents(doc_id, text) -> doc_id, n_tokens, ids, counts.
+
+    ids: in the fewest bytes an id of the vocabulary needs (2 or 4), little-endian, zstd. A last row of each task has -1 tokens and, in
+    counts, how often the task met each id (int64, zstd).
+    """
     ship(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
 
         bpe, pack = encoder(path), zstandard.ZstdCompressor(level=3).compress
-        kind = id_type(bpe.size) if squeeze else np.dtype("<u4")
+        kind, total = id_type(bpe.size), np.zeros(bpe.size, dtype="<i8")
+        names = ["doc_id", "n_tokens", "ids", "counts"]
         for batch in groups(batches, "text"):
             ids, counts = bpe.encode(batch.column(1))
             if end_id is not None:
                 ids, counts = np.insert(ids, np.cumsum(counts), end_id), counts + 1
+            total += np.bincount(ids, minlength=bpe.size)
             octets = memoryview(ids.astype(kind).tobytes())
-            packed = [octets[a:b] for a, b in zip(*spans(counts * kind.itemsize))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), pa.array([pack(x) if squeeze else bytes(x) for x in packed], pa.binary())], ["doc_id", "n_tokens", "ids"])
+            packed = [pack(octets[a:b]) for a, b in zip(*spans(counts * kind.itemsize))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(counts, pa.int64()), pa.array(packed, pa.binary()), pa.nulls(len(packed), pa.binary())], names)
+        yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.array([-1], pa.int64()), pa.nulls(1, pa.binary()), pa.array([pack(total.tobytes())], pa.binary())], names)
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, n_tokens long, ids binary")
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    return own.mapInArrow(run, "doc_id long, n_tokens long, ids binary, counts binary")
 
 
 def id_type(vocabulary: int) -> np.dtype:
@@ -133,31 +149,33 @@ def id_type(vocabulary: int) -> np.dtype:
 
 
 def id_counts(tokens: DataFrame, vocabulary: int) -> DataFrame:
-    """tokens(ids), squeezed -> id, n: each task adds up arrays of the vocabulary's size."""
+    """tokens of tokenize -> id, n: the counts of all tasks, added up."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
 
-        unpack, kind = zstandard.ZstdDecompressor().decompress, id_type(vocabulary)
-        total = np.zeros(vocabulary, dtype=np.int64)
-        for batch in groups(batches, "ids"):
-            total += np.bincount(np.frombuffer(b"".join(map(unpack, batch.column(0).to_pylist())), kind), minlength=vocabulary)
+        unpack, total = zstandard.ZstdDecompressor().decompress, np.zeros(vocabulary, dtype=np.int64)
+        for batch in batches:
+            for packed in batch.column(0):
+                total += np.frombuffer(unpack(packed.as_py()), "<i8")
         seen = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(seen, pa.int64()), pa.array(total[seen], pa.int64())], ["id", "n"])
 
-    return tokens.select("ids").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+    return tokens.where("n_tokens < 0").select("counts").mapInArrow(run, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
 
 
 def write_token_files(docs: DataFrame, path: str, end_id: int | None = 0) -> TokenFiles:
     """Tokenise all of documents(doc_id, text) and write the files."""
     spark = docs.sparkSession
     vocabulary = encoder(path).size
-    tokens = materialize(tokenize(docs, path, end_id, squeeze=True), "tokens", "none")
+    tokens = materialize(tokenize(docs, path, end_id).select("*", F.xxhash64("ids").alias("tie"), F.monotonically_increasing_id().alias("row")), "tokens", "none")
     counted = id_counts(tokens, vocabulary).orderBy(F.desc("n"), "id").select("id").collect()  # at most the vocabulary
     by_rank = np.array([r.id for r in counted], dtype=np.uint32)
     rank_of = np.zeros(vocabulary, dtype=np.uint32)
     rank_of[by_rank] = np.arange(len(by_rank), dtype=np.uint32)
     shared = spark.sparkContext.broadcast(rank_of)  # 4 bytes for each id of the vocabulary
+    out = scratch(spark, "token-files")
+    spark.createDataFrame(list(enumerate(by_rank.tolist())), "rank int, id long").coalesce(1).write.parquet(f"{out}/ranks")
 
     def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
@@ -185,17 +203,17 @@ def write_token_files(docs: DataFrame, path: str, end_id: int | None = 0) -> Tok
         if doc_ids:
             yield flush()
 
-    out = scratch(spark, "token-files")
-    ordered = tokens.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "n_tokens", "ids")
-    ordered.mapInArrow(blocks, "part int, block long, n_docs long, n_ids long, bytes binary").write.option("compression", "zstd").parquet(out)
+    order = ["doc_id", "n_tokens", "tie", "row"]
+    ordered = tokens.where("n_tokens >= 0").select("doc_id", "n_tokens", "ids", "tie", "row").repartitionByRange(*order).sortWithinPartitions(*order)
+    ordered.select("doc_id", "n_tokens", "ids").mapInArrow(blocks, "part int, block long, n_docs long, n_ids long, bytes binary").write.option("compression", "zstd").parquet(f"{out}/blocks")
     discard(tokens)
-    return TokenFiles(out, by_rank)
+    return TokenFiles(out)
 
 
-def read_token_files(files: TokenFiles, spark) -> DataFrame:
+def read_token_files(files: TokenFiles, spark: SparkSession) -> DataFrame:
     """-> doc_id, start (ids of all documents before it), n_tokens, ids_crc32, all from the files."""
-    rows = spark.read.schema("part int, block long, n_docs long, n_ids long, bytes binary").parquet(files.path)
-    by_rank = spark.sparkContext.broadcast(files.ids)  # 4 bytes for each id of the vocabulary
+    rows = spark.read.schema("part int, block long, n_docs long, n_ids long, bytes binary").parquet(f"{files.path}/blocks")
+    by_rank = spark.sparkContext.broadcast(files.ids(spark))  # 4 bytes for each id of the vocabulary
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
