@@ -611,12 +611,77 @@ PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{{}}</style><script
 
 def test_page_text():
     text = html_main.Page(PAGE.format("n")).text()
-    assert text == "Head & n\nOne n\nTwo b three x\nan\nb\ncn\nd\npre text\nSign here"
+    assert text == "Head & n\nOne n\nTwo b three x\nShare\nan\nb\ncn\nd\npre text\nSign here"
     for html in ("", "plain  text", "<p>a<p>b", "a<b", "<div><!-- x", "<a title='>'>q</a>", "</p>x", "<br>", "<script>x", "&lt;b&gt; &amp &#65;"):
         html_main.Page(html).text()
     assert html_main.Page("<p>a<p> b\nc &lt;").text() == "a\nb c <" and html_main.Page("<a title='>'>q</a>").text() == "q"
 
 
+@pytest.mark.parametrize("html, text", [
+    ('<article class="post ad-free"><p>a</p></article>', "a"), ('<article class="comments">a</article>', "a"), ('<main><section id="related-work"><p>a</p></section><p><b class="notice">b</b></p></main>', "a\nb"),
+    ('<p data-id="comment-policy">a</p><p data-note="not hidden here">b</p><p title="class=ad hidden">c</p>', "a\nb\nc"), ("<p>a\0b</p>", "a\0b"), ('<p title="x>one', "one"), ('<p title="x>one</p><p>two', "one\ntwo"), ("<p title='x>one <b>q</b>", "one q"),
+    ('<div class="Cookie-Notice">x</div><div class="box ad">y</div><div id=comments>z</div><div role="navigation">w</div><p>a', "a"), ('<div hidden>x</div><p aria-hidden="true">y</p><p style="display : none">z</p><p>a', "a"),
+    ('<div class="header">Site</div><article><div class="header">Head</div><p>a</article>', "Head\na"), ('<div class="side-notes">a</div>', "a"), ('<p class="ad">a</p><span class="menu">b</span>', "a\nb"), ("<article></article>", ""), ("<p>" + "x " * 300_000, " ".join("x" * 300_000)),
+])
+def test_page_oddities(html, text):
+    assert html_main.Page(html, hashed=True).text() == text
+
+
+def test_deep_pages_take_linear_time():
+    import time
+
+    def took(depth):
+        start = time.perf_counter()
+        page = html_main.Page("<div>x" * depth + "</div>" * depth, hashed=True)
+        assert len(page.parts) == depth and page.text() == "\n".join("x" * depth)
+        return time.perf_counter() - start
+
+    took(500)
+    assert took(40_000) < 60 * max(took(2000), 0.01)
+
+
+def test_subtree_counts_by_brute_force(spark):
+    """Random pages: subtrees, written out in full, counted on the pages of each host."""
+    rng = random.Random(12)
+
+    def grow(depth):
+        children = [rng.choice(["red fox", "blue", "x &amp; y"]) if depth > 2 or rng.random() < 0.4 else grow(depth + 1) for _ in range(rng.randrange(4))]
+        return (rng.choice(["div", "section", "p" if all(isinstance(c, str) for c in children) else "div", "b" if depth > 2 else "ul"]), children)
+
+    def html(node):
+        return node if isinstance(node, str) else f"<{node[0]}>{' '.join(map(html, node[1]))}</{node[0]}>"
+
+    def words(node):
+        return node if isinstance(node, str) else "".join(map(words, node[1]))
+
+    def whole(node):
+        """The subtree without elements that hold no text; texts side by side are one."""
+        if isinstance(node, str):
+            return node
+        out = [node[0]]
+        for before, c in zip([("",)] + node[1], node[1]):
+            if isinstance(c, str) and isinstance(before, str):
+                out[-1] += " " + c
+            elif words(c):
+                out.append(whole(c))
+        return tuple(out)
+
+    def parts(node):
+        if not isinstance(node, str) and words(node):
+            if node[0] in html_main.CONTAINERS | html_main.RUNNING:
+                yield whole(node)
+            for c in node[1]:
+                yield from parts(c)
+
+    pages = [(rng.choice(["a", "b", "c"]), ("body", [grow(0) for _ in range(3)])) for _ in range(300)]
+    want = Counter()
+    for host, tree in pages:
+        want.update((host, part) for part in {p for c in tree[1] for p in parts(c)})
+    rows = spark.createDataFrame([(h, html(t)) for h, t in pages], "host string, html string")
+    got = [r for r in html_main.subtree_counts(rows).collect() if r.hash is not None]
+    assert Counter((r.host, r.n) for r in got) == Counter((h, n) for (h, _), n in want.items()) and max(want.values()) > 20
+
+
 @pytest.mark.parametrize("limit", [html_main.BROADCAST, 0])
 def test_templates_go(spark, limit):
     rows = [(i, f"http://h.com/{i}", PAGE.format(i), 1, "c") for i in range(8)] + [(100, "http://solo.com/", PAGE.format("s"), 1, "c"), (101, None, None, 1, "c"), (None, "x", "", 1, "c")]

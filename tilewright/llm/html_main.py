@@ -1,20 +1,23 @@
 """Main text of web pages: site templates are found by counting subtrees per host and cut away.
 
-A page is read once into a flat list of events (text, block edges) in which each element covers a range. Elements whose
-tag, role, class or id says that they are no article text (menus, forms, comments, ...) are dropped on any page, so a
-host with few pages is clean too. Every container's subtree is hashed from its tags and text; Spark counts, per host, the pages on which each hash
+A page is read once into a flat list of events (text, block edges) in which each element covers a range. Elements that by
+themselves are no article text (nav, footer, form, script, ...) are dropped on any page, so a
+host with few pages is clean too; so are containers with a role of that kind, or with a class or id that as a whole is one of a few words for menus,
+headers, footers, sidebars, notices, adverts and reader comments (MARKS). An article, its running text and inline elements are never dropped for their class.
+
+Every element's subtree is hashed from its tag, its text and its children's hashes, once, when it closes. Spark counts, per host, the pages on which each container's hash
 occurs (a page once). Subtrees found on at least ``min_pages`` pages and ``min_share`` of a host's pages are its template and are cut
 from its pages. So are those of a section or a rotating advert: on at least ``min_pages`` pages of different main text, each more than twice as long
 as the subtree, and on ``section_share`` of the host's pages or ``enough`` pages however many it has. Copies of an article count once there. Running text inside an article or main element is
-never hashed: a paragraph that many pages quote is text. What is left of main or article elements, or else of the
+no template: a paragraph that many pages quote is text. What is left of main or article elements, or else of the
 body, is the main text: a line per block.
 
 The template table goes to workers as a broadcast only if it is counted to be at most ``BROADCAST`` rows; beyond,
 each host's templates are joined to its pages by shuffle, where adaptive execution splits a hot host.
 
 Defined results: null and empty html give empty text; null urls or such without ``://`` are one host; broken markup
-is read as far as it goes (unclosed elements end with their parent, unknown ends are ignored); repeated rows count as
-pages and get a row each; an empty table gives an empty result; extra columns are ignored.
+is read as far as it goes (unclosed elements end with their parent, unknown ends are ignored, a tag with an odd quote ends at the
+next ``>``); U+0000 is text; repeated rows count as pages and get a row each; an empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -47,16 +50,24 @@ CONTAINERS = set("div section ul ol dl table aside figure header details center
 RUNNING = set("p li blockquote pre h1 h2 h3 h4 h5 h6".split())
 CLOSES_P = BLOCKS - {"body", "head", "html", "option", "optgroup", "legend", "caption", "title", "td", "th", "tr", "tbody", "thead", "tfoot"}
 CLOSES = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"})}
-# Words in class, id and role that mark what isn't article text; the second set yields to a word of the third.
-MARKS = set("ad ads advert adverts advertisement advertising sponsor sponsored promo promotion banner cookie cookies consent gdpr sidebar navbar navigation nav menu breadcrumb breadcrumbs comment comments disqus reply replies respond share sharing social related recommended recommendations newsletter subscribe subscription popup modal overlay notice notices notification alert widget toolbar pagination pager login signup skip complementary contentinfo search searchbox".split())
-SOFT = set("header footer masthead copyright legal top bottom aside".split())
-TEXT = set("article content main post entry story body text".split())
-PLAIN = {"html", "body", "article", "main"}
-
-TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)>?""", re.S)
-ATTRIBUTE = re.compile(r"""(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?(?=[\s/]|$)""", re.I)
-WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
-EDGE = "\0"
+# Whole classes or ids that name what the main text is without, and roles of the same kind.
+MARKS = set("""
+menu nav navbar navigation main-nav top-nav site-nav breadcrumb breadcrumbs pagination
+site-header page-header masthead
+footer site-footer page-footer
+sidebar side-bar left-sidebar right-sidebar
+notice notices cookie-notice cookie-banner cookie-consent cookies consent privacy-notice
+ad ads advert adverts advertisement advertisements advertising sponsored ad-banner banner-ad
+comments comment comment-list comment-section comments-area reader-comments disqus_thread
+""".split())
+ROLES = set("navigation contentinfo complementary search dialog alertdialog menu menubar".split())
+MARKED = set("div section ul ol dl table center details fieldset".split())
+
+TOKEN = re.compile(r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*+>|[^>]*>?)""", re.S)
+ATTRIBUTE = re.compile(r"""([^\s"'>/=]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
+HIDDEN = re.compile(r"display\s*:\s*none", re.I)
+#: A block's edge among the events.
+EDGE = None
 
 
 @dataclass(frozen=True)
@@ -69,47 +80,58 @@ class Template:
     enough: int = 50
 
 
-def is_marked(tag: str, attributes: str) -> bool:
+def attributes(text: str) -> dict[str, str]:
+    """Names in lower case -> values; the first of equal names counts."""
+    out: dict[str, str] = {}
+    for name, *values in ATTRIBUTE.findall(text):
+        out.setdefault(name.lower(), unescape("".join(values)))
+    return out
+
+
+def is_marked(tag: str, found: dict[str, str], in_main: bool) -> bool:
     """Whether an element's attributes say that it is no article text."""
-    if tag in PLAIN and tag != "article":
+    if tag in ("html", "body", "main", "article"):
+        return False
+    if "hidden" in found or found.get("aria-hidden", "").lower() == "true" or HIDDEN.search(found.get("style", "")):
+        return True
+    if tag not in MARKED:
         return False
-    words: set[str] = set()
-    for m in ATTRIBUTE.finditer(attributes):
-        name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
-        if name == "hidden" or name == "aria-hidden" and value.lower() == "true" or name == "style" and re.search(r"display\s*:\s*none", value, re.I):
-            return True
-        if name in ("class", "id", "role"):
-            words.update(w.lower() for w in WORDS.findall(value))
-    return bool(words & MARKS) or bool(words & SOFT) and not words & TEXT
+    role = found.get("role", "").lower()
+    words = set(f"{found.get('class', '')} {found.get('id', '')}".lower().split())
+    return role in ROLES or bool(words & MARKS) or not in_main and ("header" in words or role == "banner")
 
 
 class Page:
-    """Events of a page and the ranges of its elements: dropped ones, main ones, and those a template may hold."""
+    """Events of a page and the ranges of its elements: dropped ones, main ones, and, if hashed, the parts a template may be: hash, characters, range."""
 
-    def __init__(self, html: str):
-        self.events: list[str] = []
+    def __init__(self, html: str, hashed: bool = False):
+        self.events: list[str | None] = []
         self.dropped: list[tuple[int, int]] = []
         self.main: list[tuple[str, int, int]] = []
-        self.parts: list[tuple[str, int, int]] = []
-        stack: list[list] = []  # tag, first event, dropped here, inside dropped, inside main
+        self.parts: list[tuple[int, int, int, int]] = []
+        # tag, first event, dropped here, inside dropped, inside main, what its subtree holds, characters
+        stack: list[list] = []
         events = self.events
         at = 0
 
         def close(n: int) -> None:
             while len(stack) > n:
-                tag, start, here, inside, in_main = stack.pop()
+                tag, start, here, inside, in_main, items, size = stack.pop()
                 if tag in BLOCKS:
                     events.append(EDGE)
                 end = len(events)
                 if here and not inside:
                     self.dropped.append((start, end))
-                    if tag in BLOCKS - {"head", "title"}:
-                        self.parts.append((tag, start, end))
-                elif not here and not inside:
-                    if tag in ("main", "article"):
-                        self.main.append((tag, start, end))
-                    elif tag in CONTAINERS or tag in RUNNING and not in_main:
-                        self.parts.append((tag, start, end))
+                elif not here and not inside and tag in ("main", "article"):
+                    self.main.append((tag, start, end))
+                if not size:
+                    continue
+                key = xxhash.xxh64_intdigest("\x1f".join((tag, *items))) - (1 << 63)
+                if stack:
+                    stack[-1][5].append(f"\x1e{key:x}")
+                    stack[-1][6] += size
+                if not inside and (tag in CONTAINERS or here and tag in BLOCKS or tag in RUNNING and not in_main):
+                    self.parts.append((key, size, start, end))
 
         def depth(of: set[str], until: set[str] = frozenset()) -> int:
             for i in range(len(stack) - 1, -1, -1):
@@ -124,7 +146,12 @@ class Page:
             m = find(html, at)
             text = html[at : m.start() if m else len(html)]
             if text:
-                events.append(unescape(text) if "&" in text else text)
+                if "&" in text:
+                    text = unescape(text)
+                events.append(text)
+                if hashed and stack and stack[-1][0] not in RAW and (plain := " ".join(text.split())):
+                    stack[-1][5].append(plain)
+                    stack[-1][6] += len(plain)
             if not m:
                 break
             at = m.end()
@@ -146,43 +173,36 @@ class Page:
             elif tag in CLOSES and (i := depth(*CLOSES[tag])) >= 0:
                 close(i)
             above = stack[-1] if stack else None
-            here = tag in DROPPED or bool(m[3]) and is_marked(tag, m[3]) or tag == "header" and not (above and above[4])
+            in_main = bool(above and above[4])
+            found = attributes(m[3].removesuffix(">")) if "=" in m[3] or "hidden" in m[3] else {}
+            main = tag in ("main", "article") or found.get("role", "").lower() == "main"
+            here = tag in DROPPED or bool(found) and not main and is_marked(tag, found, in_main) or tag == "header" and not in_main
             start = len(events)
             if tag in BLOCKS:
                 events.append(EDGE)
             if tag in RAW:
                 end = re.compile(f"</{tag}", re.I).search(html, at)
                 at = end.start() if end else len(html)
-            main = tag in ("main", "article") or 'role="main"' in m[3]
-            stack.append(["main" if main and tag != "article" else tag, start, here, bool(above and (above[2] or above[3])), main or bool(above and above[4])])
+            stack.append(["main" if main and tag != "article" else tag, start, here, bool(above and (above[2] or above[3])), main or in_main, [], 0])
         close(0)
 
-    def hashes(self, sizes: dict[int, int] | None = None) -> dict[int, list[tuple[int, int]]]:
-        """Hash of each part that has text -> its ranges. sizes: gets the characters of each."""
-        out: dict[int, list[tuple[int, int]]] = {}
-        for tag, start, end in self.parts:
-            text = " ".join("".join(self.events[start:end]).split())
-            if text.strip("\0 "):
-                key = xxhash.xxh64_intdigest(f"{tag}\n{text}") - (1 << 63)
-                out.setdefault(key, []).append((start, end))
-                if sizes is not None:
-                    sizes[key] = len(text)
-        return out
-
     def text(self, templates: frozenset[int] | set[int] = frozenset()) -> str:
-        """Blocks of the main text, one a line."""
-        cut = list(self.dropped)
-        if templates:
-            cut += [r for key, ranges in self.hashes().items() if key in templates for r in ranges]
+        """Blocks of the main text, one a line. templates: hashes to cut, for a page that is hashed."""
+        cut = self.dropped + [(start, end) for key, _, start, end in self.parts if key in templates]
         keep = [(s, e) for tag, s, e in self.main if tag == "main"] or [(s, e) for _, s, e in self.main] or [(0, len(self.events))]
         shown = bytearray(len(self.events))
         for s, e in keep:
             shown[s:e] = b"\1" * (e - s)
         for s, e in cut:
             shown[s:e] = b"\0" * (e - s)
-        kept = "".join([x if on else EDGE if x == EDGE else "" for x, on in zip(self.events, shown)])
-        blocks = (" ".join(b.split()) for b in kept.split(EDGE))
-        return "\n".join(b for b in blocks if b)
+        blocks: list[list[str]] = [[]]
+        for x, on in zip(self.events, shown):
+            if x is EDGE:
+                blocks.append([])
+            elif on:
+                blocks[-1].append(x)
+        lines = (" ".join("".join(b).split()) for b in blocks if b)
+        return "\n".join(line for line in lines if line)
 
 
 def subtree_counts(pages: DataFrame) -> DataFrame:
@@ -201,11 +221,11 @@ def subtree_counts(pages: DataFrame) -> DataFrame:
         for batch in groups(batches, "html"):
             for host, html in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 seen[host, None, None] += 1
-                page, sizes = Page(html or ""), {}
+                page = Page(html or "", hashed=True)
                 text = page.text()
                 body = xxhash.xxh64_intdigest(text) - (1 << 63)
-                for key in page.hashes(sizes):
-                    seen[host, key, body if 2 * sizes[key] < len(text) else None] += 1
+                for key, size in {key: size for key, size, _, _ in page.parts}.items():
+                    seen[host, key, body if 2 * size < len(text) else None] += 1
                 if len(seen) > COUNTED:
                     yield hand_on()
         yield hand_on()
@@ -232,7 +252,7 @@ def main_text(pages: DataFrame, t: Template = Template(), broadcast_rows: int =
     schema = "page_id long, url string, text string, n_chars long"
 
     def texts(batch: pa.RecordBatch, of: Iterator[set[int]]) -> pa.RecordBatch:
-        found = [Page(html or "").text(cut) for html, cut in zip(batch.column(2).to_pylist(), of)]
+        found = [Page(html or "", hashed=bool(cut)).text(cut) for html, cut in zip(batch.column(2).to_pylist(), of)]
         return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(found, pa.string()), pa.array(map(len, found), pa.int64())], ["page_id", "url", "text", "n_chars"])
 
     if templates.count() <= broadcast_rows:
