@@ -385,6 +385,52 @@ def test_hash_tree(docs, odd):
         assert all(len(x) == 1 for x in shards.values())
 
 
+def slow_place(key, leaves, seed=0):
+    """The shard of a key, level by level, from the leaves alone."""
+    import math
+
+    def draw(name, weight):
+        u = (int(hashlib.md5(f"{seed}|{name}|{'null' if key is None else key}".encode()).hexdigest()[:13], 16) + 0.5) / 2**52
+        return -math.log(u) / weight
+
+    live = [x for x in leaves if x.weight > 0]
+    for name in (lambda x: x.region, lambda x: x.rack, lambda x: f"{x.rack}s{x.shard}"):
+        weights = Counter()
+        for x in live:
+            weights[name(x)] += x.weight
+        best = min(weights, key=lambda n: draw(n, weights[n]))
+        live = [x for x in live if name(x) == best]
+    return live[0].shard
+
+
+def test_places_by_brute_force(spark):
+    rng = random.Random(1)
+    uneven = hash_tree.HashTree(tuple(hash_tree.Leaf(f"r{i % 3}", f"r{i % 3}k{i % 2}", i, rng.choice([0.0, 0.5, 1.0, 4.0])) for i in range(30)))
+    keys = [None, *range(-5, 700)]
+    df = spark.createDataFrame([(k,) for k in keys], "key long")
+    for tree in (hash_tree.HashTree.uniform(8), hash_tree.HashTree.uniform(1), uneven, uneven.grown()):
+        got = {r.key: r.s for r in df.select("key", hash_tree.place(F.col("key"), tree, 5).alias("s")).collect()}
+        assert got == {k: slow_place(k, tree.leaves, 5) for k in keys}
+    many = hash_tree.HashTree.uniform(2000, 10, 20)
+    share = Counter(r.s for r in spark.range(4000).select(hash_tree.place(F.col("id"), many).alias("s")).collect())
+    assert len(share) > 1500 and max(share.values()) < 15
+    with pytest.raises(ValueError):
+        hash_tree.place(F.col("key"), hash_tree.HashTree(()))
+
+
+def test_equal_rows_get_slots(spark):
+    """A row that makes up most of the table, in lots."""
+    rows = [(None, "same")] * 500 + [(i, f"t{i}") for i in range(100)]
+    before, hash_tree.LOT = hash_tree.LOT, 64
+    try:
+        got = hash_tree.shard_documents(spark.createDataFrame(rows, "doc_id long, text string"), hash_tree.HashTree.uniform(3)).collect()
+    finally:
+        hash_tree.LOT = before
+    assert Counter(r.doc_id for r in got)[None] == 500 and len(got) == 600
+    for shard in range(3):
+        assert sorted(r.slot for r in got if r.shard == shard) == list(range(sum(r.shard == shard for r in got)))
+
+
 def test_hash_tree_balance_and_movement(spark):
     ids = spark.range(20_000)
     uneven = hash_tree.HashTree((*hash_tree.HashTree.uniform(3).leaves, hash_tree.Leaf("r0", "r0k1", 3, 3.0)))

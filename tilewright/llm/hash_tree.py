@@ -1,17 +1,20 @@
 """Sharding by a hierarchical weighted hash tree.
 
 The tree has regions, racks and shards, and each node's weight is the sum below it. A row descends from the root;
-at each level every child draws ``-ln(u) / weight`` from a hash of (child, key) and the smallest draw wins. A draw
+at each level every child draws ``-ln(u) / weight`` from a hash of (seed, child, key) and the smallest draw wins. A draw
 depends on nothing but the key, the child's name and its weight, so a change of weights moves rows only out of
-subtrees that lost weight and into subtrees that gained some. A fresh region takes rows only into itself: that is
-how ``HashTree.grown`` adds a shard when the last region is full.
+subtrees that lost weight and into subtrees that gained some. ``HashTree.grown`` adds a shard as a region of its own: no
+other subtree gains weight, so rows move only into the new shard.
 
-The law is ``key``: the key and the tree decide, whatever other rows there are. Slots within a shard come from
-counts per (shard, bucket): shards are never gathered in one task. A slot orders a shard by bucket, then by key, size
-and checksum; rows equal in all of these are interchangeable.
+The children of all nodes are arrays of constants and a level is one expression over the chosen node's, so the plan
+doesn't grow with the number of shards. Draws are 52 bits of an MD5, the same on any engine.
+
+The law is ``key``: the key and the tree decide, whatever other rows there are. A slot orders a shard by bucket (a hash of what a row shows), then by key, size
+and checksum. Equal rows are one row with a count until they have their first slot, and are then dealt out in lots of ``LOT``: a
+row that makes up a third of the table costs a row per task. Shards are never gathered in one task.
 
 Defined results: null keys are one key like any other; null texts have size 1 and checksum 0; an empty table gives
-an empty result; repeated rows share their shard and get a slot each; extra columns are dropped.
+an empty result; repeated rows share their shard and get a slot each; extra columns are dropped, whatever their names. A tree without weight is refused.
 """
 
 from __future__ import annotations
@@ -23,7 +26,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tilewright.session import materialize
+
+#: Parts of a shard whose rows one task orders: 12 bits of a hash.
 BUCKETS = 4096
+#: Copies of an equal row that one task deals out.
+LOT = 1 << 16
 
 
 @dataclass(frozen=True)
@@ -37,71 +45,72 @@ class Leaf:
 @dataclass(frozen=True)
 class HashTree:
     leaves: tuple[Leaf, ...]
-    racks: int = 2
-    per_rack: int = 2
 
     @classmethod
     def uniform(cls, shards: int, racks: int = 2, per_rack: int = 2) -> HashTree:
         """Regions of racks x per_rack shards, filled in the order of shard numbers."""
         region = racks * per_rack
-        return cls(tuple(Leaf(f"r{i // region}", f"r{i // region}k{i % region // per_rack}", i) for i in range(shards)), racks, per_rack)
+        return cls(tuple(Leaf(f"r{i // region}", f"r{i // region}k{i % region // per_rack}", i) for i in range(shards)))
 
     def grown(self) -> HashTree:
-        """One more shard, in a region of its own: no other subtree gains weight, so rows move only into the new shard."""
+        """One more shard, in a region of its own."""
         new = max((x.shard for x in self.leaves), default=-1) + 1
         region = f"r{len({x.region for x in self.leaves})}+{new}"
-        return HashTree((*self.leaves, Leaf(region, f"{region}k0", new)), self.racks, self.per_rack)
-
+        return HashTree((*self.leaves, Leaf(region, f"{region}k0", new)))
 
-def _draw(node: str, weight: float, key: Column, seed: int) -> Column:
-    """Exponential with the node's weight as its rate; 53 bits of the hash make a number strictly between 0 and 1."""
-    u = (F.shiftrightunsigned(F.xxhash64(F.lit(seed), F.lit(node), key), 11).cast("double") + 0.5) / float(1 << 53)
-    return -F.log(u) / F.lit(float(weight))
+    def levels(self) -> list[list[list[tuple[str, float, int]]]]:
+        """For each level and node there its children: name, weight, and the child's number on the next level (a shard's own on the last)."""
+        leaves = sorted((x for x in self.leaves if x.weight > 0), key=lambda x: (x.region, x.rack, x.shard))
+        if not leaves:
+            raise ValueError("no shard has weight")
+        racks = [[(f"{x.rack}s{x.shard}", float(x.weight), x.shard) for x in own] for _, own in groupby(leaves, lambda x: (x.region, x.rack))]
+        names = [(region, rack) for (region, rack), _ in groupby(leaves, lambda x: (x.region, x.rack))]
+        weigh = lambda rows: sum(w for _, w, _ in rows)
+        regions = [[(names[i][1], weigh(racks[i]), i) for i in own] for _, own in groupby(range(len(names)), lambda i: names[i][0])]
+        root = [[(names[own[0][2]][0], weigh(own), i) for i, own in enumerate(regions)]]
+        return [root, regions, racks]
 
 
-def _choose(children: list[tuple[str, float, Column]], key: Column, seed: int) -> Column:
-    """The value of the child with the smallest draw."""
-    if len(children) == 1:
-        return children[0][2]
-    return F.array_min(F.array(*(F.struct(_draw(name, w, key, seed).alias("draw"), value.alias("value")) for name, w, value in children)))["value"]
+def _draw(node: Column, weight: Column, key: Column, seed: int) -> Column:
+    """Exponential with the node's weight as its rate."""
+    digest = F.md5(F.concat(F.lit(f"{seed}|"), node, F.lit("|"), key))
+    u = (F.conv(F.substring(digest, 1, 13), 16, 10).cast("long").cast("double") + 0.5) / float(1 << 52)
+    return -F.ln(u) / weight
 
 
 def place(key: Column, tree: HashTree, seed: int = 0) -> Column:
-    """The shard of a key. Each level is one choice; deeper levels are evaluated only for the chosen child."""
-    by = sorted((x for x in tree.leaves if x.weight > 0), key=lambda x: (x.region, x.rack, x.shard))
-    regions = []
-    for region, below in groupby(by, lambda x: x.region):
-        racks = [(rack, list(leaves)) for rack, leaves in groupby(below, lambda x: x.rack)]
-        in_rack = [_choose([(f"{rack}s{x.shard}", x.weight, F.lit(x.shard)) for x in leaves], key, seed) for rack, leaves in racks]
-        pick = _choose([(rack, sum(x.weight for x in leaves), F.lit(i)) for i, (rack, leaves) in enumerate(racks)], key, seed)
-        regions.append((region, sum(x.weight for _, leaves in racks for x in leaves), _case(pick, in_rack)))
-    pick = _choose([(name, w, F.lit(i)) for i, (name, w, _) in enumerate(regions)], key, seed)
-    return _case(pick, [value for _, _, value in regions]).cast("int")
-
-
-def _case(pick: Column, values: list[Column]) -> Column:
-    if len(values) == 1:
-        return values[0]
-    out = values[-1]
-    for i in range(len(values) - 2, -1, -1):
-        out = F.when(pick == i, values[i]).otherwise(out)
-    return out
+    """The shard of a key."""
+    text = F.coalesce(key.cast("string"), F.lit("null"))
+    at = F.lit(0)
+    for nodes in tree.levels():
+        children = F.array(*(F.array(*(F.struct(F.lit(name).alias("name"), F.lit(w).alias("weight"), F.lit(n).alias("next")) for name, w, n in own)) for own in nodes))
+        draws = F.transform(children[at], lambda x: F.struct(_draw(x["name"], x["weight"], text, seed).alias("draw"), x["next"].alias("next")))
+        at = F.array_min(draws)["next"]
+    return at.cast("int")
 
 
 def shard_documents(docs: DataFrame, tree: HashTree, seed: int = 0) -> DataFrame:
     """documents(doc_id, text) -> doc_id, size, text_crc32, law, shard, slot, grown_shard."""
-    text = F.coalesce(F.col("text"), F.lit(""))
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     placed = docs.select(
-        "doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"),
+        F.col("doc_id"), (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"),
         place(F.col("doc_id"), tree, seed).alias("shard"), place(F.col("doc_id"), tree.grown(), seed).alias("grown_shard"),
     )
-    placed = placed.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "size", "text_crc32"), F.lit(BUCKETS)).cast("int"))
-    return with_slots(placed).select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
-
-
-def with_slots(placed: DataFrame) -> DataFrame:
-    """Adds slot: gapless from 0 in each shard. placed has shard and bucket; BUCKETS rows a shard bound what one task sums up."""
-    counts = placed.groupBy("shard", "bucket").agg(F.count("*").alias("rows"))
-    before = counts.select("shard", "bucket", (F.sum("rows").over(W.partitionBy("shard").orderBy("bucket")) - F.col("rows")).alias("before"))
-    ranked = placed.withColumn("own", F.row_number().over(W.partitionBy("shard", "bucket").orderBy("doc_id", "size", "text_crc32")) - 1)
-    return ranked.join(before, ["shard", "bucket"]).withColumn("slot", (F.col("before") + F.col("own")).cast("long"))
+    return with_slots(placed, ["doc_id", "size", "text_crc32"]).select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
+
+
+def with_slots(placed: DataFrame, order: list[str]) -> DataFrame:
+    """placed(shard, order, ...) -> + slot: gapless from 0 in each shard. Rows equal in ``order`` must be equal in all columns."""
+    shown = F.concat_ws("|", *(F.coalesce(F.col(c).cast("string"), F.lit("null")) for c in order))
+    bucket = F.conv(F.substring(F.md5(shown), 1, 3), 16, 10).cast("int")
+    kinds = placed.groupBy(*placed.columns).agg(F.count("*").alias("_n")).withColumn("_bucket", bucket)
+    kinds = materialize(kinds, "placed")  # read twice; a row for each different row
+    counts = kinds.groupBy("shard", "_bucket").agg(F.sum("_n").alias("_rows"))
+    before = counts.select("shard", "_bucket", (F.sum("_rows").over(W.partitionBy("shard").orderBy("_bucket")) - F.col("_rows")).alias("_before"))
+    own = F.sum("_n").over(W.partitionBy("shard", "_bucket").orderBy(*order)) - F.col("_n")
+    first = kinds.withColumn("_own", own).join(before, ["shard", "_bucket"]).select(*placed.columns, "_n", (F.col("_before") + F.col("_own")).alias("_slot"))
+    lots = F.sequence(F.lit(0).cast("long"), F.col("_n") - 1, F.lit(LOT).cast("long"))
+    many = first.where(F.col("_n") > LOT).select("*", F.explode(lots).alias("_lot")).repartition("_slot", "_lot")
+    pieces = first.where(F.col("_n") <= LOT).withColumn("_lot", F.lit(0).cast("long")).unionByName(many)
+    each = F.sequence(F.col("_lot"), F.least(F.col("_n"), F.col("_lot") + LOT) - 1)
+    return pieces.select(*placed.columns, "_slot", F.explode(each).alias("_copy")).select(*placed.columns, (F.col("_slot") + F.col("_copy")).cast("long").alias("slot"))

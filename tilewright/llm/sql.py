@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tilewright.llm import quality, queries, url_filters
+from tilewright.llm import hash_tree, quality, queries, url_filters
 
 
 def _rules_sql() -> str:
@@ -61,6 +61,30 @@ def _op1() -> str:
     """
 
 
+def _op4() -> str:
+    def tree(t: hash_tree.HashTree, name: str) -> str:
+        rows = ", ".join(f"({level}, {i}, '{child}', {weight}, {after})" for level, nodes in enumerate(t.levels()) for i, own in enumerate(nodes) for child, weight, after in own)
+        draw = f"-ln((('0x' || substr(md5('0|' || name || '|' || key), 1, 13))::bigint::double + 0.5) / {float(1 << 52)}) / weight"
+        steps = f"{name}_nodes(level, node, name, weight, after) as (values {rows}), {name}_0 as (select distinct key, 0 as node from sized)"
+        for level in range(3):
+            steps += f", {name}_{level + 1} as (select key, arg_min(after, {draw}) as node from {name}_{level} join {name}_nodes using (node) where level = {level} group by key)"
+        return steps
+
+    now = hash_tree.HashTree.uniform(queries.SHARDS)
+    return f"""
+    with crc as (
+        select list_transform(range(256), lambda n: list_reduce(range(8), lambda c, i: case when c & 1 = 1 then xor(3988292384, c >> 1) else c >> 1 end, n)) as t
+    ), octets as (
+        select doc_id, coalesce(doc_id::varchar, 'null') as key, list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda x: ('0x' || x)::bigint) as b from documents
+    ), sized as (
+        select doc_id, key, (len(b) + 1)::bigint as size, xor(list_reduce(b, lambda c, x: xor(t[(xor(c, x) & 255) + 1], c >> 8), 4294967295), 4294967295)::bigint as text_crc32 from octets, crc
+    ), {tree(now, "now")}, {tree(now.grown(), "more")}
+    select doc_id, size, text_crc32, 'key' as law, n.node::int as shard, m.node::int as grown_shard,
+           row_number() over (partition by n.node order by ('0x' || substr(md5(key || '|' || size || '|' || text_crc32), 1, 3))::int, doc_id nulls first, size, text_crc32) - 1 as slot
+    from sized join now_3 n using (key) join more_3 m using (key)
+    """
+
+
 _OP5 = r"""
 with sized as (
     select doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::bigint as size from documents
@@ -165,4 +189,4 @@ def _op10() -> str:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op1_url_reputation": _op1(), "op5_pareto_mix": _OP5, "op6_bit_sliced_topk": _OP6, "op10_adaptive_quality": _op10()}
+    return {"op1_url_reputation": _op1(), "op4_hash_tree_shards": _op4(), "op5_pareto_mix": _OP5, "op6_bit_sliced_topk": _OP6, "op10_adaptive_quality": _op10()}
