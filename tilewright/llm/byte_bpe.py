@@ -19,10 +19,10 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from tilewright.llm.common import TAIL, letters_of_bytes
+
 #: Words a worker remembers; bounds its memory, not the result.
 CACHE = 320_000
-#: Neither letters, digits nor white space.
-TAIL = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 _encoders: dict[str, ByteBpe] = {}
 
@@ -34,18 +34,6 @@ def encoder(path: str) -> ByteBpe:
     return _encoders[path]
 
 
-def letters_of_bytes() -> list[str]:
-    """The printable character that byte-level vocabularies write for each byte: itself if printable, else from U+0100 on."""
-    out, spare = [], 256
-    for b in range(256):
-        if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255:
-            out.append(chr(b))
-        else:
-            out.append(chr(spare))
-            spare += 1
-    return out
-
-
 class ByteBpe:
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"

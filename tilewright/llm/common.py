@@ -1,4 +1,8 @@
-"""What Python stages share: shipping the package to executors, and Arrow helpers."""
+"""What Python stages share: shipping the package to executors, Arrow helpers, and the letters of byte-level vocabularies.
+
+The session's settings are left alone. Stages cut what they get into pieces (``groups``); where executors have little memory, set
+``spark.sql.execution.arrow.maxBytesPerBatch`` below Spark's 64 MB.
+"""
 
 from __future__ import annotations
 
@@ -11,17 +15,25 @@ import pyarrow as pa
 import pyarrow.compute  # noqa: F401
 from pyspark.sql import SparkSession
 
-BATCH = "spark.sql.execution.arrow.maxBytesPerBatch"
 _shipped: set[str] = set()
+#: ASCII punctuation: neither letters, digits nor white space.
+TAIL = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
-def ship(spark: SparkSession) -> None:
-    """Make this package importable on executors wherever the driver was started from, and bound the batches that go to Python.
+def letters_of_bytes() -> list[str]:
+    """The printable character that byte-level vocabularies write for each byte: itself if printable, else from U+0100 on."""
+    out, spare = [], 256
+    for b in range(256):
+        if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255:
+            out.append(chr(b))
+        else:
+            out.append(chr(spare))
+            spare += 1
+    return out
 
-    A session that still has Spark's default of 64 MB a batch gets 16 MB: a worker holds a batch several times over.
-    """
-    if spark.conf.get(BATCH, None) == "67108864b":
-        spark.conf.set(BATCH, "16m")
+
+def ship(spark: SparkSession) -> None:
+    """Make this package importable on executors wherever the driver was started from."""
     app = spark.sparkContext.applicationId
     if app in _shipped:
         return

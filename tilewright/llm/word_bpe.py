@@ -37,7 +37,7 @@ from pyspark import SparkFiles
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tilewright.llm.common import groups, ship, spans
+from tilewright.llm.common import TAIL, groups, letters_of_bytes, ship, spans
 from tilewright.session import materialize
 
 #: Words compiled into the automaton: bounds the file (some MB), not the result.
@@ -46,8 +46,6 @@ LEXICON = 65_536
 CACHE = 400_000
 #: Longer words are left to the merging code.
 LONGEST = 40
-#: Neither letters, digits nor white space.
-TAIL = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 HEAD = struct.Struct("<4sIII")
 NONE = np.int32(1 << 30)
 
@@ -174,7 +172,7 @@ class WordBpe:
         self.strings = [b""] * (max([*vocab.values(), *self.special.values()]) + 1)
         for token, i in vocab.items() | self.special.items():
             self.strings[i] = token.encode()
-        letters = _byte_letters()
+        letters = letters_of_bytes()
         self.inner = np.array([vocab[c] for c in letters], dtype=np.int32)
         self.final = np.array([vocab[c + self.suffix] for c in letters], dtype=np.int32)
         pairs = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
@@ -292,20 +290,8 @@ class WordBpe:
         return np.array([i for i in ids if i >= 0], dtype="<u4")
 
 
-def _byte_letters() -> list[str]:
-    """The printable character that byte-level vocabularies write for each byte: itself if printable, else from U+0100 on."""
-    out, spare = [], 256
-    for b in range(256):
-        if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255:
-            out.append(chr(b))
-        else:
-            out.append(chr(spare))
-            spare += 1
-    return out
-
-
 def _letter_bytes() -> dict[str, int]:
-    return {c: b for b, c in enumerate(_byte_letters())}
+    return {c: b for b, c in enumerate(letters_of_bytes())}
 
 
 # ---------------------------------------------------------------- workers
