@@ -127,7 +127,7 @@ def tokenize(docs: DataFrame, path: str, end_id: int | None = 0) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
 
-        bpe, pack = encoder(path), zstandard.ZstdCompressor(level=3).compress
+        bpe, pack = encoder(path), zstandard.ZstdCompressor(level=1).compress
         kind, total = id_type(bpe.size), np.zeros(bpe.size, dtype="<i8")
         names = ["doc_id", "n_tokens", "ids", "counts"]
         for batch in groups(batches, "text"):
@@ -205,7 +205,7 @@ def write_token_files(docs: DataFrame, path: str, end_id: int | None = 0) -> Tok
 
     order = ["doc_id", "n_tokens", "tie", "row"]
     ordered = tokens.where("n_tokens >= 0").select("doc_id", "n_tokens", "ids", "tie", "row").repartitionByRange(*order).sortWithinPartitions(*order)
-    ordered.select("doc_id", "n_tokens", "ids").mapInArrow(blocks, "part int, block long, n_docs long, n_ids long, bytes binary").write.option("compression", "zstd").parquet(f"{out}/blocks")
+    ordered.select("doc_id", "n_tokens", "ids").mapInArrow(blocks, "part int, block long, n_docs long, n_ids long, bytes binary").write.option("compression", "none").parquet(f"{out}/blocks")
     discard(tokens)
     return TokenFiles(out)
 
