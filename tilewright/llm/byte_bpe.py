@@ -22,7 +22,7 @@ import pyarrow.compute as pc
 from tilewright.llm.common import TAIL, letters_of_bytes
 
 #: Words a worker remembers; bounds its memory, not the result.
-CACHE = 320_000
+CACHE = 600_000
 
 _encoders: dict[str, ByteBpe] = {}
 
@@ -71,7 +71,7 @@ class ByteBpe:
             word = words[i]
             core = word.rstrip(TAIL)
             if core.isalpha():
-                ids = known.get(core)
+                ids = known.get(core) if len(core) < len(word) else None
                 if ids is None:
                     ids = known[core] = array("I", [t.id for t in model(space + (core if core.isascii() else self._spelled(core)))]).tobytes()
                 if len(core) < len(word):
