@@ -103,3 +103,44 @@ def test_design_end_to_end(spark, tmp_path):
     assert len(set(ids)) == len(ids) and min(ids) == "Probe_000000"
     phases = Phases(spark, str(tmp_path / "run"))
     assert phases.run("probes", lambda: pytest.fail("finished phases aren't run again")).count() == len(probes)
+
+
+def test_result_files(spark, tmp_path):
+    from tilewright.sources import fasta, outputs, tables
+
+    placed = spark.createDataFrame([("n1", 1, "acgt"), ("n1", 2, "TTT"), ("n2", 1, "GG")], "node_id string, ord int, seq string")
+    outputs.write_pseudo_genomes(placed.repartition(3), f"{tmp_path}/pseudo")
+    text = "".join(open(p).read() for p in sorted(map(str, (tmp_path / "pseudo").glob("part-*"))))
+    assert text == ">n1\nACGT\nn\nTTT\n>n2\nGG\n"
+    clusters = spark.createDataFrame([("c1", "AC"), ("c2", "GG")], "cluster_id string, seq string")
+    outputs.write_low_penetrance(clusters, spark.createDataFrame([("c1", "_LOWPEN_"), ("c2", "n")], "cluster_id string, node_id string"), f"{tmp_path}/low")
+    assert [(r.id, r.seq) for r in fasta.read_fasta(spark, f"{tmp_path}/low").collect()] == [("c1", "AC")]
+    found = spark.createDataFrame([("t", "c", "chr1", 5, 9, "+", "ACGTA"), ("t", "b", "chr1", 1, 3, "-", "TTT")], "taxon_id string, cluster_id string, chr string, start int, end int, strand string, seq string")
+    outputs.write_targets(found, f"{tmp_path}/targets")
+    assert [tuple(r) for r in fasta.read_fasta(spark, f"{tmp_path}/targets").select("id", "description", "seq").orderBy("id").collect()] == [("TGT_00000", "t | chr1 (1-3)- | b", "TTT"), ("TGT_00001", "t | chr1 (5-9)+ | c", "ACGTA")]
+    with open(tmp_path / "one.fa", "w") as f:
+        f.write(">a x\nACGT\n>b\nAC-T\n>a\nTTTT\n")
+    one = f"{tmp_path}/one.fa"
+    assert [(r.cluster_id, r.seq) for r in fasta.read_cluster_sequences(spark, one).orderBy("cluster_id").collect()] == [("a", "ACGT"), ("b", "AC-T")]
+    assert fasta.read_alignment(spark, one).count() == 3 and len(fasta.read_blacklists(spark, f"{one}, {one}")) == 2
+    for bad in (lambda: fasta.read_blacklists(spark, f"{one},{tmp_path}/none.fa"), lambda: tables.read_paths(spark, one)):
+        with pytest.raises(FileNotFoundError):
+            bad()
+    with open(tmp_path / "two.fa", "w") as f:
+        f.write(">a\nACG\n>b\nA\n")
+    with pytest.raises(ValueError):
+        fasta.read_alignment(spark, f"{tmp_path}/two.fa")
+    with open(tmp_path / "paths", "w") as f:
+        f.write(f"{one}\n\n")
+    assert tables.read_paths(spark, f"{tmp_path}/paths") == [one]
+
+
+def test_known_genes(spark, tmp_path):
+    from tilewright.sources import gff
+
+    seq = "ACGTTGCAAC" * 6
+    with open(tmp_path / "g.gff", "w") as f:
+        f.write(f"##gff-version 3\nc\tx\tCDS\t11\t20\t.\t+\t0\tID=a;Name=n\nc\tx\tCDS\t55\t60\t.\t-\t0\tID=b\n##FASTA\n>c\n{seq}\n")
+    known = spark.createDataFrame([("b",), ("z",)], "gene_id string")
+    r = gff.read_known_genes(spark, [f"{tmp_path}/g.gff"], known, 8).collect()
+    assert [(x.gene_id, x.up, x.down) for x in r] == [("b", 0, 8)] and r[0].seq == seq[46:60].translate(str.maketrans("ACGT", "TGCA"))[::-1]

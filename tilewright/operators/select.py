@@ -11,6 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tilewright.operators import tree
+
 
 def max_density(length: Column, probe: int) -> Column:
     return F.when(length >= 2 * probe - 1, F.lit(probe)).otherwise(length - probe + 1)
@@ -37,6 +39,12 @@ def with_bounds(regions: DataFrame, probe: int, least: int) -> DataFrame:
     return out.withColumns({"n_lo": bait_count(n, F.col("lo"), probe), "n_hi": bait_count(n, F.col("hi"), probe)})
 
 
+def expand_leaves(regions: DataFrame, nodes: DataFrame) -> DataFrame:
+    """regions(region_id, node_id), nodes(node_id, parent_id, is_leaf) -> region_id, org: the leaves below each region's node; a node that isn't in the tree counts for itself."""
+    up = tree.closure(nodes).join(nodes.where("is_leaf").select("node_id"), "node_id").select(F.col("ancestor").alias("node_id"), F.col("node_id").alias("leaf"))
+    return regions.select("region_id", "node_id").join(up, "node_id", "left").select("region_id", F.coalesce("leaf", "node_id").alias("org"))
+
+
 def baits_per_org(bounded: DataFrame, region_org: DataFrame) -> DataFrame:
     return region_org.join(bounded.select("region_id", "n_lo", "n_hi"), "region_id").groupBy("org").agg(F.sum("n_lo").alias("n_lo"), F.sum("n_hi").alias("n_hi"), F.count("*").alias("regions"))
 

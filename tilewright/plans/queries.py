@@ -7,6 +7,8 @@ intervals and runs.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,7 +16,8 @@ from tilewright.functions import cigar, seq as S
 from tilewright.operators import cluster, homology, identify, intervals, select, targets, tree
 from tilewright.operators.kmers import gc_runs, packed_kmers
 from tilewright.params import Params
-from tilewright.session import materialize, table
+from tilewright.session import materialize, scratch, table
+from tilewright.sources import fasta, gff, newick, outputs, tables
 
 P = Params()
 BUDGET = 3000
@@ -98,9 +101,10 @@ def segment_offsets(spark, sf):
 
 
 def pos_to_segment(spark, sf):
+    """Every 37th position of each source's string of segments, separators included: the step is a grid that meets all places of a segment in turn."""
     segs = materialize(intervals.segment_offsets(dna(spark, sf), ["org"], ["id"], F.length("seq")).select("org", F.col("id").alias("segment"), "start", F.length("seq").alias("len")), "segments")
     ends = segs.groupBy("org").agg(F.max(F.col("start") + F.col("len")).alias("total"))
-    points = ends.select("org", F.explode(F.sequence(F.lit(0).cast("long"), F.col("total") - 1, F.lit(1000).cast("long"))).alias("pos"))
+    points = ends.select("org", F.explode(F.sequence(F.lit(0).cast("long"), F.col("total") - 1, F.lit(37).cast("long"))).alias("pos"))
     found = intervals.locate(points, segs, ["org"])
     return found.select("org", "pos", *(F.coalesce(c, F.lit(-1)).cast("long").alias(c) for c in ("segment", "local")))
 
@@ -183,7 +187,8 @@ def cigar_simplify(spark, sf):
 
 
 def cigar_adjust(spark, sf):
-    at = F.explode(F.sequence(F.lit(1), F.lit(1000), F.lit(111)))
+    """Every 11th position of each member's consensus, and one beyond its end."""
+    at = F.explode(F.sequence(F.lit(1), F.col("family").cast("int") + 11, F.lit(11)))
     return _cigars(spark, sf).select("uid", "cigar", at.alias("pos")).select("uid", "pos", F.coalesce(cigar.adjust(F.col("pos"), F.col("cigar")), F.lit(-1)).alias("on_seq"))
 
 
@@ -198,17 +203,10 @@ def _nodes(spark, sf):
     return of_nation.unionByName(of_region).unionByName(root)
 
 
-def _sold(spark, sf):
-    """Parts and the nations of the customers that bought them."""
-    lines, orders, customers, nation = (table(spark, sf, t) for t in ("lineitem", "orders", "customer", "nation"))
-    bought = lines.select("l_orderkey", "l_partkey").join(orders.select("o_orderkey", "o_custkey"), F.col("l_orderkey") == F.col("o_orderkey")).join(customers.select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey"))
-    return bought.select("l_partkey", "c_nationkey").distinct().join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-
-
 def _taxa_members(spark, sf):
-    """Orders' first lines by supplier: few nations a part, so that lower nodes get some."""
+    """Parts and the nations of all their suppliers."""
     lines, supplier, nation = (table(spark, sf, t) for t in ("lineitem", "supplier", "nation"))
-    j = lines.select("l_partkey", "l_suppkey", "l_linenumber").where("l_linenumber = 1").select("l_partkey", "l_suppkey").distinct().join(supplier.select("s_suppkey", "s_nationkey"), F.col("l_suppkey") == F.col("s_suppkey")).join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
+    j = lines.select("l_partkey", "l_suppkey").distinct().join(supplier.select("s_suppkey", "s_nationkey"), F.col("l_suppkey") == F.col("s_suppkey")).join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
     return j.select(F.col("l_partkey").alias("cluster_id"), F.concat(F.lit("N:"), "n_name").alias("taxon_id")).distinct()
 
 
@@ -375,5 +373,118 @@ def target_regions(spark, sf):
     return found.select("cluster_id", "gene_id", "start", "end", "seq")
 
 
+# ---------------------------------------------------------------- files, there and back
+
+
+def _gff(spark, sf):
+    """A GFF3 text of each document: two genes, one on each strand, a comment, another feature, and its bases as FASTA lines."""
+    rows = dna(spark, sf).where(F.length("seq") >= 90)
+    line = lambda *x: F.concat_ws("\t", *(F.lit(v) if isinstance(v, str) else v for v in x))
+    feature = lambda kind, a, b, strand, notes: line("c1", "x", kind, str(a), str(b), ".", strand, "0", notes)
+    name = F.concat(F.lit("ID=g"), F.col("id").cast("string"), F.lit("a;Name=fam"), (F.length("seq") % 7).cast("string"))
+    other = F.concat(F.lit("ID=g"), F.col("id").cast("string"), F.lit("b;note=x"))
+    head = F.concat_ws("\n", F.lit("##gff-version 3"), feature("CDS", 1, 60, "+", name), F.lit("#!made"), feature("gene", 1, 90, "+", F.lit("ID=no")), feature("CDS", 31, 90, "-", other))
+    whole = F.concat(head, F.lit("\n##FASTA\n>c1 contig\n"), S.wrap(F.col("seq"), 60), F.lit("\r\n"))
+    texts = rows.select(F.col("id").cast("string").alias("path"), F.col("id").cast("string").alias("taxon_id"), F.split(F.regexp_replace(whole, "\r", ""), "##FASTA", 2).alias("parts"))
+    return texts.select("path", "taxon_id", F.posexplode("parts").alias("part", "text"))
+
+
+def gff_genes(spark, sf):
+    return gff.genes(_gff(spark, sf)).select("taxon_id", "chr", "family", "uid", "gene_id", "start", "end", "strand", "seq")
+
+
+def fasta_files(spark, sf):
+    """Sequences written as wrapped FASTA and read again, those of one language only."""
+    path = scratch(spark, "fasta")
+    rows = dna(spark, sf).select(F.col("id").cast("string").alias("id"), "seq", "node_id")
+    fasta.write_fasta(rows.select("id", "seq", F.concat(F.lit("lang "), "node_id").alias("description")), path)
+    return fasta.read_cluster_sequences(spark, path, rows.where("node_id = 'en'").select(F.col("id").alias("cluster_id"))).select("cluster_id", "seq")
+
+
+def cluster_info_files(spark, sf):
+    """Members with CIGARs as a table with a header, read again by names, for clusters of even lengths."""
+    path = scratch(spark, "cluster-info")
+    rows = _cigars(spark, sf).join(dna(spark, sf).select(F.col("id").cast("string").alias("uid"), "node_id", "seq"), "uid")
+    outputs.write_cluster_info(rows.select(F.col("family").alias("cluster_id"), F.col("node_id").alias("taxon_id"), F.lit("1").alias("seq_id"), F.col("uid").alias("gene_id"), F.lit(1).alias("start"), F.length("seq").alias("end"), F.lit("+").alias("strand"), "cigar"), path)
+    probed = rows.where("length(seq) % 2 = 0").select(F.col("family").alias("ClustID"))
+    return tables.read_cluster_info(spark, path, probed)
+
+
+def assignment_files(spark, sf):
+    """Assignments with two decimals, read again and relabelled."""
+    path = scratch(spark, "assignment")
+    outputs.write_assignment(lca_penetrance(spark, sf), path)
+    found = tables.read_named(spark, path, tables.ASSIGNMENT)
+    return tree.relabel_low(found.select(F.col("ClusterID").cast("long").alias("cluster_id"), F.col("TaxonID").alias("node_id"), F.col("Penetrance").alias("penetrance")), P.penetrance)
+
+
+def newick_files(spark, sf):
+    """A tree as Newick text and back."""
+    path = scratch(spark, "tree")
+    rows = [(r.node_id, r.parent_id, r.is_leaf) for r in _nodes(spark, sf).collect()]  # a row per nation and region
+    spark.createDataFrame([(newick.format_newick(rows),)], "value string").coalesce(1).write.text(path)
+    return newick.read_newick(spark, path)
+
+
+def region_files(spark, sf):
+    """Candidate regions numbered by place, written without a header, read again, and renumbered as filtered ones."""
+    path = scratch(spark, "regions")
+    rows = gc_runs(dna(spark, sf), P.length, *P.gc_bounds, with_seq=True).join(dna(spark, sf).select("id", "node_id"), "id")
+    rows = rows.select("node_id", F.lpad(F.col("id").cast("string"), 12, "0").alias("cluster_id"), "pos", "len", "seq")
+    outputs.write_regions(tables.numbered(rows, ["node_id", "cluster_id", "pos"], "BR_", 6, "region_id"), path)
+    return outputs.renumber_filtered(tables.read_regions(spark, path).where(F.col("len") >= 2 * P.length))
+
+
+def probe_files(spark, sf):
+    """Probes as FASTA and as a table, joined again by their ids."""
+    text, info = scratch(spark, "probes"), scratch(spark, "probe-info")
+    regions, _ = _region_table(_regions(spark, sf))
+    tiled = select.with_bounds(regions, P.length, P.density).withColumn("density", F.lit(1))
+    outputs.write_probes(tables.numbered(select.emit_probes(tiled, P.length), ["region_id", "clust_pos"], "Probe_", 6, "probe_id"), text, info)
+    found = tables.read_named(spark, info, tables.PROBE_INFO)
+    return found.join(fasta.read_fasta(spark, text).select(F.col("id").alias("ProbeID"), "seq"), "ProbeID")
+
+
+def interval_files(spark, sf):
+    """Low-complexity intervals, 0-based and inclusive, and search hits, 1-based, both read as half-open intervals."""
+    low, hits = scratch(spark, "low"), scratch(spark, "hits")
+    spans = table(spark, sf, "events").select(F.concat(F.lit(">u"), F.col("user_id").cast("string")).alias("region_id"), (F.col("event_id") % 100).cast("int").alias("start"))
+    tables.write_table(spans.select("region_id", "start", (F.col("start") + 9).alias("end")), low, header=False)
+    made = table(spark, sf, "events").select(F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("region_id"), (F.col("event_id") % 40).alias("length"), (F.col("event_id") % 101).cast("double").alias("pident"), (F.col("event_id") % 50 + 30).alias("qstart"), (F.col("event_id") % 70 + 1).alias("qend"))
+    tables.write_table(made, hits, header=False)
+    both = tables.read_intervals(spark, low).unionByName(tables.read_hits(spark, hits, P.hit_length, P.hit_identity))
+    return intervals.merge_intervals(both, ["region_id"])
+
+
+def acgt_segments(spark, sf):
+    """Maximal runs of ACGT in the documents' own letters, with their offsets, and how far each is from the next one."""
+    letters = table(spark, sf, "documents").select(F.col("doc_id").alias("id"), F.regexp_replace("text", "[^A-Za-z]", "").alias("seq"))
+    runs = S.segments_of_acgt(letters.where(F.length("seq") > 0)).where(F.length("seq") >= 4)
+    return runs.select("id", F.col("offset").cast("long").alias("offset"), "seq")
+
+
+def leaf_expansion(spark, sf):
+    """Regions on nodes of a tree, as rows of the leaves below; a node that isn't in the tree stands for itself."""
+    placed = lca_penetrance(spark, sf).select(F.col("cluster_id").alias("region_id"), F.when(F.col("cluster_id") % 11 == 0, F.lit("nowhere")).otherwise(F.col("node_id")).alias("node_id"))
+    return select.expand_leaves(placed, _nodes(spark, sf))
+
+
+def stage_counts(spark, sf):
+    """Regions and taxa that are left after each filter."""
+    regions, org = _region_table(_regions(spark, sf))
+    j = org.join(regions, "region_id")
+    stages = {"all": j, "long": j.where(F.col("len") >= 2 * P.length), "longer": j.where(F.col("len") >= 10 * P.length)}
+    rows = [outputs.counts(x, F.col("region_id"), F.col("org")).select(F.lit(name).alias("stage"), "regions", "taxa") for name, x in stages.items()]
+    return reduce(DataFrame.unionByName, rows)
+
+
+def organism_summary(spark, sf):
+    """What each organism gets at the thinnest tiling."""
+    regions, org = _region_table(_regions(spark, sf))
+    tiled = select.with_bounds(regions, P.length, P.density).withColumn("probes", F.col("n_lo"))
+    classes = org.select("org").distinct().withColumn("class", F.lit("Min"))
+    return outputs.summary(tiled, org, classes)
+
+
 def queries() -> dict:
     return {name: f for name, f in globals().items() if callable(f) and getattr(f, "__module__", "") == __name__ and not name.startswith("_") and name not in ("dna", "items", "queries")}

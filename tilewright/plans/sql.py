@@ -83,7 +83,7 @@ FAMILIES = f"{DNA}, fam as (select length(seq)::varchar as family, id::varchar a
 CIGARS = f"{FAMILIES}, ops as (select c.family, uid, c.i, case when c.b = w.b then '=' else 'X' end as op from cols c join winners w on c.family = w.family and c.i = w.i), marks as (select *, i - row_number() over (partition by family, uid, op order by i) as island from ops), pieces as (select family, uid, op, min(i) as head, count(*) as n from marks group by family, uid, op, island), cigars as (select family, uid, string_agg(n || op, '' order by head) as cigar from pieces group by all)"
 
 NODES = "nodes as (select 'N:' || n_name as node_id, 'R:' || r_name as parent_id, true as is_leaf from nation join region on n_regionkey = r_regionkey union all select 'R:' || r_name, 'WORLD', false from region union all select 'WORLD', null, false), up(ancestor, node_id, distance) as (select node_id, node_id, 0 from nodes union all select n.parent_id, up.node_id, up.distance + 1 from up join nodes n on n.node_id = up.ancestor where n.parent_id is not null)"
-MEMBERS = "members as (select distinct l_partkey as cluster_id, 'N:' || n_name as taxon_id, r_name from lineitem join supplier on l_suppkey = s_suppkey join nation on s_nationkey = n_nationkey join region on n_regionkey = r_regionkey where l_linenumber = 1)"
+MEMBERS = "members as (select distinct l_partkey as cluster_id, 'N:' || n_name as taxon_id, r_name from lineitem join supplier on l_suppkey = s_suppkey join nation on s_nationkey = n_nationkey join region on n_regionkey = r_regionkey)"
 LCA = f"""{NODES}, {MEMBERS}, leaves as (select ancestor, count(*) as leaves from up join nodes using (node_id) where is_leaf group by 1), depth as (select node_id as ancestor, max(distance) as depth from up group by 1),
 sizes as (select cluster_id, count(*) as size from members group by 1), above as (select cluster_id, ancestor, count(*) as n from members join up on taxon_id = node_id group by 1, 2),
 lca as (select cluster_id, arg_max(ancestor, depth) as node_id, any_value(size) as size from above join sizes using (cluster_id) join depth using (ancestor) where n = size group by 1),
@@ -115,7 +115,7 @@ def oracle_sql() -> dict[str, str]:
         "pseudo_genomes": f"with {DNA}, placed as (select node_id, id as cluster_id, (row_number() over w)::int as ord, coalesce(sum(length(seq) + 1) over (partition by node_id order by id rows between unbounded preceding and 1 preceding), 0)::bigint as start, sum(length(seq) + 1) over (partition by node_id) as total from dna window w as (partition by node_id order by id)) select node_id, cluster_id, ord, start from placed where total >= {L + P.flank}",
         "segment_offsets": f"with {DNA} select org, id, (row_number() over (partition by org order by id))::int as ord, coalesce(sum(length(seq) + 1) over (partition by org order by id rows between unbounded preceding and 1 preceding), 0)::bigint as start from dna",
         "pos_to_segment": f"""with {DNA}, segs as (select org, id, length(seq) as len, coalesce(sum(length(seq) + 1) over (partition by org order by id rows between unbounded preceding and 1 preceding), 0)::bigint as start from dna),
-            points as (select org, unnest(range(0, total, 1000)) as pos from (select org, max(start + len)::bigint as total from segs group by 1))
+            points as (select org, unnest(range(0, total, 37)) as pos from (select org, max(start + len)::bigint as total from segs group by 1))
             select p.org, p.pos, case when p.pos - start < len then id else -1 end as segment, case when p.pos - start < len then p.pos - start else -1 end as local from points p asof join segs s on p.org = s.org and p.pos >= s.start""",
         "middle_windows": f"with {DNA}, {UNIQUE} select node_id, id, floor((s + e - 1) / 2)::int as pos from (select *, row_number() over (partition by node_id order by e - s desc, id, s) as k from uniq) where k <= 25",
         "interval_merge": f"with {SPANS}, {merged('user_id')} select * from merged",
@@ -129,7 +129,7 @@ def oracle_sql() -> dict[str, str]:
         "pairwise_distance": f"with {FAMILIES} select x.family, x.uid as a, y.uid as b, round(1 - count(*) filter (x.b = y.b) / count(*)::double, 9) as d from cols x join cols y on x.family = y.family and x.i = y.i and x.uid < y.uid group by 1, 2, 3",
         "cigar_build": f"with {CIGARS} select * from cigars",
         "cigar_simplify": f"with {CIGARS} select uid, family || 'M' as cigar from cigars",
-        "cigar_adjust": f"with {CIGARS}, asked as (select unnest(range(1, 1001, 111))::int as pos) select uid, pos, case when pos <= family::int then pos else -1 end as on_seq from cigars, asked",
+        "cigar_adjust": f"with {CIGARS}, asked as (select uid, family::int as n, unnest(range(1, family::int + 12, 11))::int as pos from cigars) select uid, pos, case when pos <= n then pos else -1 end as on_seq from asked",
         "tree_closure": f"with recursive {NODES} select ancestor, node_id, distance::int as distance from up",
         "lca_penetrance": f"with recursive {LCA} select * from assigned",
         "penetrance_relabel": f"with recursive {LCA} select cluster_id, case when penetrance < {P.penetrance} then '_LOWPEN_' else node_id end as node_id, penetrance from assigned",
@@ -144,6 +144,23 @@ def oracle_sql() -> dict[str, str]:
         "semi_pruned_clusters": f"with {ITEM_KMERS} select * from pruned",
         "anti_blacklist": f"with {ITEM_KMERS} select id, length(seq)::int as n from dna where id not in (select id from pruned)",
         "hairpins": f"with {DNA}, tried as (select id, seq, loop, unnest(range(1, length(seq) - 10 - loop))::int as p from dna, (select unnest([1, 2, 3]) as loop) where length(seq) >= 12 + loop) select id, loop::int as loop, count(*) as n from tried where substr(seq, p, 6) = {rc('substr(seq, p + 6 + loop, 6)')} group by 1, 2",
+        "gff_genes": f"""with {DNA}, g as (select * from dna where length(seq) >= 90)
+            select id::varchar as taxon_id, 'c1' as chr, 'fam' || (length(seq) % 7) as family, 'g' || id || 'a.' || id || '.1' as uid, 'g' || id || 'a' as gene_id, 1 as start, 60 as "end", '+' as strand, substr(seq, 1, 60) as seq from g
+            union all select id::varchar, 'c1', 'UNKNOWN', 'g' || id || 'b.' || id || '.2', 'g' || id || 'b', 31, 90, '-', {rc('substr(seq, 31, 60)')} from g""",
+        "fasta_files": f"with {DNA} select id::varchar as cluster_id, seq from dna where node_id = 'en'",
+        "cluster_info_files": f"with {CIGARS} select c.family as ClusterID, node_id as TaxonID, '1' as SeqID, uid as GeneID, 1 as Start, length(seq)::int as \"End\", '+' as Strand, cigar as CIGAR from cigars c join dna on uid = id::varchar where length(seq) % 2 = 0",
+        "assignment_files": f"with recursive {LCA}, short as (select cluster_id, node_id, round(penetrance, 2) as penetrance from assigned) select cluster_id, case when penetrance < {P.penetrance} then '_LOWPEN_' else node_id end as node_id, penetrance from short",
+        "newick_files": f"with recursive {NODES} select node_id, parent_id, is_leaf from nodes",
+        "region_files": f"with {DNA}, {windows('win', 'dna', L)}, {GC}, {RUNS}, placed as (select node_id, lpad(id::varchar, 12, '0') as cluster_id, pos, len, substr(seq, pos, len) as seq from runs join dna using (id) where len >= {2 * L}) select 'FBR_' || lpad((row_number() over (order by node_id, cluster_id, pos) - 1)::varchar, 6, '0') as region_id, * from placed",
+        "probe_files": f"{REGIONS}, one as (select *, {baits('1')} as n, {spacing('1')} as step from regions), placed as (select *, floor((len - {L} - (n - 1) * step) / 2)::bigint as begin from one), offs as (select *, begin + step * unnest(range(0, n)) as o from placed), each as (select o.region_id, c.node_id, o.cluster_id, o.pos + o as clust_pos, substr(o.seq, (o + 1)::int, {L}) as seq from offs o join dna c on c.id = o.cluster_id) select 'Probe_' || lpad((row_number() over (order by region_id, clust_pos) - 1)::varchar, 6, '0') as ProbeID, node_id as TaxonID, cluster_id::varchar as ClustID, clust_pos::int as ClustPos, seq from each",
+        "interval_files": f"with spans as (select 'u' || user_id as region_id, (event_id % 100 + 1)::int as s, (event_id % 100 + 11)::int as e from events union all select 'u' || user_id, least(event_id % 50 + 30, event_id % 70 + 1)::int, (greatest(event_id % 50 + 30, event_id % 70 + 1) + 1)::int from events where event_id % 40 >= {P.hit_length} and event_id % 101 >= {P.hit_identity}), {merged('region_id')} select * from merged",
+        "acgt_segments": r"""with letters as (select doc_id as id, upper(regexp_replace(text, '[^A-Za-z]', '', 'g')) as s from documents),
+            chars as (select id, unnest(string_split(s, '')) as c, unnest(range(len(s))) as i from letters where len(s) > 0),
+            marked as (select *, i - row_number() over (partition by id order by i) as island from chars where c in ('A', 'C', 'G', 'T'))
+            select id, min(i)::bigint as "offset", string_agg(c, '' order by i) as seq from marked group by id, island having count(*) >= 4""",
+        "leaf_expansion": f"with recursive {LCA}, placed as (select cluster_id as region_id, case when cluster_id % 11 = 0 then 'nowhere' else node_id end as node_id from assigned), leaf as (select ancestor, u.node_id as leaf from up u join nodes n on n.node_id = u.node_id where is_leaf) select region_id, coalesce(leaf, node_id) as org from placed left join leaf on ancestor = node_id",
+        "stage_counts": f"{REGIONS}, j as (select * from region_org join regions using (region_id)) select stage, count(*) as regions, count(distinct org) as taxa from j, (values ('all', 0), ('long', {2 * L}), ('longer', {10 * L})) t(stage, least) where len >= least group by stage",
+        "organism_summary": f"{REGIONS}, {BOUNDS} select org, sum(n_lo)::bigint as probes, 'Min' as class from region_org join tiled using (region_id) group by 1",
         "tiling_bounds": f"{REGIONS}, {BOUNDS} select region_id, len, lo, hi, n_lo, n_hi from tiled",
         "bait_counts": f"{REGIONS}, {BOUNDS} select org, sum(n_lo)::bigint as n_lo, sum(n_hi)::bigint as n_hi, count(*) as regions from region_org join tiled using (region_id) group by 1",
         "constant_tiling": f"{REGIONS}, budget as (select sum({baits('4')}) as most from regions), each as (select len, least(d, {HI}) as own, d from regions, range(1, {L + 1}) t(d)), totals as (select d, sum({baits('own')})::bigint as probes from each group by d) select d::int as density, probes from totals where probes <= (select most from budget) order by d desc limit 1",

@@ -42,20 +42,34 @@ def contigs(gff: DataFrame) -> DataFrame:
     return records.select("path", F.regexp_extract("r", r"^(\S+)", 1).alias("chr"), F.upper(F.regexp_replace(F.regexp_replace("r", r"^[^\n]*", ""), r"\s", "")).alias("seq"))
 
 
-def read_genes(spark: SparkSession, genomes: list[tuple[str, str]], pattern: str = ".+") -> DataFrame:
-    """genomes (path, taxon_id) -> taxon_id, chr, family, uid (ID.taxon.number), gene_id, start, end, strand, seq (reverse complement on -).
+def genes(gff: DataFrame, pattern: str = ".+") -> DataFrame:
+    """read_gff rows with taxon_id -> taxon_id, path, chr, family, uid (ID.taxon.number), gene_id, start, end, strand, seq (reverse complement on -).
 
     The family is the first match of pattern in the Name, else the whole Name, else UNKNOWN; numbers follow the file.
     """
     from tilewright.operators.cluster import family_name
 
-    gff = read_gff(spark, [p for p, _ in genomes])
-    ids = spark.createDataFrame(genomes, "_p string, taxon_id string")
-    base = lambda c: F.regexp_extract(c, r"([^/]*)$", 1)
-    found = features(gff).join(F.broadcast(ids), base(F.col("path")) == base(F.col("_p")))  # a row per file that the caller named
+    found = features(gff).join(gff.select("path", "taxon_id").distinct(), "path")
     found = found.withColumn("name", F.try_element_at("attributes", F.lit("Name"))).withColumn("family", family_name("name", pattern))
     number = F.row_number().over(W.partitionBy("taxon_id").orderBy("at"))
     gene = F.coalesce(F.try_element_at("attributes", F.lit("ID")), F.lit("UNKNOWN"))
     named = found.withColumns({"gene_id": gene, "uid": F.concat_ws(".", gene, "taxon_id", number.cast("string"))})
     cut = F.substring(F.col("seq"), F.col("start"), F.col("end") - F.col("start") + 1)
     return named.join(contigs(gff), ["path", "chr"]).select("taxon_id", "path", "chr", "family", "uid", "gene_id", "start", "end", "strand", F.when(F.col("strand") == "-", revcomp(cut)).otherwise(cut).alias("seq"))
+
+
+def read_genes(spark: SparkSession, genomes: list[tuple[str, str]], pattern: str = ".+") -> DataFrame:
+    """genomes (path, taxon_id) -> genes of the files."""
+    base = lambda c: F.regexp_extract(c, r"([^/]*)$", 1)
+    ids = spark.createDataFrame(genomes, "_p string, taxon_id string")
+    gff = read_gff(spark, [p for p, _ in genomes])
+    return genes(gff.join(F.broadcast(ids), base(F.col("path")) == base(F.col("_p"))).drop("_p"), pattern)  # a row per file that the caller named
+
+
+def read_known_genes(spark: SparkSession, paths: list[str], known: DataFrame, flank: int) -> DataFrame:
+    """The genes of known(gene_id) in GFF files, with flanks clamped to their contigs, as genes_with_flanks gives them."""
+    from tilewright.operators.targets import genes_with_flanks
+
+    gff = read_gff(spark, paths)
+    notes = features(gff).withColumn("gene_id", F.try_element_at("attributes", F.lit("ID"))).join(known.select("gene_id").distinct(), "gene_id", "left_semi")
+    return genes_with_flanks(notes.select("gene_id", "path", "chr", "start", "end", "strand"), contigs(gff), flank)

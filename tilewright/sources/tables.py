@@ -35,9 +35,33 @@ def read_named(spark: SparkSession, path: str, schema: str, optional: tuple[str,
     return raw.select(*(F.expr(f"try_cast(`{n}` as {k})").alias(n) if n in raw.columns else F.lit(None).cast(k).alias(n) for n, k in want))
 
 
+def first_in_file(df: DataFrame, key: str) -> DataFrame:
+    """The first row of each key in the order of the files' lines. Rows are numbered where they are read."""
+    return keep_first(df.withColumn("_line", F.monotonically_increasing_id()), [key], ["_line"]).drop("_line")
+
+
 def read_regions(spark: SparkSession, path: str) -> DataFrame:
     """Candidate or filtered regions without a header; the first of equal ids wins."""
-    return keep_first(spark.read.option("sep", "\t").schema(REGIONS).csv(path), ["region_id"], ["node_id", "cluster_id", "pos"])
+    return first_in_file(spark.read.option("sep", "\t").schema(REGIONS).csv(path), "region_id")
+
+
+def read_cluster_info(spark: SparkSession, path: str, probed: DataFrame | None = None) -> DataFrame:
+    """Cluster members; the CIGAR may be absent. probed(ClustID): only clusters that have probes."""
+    rows = read_named(spark, path, CLUSTER_INFO, ("CIGAR",))
+    return rows if probed is None else rows.join(probed.select(F.col("ClustID").alias("ClusterID")).distinct(), "ClusterID", "left_semi")
+
+
+def read_paths(spark: SparkSession, path: str, must_exist: bool = True) -> list[str]:
+    """The paths named in the lines of a file, each checked to be there."""
+    return check_paths(spark, [r.value.strip() for r in spark.read.text(path).collect() if r.value.strip()], must_exist)
+
+
+def check_paths(spark: SparkSession, paths: list[str], must_exist: bool = True) -> list[str]:
+    for p in paths if must_exist else ():
+        target = spark._jvm.org.apache.hadoop.fs.Path(p)
+        if not target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target):
+            raise FileNotFoundError(p)
+    return paths
 
 
 def read_intervals(spark: SparkSession, path: str) -> DataFrame:
