@@ -151,7 +151,52 @@ def test_seeds_and_identity(spark):
     best = {(r.b_id, r.strand): r for r in homology.diagonal_identity(homology.seed_hits(da, db, 12), da, db, 75).collect() if r.best}
     assert best[1, "+"].diagonal == best[2, "-"].diagonal == 50 and best[1, "+"].best == 73 and best[1, "+"]["at"] == 54
     assert not any(b == 3 for b, _ in best)
-    assert one(spark, homology.spaced_key("w", "1101"), w="ACGT") == "ACT"
+    got = {(r.pos, r.key) for r in homology.spaced_keys(spark.createDataFrame([(1, "ACGTNACGA")], "id int, seq string"), ["1101", "11"]).collect()}
+    value = lambda w: int("".join(str("ACGT".index(c)) for c in w), 4)
+    assert got == {(1, value("ACT")), (3, value("GTA")), (6, value("ACA"))} | {(i + 1, 1 << 56 | value(w)) for i, w in enumerate("ACGTNACGA"[i : i + 2] for i in range(8)) if "N" not in w}
+
+
+def slow_similar_starts(seqs, length, least):
+    """All windows against all windows of other nodes, both strands."""
+    out = set()
+    for i, (n, s) in seqs.items():
+        for p in range(len(s) - length + 1):
+            w = s[p : p + length]
+            if any(sum(x == y for x, y in zip(w, t[q : q + length])) >= least for m, u in seqs.values() if m != n for t in (u, u.translate(FLIP)[::-1]) for q in range(len(t) - length + 1)):
+                out.add((i, p + 1))
+    return out
+
+
+def test_similar_windows_of_other_nodes(spark):
+    """Scattered differences, no common 14-mer: only spaced seeds find these; checked against all pairs of windows."""
+    rng = random.Random(14)
+    base = "".join(rng.choice("ACGT") for _ in range(60))
+    far = "".join({"A": "C", "C": "G", "G": "T", "T": "A"}[c] if i % 5 == 2 else c for i, c in enumerate(base))
+    pad = lambda n: "".join(rng.choice("ACGT") for _ in range(n))
+    seqs = {1: ("x", pad(20) + base + pad(15)), 2: ("y", pad(9) + far), 3: ("z", far.translate(FLIP)[::-1] + pad(30)), 4: ("x", base), 5: ("y", pad(50))}
+    df = spark.createDataFrame([(i, n, s) for i, (n, s) in seqs.items()], "id int, node_id string, seq string")
+    got = {(r.id, p) for r in homology.similar_starts(df, df, 40, 31).collect() for p in range(r.s, r.e)}
+    assert got == slow_similar_starts(seqs, 40, 31) and {i for i, _ in got} == {1, 2, 3, 4}
+
+
+def test_dust_and_dimers_by_brute_force(spark):
+    rng = random.Random(15)
+    seqs = ["".join(rng.choice(letters) for _ in range(rng.randrange(2, 200))) for letters in ("ACGT", "AC", "A", "AAAT", "ACGT") for _ in range(12)]
+    df = spark.createDataFrame(list(enumerate(seqs)), "id int, seq string")
+    masked = defaultdict(set)
+    for r in homology.dust_intervals(df, 30, 12.0).collect():
+        masked[r.id] |= set(range(r.s, r.e))
+    for i, s in enumerate(seqs):
+        size, want = min(28, len(s) - 2), set()
+        for p in range(len(s) - 1 - size) if size >= 2 else ():
+            counts = Counter(s[q : q + 3] for q in range(p, p + size))
+            if 10 * sum(c * (c - 1) / 2 for c in counts.values()) / (size - 1) > 12.0:
+                want |= set(range(p + 1, p + size + 3))
+        assert masked[i] == want
+    dimers = {r.id: r.dimer for r in homology.self_dimers(df, 9, 8).collect()}
+    for i, s in enumerate(seqs):
+        flipped = s.translate(FLIP)[::-1]
+        assert dimers[i] == any(sum(a == b for a, b in zip(s[p : p + 9], flipped[q : q + 9])) >= 8 for p in range(len(s) - 8) for q in range(len(s) - 8))
 
 
 def test_dust_and_hairpins(spark):
@@ -187,8 +232,8 @@ def test_tree(spark):
 
 
 def test_bipartitions(spark):
-    masks = spark.createDataFrame([(0b0011,), (0b1100,), (0b0001,), (0b1111,), (0b0111,)], "mask long")
-    got = {r.mask: r["count"] for r in tree.count_bipartitions(masks, 4, 2.0, spark.createDataFrame([(0b0011,), (0b1100,)], "mask long")).collect()}
+    masks = spark.createDataFrame([([m],) for m in (0b0011, 0b1100, 0b0001, 0b1111, 0b0111)], "mask array<long>")
+    got = {r.mask[0]: r["count"] for r in tree.count_bipartitions(masks, 4, 2.0, spark.createDataFrame([([0b0011],), ([0b1100],)], "mask array<long>")).collect()}
     assert got == {0b0011: 5.0, 0b0001: 2.0, 0b1000: 2.0}
     splits = [(0b000011, 5.0, 2), (0b000110, 5.0, 2), (0b000111, 4.0, 3), (0b110000, 1.0, 2)]
     kept = tree.cull(splits)
@@ -200,6 +245,57 @@ def test_bipartitions(spark):
     assert {r.node_id for r in tree.consensus_tree(spark, members).where("is_leaf").collect()} == set("abcd")
 
 
+def test_many_taxa(spark):
+    """Splits of 150 taxa in three words equal those of Python's sets; the tree holds every taxon."""
+    rng = random.Random(16)
+    taxa = [f"t{i:03d}" for i in range(150)]
+    groups = [set(rng.sample(taxa, rng.choice([1, 2, 74, 75, 76, 149]))) for _ in range(60)] + [set(taxa[:70]), set(taxa[:70]), set(taxa[:30]), set(taxa)]
+    members = spark.createDataFrame([(i, t) for i, g in enumerate(groups) for t in g] , "cluster_id int, taxon_id string")
+    index = tree.taxon_index(spark.createDataFrame([(t,) for t in taxa], "taxon_id string"))
+    masks = tree.cluster_masks(members, index)
+    got = {tree.as_int(r.mask): (r["count"], r["size"]) for r in tree.count_bipartitions(masks, 150).collect()}
+    want = Counter()
+    for g in groups:
+        side = set(taxa) - g if 2 * len(g) > 150 or 2 * len(g) == 150 and taxa[-1] in g else g
+        want[sum(1 << taxa.index(t) for t in side)] += 1
+    assert got == {m: (float(n), m.bit_count()) for m, n in want.items() if m}
+    rare = {r.taxon_id for r in tree.rarest_taxa(masks, index).collect()}
+    seen = {t: sum(t in g for g in groups if len(g) > 1) for t in taxa}
+    assert rare == {t for t in taxa if seen[t] == min(seen.values())}
+    pair = lambda a, b: spark.createDataFrame([(a, b)], "a array<long>, b array<long>").select(tree.compatible(F.col("a"), F.col("b")).alias("c"), tree.subset(F.col("a"), F.col("b")).alias("s")).first()
+    assert tuple(pair([0, 3, 0], [0, 7, 1])) == (True, True) and tuple(pair([0, 3, 1], [0, 6, 0])) == (False, False) and tuple(pair([1, 0, 0], [0, 1, 0])) == (True, False)
+    rows = tree.consensus_tree(spark, members).collect()
+    assert {r.node_id for r in rows if r.is_leaf} == set(taxa) and sum(r.parent_id is None for r in rows) == 1
+
+
+def test_guide_tree_and_root(spark):
+    rows = [("r", None, False), ("x", "r", False), ("y", "r", False), ("a", "x", True), ("b", "x", True), ("z", "y", False), ("e", "y", True), ("c", "z", True), ("unknown", "z", True), ("d", "z", True)]
+    guide = spark.createDataFrame(rows, "node_id string, parent_id string, is_leaf boolean")
+    index = tree.taxon_index(spark.createDataFrame([(t,) for t in "abcde"], "taxon_id string"))
+    masks = tree.guide_masks(guide, index)
+    assert {tree.as_int(r.mask) for r in masks.collect()} == {0b00011, 0b11100, 0b01100}
+    own = spark.createDataFrame([([0b00011],)], "mask array<long>")
+    got = {tree.as_int(r.mask): r["count"] for r in tree.count_bipartitions(own, 5, 0.5, masks).collect()}
+    assert got == {0b00011: 1.5, 0b01100: 1.0}, "the two sides of the guide's root are one split"
+    rows = tree.build_tree([0b00011, 0b01100], list("abcde"), ["c", "d"])
+    parent = {n: p for n, p, _ in rows}
+    assert parent["c"] == parent["d"] and parent[parent["c"]] == "IN_00000", "the root lies above the outgroup's common ancestor"
+    assert parent["a"] == parent["b"] and parent[parent["a"]] == parent["e"] and parent[parent["e"]] == "IN_00000"
+    members = spark.createDataFrame([("1", t) for t in "abcde"], "cluster_id string, taxon_id string")
+    nodes = {r.node_id: r.parent_id for r in tree.consensus_tree(spark, members, guide=guide, root=False).collect()}
+    assert nodes["c"] == nodes["d"] and nodes[nodes["c"]] == nodes["e"], "rooted beside the first taxon"
+
+
+def test_genetic_codes():
+    assert S.genetic_code(1) == S.STANDARD_CODE == S.genetic_code(11)
+    of = lambda n, codon: cluster.translate(codon, S.genetic_code(n))
+    assert (of(2, "AGA"), of(2, "TGA"), of(3, "CTG"), of(6, "TAA"), of(12, "CTG"), of(25, "TGA"), of(33, "AGG")) == ("*", "W", "T", "Q", "S", "G", "K")
+    with pytest.raises(ValueError):
+        S.genetic_code(7)
+    with pytest.raises(ValueError):
+        Params(translation_table=20)
+
+
 # ---------------------------------------------------------------- clusters
 
 
@@ -220,6 +316,8 @@ def test_distance_and_upgma(spark):
     d = {(r.a, r.b): r.d for r in cluster.pairwise_distance(df).collect()}
     assert d["1", "2"] == pytest.approx(1 - 4 / 5) and d["1", "3"] == pytest.approx(0) and d["4", "5"] == -1
     assert {(r.a, r.b): r.d for r in cluster.pairwise_distance(df, 1.0).collect()}["1", "3"] == pytest.approx(1 - 3 / 6)
+    n_runs = spark.createDataFrame([("f", "1", "ACGTNNNN"), ("f", "2", "ACGTACGT")], "family string, uid string, aligned string")
+    assert cluster.pairwise_distance(n_runs).first().d == 0.0, "N is a gap"
     m = np.array([[0, 0.1, 0.5, 0.6], [0.1, 0, 0.5, 0.6], [0.5, 0.5, 0, 0.2], [0.6, 0.6, 0.2, 0]])
     assert cluster.upgma_labels(4, m, 0.05) == [0, 0, 1, 2] and cluster.upgma_labels(4, m, 0.1) == [0, 0, 1, 1] and cluster.upgma_labels(4, m, 1) == [0] * 4
     assert cluster.upgma_labels(1, np.zeros((1, 1)), 0) == [0]
@@ -272,6 +370,17 @@ def test_classes_and_budget(spark):
     assert select.water_level([10, 50, 100], 200) == 100 and select.water_level([10, 50, 100], 110) == 50 and select.water_level([10, 50, 100], 90) == 40 and select.water_level([99, 99], 10) == 30
     assert select.max_spread([0, 1, 5, 9, 10]) == [0, 10, 5, 1, 9] and select.max_spread([3]) == [3]
     assert select.optimise_cap(lambda c: 7 * c, 1, 100, 50) == 7 and select.optimise_cap(lambda c: 99, 2, 9, 5) == 2
+    rng = random.Random(17)
+    for _ in range(40):
+        at = sorted(rng.sample(range(200), rng.randrange(3, 30)))
+        want, pairs = [at[0], at[-1]], [(0, len(at) - 1)]
+        for a, b in pairs:
+            inner = list(range(a + 1, b))
+            if inner:
+                k = next((i for i in inner if at[i] - at[a] >= (at[b] - at[a]) / 2), inner[-1])
+                want.append(at[k])
+                pairs += [(a, k), (k, b)]
+        assert select.max_spread(at) == want and sorted(want) == at
     regions = spark.createDataFrame([("r", 75), ("q", 300)], "region_id string, len int")
     best = select.constant_density(regions, 75, 10).first()
     assert best.probes <= 10 and select.constant_density(regions, 75, 1).count() == 0
@@ -287,6 +396,31 @@ def test_priorities_and_caps(spark):
     assert {r.region_id for r in select.trim_to_budget(tiled, org, 100, 30).collect()} == {"r1", "r3"}
 
 
+def test_budget_is_kept(spark):
+    """Shared regions, thinned and then trimmed: the total is within the budget unless every organism is at the floor."""
+    rng = random.Random(18)
+    org = [(f"r{i}", f"o{j}") for i in range(80) for j in rng.sample(range(6), rng.randrange(1, 4))]
+    rows = [(f"r{i}", rng.randrange(75, 600), 1 + i % 2, 40, i) for i in range(80)]
+    region_org = spark.createDataFrame(org, "region_id string, org string")
+    tiled = spark.createDataFrame(rows, "region_id string, len int, lo int, density int, priority int").withColumn("probes", select.bait_count(F.col("len"), F.col("density"), 75))
+    whole = sum(r.probes for r in tiled.collect())
+    for budget in (whole, whole // 2, 400, 60, 5):
+        thin = select.thin_to_budget(tiled, budget, 75)
+        left = select.trim_to_budget(thin, region_org, budget, 10).collect()
+        total, kept = sum(r.probes for r in left), {r.region_id for r in left}
+        firsts = {min((p, r) for r, *_, p in rows if (r, o) in set(org))[1] for o in {o for _, o in org}}
+        assert firsts <= kept and all(r.density >= r.lo for r in left)
+        assert total <= budget or budget <= 60
+        if budget == whole:
+            assert total == whole
+    capped = select.cap_baits(region_org, tiled, 100).collect()
+    assert firsts <= {r.region_id for r in capped} and len(capped) < 80
+    ordered = select.priority_order(region_org, tiled.select("region_id", "len"))
+    best = select.tune_regions(region_org, ordered, tiled, whole // 2)
+    fits = lambda n: sum(r.probes for r in tiled.join(ordered.where(F.col("priority") <= n), "region_id", "left_semi").collect())
+    assert fits(best) <= whole // 2 < fits(best + 1)
+
+
 # ---------------------------------------------------------------- targets
 
 

@@ -4,9 +4,11 @@ import gzip
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from tilewright.params import Params
-from tilewright.plans.design import Phases, design
+
+from tilewright.plans.design import Phases, design, select_probes
 from tilewright.sources import fasta, gff, newick, tables
 
 FLIP = str.maketrans("ACGT", "TGCA")
@@ -90,7 +92,8 @@ def test_design_end_to_end(spark, tmp_path):
             rows.append(("ab", f"ab.{t}", t, change(ab, 0.02)))
     genes = spark.createDataFrame(rows, "family string, uid string, taxon_id string, seq string")
     black = spark.createDataFrame([("x", rows[1][3][100:200])], "id string, seq string")
-    out = design(spark, genes, Params(probes=60, divergence=0.2), blacklists=[black], folder=str(tmp_path / "run"))
+    p = Params(probes=60, divergence=0.2)
+    out = design(spark, genes, p, blacklists=[black], folder=str(tmp_path / "run"))
     placed = {r.cluster_id: (r.node_id, r.penetrance) for r in out["assignment"].collect()}
     assert placed["owna_00000"] == ("a", 100.0) and placed["shared_00000"][1] == 100.0
     seqs = {r.cluster_id: r.seq for r in out["clusters"].collect()}
@@ -101,8 +104,23 @@ def test_design_end_to_end(spark, tmp_path):
     assert probes and all(len(r.seq) == 75 and seqs[r.cluster_id][r.clust_pos - 1 : r.clust_pos + 74] == r.seq for r in probes)
     ids = [r.probe_id for r in probes]
     assert len(set(ids)) == len(ids) and min(ids) == "Probe_000000"
-    phases = Phases(spark, str(tmp_path / "run"))
+    phases = Phases(spark, str(tmp_path / "run"), key=p.digest())
     assert phases.run("probes", lambda: pytest.fail("finished phases aren't run again")).count() == len(probes)
+    assert not Phases(spark, str(tmp_path / "run"), key=Params(probes=61, divergence=0.2).digest()).folder == phases.folder, "other parameters, other results"
+    counts = {r.stage: r.regions for r in out["counts"].collect()}
+    assert counts == {"candidates": out["candidates"].count(), "filtered": out["filtered"].count(), "probes": len(probes)}
+    assert {r.region_id for r in out["filtered"].collect()} == {f"FBR_{i:06d}" for i in range(counts["filtered"])}
+    node = {c: n for c, (n, _) in placed.items()}
+    same = lambda w, v: sum(a == b for a, b in zip(w, v))
+    others = lambda n: [v for c, t in seqs.items() if node[c] != n for u in (t, t.translate(FLIP)[::-1]) for v in (u[i : i + 75] for i in range(len(u) - 74))]
+    for n in {r.node_id for r in out["candidates"].collect()}:
+        far = others(n)
+        for r in out["candidates"].where(F.col("node_id") == n).limit(2).collect():
+            assert max(same(r.seq[:75], v) for v in far) <= p.max_identity
+    modes = {"constant": Params(length=75, constant_tiling=True), "regions": Params(max_regions=1), "baits": Params(max_baits=2), "tuned": Params(auto_tune=True)}
+    taken = {name: select_probes(out["filtered"], out["nodes"], q, 40).count() for name, q in modes.items()}
+    assert taken["constant"] <= 40 and all(n > 0 for n in taken.values())
+    assert select_probes(out["filtered"], out["nodes"], Params(), 0).count() > max(taken.values())
 
 
 def test_result_files(spark, tmp_path):

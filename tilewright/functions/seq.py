@@ -13,6 +13,24 @@ TILE = 512
 CODON_BASES = "TCAG"
 STANDARD_CODE = "FFLLSSSSYY**CC*WLLLLPPPPHHQQRRRRIIIMTTTTNNKKSSRRVVVVAAAADDEEGGGG"
 
+#: What the numbered genetic codes (NCBI) read otherwise than the standard one: amino acid and codons.
+OTHER_CODES = {
+    2: "*AGA *AGG MATA WTGA", 3: "MATA TCTT TCTC TCTA TCTG WTGA", 4: "WTGA", 5: "SAGA SAGG MATA WTGA", 6: "QTAA QTAG", 9: "NAAA SAGA SAGG WTGA", 10: "CTGA", 11: "", 12: "SCTG",
+    13: "GAGA GAGG MATA WTGA", 14: "NAAA SAGA SAGG YTAA WTGA", 15: "QTAG", 16: "LTAG", 21: "NAAA SAGA SAGG MATA WTGA", 22: "*TCA LTAG", 23: "*TTA", 24: "SAGA KAGG WTGA", 25: "GTGA", 26: "ACTG",
+    27: "QTAA QTAG WTGA", 28: "QTAA QTAG WTGA", 29: "YTAA YTAG", 30: "ETAA ETAG", 31: "ETAA ETAG WTGA", 32: "WTAG", 33: "YTAA WTGA SAGA KAGG",
+}
+
+
+def genetic_code(number: int = 1) -> str:
+    """The 64 amino acids of a numbered genetic code, codons in the order of bases T, C, A, G."""
+    if number != 1 and number not in OTHER_CODES:
+        raise ValueError(f"no genetic code {number}")
+    out = list(STANDARD_CODE)
+    for change in OTHER_CODES.get(number, "").split():
+        at = [CODON_BASES.index(b) for b in change[1:]]
+        out[16 * at[0] + 4 * at[1] + at[2]] = change[0]
+    return "".join(out)
+
 
 def revcomp(seq: Column) -> Column:
     return F.reverse(F.translate(seq, BASES, COMPLEMENT))

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tilewright.functions import cigar, seq as S
+from tilewright.session import materialize
 
 GAP = "-"
 
@@ -95,13 +99,13 @@ def align_by_protein(seqs: list[str], code: str = S.STANDARD_CODE) -> list[str]:
     return [s.ljust(width, GAP) for s in out]
 
 
-def align_families(genes: DataFrame, by_protein: bool = True) -> DataFrame:
+def align_families(genes: DataFrame, by_protein: bool = True, code: str = S.STANDARD_CODE) -> DataFrame:
     """genes(family, uid, seq) -> family, uid, aligned: one multiple alignment per family (a gene family, small by nature)."""
 
     def align(df: pd.DataFrame) -> pd.DataFrame:
         df = df.sort_values("uid")
         texts = df["seq"].str.upper().tolist()
-        return pd.DataFrame({"family": df["family"], "uid": df["uid"], "aligned": (align_by_protein if by_protein else star_alignment)(texts)})
+        return pd.DataFrame({"family": df["family"], "uid": df["uid"], "aligned": align_by_protein(texts, code) if by_protein else star_alignment(texts)})
 
     return genes.select("family", "uid", "seq").groupBy("family").applyInPandas(align, "family string, uid string, aligned string")
 
@@ -112,18 +116,26 @@ def align_families(genes: DataFrame, by_protein: bool = True) -> DataFrame:
 def pairwise_distance(aligned: DataFrame, gap_penalty: float = 0.0) -> DataFrame:
     """aligned(family, uid, aligned) -> family, a, b (a < b), d = 1 - same / (columns - gaps + gaps * penalty); -1 if nothing is comparable.
 
-    same: columns in which both have the same of A, C, G, T; gaps: columns in which just one has a gap; columns of two gaps don't count.
+    same: columns in which both have the same of A, C, G, T; gaps: columns in which just one has a base, anything else being a gap; columns of two gaps don't count.
     """
-    left = aligned.select("family", F.col("uid").alias("a"), F.split("aligned", "").alias("_x"))
-    right = aligned.select("family", F.col("uid").alias("b"), F.split("aligned", "").alias("_y"))
-    pairs = left.join(right, "family").where("a < b")
-    kinds = F.zip_with("_x", "_y", lambda x, y: F.when((x == y) & x.isin(*S.BASES), 1).when((x == GAP) & (y == GAP), 3).when((x == GAP) | (y == GAP), 2).otherwise(0))
-    total = F.aggregate(
-        F.filter(kinds, lambda k: k.isNotNull()), F.struct(F.lit(0).alias("same"), F.lit(0).alias("gaps"), F.lit(0).alias("n")),
-        lambda t, k: F.struct((t["same"] + (k == 1).cast("int")).alias("same"), (t["gaps"] + (k == 2).cast("int")).alias("gaps"), (t["n"] + (k != 3).cast("int")).alias("n")),
-    )
-    over = F.col("t.n") - F.col("t.gaps") + F.col("t.gaps") * gap_penalty
-    return pairs.withColumn("t", total).select("family", "a", "b", F.when(over > 0, 1 - F.col("t.same") / over).otherwise(F.lit(-1.0)).alias("d"))
+    left = aligned.select("family", F.col("uid").alias("a"), F.col("aligned").alias("x"))
+    right = aligned.select("family", F.col("uid").alias("b"), F.col("aligned").alias("y"))
+    base = np.zeros(256, dtype=np.uint8)
+    base[[ord(c) for c in S.BASES]] = [ord(c) for c in S.BASES]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for x, y in zip(batch.column(3).to_pylist(), batch.column(4).to_pylist()):
+                p, q = (base[np.frombuffer(v.encode("ascii", "replace"), np.uint8)] for v in (x, y))
+                same, gaps, none = int(((p == q) & (p > 0)).sum()), int(((p > 0) != (q > 0)).sum()), int(((p == 0) & (q == 0)).sum())
+                over = len(p) - none - gaps + gaps * gap_penalty
+                out.append(1 - same / over if over > 0 else -1.0)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(out, pa.float64())], ["family", "a", "b", "d"])
+
+    kinds = {f.name: f.dataType.simpleString() for f in aligned.schema}
+    pairs = left.join(right, "family").where("a < b").select("family", "a", "b", "x", "y")
+    return pairs.mapInArrow(run, f"family {kinds['family']}, a {kinds['uid']}, b {kinds['uid']}, d double")
 
 
 def upgma_labels(n: int, distance: np.ndarray, cut: float) -> list[int]:
@@ -191,11 +203,12 @@ def aligned_consensus(aligned: DataFrame, keys: list[str]) -> DataFrame:
     return _joined(best, keys, "reference").unionByName(single.select(*keys, F.regexp_replace("aligned", "[^ACGT]", GAP).alias("reference")))
 
 
-def cluster_genes(genes: DataFrame, divergence: float = 0.15, by_protein: bool = True) -> tuple[DataFrame, DataFrame]:
-    """genes(family, uid, seq) -> (clusters(cluster_id, seq), members(cluster_id, uid, cigar))."""
+def cluster_genes(genes: DataFrame, divergence: float = 0.15, table: int = 1) -> tuple[DataFrame, DataFrame]:
+    """genes(family, uid, seq) -> (clusters(cluster_id, seq), members(cluster_id, uid, cigar)). table: genetic code through which families are aligned; 0 aligns bases."""
     single, many = split_singletons(genes)
     alone = singleton_clusters(single)
-    aligned = align_families(many, by_protein)
+    code = S.genetic_code(table) if table else ""
+    aligned = materialize(align_families(many, table > 0, code), "aligned")  # read three times
     parts = upgma_clusters(pairwise_distance(aligned), divergence / 2)
     named = aligned.join(parts, ["family", "uid"]).withColumn("cluster_id", F.concat_ws("_", "family", F.lpad(F.col("part").cast("string"), 5, "0")))
     reference = aligned_consensus(named, ["cluster_id"])

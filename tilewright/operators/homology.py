@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tilewright.functions import seq as S
-from tilewright.operators.kmers import packed_kmers
+from tilewright.operators.intervals import merge_intervals
+from tilewright.operators.kmers import codes, packed_kmers
 
 
 def seed_hits(a: DataFrame, b: DataFrame, k: int) -> DataFrame:
@@ -24,9 +25,63 @@ def seed_hits(a: DataFrame, b: DataFrame, k: int) -> DataFrame:
     return own.join(query, "kmer").groupBy("a_id", "b_id", "strand", (F.col("a_pos") - F.col("b_pos")).alias("diagonal")).agg(F.count("*").alias("seeds"))
 
 
-def spaced_key(window: str, pattern: str):
-    """The bases of a window under the ones of a pattern such as 1101: the key of a spaced seed."""
-    return F.concat(*(F.substring(window, i + 1, 1) for i, c in enumerate(pattern) if c == "1"))
+#: Eight spaced seeds of nine bases each; a pair of similar windows nearly always agrees under one of them somewhere.
+SEEDS = [
+    "111010001101011",
+    "1100010010000100010111",
+    "1011001010001000010011",
+    "1010110000110000001011",
+    "11010000001000101000111",
+    "110001010000000100101011",
+    "110100000100100000010000111",
+    "1110010000001000010000010011",
+]
+
+
+def spaced_keys(df: DataFrame, seeds: list[str] = SEEDS, seq: str = "seq") -> DataFrame:
+    """df(..., seq) -> ..., pos (1-based), key: the bases under the ones of each seed, two bits each, with the seed's number above them. Windows of ACGT only."""
+    keep = [c for c in df.columns if c != seq]
+    ones = [[i for i, c in enumerate(seed) if c == "1"] for seed in seeds]
+    if max(map(len, ones)) > 28:
+        raise ValueError("a key holds 28 bases")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, text in enumerate(batch.column(0).to_pylist()):
+                base = codes(text or "")
+                for number, places in enumerate(ones):
+                    n = len(base) - places[-1]
+                    if n <= 0:
+                        continue
+                    key, good = np.zeros(n, dtype=np.int64), np.ones(n, dtype=bool)
+                    for at in places:
+                        part = base[at : at + n]
+                        key, good = key << 2 | part & 3, good & (part < 4)
+                    pos = np.flatnonzero(good)
+                    rows = pa.array(np.full(len(pos), i))
+                    out = [*(batch.column(c).take(rows) for c in range(1, batch.num_columns)), pa.array(pos + 1, pa.int32()), pa.array(key[pos] | number << 56, pa.int64())]
+                    yield pa.RecordBatch.from_arrays(out, [*keep, "pos", "key"])
+
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*keep).schema), "pos int", "key long"])
+    return df.select(seq, *keep).mapInArrow(run, schema)
+
+
+def both_strands(seqs: DataFrame) -> DataFrame:
+    """seqs(id, seq, ...) -> the same with strand: each sequence and its reverse complement."""
+    strands = F.array(F.struct(F.lit("+").alias("strand"), F.col("seq").alias("seq")), F.struct(F.lit("-").alias("strand"), S.revcomp(F.col("seq")).alias("seq")))
+    return seqs.withColumn("_x", F.explode(strands)).select(*(c for c in seqs.columns if c != "seq"), "_x.strand", "_x.seq")
+
+
+def spaced_hits(a: DataFrame, b: DataFrame, seeds: list[str] = SEEDS) -> DataFrame:
+    """a, b(id, seq), perhaps with node_id -> a_id, b_id, diagonal, strand, seeds: places where both agree under a seed, on either strand of b, a row per diagonal. With nodes, only pairs of different ones."""
+    nodes = "node_id" in a.columns and "node_id" in b.columns
+    more = ["node_id"] if nodes else []
+    own = spaced_keys(a.select("id", *more, "seq"), seeds).withColumnsRenamed({"id": "a_id", "pos": "a_pos", "node_id": "a_node"})
+    query = spaced_keys(both_strands(b.select("id", *more, "seq")), seeds).withColumnsRenamed({"id": "b_id", "pos": "b_pos", "node_id": "b_node"})
+    met = own.join(query, "key")
+    if nodes:
+        met = met.where("a_node <> b_node")
+    return met.groupBy("a_id", "b_id", "strand", (F.col("a_pos") - F.col("b_pos")).alias("diagonal")).agg(F.count("*").alias("seeds"))
 
 
 def _overlaps(hits: DataFrame, a: DataFrame, b: DataFrame) -> DataFrame:
@@ -71,8 +126,18 @@ def diagonal_identity(hits: DataFrame, a: DataFrame, b: DataFrame, length: int)
     return cut.mapInArrow(run, _schema(cut, "best int, at int"))
 
 
-def similar_spans(hits: DataFrame, a: DataFrame, b: DataFrame, length: int, least: int) -> DataFrame:
-    """hits -> + s, e: half-open stretches of a under windows of ``length`` with ``least`` equal bases or more on the diagonal."""
+def similar_starts(a: DataFrame, b: DataFrame, length: int, least: int, seeds: list[str] = SEEDS) -> DataFrame:
+    """a, b(id, seq, perhaps node_id) -> id, s, e: half-open runs of window starts in a with ``least`` equal bases or more to a window of b (of another node), on either strand.
+
+    Found through spaced seeds and verified on whole diagonals, so a window is missed only if no seed hits anywhere on its diagonal.
+    """
+    found = similar_spans(spaced_hits(a, b, seeds), a, b, length, least, starts=True)
+    return merge_intervals(found.select(F.col("a_id").alias("id"), "s", "e"), ["id"])
+
+
+def similar_spans(hits: DataFrame, a: DataFrame, b: DataFrame, length: int, least: int, starts: bool = False) -> DataFrame:
+    """hits -> + s, e: half-open stretches of a under windows of ``length`` with ``least`` equal bases or more on the diagonal; starts: of where these windows start."""
+    near, wide = (1, 1) if starts else (length, length)
     cut = _overlaps(hits, a, b)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -81,11 +146,11 @@ def similar_spans(hits: DataFrame, a: DataFrame, b: DataFrame, length: int, leas
             for i, (start, x, y) in enumerate(zip(*(batch.column(k).to_pylist() for k in (4, 5, 6)))):
                 on = np.flatnonzero(_equal_bases(x, y, length) >= least)
                 if len(on):
-                    turns = np.flatnonzero(np.diff(on) > length)
+                    turns = np.flatnonzero(np.diff(on) > near)
                     firsts, lasts = on[np.concatenate(([0], turns + 1))], on[np.concatenate((turns, [len(on) - 1]))]
                     rows += [i] * len(firsts)
                     s += (firsts + start).tolist()
-                    e += (lasts + start + length).tolist()
+                    e += (lasts + start + wide).tolist()
             yield pa.RecordBatch.from_arrays([*(batch.column(k).take(pa.array(rows, pa.int64())) for k in range(4)), pa.array(s, pa.int32()), pa.array(e, pa.int32())], [*DIAGONAL, "s", "e"])
 
     return cut.mapInArrow(run, _schema(cut, "s int, e int"))
@@ -99,26 +164,22 @@ def dust_intervals(seqs: DataFrame, window: int = 64, threshold: float = 20.0) -
     """
 
     def mask(text: str) -> list[tuple[int, int]]:
-        code = {b: i for i, b in enumerate(S.BASES)}
-        triplets = [code.get(a, 0) * 16 + code.get(b, 0) * 4 + code.get(c, 0) for a, b, c in zip(text, text[1:], text[2:])]
+        base = codes(text) & 3
+        triplets = base[:-2] * 16 + base[1:-1] * 4 + base[2:]
         size = min(window - 2, len(triplets))
         if size < 2:
             return []
-        counts, score, out = [0] * 64, 0, []
-        for i, t in enumerate(triplets):
-            score += counts[t]
-            counts[t] += 1
-            if i >= size:
-                gone = triplets[i - size]
-                counts[gone] -= 1
-                score -= counts[gone]
-            if i >= size - 1 and 10 * score / (size - 1) > threshold:
-                s, e = i - size + 2, i + 4
-                if out and out[-1][1] >= s:
-                    out[-1] = (out[-1][0], e)
-                else:
-                    out.append((s, e))
-        return out
+        score = np.zeros(len(triplets) - size + 1, dtype=np.int64)
+        for t in np.unique(triplets):  # at most 64: counts of each triplet in all windows at once
+            total = np.concatenate(([0], np.cumsum(triplets == t)))
+            n = total[size:] - total[:-size]
+            score += n * (n - 1) // 2
+        on = np.flatnonzero(10 * score / (size - 1) > threshold)
+        if not len(on):
+            return []
+        turns = np.flatnonzero(np.diff(on) > size + 2)
+        firsts, lasts = on[np.concatenate(([0], turns + 1))], on[np.concatenate((turns, [len(on) - 1]))]
+        return list(zip((firsts + 1).tolist(), (lasts + size + 3).tolist()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

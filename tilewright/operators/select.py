@@ -6,12 +6,15 @@ the number of probes that cover a base.
 
 from __future__ import annotations
 
+from bisect import bisect_left
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tilewright.operators import tree
+from tilewright.session import materialize
 
 
 def max_density(length: Column, probe: int) -> Column:
@@ -77,7 +80,7 @@ def classify_orgs(totals: DataFrame, budget: int) -> DataFrame:
 
 
 def max_spread(positions: list) -> list:
-    """Ends first, then always the middle of what lies between two chosen, breadth first: the order in which any prefix is spread out most."""
+    """Sorted, distinct positions: ends first, then between two chosen always the first at or past their middle (else the last before the second), breadth first."""
     n = len(positions)
     if n <= 2:
         return list(positions)
@@ -85,8 +88,7 @@ def max_spread(positions: list) -> list:
     for a, b in queue:
         if b - a < 2:
             continue
-        mid = (positions[a] + positions[b]) / 2
-        k = min(range(a + 1, b), key=lambda i: (abs(positions[i] - mid), i))
+        k = min(bisect_left(positions, (positions[a] + positions[b]) / 2, a + 1, b), b - 1)
         out.append(positions[k])
         queue += [(a, k), (k, b)]
     return out
@@ -146,17 +148,32 @@ def water_level(counts: list[int], budget: int, floor: int = 30) -> int:
     return max(ordered, default=floor)
 
 
-def trim_to_budget(tiled: DataFrame, region_org: DataFrame, budget: int, floor: int = 30) -> DataFrame:
-    """tiled(region_id, probes, priority) -> the regions that stay. Organisms above the water level give up regions of lowest priority
-    until they are at the level; a region stays while any of its organisms keeps it, and an organism's first region always stays.
-    """
+def _levels(tiled: DataFrame, region_org: DataFrame) -> DataFrame:
+    """tiled(region_id, probes, priority) -> region_id, probes, need: probes that an organism must be allowed for it to keep the region, by the organism that asks least; 0 for an organism's first."""
     held = region_org.join(tiled.select("region_id", "probes", "priority"), "region_id")
-    totals = held.groupBy("org").agg(F.sum("probes").alias("n"))
-    level = water_level([int(r.n) for r in totals.collect()], budget, floor)  # a number per organism
     order = W.partitionBy("org").orderBy("priority", "region_id")
-    run = held.withColumns({"upto": F.sum("probes").over(order.rowsBetween(W.unboundedPreceding, 0)), "_n": F.row_number().over(order)})
-    stay = run.where((F.col("upto") <= level) | (F.col("_n") == 1)).select("region_id").distinct()
-    return tiled.join(stay, "region_id", "left_semi")
+    upto = F.when(F.row_number().over(order) == 1, 0).otherwise(F.sum("probes").over(order.rowsBetween(W.unboundedPreceding, 0)))
+    return held.withColumn("need", upto).groupBy("region_id").agg(F.min("need").alias("need"), F.first("probes").alias("probes"))
+
+
+def trim_to_budget(tiled: DataFrame, region_org: DataFrame, budget: int, floor: int = 30) -> DataFrame:
+    """tiled(region_id, probes, priority) -> the regions that stay. The richest organisms give up regions of lowest priority first, down to one level for all:
+    the largest at which all regions together fit the budget, though not below ``floor``. A region stays while any of its organisms keeps it, and an organism's first region always stays.
+    """
+    levels = materialize(_levels(tiled, region_org), "levels")
+    level = optimise_cap(lambda n: levels.where(F.col("need") <= n).agg(F.sum("probes").alias("n")).first().n or 0, floor, int(levels.agg(F.max("need").alias("n")).first().n or floor), budget)
+    return tiled.join(levels.where(F.col("need") <= level).select("region_id"), "region_id", "left_semi")
+
+
+def thin_to_budget(tiled: DataFrame, budget: int, probe: int) -> DataFrame:
+    """tiled(region_id, len, lo, density) -> the same with the largest cap on densities, never below a region's lo, at which all probes fit the budget; the densest regions are thinned first."""
+    def at(cap: int) -> tuple[Column, Column]:
+        density = F.greatest("lo", F.least("density", F.lit(cap)))
+        return density, bait_count(F.col("len"), density, probe)
+
+    cap = optimise_cap(lambda n: tiled.agg(F.sum(at(n)[1]).alias("n")).first().n or 0, 1, probe, budget)
+    density, probes = at(cap)
+    return tiled.withColumn("probes", probes).withColumn("density", density.cast("int"))
 
 
 def cap_regions(region_org: DataFrame, ordered: DataFrame, most: int) -> DataFrame:
@@ -165,6 +182,19 @@ def cap_regions(region_org: DataFrame, ordered: DataFrame, most: int) -> DataFra
     return region_org.join(keep, "region_id", "left_semi")
 
 
+def cap_baits(region_org: DataFrame, tiled: DataFrame, most: int) -> DataFrame:
+    """tiled(region_id, probes, priority) -> the regions that some organism keeps within ``most`` probes; an organism's first region always stays."""
+    return tiled.join(_levels(tiled, region_org).where(F.col("need") <= most).select("region_id"), "region_id", "left_semi")
+
+
+def tune_regions(region_org: DataFrame, ordered: DataFrame, tiled: DataFrame, budget: int) -> int:
+    """The most regions per organism at which the probes of all regions fit the budget."""
+    need = ordered.groupBy("region_id").agg(F.min("priority").alias("need"))
+    sized = materialize(tiled.select("region_id", "probes").join(need, "region_id"), "sized")
+    most = sized.agg(F.max("need").alias("n")).first().n or 1
+    return optimise_cap(lambda n: sized.where(F.col("need") <= n).agg(F.sum("probes").alias("n")).first().n or 0, 1, int(most), budget)
+
+
 def emit_probes(tiled: DataFrame, probe: int) -> DataFrame:
     """tiled(region_id, node_id, cluster_id, pos, len, density, seq) -> a row per probe: region_id, node_id, cluster_id, clust_pos, seq. The tiling is centred in its region."""
     n = F.col("len")

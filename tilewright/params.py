@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import hashlib
 import logging
-from dataclasses import dataclass, fields, replace
+from dataclasses import asdict, dataclass, fields, replace
+
+from tilewright.functions.seq import genetic_code
 
 log = logging.getLogger(__name__)
 
@@ -32,6 +35,10 @@ class Params:
     probes: int = 0
     min_baits: int = 30
     flank: int = 25
+    constant_tiling: bool = False
+    max_regions: int = 0
+    max_baits: int = 0
+    auto_tune: bool = False
 
     def __post_init__(self) -> None:
         for low, high in (("gc_min", "gc_max"), ("tm_min", "tm_max")):
@@ -42,6 +49,8 @@ class Params:
                 object.__setattr__(self, high, a)
         if self.length < self.contiguity:
             raise ValueError("length must not be below contiguity")
+        if self.translation_table:
+            genetic_code(self.translation_table)
         for name, low, high in (("penetrance", 0, 100), ("similarity", 0, 100), ("gc_min", 0, 100), ("gc_max", 0, 100), ("divergence", 0, 1), ("density", 1, self.length)):
             if not low <= getattr(self, name) <= high:
                 raise ValueError(f"{name} must be from {low} to {high}")
@@ -61,6 +70,14 @@ class Params:
         """Where the earliest window of a cluster begins."""
         return self.flank + 1
 
+    def banner(self) -> str:
+        """All parameters, a line each."""
+        return "\n".join(f"{k}\t{'' if v is None else v}" for k, v in asdict(self).items())
+
+    def digest(self) -> str:
+        """Names a set of parameters: results kept under it hold for no other."""
+        return hashlib.sha256(self.banner().encode()).hexdigest()[:16]
+
     def with_genomes(self, genomes: int) -> Params:
         return self if self.probes else replace(self, probes=100 * genomes)
 
@@ -74,5 +91,5 @@ class Params:
             if name not in kinds:
                 log.warning("unknown setting %s", key)
             else:
-                known[name] = value if "str" in kinds[name] else (int(value) if kinds[name] == "int" else float(value))
+                known[name] = value if "str" in kinds[name] else value.lower() in ("1", "true", "yes", "on") if kinds[name] == "bool" else (int(value) if kinds[name] == "int" else float(value))
         return cls(**known)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,14 +13,17 @@ from tilewright.operators import cluster, homology, identify, select, tree
 from tilewright.operators.intervals import collapse_runs, merge_intervals, subtract_intervals
 from tilewright.params import Params
 from tilewright.session import materialize
+from tilewright.sources import outputs
 from tilewright.sources.tables import numbered
 
+log = logging.getLogger(__name__)
+
 
 class Phases:
-    """Runs named steps; with a folder, a step whose finished output is there is read instead of run."""
+    """Runs named steps; with a folder, a step whose finished output for the same ``key`` (a digest of the parameters) is there is read instead of run."""
 
-    def __init__(self, spark: SparkSession, folder: str | None = None, force: bool = False):
-        self.spark, self.folder, self.force = spark, folder, force
+    def __init__(self, spark: SparkSession, folder: str | None = None, force: bool = False, key: str = ""):
+        self.spark, self.folder, self.force = spark, f"{folder}/{key}" if folder and key else folder, force
 
     def done(self, path: str) -> bool:
         target = self.spark._jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS")
@@ -35,9 +39,9 @@ class Phases:
 
 
 def candidate_regions(clusters: DataFrame, p: Params) -> DataFrame:
-    """clusters(cluster_id, node_id, seq of ACGT) -> node_id, cluster_id, pos, len, seq: runs of windows unique to their node, within the GC and Tm limits.
+    """clusters(cluster_id, node_id, seq of ACGT) -> node_id, cluster_id, pos, len, seq: runs of windows unique to their node, within the GC and Tm limits and no more than max_identity like any window of another node.
 
-    Cheap filters come first: uniqueness and GC are native; melting temperatures are computed once and cut to the best interval.
+    Cheap filters come first: uniqueness and GC are native; melting temperatures are computed once and cut to the best interval; similarity to other nodes, on both strands, comes last.
     """
     seqs = clusters.withColumnRenamed("cluster_id", "id")
     low, high = p.gc_bounds
@@ -55,6 +59,9 @@ def candidate_regions(clusters: DataFrame, p: Params) -> DataFrame:
         kept = kept.where(F.floor(F.col("tm") * 100) >= round(t_low * 100))
     if t_high is not None:
         kept = kept.where(F.floor(F.col("tm") * 100) < round(t_high * 100))
+    kept = materialize(kept, "within-tm")
+    alike = homology.similar_starts(seqs.join(kept.select("id").distinct(), "id", "left_semi"), seqs, p.length, p.max_identity + 1)
+    kept = kept.join(alike.select("id", F.explode(F.sequence("s", F.col("e") - 1)).alias("pos")), ["id", "pos"], "left_anti")
     if p.candidates:
         starts = identify.middle_of_runs(collapse_runs(kept, ["node_id", "id"]).select("node_id", "id", F.col("pos").alias("s"), (F.col("pos") + F.col("n")).alias("e")), p.candidates)
         regions = starts.select("node_id", "id", "pos", F.lit(p.length).alias("len"))
@@ -84,48 +91,78 @@ def filter_regions(regions: DataFrame, p: Params, blacklists: list[DataFrame] |
         if out.isEmpty():
             break
         seqs = out.select(F.col("region_id").alias("id"), "seq")
-        hits = homology.seed_hits(seqs, black, min(p.contiguity, p.hit_length))
-        found = homology.similar_spans(hits, seqs, black, p.hit_length, -(-int(p.hit_identity * p.hit_length) // 100))
-        spans = merge_intervals(found.select(F.col("a_id").alias("region_id"), "s", "e"), ["region_id"])
+        shared = homology.seed_hits(seqs, black, min(p.contiguity, p.hit_length))
+        found = homology.similar_spans(shared, seqs, black, p.hit_length, -(-int(p.hit_identity * p.hit_length) // 100))
+        # windows as like a black-listed one as two nodes may not be, on either strand
+        alike = homology.similar_spans(homology.spaced_hits(seqs, black), seqs, black, p.length, p.max_identity + 1)
+        both = found.select("a_id", "s", "e").unionByName(alike.select("a_id", "s", "e"))
+        spans = merge_intervals(both.select(F.col("a_id").alias("region_id"), "s", "e"), ["region_id"])
         out = materialize(cut(out, spans), "filtered")
     return out
 
 
 def select_probes(regions: DataFrame, nodes: DataFrame, p: Params, budget: int) -> DataFrame:
-    """regions on nodes of a tree -> probes. Regions of an inner node count for every leaf below it; of a node that isn't in the tree, for itself."""
-    up = tree.closure(nodes).join(nodes.where("is_leaf").select("node_id"), "node_id").select(F.col("ancestor").alias("node_id"), F.col("node_id").alias("leaf"))
-    region_org = materialize(regions.select("region_id", "node_id").join(up, "node_id", "left").select("region_id", F.coalesce("leaf", "node_id").alias("org")), "region-org")
+    """regions on nodes of a tree -> probes. Regions of an inner node count for every leaf below it; of a node that isn't in the tree, for itself.
+
+    regions may have target_rank (lower first). Caps on regions and probes per organism come first; then everything at its densest if that fits, one density for
+    all (constant_tiling), or densities by what each organism lacks, thinned and, if that isn't enough, trimmed to the budget.
+    """
+    region_org = materialize(select.expand_leaves(regions, nodes), "region-org")
     bounded = materialize(select.with_bounds(regions, p.length, p.density), "bounded")
+    rank = ["target_rank"] if "target_rank" in bounded.columns else []
+    spread = select.spread_order(region_org.join(bounded.select("region_id", "len", "pos", *rank), "region_id"), ["org"])
+    firsts = [F.first(c).alias(c) for c in ("len", *rank)]
+    ordered = materialize(select.priority_order(region_org, spread.groupBy("region_id").agg(F.min("spread").alias("spread"), *firsts)), "ordered")
+    least = materialize(ordered.groupBy("region_id").agg(F.min("priority").alias("priority")), "priorities")
+    most = p.max_regions
+    if budget and p.auto_tune and not most:
+        most = select.tune_regions(region_org, ordered, bounded.withColumn("probes", F.col("n_lo")), budget)
+    if most:
+        region_org = materialize(select.cap_regions(region_org, ordered, most), "capped")
+        bounded = materialize(bounded.join(region_org.select("region_id").distinct(), "region_id", "left_semi"), "bounded")
+    if p.max_baits:
+        held = select.cap_baits(region_org, bounded.withColumn("probes", F.col("n_lo")).join(least, "region_id"), p.max_baits)
+        bounded = materialize(held.drop("probes", "priority"), "bounded")
+        region_org = materialize(region_org.join(bounded.select("region_id"), "region_id", "left_semi"), "capped")
     top = bounded.agg(F.sum("n_hi").alias("n")).first().n or 0
     if not budget or top <= budget:
         tiled = bounded.withColumn("density", F.col("hi"))
+    elif p.constant_tiling:
+        one = select.constant_density(bounded, p.length, budget).first()  # one row, or none if not even a single probe a place fits
+        tiled = bounded.withColumn("density", F.least(F.col("hi"), F.lit(one.density if one else 1)))
     else:
         totals = materialize(select.baits_per_org(bounded, region_org), "totals")
         classes = select.classify_orgs(totals, budget)
-        tiled = select.proportional_density(bounded, region_org, classes, totals, budget, p.length)
-        spread = select.spread_order(region_org.join(bounded.select("region_id", "len", "pos"), "region_id"), ["org"])
-        ordered = select.priority_order(region_org, spread.groupBy("region_id").agg(F.min("spread").alias("spread"), F.first("len").alias("len")))
-        least = ordered.groupBy("region_id").agg(F.min("priority").alias("priority"))
-        tiled = select.trim_to_budget(materialize(tiled.join(least, "region_id"), "tiled"), region_org, budget, p.min_baits)
+        tiled = materialize(select.proportional_density(bounded, region_org, classes, totals, budget, p.length).join(least, "region_id"), "tiled")
+        tiled = materialize(select.thin_to_budget(tiled, budget, p.length), "thinned")
+        tiled = select.trim_to_budget(tiled, region_org, budget, p.min_baits)
     return select.emit_probes(tiled, p.length)
 
 
-def design(spark: SparkSession, genes: DataFrame, p: Params, nodes: DataFrame | None = None, blacklists: list[DataFrame] | None = None, folder: str | None = None, force: bool = False) -> dict[str, DataFrame]:
-    """genes(family, uid, taxon_id, seq) -> every phase's table: clusters, members, assignment, nodes, candidates, filtered, probes."""
-    phases = Phases(spark, folder, force)
-    clusters, members = cluster.cluster_genes(genes, p.divergence, p.translation_table > 0)
+def design(spark: SparkSession, genes: DataFrame, p: Params, nodes: DataFrame | None = None, guide: DataFrame | None = None, blacklists: list[DataFrame] | None = None, folder: str | None = None, force: bool = False) -> dict[str, DataFrame]:
+    """genes(family, uid, taxon_id, seq) -> every phase's table: clusters, members, assignment, nodes, candidates, filtered, probes, and counts of what is left.
+
+    nodes: the tree to assign to; else a consensus of the clusters' groupings, with those of a guide tree(node_id, parent_id, is_leaf) if there is one.
+    """
+    log.info("parameters:\n%s", p.banner())
+    phases = Phases(spark, folder, force, p.digest())
+    clusters, members = cluster.cluster_genes(genes, p.divergence, p.translation_table)
     clusters, members = phases.run("clusters", lambda: clusters), phases.run("members", lambda: members.join(genes.select("uid", "taxon_id"), "uid"))
-    nodes = nodes if nodes is not None else phases.run("nodes", lambda: tree.consensus_tree(spark, members, p.guide_weight))
+    nodes = nodes if nodes is not None else phases.run("nodes", lambda: tree.consensus_tree(spark, members, p.guide_weight, guide))
     assigned = phases.run("assignment", lambda: tree.relabel_low(tree.assign_lca(members, nodes), p.penetrance))
     placed = identify.pseudo_genomes(clusters.join(assigned.select("cluster_id", "node_id"), "cluster_id").withColumn("seq", F.upper("seq")), p.length + p.flank)
     # runs of ACGT are searched each for itself; what they share with other nodes still counts
     runs = S.segments_of_acgt(placed.select("cluster_id", "node_id", "seq")).withColumn("cluster_id", F.concat_ws("@", "cluster_id", F.col("offset").cast("string"))).drop("offset")
     found = phases.run("candidates", lambda: numbered(_unsplit(candidate_regions(materialize(runs, "runs"), p)), ["node_id", "cluster_id", "pos"], "BR_", 6, "region_id"))
     found = found.where(F.col("node_id") != "_LOWPEN_")
-    kept = phases.run("filtered", lambda: filter_regions(found, p, blacklists))
+    kept = phases.run("filtered", lambda: outputs.renumber_filtered(filter_regions(found, p, blacklists)))
     budget = p.with_genomes(genes.select("taxon_id").distinct().count()).probes
     probes = phases.run("probes", lambda: numbered(select_probes(kept, nodes, p, budget), ["region_id", "clust_pos"], "Probe_", 6, "probe_id"))
-    return {"clusters": clusters, "members": members, "assignment": assigned, "nodes": nodes, "candidates": found, "filtered": kept, "probes": probes}
+    left = [outputs.counts(df, F.col(key), F.col("node_id")).select(F.lit(stage).alias("stage"), "regions", "taxa") for stage, df, key in (("candidates", found, "region_id"), ("filtered", kept, "region_id"), ("probes", probes, "probe_id"))]
+    counts = phases.run("counts", lambda: left[0].unionByName(left[1]).unionByName(left[2]))
+    for r in counts.collect():  # three rows
+        log.info("%s: %d regions of %d taxa", r.stage, r.regions, r.taxa)
+    return {"clusters": clusters, "members": members, "assignment": assigned, "nodes": nodes, "candidates": found, "filtered": kept, "probes": probes, "counts": counts}
 
 
 def _unsplit(regions: DataFrame) -> DataFrame:

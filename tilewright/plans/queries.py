@@ -235,13 +235,13 @@ def _masks(spark, sf):
 
 def bipartition_counts(spark, sf):
     masks, _, n = _masks(spark, sf)
-    return tree.count_bipartitions(masks, n)
+    return tree.count_bipartitions(masks, n).withColumn("mask", F.col("mask")[0])  # five taxa: one word
 
 
 def bip_compatible(spark, sf):
     counts = materialize(bipartition_counts(spark, sf).select("mask"), "splits")
     other = counts.withColumnRenamed("mask", "b")
-    return counts.withColumnRenamed("mask", "a").join(other, F.col("a") < F.col("b")).select("a", "b", tree.compatible(F.col("a"), F.col("b")).alias("fits"))
+    return counts.withColumnRenamed("mask", "a").join(other, F.col("a") < F.col("b")).select("a", "b", tree.compatible(F.array("a"), F.array("b")).alias("fits"))
 
 
 def outgroup_taxa(spark, sf):
@@ -351,7 +351,7 @@ def trim_to_budget(spark, sf):
     bounded, org, totals, classes = _proportional(spark, sf)
     tiled = select.proportional_density(bounded, org, classes, totals, BUDGET, P.length)
     ordered = select.priority_order(org, bounded).groupBy("region_id").agg(F.min("priority").alias("priority"))
-    tiled = materialize(tiled.join(ordered, "region_id"), "tiled")
+    tiled = materialize(select.thin_to_budget(materialize(tiled.join(ordered, "region_id"), "tiled"), BUDGET, P.length), "thinned")
     return select.trim_to_budget(tiled, org, BUDGET, P.min_baits).select("region_id", "len", "density", "probes")
 
 

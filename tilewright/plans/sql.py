@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from tilewright.functions.seq import STANDARD_CODE
 from tilewright.operators import identify
-from tilewright.plans.queries import P, SEED
+from tilewright.plans.queries import BUDGET, P, SEED
 
 L, K = P.length, P.contiguity
 LOW, HIGH = P.gc_bounds
@@ -96,6 +96,39 @@ hits as (select aw.id as a_id, bw.id as b_id, strand, (aw.pos - bw.pos)::int as
 ITEM_KMERS = f"{DNA}, {ITEMS}, {windows('iw', 'items', K)}, {windows('dw', 'dna', K)}, pruned as (select id, count(*) as kmers from dw where w in (select w from iw) group by 1)"
 
 
+ROUNDS = 12
+
+
+def _classes() -> str:
+    """The fixed point of the organisms' classes, unrolled: each round takes organisms out of Med, and these queries' come to rest in fewer."""
+    out = f"{REGIONS}, {BOUNDS}, totals as (select org, sum(n_lo)::bigint as n_lo, sum(n_hi)::bigint as n_hi from region_org join tiled using (region_id) group by 1), r0 as (select *, 'Med' as class from totals)"
+    for k in range(ROUNDS):
+        share = f"(select ({BUDGET} - coalesce(sum(case class when 'Max' then n_hi when 'Min' then n_lo end), 0)) / nullif(count(*) filter (class = 'Med'), 0)::double as ideal from r{k})"
+        out += f", r{k + 1} as (select org, n_lo, n_hi, case when class <> 'Med' then class when n_hi < ideal then 'Max' when n_lo > ideal then 'Min' else 'Med' end as class from r{k}, {share})"
+    return out
+
+
+def _dense() -> str:
+    last = f"r{ROUNDS}"
+    return f"""{_classes()}, fixed as (select ({BUDGET} - coalesce(sum(case class when 'Max' then n_hi when 'Min' then n_lo end), 0)) / nullif(count(*) filter (class = 'Med'), 0)::double as ideal from {last}),
+    weights as (select org, class, case class when 'Max' then 1.0 when 'Min' then 0.0 else coalesce(greatest(0.0, least(1.0, (ideal - n_lo) / nullif(n_hi - n_lo, 0)::double)), 0.0) end as weight from {last}, fixed),
+    chosen as (select region_id, arg_min(weight, (case class when 'Max' then 0 when 'Med' then 1 else 2 end, weight)) as weight from region_org join weights using (org) group by 1),
+    dense as (select t.*, floor(lo + weight * (hi - lo))::int as density from tiled t join chosen using (region_id)), proportional as (select *, {baits('density')} as probes from dense)"""
+
+
+def _trimmed() -> str:
+    return f"""{_dense()}, caps as (select cap, sum({baits('greatest(lo, least(density, cap))')}) as total from dense, range(1, {L + 1}) t(cap) group by cap),
+    thin as (select greatest(coalesce(max(cap) filter (total <= {BUDGET}), 1), 1) as cap from caps),
+    thinned as (select * exclude (density), greatest(lo, least(density, cap))::int as density from dense, thin), sized as (select *, {baits('density')} as probes from thinned),
+    shared as (select *, count(*) over (partition by region_id) as n_org from region_org), ranked as (select org, region_id, row_number() over (partition by org order by n_org, len, region_id) as k from shared join regions using (region_id)),
+    priorities as (select region_id, min(k) as priority from ranked group by 1),
+    held as (select org, region_id, probes, row_number() over w as nth, sum(probes) over (w rows unbounded preceding) as upto from region_org join sized using (region_id) join priorities using (region_id) window w as (partition by org order by priority, region_id)),
+    need as (select region_id, min(case when nth = 1 then 0 else upto end) as need, any_value(probes) as probes from held group by 1),
+    steps as (select need, sum(sum(probes)) over (order by need) as total from need group by need),
+    level as (select greatest({P.min_baits}, coalesce((select min(need) - 1 from steps where total > {BUDGET}), (select max(need) from steps))) as level)
+    select region_id, len, density, probes from sized join need using (region_id, probes), level where need <= level"""
+
+
 def oracle_sql() -> dict[str, str]:
     win = f"with {DNA}, {windows('win', 'dna', L)}, {GC}"
     return {
@@ -161,6 +194,9 @@ def oracle_sql() -> dict[str, str]:
         "leaf_expansion": f"with recursive {LCA}, placed as (select cluster_id as region_id, case when cluster_id % 11 = 0 then 'nowhere' else node_id end as node_id from assigned), leaf as (select ancestor, u.node_id as leaf from up u join nodes n on n.node_id = u.node_id where is_leaf) select region_id, coalesce(leaf, node_id) as org from placed left join leaf on ancestor = node_id",
         "stage_counts": f"{REGIONS}, j as (select * from region_org join regions using (region_id)) select stage, count(*) as regions, count(distinct org) as taxa from j, (values ('all', 0), ('long', {2 * L}), ('longer', {10 * L})) t(stage, least) where len >= least group by stage",
         "organism_summary": f"{REGIONS}, {BOUNDS} select org, sum(n_lo)::bigint as probes, 'Min' as class from region_org join tiled using (region_id) group by 1",
+        "tiling_class": f"{_classes()} select org, class from r{ROUNDS}",
+        "proportional_tiling": f"{_dense()} select region_id, len, lo, hi, density, probes from proportional",
+        "trim_to_budget": _trimmed(),
         "tiling_bounds": f"{REGIONS}, {BOUNDS} select region_id, len, lo, hi, n_lo, n_hi from tiled",
         "bait_counts": f"{REGIONS}, {BOUNDS} select org, sum(n_lo)::bigint as n_lo, sum(n_hi)::bigint as n_hi, count(*) as regions from region_org join tiled using (region_id) group by 1",
         "constant_tiling": f"{REGIONS}, budget as (select sum({baits('4')}) as most from regions), each as (select len, least(d, {HI}) as own, d from regions, range(1, {L + 1}) t(d)), totals as (select d, sum({baits('own')})::bigint as probes from each group by d) select d::int as density, probes from totals where probes <= (select most from budget) order by d desc limit 1",
