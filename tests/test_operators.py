@@ -438,6 +438,11 @@ def test_target_regions(spark):
     assert (minus.start, minus.end) == (31, 60) and minus.seq == contig[30:60].translate(FLIP)[::-1]
     probes = spark.createDataFrame([("t", "c", 1), ("t", "c", 5), ("t", "c", 40)], "taxon_id string, cluster_id string, clust_pos int")
     assert sorted((r.s, r.e) for r in targets.collapse_probes(probes, 10).collect()) == [(1, 15), (40, 50)]
+    several = probes.withColumn("cluster_id", F.lit("c")).withColumn("clust_pos", F.col("clust_pos") + 9)
+    sizes = {mode: targets.plan_targets(several, members, genes, 10, 5, mode).count() for mode in ("none", "probe", "context")}
+    assert sizes["none"] > sizes["probe"] >= sizes["context"] > 0
+    with pytest.raises(ValueError):
+        targets.plan_targets(probes, members, genes, 10, 5, "other")
     df = spark.createDataFrame([("t", "1", 5, 9), ("t", "1", 10, 12), ("t", "1", 20, 22)], "taxon_id string, chr string, start int, end int")
     assert sorted((r.s, r.e) for r in targets.merge_targets(df).collect()) == [(5, 13), (20, 23)]
 

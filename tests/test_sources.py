@@ -162,3 +162,23 @@ def test_known_genes(spark, tmp_path):
     known = spark.createDataFrame([("b",), ("z",)], "gene_id string")
     r = gff.read_known_genes(spark, [f"{tmp_path}/g.gff"], known, 8).collect()
     assert [(x.gene_id, x.up, x.down) for x in r] == [("b", 0, 8)] and r[0].seq == seq[46:60].translate(str.maketrans("ACGT", "TGCA"))[::-1]
+
+
+def test_command_line(spark, tmp_path):
+    from tilewright.__main__ import main, params, parser
+
+    args = parser().parse_args(["--genomes", "g", "--out", "o", "--gc-min", "25.5", "--constant-tiling"])
+    p = params(args, "length\t80\ngc-min\t10\n# note\nauto-tune\ttrue\n")
+    assert (p.length, p.gc_min, p.constant_tiling, p.auto_tune) == (80, 25.5, True, True) and "length\t80" in p.banner()
+    rng = random.Random(31)
+    for t in "xy":
+        dna = "".join(rng.choice("ACGT") for _ in range(900))
+        with open(tmp_path / f"{t}.gff", "w") as f:
+            f.write(f"##gff-version 3\nc\ts\tCDS\t1\t600\t.\t+\t0\tID=g{t};Name=n{t}\n##FASTA\n>c\n{dna}\n")
+    (tmp_path / "list").write_text("".join(f"{tmp_path}/{t}.gff\t{t}\r\n" for t in "xy"))
+    (tmp_path / "black.fa").write_text(">b\n" + "ACGT" * 30 + "\n")
+    main(["--genomes", f"{tmp_path}/list", "--out", f"{tmp_path}/out", "--blacklists", f"{tmp_path}/black.fa", "--probes", "40"])
+    probes = fasta.read_fasta(spark, f"{tmp_path}/out/probes.fna").collect()
+    info = tables.read_named(spark, f"{tmp_path}/out/probes.tsv", tables.PROBE_INFO).collect()
+    assert probes and {r.id for r in probes} == {r.ProbeID for r in info} and all(len(r.seq) == 75 for r in probes)
+    assert {r.GeneID for r in tables.read_cluster_info(spark, f"{tmp_path}/out/clusters.tsv").collect()} == {"gx.x.1", "gy.y.1"}

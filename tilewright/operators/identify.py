@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from tilewright.functions import seq as S
 from tilewright.operators.intervals import merge_intervals, segment_offsets, subtract_intervals
 from tilewright.operators.kmers import packed_kmers
+from tilewright.session import materialize
 
 #: Unified nearest-neighbour enthalpies (kcal/mol) and entropies (cal/mol/K) of DNA duplexes, SantaLucia 1998.
 NEIGHBOURS = {
@@ -33,17 +34,21 @@ def neighbour_table() -> dict[str, tuple[float, float]]:
 def pseudo_genomes(clusters: DataFrame, least: int) -> DataFrame:
     """clusters(cluster_id, node_id, seq) -> + ord, start in the node's string of clusters; nodes shorter than ``least`` go. Nothing is concatenated."""
     placed = segment_offsets(clusters, ["node_id"], ["cluster_id"], F.length("seq"))
-    total = F.sum(F.length("seq") + 1).over(W.partitionBy("node_id"))
-    return placed.withColumn("_t", total).where(F.col("_t") >= least).drop("_t")
+    long_ = clusters.groupBy("node_id").agg(F.sum(F.length("seq") + 1).alias("t")).where(F.col("t") >= least)
+    return placed.join(long_, placed["node_id"].eqNullSafe(long_["node_id"]), "left_semi")
 
 
 def shared_kmer_positions(seqs: DataFrame, k: int) -> DataFrame:
     """seqs(id, node_id, seq) -> id, pos of every k-mer that, on either strand, occurs in two nodes or more.
 
-    The first pass keeps the least and greatest node of each k-mer, as partial sums; only k-mers of several nodes are joined back.
+    The first pass keeps the least and greatest node of each k-mer, as whole numbers and partial sums; only k-mers of several nodes are joined back.
     """
-    packed = packed_kmers(seqs.select("id", "node_id", "seq"), k)
-    shared = packed.groupBy("kmer").agg(F.min("node_id").alias("_a"), F.max("node_id").alias("_b")).where("_a <> _b").select("kmer")
+    nodes = seqs.select("node_id").distinct().withColumn("_node", F.row_number().over(W.orderBy("node_id")))  # a row per node
+    nodes = materialize(nodes, "node-numbers")
+    coded = seqs.join(nodes, seqs["node_id"].eqNullSafe(nodes["node_id"])).select("id", "_node", "seq")
+    packed = packed_kmers(coded, k)
+    shared = packed.groupBy("kmer").agg(F.min("_node").alias("_a"), F.max("_node").alias("_b")).where("_a <> _b").select("kmer")
+    shared = materialize(shared, "shared-kmers")  # its size is known when it is joined: few, it goes to the sequences and not they to it
     return packed.join(shared, "kmer", "left_semi").select("id", "pos")
 
 

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tilewright.session import materialize
+
 
 def merge_intervals(df: DataFrame, keys: list[str], s: str = "s", e: str = "e") -> DataFrame:
     """Unions of overlapping or touching intervals of each key: one sort within keys, no self-join."""
@@ -50,26 +54,59 @@ def longest_run(runs: DataFrame, keys: list[str], value: str) -> DataFrame:
     return runs.groupBy(*keys).agg(F.max_by(F.struct(value, "n", "run"), F.struct("n", -F.col("run"))).alias("_b")).select(*keys, f"_b.{value}", "_b.n", "_b.run")
 
 
+def _same(a: DataFrame, b: DataFrame, keys: list[str]) -> Column:
+    return reduce(lambda x, y: x & y, (a[k].eqNullSafe(b[k]) for k in keys))
+
+
+def ranged(df: DataFrame, order: list[str], label: str) -> DataFrame:
+    """df in ranges of a total order, written, with the number of each row's range as _part: running results within ranges are joined up over their ends, so a key may fill many tasks."""
+    return materialize(df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id()), label)
+
+
 def segment_offsets(segments: DataFrame, keys: list[str], order: list[str], length: Column, gap: int = 1) -> DataFrame:
-    """Where each segment begins (0-based) when a key's segments are strung together with ``gap`` between them."""
-    w = W.partitionBy(*keys).orderBy(*order)
-    return segments.withColumns({"ord": F.row_number().over(w), "start": (F.coalesce(F.sum(length + gap).over(w.rowsBetween(W.unboundedPreceding, -1)), F.lit(0))).cast("long")})
+    """Adds ord (from 1) and start: where each segment begins (0-based) when a key's segments are strung together with ``gap`` between them."""
+    rows = ranged(segments.withColumn("_len", (length + gap).cast("long")), [*keys, *order], "segments")
+    sums = rows.groupBy(*keys, "_part").agg(F.count("*").alias("_n"), F.sum("_len").alias("_sum"))
+    before = W.partitionBy(*keys).orderBy("_part").rowsBetween(W.unboundedPreceding, -1)  # a row per key and range
+    none = F.lit(0).cast("long")
+    ahead = sums.select(*keys, "_part", F.coalesce(F.sum("_n").over(before), none).alias("_ord"), F.coalesce(F.sum("_sum").over(before), none).alias("_start"))
+    w = W.partitionBy(*keys, "_part").orderBy(*order)
+    own = rows.withColumns({"_i": F.row_number().over(w), "_at": F.coalesce(F.sum("_len").over(w.rowsBetween(W.unboundedPreceding, -1)), none)})
+    j = own.join(ahead, _same(own, ahead, [*keys, "_part"]))
+    return j.select(*(own[c] for c in segments.columns), (F.col("_ord") + F.col("_i")).cast("int").alias("ord"), (F.col("_start") + F.col("_at")).alias("start"))
 
 
 def locate(points: DataFrame, segments: DataFrame, keys: list[str], pos: str = "pos") -> DataFrame:
     """As-of lookup: each point's segment is the last that starts at or before it; local is its 0-based place there, null on a separator.
 
-    A union of both sides and one window per key, instead of a range join. segments: start, segment, len.
+    A union of both sides in ranges of (key, place), instead of a range join; each range takes over the last segment of those before it. segments: start, segment, len.
     """
     begin = segments.select(*keys, F.col("start").alias(pos), F.lit(0).alias("_kind"), F.struct("segment", "start", "len").alias("_seg"))
     ask = points.select(*keys, pos, F.lit(1).alias("_kind"), F.lit(None).cast(begin.schema["_seg"].dataType).alias("_seg"))
-    w = W.partitionBy(*keys).orderBy(pos, "_kind").rowsBetween(W.unboundedPreceding, 0)
-    found = begin.unionByName(ask).withColumn("_seg", F.last("_seg", True).over(w)).where("_kind = 1")
+    rows = ranged(begin.unionByName(ask), [*keys, pos, "_kind"], "places")
+    ends = rows.groupBy(*keys, "_part").agg(F.max_by("_seg", F.when(F.col("_kind") == 0, F.col(pos))).alias("_seg"))
+    before = W.partitionBy(*keys).orderBy("_part").rowsBetween(W.unboundedPreceding, -1)  # a row per key and range
+    carried = ends.select(*keys, "_part", F.last("_seg", True).over(before).alias("_carried"))
+    w = W.partitionBy(*keys, "_part").orderBy(pos, "_kind").rowsBetween(W.unboundedPreceding, 0)
+    own = rows.withColumn("_last", F.last("_seg", True).over(w)).where("_kind = 1")
+    found = own.join(carried, _same(own, carried, [*keys, "_part"])).select(*(own[k] for k in keys), own[pos], F.coalesce("_last", "_carried").alias("_seg"))
     local = F.col(pos) - F.col("_seg.start")
     inside = local < F.col("_seg.len")
     return found.select(*keys, pos, F.when(inside, F.col("_seg.segment")).alias("segment"), F.when(inside, local).alias("local"))
 
 
+def nearest(points: DataFrame, marks: DataFrame, keys: list[str], pos: str = "pos") -> DataFrame:
+    """points(keys, pos), marks(keys, pos) -> keys, pos, before, after: distances to the nearest mark at or before and at or after each point, null where there is none."""
+    one = marks.select(*keys, F.col(pos).alias("start"), F.col(pos).alias("segment"), F.lit(1).alias("len"))
+    both = {}
+    for name, sign in (("before", 1), ("after", -1)):
+        flip = (F.col(pos) * sign).alias(pos)
+        segs = one.select(*keys, (F.col("start") * sign).alias("start"), F.col("segment"), F.lit(2**62).cast("long").alias("len"))
+        both[name] = locate(points.select(*keys, flip).distinct(), segs, keys, pos).select(*keys, flip, F.col("local").alias(name))
+    j = points.join(both["before"], _same(points, both["before"], [*keys, pos]), "left").select(*(points[c] for c in points.columns), "before")
+    return j.join(both["after"], _same(j, both["after"], [*keys, pos]), "left").select(*(j[c] for c in j.columns), "after")
+
+
 def keep_first(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """The first row of each key in a total order."""
     return df.withColumn("_n", F.row_number().over(W.partitionBy(*keys).orderBy(*order))).where("_n = 1").drop("_n")

@@ -47,3 +47,19 @@ def target_regions(regions: DataFrame, members: DataFrame, genes: DataFrame, pro
 def merge_targets(targets: DataFrame) -> DataFrame:
     """Overlapping target regions of a contig as one, half-open: taxon_id, chr, s, e."""
     return merge_intervals(targets.select("taxon_id", "chr", F.col("start").alias("s"), (F.col("end") + 1).alias("e")), ["taxon_id", "chr"])
+
+
+def plan_targets(probes: DataFrame, members: DataFrame, genes: DataFrame, probe: int, flank: int, overlap: str = "context") -> DataFrame:
+    """probes(taxon_id, cluster_id, clust_pos) -> the genomes' regions that they are meant for, with their flanks.
+
+    overlap: ``context`` merges overlapping probes and then overlapping regions (taxon_id, chr, s, e), ``probe`` only the probes, ``none`` leaves each probe's region alone.
+    """
+    if overlap not in ("context", "probe", "none"):
+        raise ValueError("overlap must be context, probe or none")
+    if overlap == "none":
+        regions = probes.select("cluster_id", F.col("clust_pos").alias("s"), (F.col("clust_pos") + probe).alias("e"))
+    else:
+        regions = collapse_probes(probes, probe).select("cluster_id", "s", "e")
+    probed = probes.select("cluster_id").distinct()
+    found = target_regions(regions.distinct(), members.join(probed, "cluster_id", "left_semi"), genes, probe, flank)
+    return merge_targets(found) if overlap == "context" else found

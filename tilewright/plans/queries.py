@@ -41,7 +41,7 @@ def seq_revcomp(spark, sf):
 
 
 def seq_gc(spark, sf):
-    return dna(spark, sf).select("id", F.length("seq").alias("n"), S.gc_count(F.col("seq")).alias("gc"))
+    return dna(spark, sf).select("id", F.length("seq").alias("n"), S.gc_of_acgt(F.col("seq")).alias("gc"))
 
 
 def seq_kmers(spark, sf):
@@ -373,6 +373,15 @@ def target_regions(spark, sf):
     return found.select("cluster_id", "gene_id", "start", "end", "seq")
 
 
+def nearest_gap(spark, sf):
+    """Every 41st place of a document's letters and its distances to the nearest N on either side."""
+    letters = table(spark, sf, "documents").select(F.col("doc_id").alias("id"), F.upper(F.regexp_replace("text", "[^A-Za-z]", "")).alias("seq")).where("length(seq) > 0")
+    marks = letters.select("id", F.posexplode(F.split("seq", "")).alias("pos", "c")).where("c = 'N'").select("id", F.col("pos").cast("long").alias("pos"))
+    points = letters.select("id", F.explode(F.sequence(F.lit(0).cast("long"), F.length("seq").cast("long") - 1, F.lit(41).cast("long"))).alias("pos"))
+    found = intervals.nearest(points, marks, ["id"])
+    return found.select("id", "pos", *(F.coalesce(c, F.lit(-1)).cast("long").alias(c) for c in ("before", "after")))
+
+
 # ---------------------------------------------------------------- files, there and back
 
 

@@ -191,6 +191,10 @@ def oracle_sql() -> dict[str, str]:
             chars as (select id, unnest(string_split(s, '')) as c, unnest(range(len(s))) as i from letters where len(s) > 0),
             marked as (select *, i - row_number() over (partition by id order by i) as island from chars where c in ('A', 'C', 'G', 'T'))
             select id, min(i)::bigint as "offset", string_agg(c, '' order by i) as seq from marked group by id, island having count(*) >= 4""",
+        "nearest_gap": """with letters as (select doc_id as id, upper(regexp_replace(text, '[^A-Za-z]', '', 'g')) as s from documents),
+            marks as (select id, i from (select id, unnest(string_split(s, '')) as c, unnest(range(len(s))) as i from letters where len(s) > 0) where c = 'N'),
+            points as (select id, unnest(range(0, len(s), 41)) as pos from letters where len(s) > 0)
+            select p.id, p.pos, coalesce(p.pos - a.i, -1) as before, coalesce(b.i - p.pos, -1) as after from points p asof left join marks a on p.id = a.id and p.pos >= a.i asof left join marks b on p.id = b.id and p.pos <= b.i""",
         "leaf_expansion": f"with recursive {LCA}, placed as (select cluster_id as region_id, case when cluster_id % 11 = 0 then 'nowhere' else node_id end as node_id from assigned), leaf as (select ancestor, u.node_id as leaf from up u join nodes n on n.node_id = u.node_id where is_leaf) select region_id, coalesce(leaf, node_id) as org from placed left join leaf on ancestor = node_id",
         "stage_counts": f"{REGIONS}, j as (select * from region_org join regions using (region_id)) select stage, count(*) as regions, count(distinct org) as taxa from j, (values ('all', 0), ('long', {2 * L}), ('longer', {10 * L})) t(stage, least) where len >= least group by stage",
         "organism_summary": f"{REGIONS}, {BOUNDS} select org, sum(n_lo)::bigint as probes, 'Min' as class from region_org join tiled using (region_id) group by 1",
