@@ -98,8 +98,31 @@ def test_unique_windows_by_brute_force(spark):
         for p in range(len(s) - k + 1):
             nodes[min(s[p : p + k], s[p : p + k].translate(FLIP)[::-1])].add(n)
     want = {(i, p + 1) for (n, i), s in seqs.items() for p in range(len(s) - length + 1) if all(len(nodes[min(w, w.translate(FLIP)[::-1])]) == 1 for w in (s[q : q + k] for q in range(p, p + length - k + 1)))}
-    got = {(r.id, p) for r in identify.unique_starts(df, length, k).collect() for p in range(r.s, r.e)}
-    assert got == want and any(i == 1 for i, _ in want)
+    for most in (identify.BROADCAST, 0):
+        got = {(r.id, p) for r in identify.unique_starts(df, length, k, broadcast_kmers=most).collect() for p in range(r.s, r.e)}
+        assert got == want and any(i == 1 for i, _ in want)
+
+
+def test_kmer_summary_in_small_pieces(spark):
+    from tilewright.operators import kmers
+
+    rng = random.Random(33)
+    seqs = ["".join(rng.choice("ACGTN") for _ in range(n)) for n in (0, 3, 4, 30, 200, 900)] + ["A" * 50, None]
+    df = spark.createDataFrame([(s, i % 3) for i, s in enumerate(seqs)], "seq string, label long").repartition(3)
+    value = lambda w: int("".join(str("ACGT".index(c)) for c in w), 4)
+    want = defaultdict(list)
+    for i, s in enumerate(seqs):
+        for p in range(len(s or "") - 3):
+            w = s[p : p + 4]
+            if "N" not in w:
+                want[value(min(w, w.translate(FLIP)[::-1]))].append(i % 3)
+    before, kmers.PIECE = kmers.PIECE, 37
+    try:
+        got = {r.kmer: (r.least, r.most, r.n) for r in kmers.kmer_summary(df, 4, "n").collect()}
+        labels = {r.kmer for r in kmers.kmer_summary(df, 4, "labels").collect()}
+    finally:
+        kmers.PIECE = before
+    assert got == {x: (min(v), max(v), len(v)) for x, v in want.items() if len(v) > 1} and labels == {x for x, v in want.items() if len(set(v)) > 1}
 
 
 def slow_tm(w):

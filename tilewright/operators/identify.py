@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tilewright.functions import seq as S
 from tilewright.operators.intervals import merge_intervals, segment_offsets, subtract_intervals
-from tilewright.operators.kmers import packed_kmers
+from tilewright.operators.kmers import kmer_summary, packed_kmers, spans_of
 from tilewright.session import materialize
 
 #: Unified nearest-neighbour enthalpies (kcal/mol) and entropies (cal/mol/K) of DNA duplexes, SantaLucia 1998.
@@ -38,28 +38,32 @@ def pseudo_genomes(clusters: DataFrame, least: int) -> DataFrame:
     return placed.join(long_, placed["node_id"].eqNullSafe(long_["node_id"]), "left_semi")
 
 
-def shared_kmer_positions(seqs: DataFrame, k: int) -> DataFrame:
-    """seqs(id, node_id, seq) -> id, pos of every k-mer that, on either strand, occurs in two nodes or more.
+#: Shared k-mers (8 bytes each) that may be broadcast; beyond, they are joined.
+BROADCAST = 1 << 21
 
-    The first pass keeps the least and greatest node of each k-mer, as whole numbers and partial sums; only k-mers of several nodes are joined back.
-    """
-    nodes = seqs.select("node_id").distinct().withColumn("_node", F.row_number().over(W.orderBy("node_id")))  # a row per node
+
+def shared_kmers(seqs: DataFrame, k: int) -> DataFrame:
+    """seqs(node_id, seq) -> kmer: every k-mer that, on either strand, occurs in two nodes or more."""
+    nodes = seqs.select("node_id").distinct().withColumn("label", F.row_number().over(W.orderBy("node_id")).cast("long"))  # a row per node
     nodes = materialize(nodes, "node-numbers")
-    coded = seqs.join(nodes, seqs["node_id"].eqNullSafe(nodes["node_id"])).select("id", "_node", "seq")
-    packed = packed_kmers(coded, k)
-    shared = packed.groupBy("kmer").agg(F.min("_node").alias("_a"), F.max("_node").alias("_b")).where("_a <> _b").select("kmer")
-    shared = materialize(shared, "shared-kmers")  # its size is known when it is joined: few, it goes to the sequences and not they to it
-    return packed.join(shared, "kmer", "left_semi").select("id", "pos")
+    coded = seqs.join(nodes, seqs["node_id"].eqNullSafe(nodes["node_id"])).select("seq", "label")
+    return kmer_summary(coded, k, "labels").select("kmer")
 
 
-def unique_starts(seqs: DataFrame, length: int, k: int, first: int = 1) -> DataFrame:
+def unique_starts(seqs: DataFrame, length: int, k: int, first: int = 1, broadcast_kmers: int = BROADCAST) -> DataFrame:
     """seqs(id, node_id, seq) -> id, s, e: half-open runs of window starts (1-based) that hold no k-mer of another node.
 
-    A shared k-mer at p rules out the starts from p - (length - k) to p: intervals to merge and subtract, never a row per window.
+    A shared k-mer at p rules out the starts from p - (length - k) to p: intervals to merge and subtract, never a row per window. Shared k-mers are few and
+    go to the sequences; where they are counted to be more than ``broadcast_kmers``, positions are found by a join.
     """
     starts = seqs.where(F.length("seq") >= length + first - 1).select("id", F.lit(first).alias("s"), (F.length("seq") - length + 2).alias("e"))
-    bad = shared_kmer_positions(seqs, k).select("id", (F.col("pos") - (length - k)).alias("s"), (F.col("pos") + 1).alias("e"))
-    return subtract_intervals(starts, merge_intervals(bad, ["id"]), ["id"]).drop("piece")
+    shared = materialize(shared_kmers(seqs, k), "shared-kmers")
+    if shared.count() <= broadcast_kmers:
+        bad = spans_of(seqs, np.sort(np.array([r.kmer for r in shared.collect()], dtype=np.int64)), k, length)  # at most broadcast_kmers
+    else:
+        found = packed_kmers(seqs.select("id", "seq"), k).join(shared, "kmer", "left_semi")
+        bad = merge_intervals(found.select("id", (F.col("pos") - (length - k)).alias("s"), (F.col("pos") + 1).alias("e")), ["id"])
+    return subtract_intervals(starts, bad, ["id"]).drop("piece")
 
 
 def gc_windows(seqs: DataFrame, length: int, low: int, high: int, first: int = 1) -> DataFrame:

@@ -7,6 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from tilewright.functions.seq import BASES
 
@@ -68,6 +69,100 @@ def packed_kmers(df: DataFrame, k: int, canonical: bool = True, seq: str = "seq"
     return df.select(seq, *keep).mapInArrow(run, schema)
 
 
+#: Bases whose k-mers a task sorts at once, and those that a bucket takes.
+PIECE, BUCKET = 1 << 21, 1 << 22
+
+
+def _pieces(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Batches of (seq, label) -> k-mers and their labels, up to about PIECE at a time; long sequences in overlapping stretches."""
+    held, size = [], 0
+    for batch in batches:
+        for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            base = codes(text or "")
+            for at in range(0, max(len(base) - k + 1, 0), PIECE):
+                kmers = pack(base[at : at + PIECE + k - 1], k, True)[1]
+                held.append((kmers, np.full(len(kmers), label, dtype=np.int64)))
+                size += len(kmers)
+                if size >= PIECE:
+                    yield tuple(np.concatenate(x) for x in zip(*held))
+                    held, size = [], 0
+    if held:
+        yield tuple(np.concatenate(x) for x in zip(*held))
+
+
+def _least_and_most(kmers: np.ndarray, least: np.ndarray, most: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Distinct k-mers in order, with the least and greatest label and the sum of the counts of each."""
+    order = np.argsort(kmers, kind="stable")
+    kmers = kmers[order]
+    starts = np.flatnonzero(np.concatenate(([True], kmers[1:] != kmers[:-1]))) if len(kmers) else np.zeros(0, dtype=np.int64)
+    if not len(starts):
+        return kmers, least, most, n
+    return kmers[starts], np.minimum.reduceat(least[order], starts), np.maximum.reduceat(most[order], starts), np.add.reduceat(n[order], starts)
+
+
+def kmer_summary(seqs: DataFrame, k: int, several: str) -> DataFrame:
+    """seqs(seq, label long) -> kmer (canonical), least, most (of the labels), n (occurrences) of every k-mer with several labels (``several`` = "labels") or occurrences ("n").
+
+    K-mers travel as sorted arrays: a task reduces its own to distinct ones and deals them to buckets by a hash, and a bucket's arrays are reduced again. A hot k-mer is an
+    entry per piece. There are as many buckets as the bases need, so each fits a task.
+    """
+    spark = seqs.sparkSession
+    bases = seqs.agg(F.sum(F.length("seq")).alias("n")).first().n or 0
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-bases // BUCKET))
+    names = ["kmer", "least", "most", "n"]
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for kmers, labels in _pieces(batches, k):
+            columns = _least_and_most(kmers, labels, labels, np.ones(len(kmers), dtype=np.int64))
+            bucket = ((columns[0].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)) % np.uint64(buckets)
+            order = np.argsort(bucket, kind="stable")
+            cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
+            used = np.flatnonzero(np.diff(cuts))
+            blobs = [pa.array([c[order[cuts[i] : cuts[i + 1]]].astype("<i8").tobytes() for i in used], pa.binary()) for c in columns]
+            yield pa.RecordBatch.from_arrays([pa.array(used, pa.int32()), *blobs], ["bucket", *names])
+
+    def reduce_(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[np.ndarray, ...]] = []
+        for batch in batches:
+            held += [tuple(np.frombuffer(batch.column(c)[i].as_py(), "<i8") for c in range(4)) for i in range(batch.num_rows)]
+            if sum(len(x[0]) for x in held) > 2 * BUCKET:
+                held = [_least_and_most(*(np.concatenate(x) for x in zip(*held)))]
+        if held:
+            columns = _least_and_most(*(np.concatenate(x) for x in zip(*held)))
+            pick = columns[1] < columns[2] if several == "labels" else columns[3] > 1
+            columns = [c[pick] for c in columns]
+            for at in range(0, len(columns[0]), ROWS):
+                yield pa.RecordBatch.from_arrays([pa.array(c[at : at + ROWS], pa.int64()) for c in columns], names)
+
+    dealt = seqs.select("seq", "label").mapInArrow(deal, "bucket int, kmer binary, least binary, most binary, n binary")
+    return dealt.repartitionById(buckets, F.col("bucket")).select(*names).mapInArrow(reduce_, "kmer long, least long, most long, n long")
+
+
+def spans_of(seqs: DataFrame, kmers: np.ndarray, k: int, length: int) -> DataFrame:
+    """seqs(id, seq) -> id, s, e: merged, half-open runs of window starts (1-based, not clamped) whose windows of ``length`` hold one of the sorted k-mers."""
+    shared = seqs.sparkSession.sparkContext.broadcast(kmers)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        wanted = shared.value
+        for batch in batches:
+            own, s, e = [], [], []
+            for i, text in enumerate(batch.column(1).to_pylist()):
+                starts, found = pack(codes(text or ""), k, True)
+                if not len(wanted) or not len(found):
+                    continue
+                at = np.minimum(np.searchsorted(wanted, found), len(wanted) - 1)
+                on = starts[wanted[at] == found] + 1
+                if len(on):
+                    turns = np.flatnonzero(np.diff(on) > length - k + 1)
+                    firsts, lasts = on[np.concatenate(([0], turns + 1))], on[np.concatenate((turns, [len(on) - 1]))]
+                    own += [i] * len(firsts)
+                    s += (firsts - (length - k)).tolist()
+                    e += (lasts + 1).tolist()
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(own, pa.int64())), pa.array(s, pa.int32()), pa.array(e, pa.int32())], ["id", "s", "e"])
+
+    return seqs.select("id", "seq").mapInArrow(run, f"id {seqs.schema['id'].dataType.simpleString()}, s int, e int")
+
+
 def gc_runs(seqs: DataFrame, length: int, low: int, high: int, first: int = 1, with_seq: bool = False) -> DataFrame:
     """seqs(id, seq of ACGT) -> id, pos, len, n: runs of consecutive windows with low <= G and C < high, found in place; with_seq adds the bases of each."""
 

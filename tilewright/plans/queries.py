@@ -14,9 +14,9 @@ from pyspark.sql import functions as F
 
 from tilewright.functions import cigar, seq as S
 from tilewright.operators import cluster, homology, identify, intervals, select, targets, tree
-from tilewright.operators.kmers import gc_runs, packed_kmers
+from tilewright.operators.kmers import gc_runs, kmer_summary, packed_kmers
 from tilewright.params import Params
-from tilewright.session import materialize, scratch, table
+from tilewright.session import materialize, scratch, spread, table
 from tilewright.sources import fasta, gff, newick, outputs, tables
 
 P = Params()
@@ -25,7 +25,7 @@ SEED = 14
 
 
 def dna(spark: SparkSession, sf: str) -> DataFrame:
-    rows = table(spark, sf, "documents").select(F.col("doc_id").alias("id"), F.col("lang").alias("node_id"), F.col("source").alias("org"), S.dna_of_text(F.col("text")).alias("seq"))
+    rows = spread(table(spark, sf, "documents").select("doc_id", "lang", "source", "text")).select(F.col("doc_id").alias("id"), F.col("lang").alias("node_id"), F.col("source").alias("org"), S.dna_of_text(F.col("text")).alias("seq"))
     return rows.where(F.length("seq") > 0)
 
 
@@ -45,7 +45,8 @@ def seq_gc(spark, sf):
 
 
 def seq_kmers(spark, sf):
-    return packed_kmers(dna(spark, sf).select("seq"), P.contiguity).groupBy("kmer").agg(F.count("*").alias("n")).where("n > 1")
+    """K-mers that occur more than once, with their counts: the feature is repeats; single ones are the rest of the sequence."""
+    return kmer_summary(dna(spark, sf).select("seq", F.lit(0).cast("long").alias("label")), P.contiguity, "n").select("kmer", "n")
 
 
 def seq_pack2bit(spark, sf):
@@ -88,7 +89,7 @@ def tm_best_interval(spark, sf):
 
 
 def kmer_unique_windows(spark, sf):
-    return identify.unique_starts(dna(spark, sf), P.length, P.contiguity)
+    return identify.unique_starts(materialize(dna(spark, sf).select("id", "node_id", "seq"), "dna"), P.length, P.contiguity)
 
 
 def pseudo_genomes(spark, sf):
@@ -110,7 +111,8 @@ def pos_to_segment(spark, sf):
 
 
 def middle_windows(spark, sf):
-    runs = identify.unique_starts(dna(spark, sf), P.length, P.contiguity).join(dna(spark, sf).select("id", "node_id"), "id")
+    rows = materialize(dna(spark, sf).select("id", "node_id", "seq"), "dna")  # read several times
+    runs = identify.unique_starts(rows, P.length, P.contiguity).join(rows.select("id", "node_id"), "id")
     return identify.middle_of_runs(runs, 25)
 
 

@@ -72,3 +72,9 @@ def clean_up(spark: SparkSession) -> None:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """A table read from files, dealt out if these give fewer partitions than there are cores (one file of one row group is one task); else as it is. Columns and filters still reach the scan."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
