@@ -1,6 +1,10 @@
 """Corpus pipeline: documents -> quality rules -> near-duplicate removal -> mixing -> token ids.
 
 Each stage works on all rows that its predecessor wrote, and all but the last return the columns of documents.
+
+Defined results: null texts have no words and go in the first stage, as do texts of fewer than 10 words; null doc_id, lang and source are values like
+any other (ids: last of a group, so a known one stays; sources: last in order); of rows equal in all columns one stays in the second stage; an
+empty table gives empty tables; extra columns pass by, whatever their names, up to the last stage. Very long texts are worked on whole.
 """
 
 from __future__ import annotations
@@ -8,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tilewright.llm import mixing, quality, queries, simhash, word_bpe
-from tilewright.session import materialize, table
+from tilewright.session import materialize, spread, table
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,7 +42,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs = spread(table(spark, sf_dir, "documents"))
     for name, stage in STAGES[:-1]:
         docs = materialize(stage(spark, docs, sf_dir), name)
     return STAGES[-1][1](spark, docs, sf_dir)
