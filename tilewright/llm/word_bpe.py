@@ -43,7 +43,9 @@ from tilewright.session import materialize
 #: Words compiled into the automaton: bounds the file (some MB), not the result.
 LEXICON = 65_536
 #: Words a worker remembers, and distinct words it counts before it hands them on.
-CACHE = 400_000
+CACHE = 150_000
+#: Bytes of text a worker takes at once: its pieces, ids and decoded strings are some ten times as large.
+PIECE = 4 << 20
 #: Longer words are left to the merging code.
 LONGEST = 40
 HEAD = struct.Struct("<4sIII")
@@ -390,7 +392,7 @@ def word_counts(docs: DataFrame, path: str) -> DataFrame:
             words.clear()
             return out
 
-        for batch in groups(batches, "text"):
+        for batch in groups(batches, "text", PIECE):
             pieces, codes, _ = cut_pieces(batch.column(0))
             for piece, n in zip(pieces, np.bincount(codes, minlength=len(pieces)).tolist()):
                 pair = bpe.core_and_tail(piece)
@@ -445,7 +447,7 @@ def encode_decode(docs: DataFrame, path: str, size: int = LEXICON, digest: bool
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = coder(path, SparkFiles.get(lexicon))
-        for batch in groups(batches, "text"):
+        for batch in groups(batches, "text", PIECE):
             ids, counts = own.encode(batch.column(1))
             octets = memoryview(ids.tobytes())
             packed = [octets[a:b] for a, b in zip(*spans(counts * 4))]
