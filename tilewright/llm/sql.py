@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tilewright.llm import hash_tree, quality, queries, url_filters
+from tilewright.llm import divergence, hash_tree, quality, queries, url_filters, vector_codes
 
 
 def _rules_sql() -> str:
@@ -188,5 +188,63 @@ def _op10() -> str:
     """
 
 
+def _op12() -> str:
+    c = vector_codes.Codes()
+
+    def assigned(n: int) -> str:
+        """Nearest entries: distances are whole numbers below 2**53, so doubles hold them."""
+        far = "((xx - 2 * list_inner_product(parts.x, e.x) + list_inner_product(e.x, e.x))::hugeint * 65536 + e.entry)"
+        return f"""a{n} as materialized (
+            select vec_id, label, part, x, (best % 65536)::int as entry, best // 65536 as error
+            from (select vec_id, label, part, any_value(parts.x) as x, min({far}) as best from parts join b{n} e using (part) group by row, vec_id, label, part))"""
+
+    rounds = ", ".join(
+        f"""{assigned(n)}, s{n} as (
+            select part, entry, list(mean order by i) as x from (select part, entry, i, floor(sum(x[i + 1]::hugeint)::double / count(*)) as mean from a{n}, range(16) r(i) group by all) group by all
+        ), b{n + 1} as materialized (select part, entry, coalesce(s.x, b.x) as x from b{n} b left join s{n} s using (part, entry))"""
+        for n in range(c.rounds)
+    )
+    return f"""
+    with kept as (
+        select row_number() over (order by vec_id nulls last) - 1 as row, vec_id, label, list_transform(embedding, lambda x: floor({c.scale} * x::double)) as v
+        from embeddings where len(embedding) > 0 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+    ), cut as (select row, vec_id, label, p as part, v[p * len(v) // {c.parts} + 1 : (p + 1) * len(v) // {c.parts}] as x from kept, range({c.parts}) t(p)),
+    parts as materialized (select *, list_inner_product(x, x) as xx from cut),
+    b0 as materialized (select part, row::int as entry, x from parts where row < {c.entries}), {rounds}, {assigned(c.rounds)},
+    books as (select sha256(string_agg(array_to_string(list_transform(x, lambda y: y::bigint), ','), ',' order by part, entry)) as codebooks_sha256 from b{c.rounds}),
+    coded as (select vec_id, any_value(label) as label, string_agg(printf('%02x', entry), '' order by part) as code, sum(error) as error from a{c.rounds} group by vec_id)
+    select vec_id, code, error::bigint as error, (sum(error) over (partition by label))::bigint as label_error, codebooks_sha256 from coded, books
+    """
+
+
+def _op13() -> str:
+    a = divergence.Audit()
+    p = f"1 + ({a.unit}::hugeint * (n + {a.prior})) // (total + {a.prior} * v)"
+    return rf"""
+    with rows as (
+        select row_number() over () as row, coalesce(lang, '') as lang, coalesce(source, '') as source,
+               regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') as terms from documents
+    ), occurs as (select row, lang, source, unnest(terms) as term from rows),
+    kept as materialized (select lang, term from occurs group by all having count(distinct row) >= {a.min_documents}),
+    counts as materialized (select lang, source, term, count(*)::hugeint as n from occurs join kept using (lang, term) group by all),
+    groups as materialized (select distinct lang, source from rows),
+    sizes as (select lang, count(*)::hugeint as v from kept group by 1),
+    own as materialized (
+        select g.lang, g.source, k.term, coalesce(c.n, 0) as n, sum(coalesce(c.n, 0)) over (partition by g.lang, g.source) as total, v
+        from groups g join kept k using (lang) join sizes using (lang) left join counts c on c.lang = g.lang and c.source = g.source and c.term = k.term
+    ), p as materialized (select lang, source, term, n, {p} as p from own),
+    q as (select lang, term, {p} as q from (select lang, term, sum(n) as n, sum(sum(n)) over (partition by lang) as total, any_value(v) as v from own group by lang, term)),
+    pairs as (
+        select a.lang, a.source, 'pair' as part, b.source as item, coalesce(value, 0) as value
+        from groups a join groups b on a.lang = b.lang and a.source <> b.source
+        left join (select a.lang, a.source as s, b.source as o, sum(abs(a.p - b.p)) as value from p a join p b on a.lang = b.lang and a.term = b.term group by all) f on f.lang = a.lang and s = a.source and o = b.source
+    ), terms as (select lang, source, 'term' as part, term as item, p - q as value from p join q using (lang, term) where n > 0 and p > q),
+    ranked as (
+        select *, row_number() over (partition by lang, source, part order by value desc, item) as rank from (select * from pairs union all select * from terms)
+    )
+    select lang, source, part, item, value::bigint as value, rank::int as rank from ranked where part = 'pair' or rank <= {a.top}
+    """
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op1_url_reputation": _op1(), "op4_hash_tree_shards": _op4(), "op5_pareto_mix": _OP5, "op6_bit_sliced_topk": _OP6, "op10_adaptive_quality": _op10()}
+    return {"op1_url_reputation": _op1(), "op4_hash_tree_shards": _op4(), "op5_pareto_mix": _OP5, "op6_bit_sliced_topk": _OP6, "op10_adaptive_quality": _op10(), "op12_delta_lloyd": _op12(), "op13_source_divergence": _op13()}
