@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tilewright.llm import bit_slices, divergence, hash_tree, html_main, mixing, quality, simhash, token_counts, token_files, url_filters, vector_codes, word_bpe
+from tilewright.llm import bit_slices, divergence, hash_tree, html_main, mixing, quality, simhash, token_counts, token_files, toxicity, url_filters, vector_codes, word_bpe
 from tilewright.session import spread, table
 
 #: Fixed values of the contract: explicit rules of op1 and the number of shards of op4.
@@ -67,6 +67,10 @@ def op10_adaptive_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(_rows(spark, sf_dir, "documents"))
 
 
+def op11_boosted_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(_rows(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op12_delta_lloyd(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes.code_report(_rows(spark, sf_dir, "embeddings"))
 
