@@ -14,7 +14,6 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tilewright.operators import tree
-from tilewright.session import materialize
 
 
 def max_density(length: Column, probe: int) -> Column:
@@ -61,24 +60,6 @@ def constant_density(regions: DataFrame, probe: int, budget: int) -> DataFrame:
     return totals.select(F.max(F.struct("density", "probes")).alias("b")).where("b is not null").select("b.density", "b.probes")
 
 
-def classify_orgs(totals: DataFrame, budget: int) -> DataFrame:
-    """totals(org, n_lo, n_hi) -> org, class: Max where even the densest tiling stays below the ideal share, Min where the thinnest is above, else Med.
-
-    The ideal is the rest of the budget over the Med organisms; it is found again until the classes stay. Each round is one small
-    aggregate, and an organism leaves Med for good.
-    """
-    rows = totals.select("org", "n_lo", "n_hi").toPandas().sort_values("org")  # a row per organism
-    kind = pd.Series("Med", index=rows.index)
-    while (kind == "Med").any():
-        fixed = rows["n_hi"][kind == "Max"].sum() + rows["n_lo"][kind == "Min"].sum()
-        ideal = (budget - fixed) / (kind == "Med").sum()
-        new = kind.mask((kind == "Med") & (rows["n_hi"] < ideal), "Max").mask((kind == "Med") & (rows["n_lo"] > ideal), "Min")
-        if (new == kind).all():
-            break
-        kind = new
-    return totals.sparkSession.createDataFrame(pd.DataFrame({"org": rows["org"], "class": kind}), "org string, class string")
-
-
 def max_spread(positions: list) -> list:
     """Sorted, distinct positions: ends first, then between two chosen always the first at or past their middle (else the last before the second), breadth first."""
     n = len(positions)
@@ -117,38 +98,7 @@ def priority_order(region_org: DataFrame, regions: DataFrame) -> DataFrame:
     return shared.join(own, "region_id").select("org", "region_id", "n_org", "len", F.row_number().over(order).alias("priority"))
 
 
-def proportional_density(bounded: DataFrame, region_org: DataFrame, classes: DataFrame, totals: DataFrame, budget: int, probe: int) -> DataFrame:
-    """Target densities: lo in Min organisms, hi in Max, else between them by where the organism's ideal lies between its least and most.
-
-    A region of several organisms follows Max before Med before Min; among Med it takes the lowest weight, so no organism overshoots.
-    """
-    fixed = totals.join(classes, "org").agg(
-        F.coalesce(F.sum(F.when(F.col("class") == "Max", F.col("n_hi")).when(F.col("class") == "Min", F.col("n_lo"))), F.lit(0)).alias("fixed"),
-        F.sum((F.col("class") == "Med").cast("int")).alias("med"),
-    ).first()
-    ideal = (budget - fixed.fixed) / fixed.med if fixed.med else 0.0
-    share = F.greatest(F.lit(0.0), F.least(F.lit(1.0), (F.lit(ideal) - F.col("n_lo")) / F.nullif(F.col("n_hi") - F.col("n_lo"), F.lit(0))))
-    weight = totals.join(classes, "org").select("org", F.when(F.col("class") == "Max", 1.0).when(F.col("class") == "Min", 0.0).otherwise(F.coalesce(share, F.lit(0.0))).alias("weight"), F.col("class"))
-    rank = F.struct(F.when(F.col("class") == "Max", 0).when(F.col("class") == "Med", 1).otherwise(2).alias("r"), F.col("weight"))
-    of_region = region_org.join(weight, "org").groupBy("region_id").agg(F.min(rank)["weight"].alias("weight"))
-    density = F.floor(F.col("lo") + F.col("weight") * (F.col("hi") - F.col("lo"))).cast("int")
-    return bounded.join(of_region, "region_id").withColumn("density", density).withColumn("probes", bait_count(F.col("len"), F.col("density"), probe)).drop("weight")
-
-
-def water_level(counts: list[int], budget: int, floor: int = 30) -> int:
-    """The largest level L >= floor with sum(min(count, L)) <= budget, else floor: what trimming the richest first comes to."""
-    if sum(counts) <= budget:
-        return max(counts, default=floor)
-    left = budget
-    ordered = sorted(counts)
-    for i, c in enumerate(ordered):
-        if c * (len(ordered) - i) > left:
-            return max(floor, left // (len(ordered) - i))
-        left -= c
-    return max(ordered, default=floor)
-
-
-def _levels(tiled: DataFrame, region_org: DataFrame) -> DataFrame:
+def needed_baits(tiled: DataFrame, region_org: DataFrame) -> DataFrame:
     """tiled(region_id, probes, priority) -> region_id, probes, need: probes that an organism must be allowed for it to keep the region, by the organism that asks least; 0 for an organism's first."""
     held = region_org.join(tiled.select("region_id", "probes", "priority"), "region_id")
     order = W.partitionBy("org").orderBy("priority", "region_id")
@@ -156,26 +106,6 @@ def _levels(tiled: DataFrame, region_org: DataFrame) -> DataFrame:
     return held.withColumn("need", upto).groupBy("region_id").agg(F.min("need").alias("need"), F.first("probes").alias("probes"))
 
 
-def trim_to_budget(tiled: DataFrame, region_org: DataFrame, budget: int, floor: int = 30) -> DataFrame:
-    """tiled(region_id, probes, priority) -> the regions that stay. The richest organisms give up regions of lowest priority first, down to one level for all:
-    the largest at which all regions together fit the budget, though not below ``floor``. A region stays while any of its organisms keeps it, and an organism's first region always stays.
-    """
-    levels = materialize(_levels(tiled, region_org), "levels")
-    level = optimise_cap(lambda n: levels.where(F.col("need") <= n).agg(F.sum("probes").alias("n")).first().n or 0, floor, int(levels.agg(F.max("need").alias("n")).first().n or floor), budget)
-    return tiled.join(levels.where(F.col("need") <= level).select("region_id"), "region_id", "left_semi")
-
-
-def thin_to_budget(tiled: DataFrame, budget: int, probe: int) -> DataFrame:
-    """tiled(region_id, len, lo, density) -> the same with the largest cap on densities, never below a region's lo, at which all probes fit the budget; the densest regions are thinned first."""
-    def at(cap: int) -> tuple[Column, Column]:
-        density = F.greatest("lo", F.least("density", F.lit(cap)))
-        return density, bait_count(F.col("len"), density, probe)
-
-    cap = optimise_cap(lambda n: tiled.agg(F.sum(at(n)[1]).alias("n")).first().n or 0, 1, probe, budget)
-    density, probes = at(cap)
-    return tiled.withColumn("probes", probes).withColumn("density", density.cast("int"))
-
-
 def cap_regions(region_org: DataFrame, ordered: DataFrame, most: int) -> DataFrame:
     """Pairs (region_id, org) of regions that some organism has among its first ``most``: a region goes only if every organism that shares it can spare it."""
     keep = ordered.where(F.col("priority") <= most).select("region_id").distinct()
@@ -184,33 +114,18 @@ def cap_regions(region_org: DataFrame, ordered: DataFrame, most: int) -> DataFra
 
 def cap_baits(region_org: DataFrame, tiled: DataFrame, most: int) -> DataFrame:
     """tiled(region_id, probes, priority) -> the regions that some organism keeps within ``most`` probes; an organism's first region always stays."""
-    return tiled.join(_levels(tiled, region_org).where(F.col("need") <= most).select("region_id"), "region_id", "left_semi")
-
-
-def tune_regions(region_org: DataFrame, ordered: DataFrame, tiled: DataFrame, budget: int) -> int:
-    """The most regions per organism at which the probes of all regions fit the budget."""
-    need = ordered.groupBy("region_id").agg(F.min("priority").alias("need"))
-    sized = materialize(tiled.select("region_id", "probes").join(need, "region_id"), "sized")
-    most = sized.agg(F.max("need").alias("n")).first().n or 1
-    return optimise_cap(lambda n: sized.where(F.col("need") <= n).agg(F.sum("probes").alias("n")).first().n or 0, 1, int(most), budget)
+    return tiled.join(needed_baits(tiled, region_org).where(F.col("need") <= most).select("region_id"), "region_id", "left_semi")
 
 
 def emit_probes(tiled: DataFrame, probe: int) -> DataFrame:
-    """tiled(region_id, node_id, cluster_id, pos, len, density, seq) -> a row per probe: region_id, node_id, cluster_id, clust_pos, seq. The tiling is centred in its region."""
+    """tiled(region_id, node_id, cluster_id, pos, len, density, seq) -> a row per probe: region_id, node_id, cluster_id, clust_pos, seq. The tiling is centred in its region.
+
+    A column ``begin`` counts bases of seq before a region that was shortened to len.
+    """
     n = F.col("len")
     step, count = spacing(n, F.col("density"), probe), bait_count(n, F.col("density"), probe)
     spare = n - probe - (count - 1) * step
-    placed = tiled.withColumns({"_step": step, "_count": count}).withColumn("_start", F.floor(spare / 2))
+    begin = F.col("begin") if "begin" in tiled.columns else F.lit(0)
+    placed = tiled.withColumns({"_step": step, "_count": count}).withColumn("_start", begin + F.floor(spare / 2))
     each = placed.select("region_id", "node_id", "cluster_id", "pos", "seq", F.explode(F.transform(F.sequence(F.lit(0).cast("long"), F.col("_count") - 1), lambda i: F.col("_start") + i * F.col("_step"))).alias("offset"))
     return each.select("region_id", "node_id", "cluster_id", (F.col("pos") + F.col("offset")).alias("clust_pos"), F.substring(F.col("seq"), (F.col("offset") + 1).cast("int"), F.lit(probe)).alias("seq"))
-
-
-def optimise_cap(totals_at, low: int, high: int, budget: int) -> int:
-    """The largest cap in [low, high] whose total, from the function totals_at, fits the budget; low if none does. Totals must not fall as the cap grows."""
-    while low < high:
-        mid = (low + high + 1) // 2
-        if totals_at(mid) <= budget:
-            low = mid
-        else:
-            high = mid - 1
-    return low

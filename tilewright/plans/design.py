@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tilewright.functions import seq as S
-from tilewright.operators import cluster, homology, identify, select, tree
+from tilewright.operators import cluster, homology, identify, select, tiling, tree
 from tilewright.operators.intervals import collapse_runs, merge_intervals, subtract_intervals
 from tilewright.params import Params
 from tilewright.session import materialize
@@ -105,7 +105,7 @@ def select_probes(regions: DataFrame, nodes: DataFrame, p: Params, budget: int)
     """regions on nodes of a tree -> probes. Regions of an inner node count for every leaf below it; of a node that isn't in the tree, for itself.
 
     regions may have target_rank (lower first). Caps on regions and probes per organism come first; then everything at its densest if that fits, one density for
-    all (constant_tiling), or densities by what each organism lacks, thinned and, if that isn't enough, trimmed to the budget.
+    all (constant_tiling), or densities by what each organism lacks; what is beyond the budget is trimmed. auto_tune finds the caps that aren't given.
     """
     region_org = materialize(select.expand_leaves(regions, nodes), "region-org")
     bounded = materialize(select.with_bounds(regions, p.length, p.density), "bounded")
@@ -116,26 +116,30 @@ def select_probes(regions: DataFrame, nodes: DataFrame, p: Params, budget: int)
     least = materialize(ordered.groupBy("region_id").agg(F.min("priority").alias("priority")), "priorities")
     most = p.max_regions
     if budget and p.auto_tune and not most:
-        most = select.tune_regions(region_org, ordered, bounded.withColumn("probes", F.col("n_lo")), budget)
+        most = tiling.tune_regions(ordered, bounded.withColumn("probes", F.col("n_lo")), budget)
     if most:
         region_org = materialize(select.cap_regions(region_org, ordered, most), "capped")
         bounded = materialize(bounded.join(region_org.select("region_id").distinct(), "region_id", "left_semi"), "bounded")
-    if p.max_baits:
-        held = select.cap_baits(region_org, bounded.withColumn("probes", F.col("n_lo")).join(least, "region_id"), p.max_baits)
+    sized = bounded.withColumn("probes", F.col("n_lo")).join(least, "region_id")
+    most_baits = p.max_baits
+    if budget and p.auto_tune and not most_baits:
+        most_baits = tiling.best_cap(select.needed_baits(sized, region_org), budget, p.min_baits)
+    if most_baits:
+        held = select.cap_baits(region_org, sized, most_baits)
         bounded = materialize(held.drop("probes", "priority"), "bounded")
         region_org = materialize(region_org.join(bounded.select("region_id"), "region_id", "left_semi"), "capped")
     top = bounded.agg(F.sum("n_hi").alias("n")).first().n or 0
     if not budget or top <= budget:
         tiled = bounded.withColumn("density", F.col("hi"))
-    elif p.constant_tiling:
-        one = select.constant_density(bounded, p.length, budget).first()  # one row, or none if not even a single probe a place fits
-        tiled = bounded.withColumn("density", F.least(F.col("hi"), F.lit(one.density if one else 1)))
     else:
-        totals = materialize(select.baits_per_org(bounded, region_org), "totals")
-        classes = select.classify_orgs(totals, budget)
-        tiled = materialize(select.proportional_density(bounded, region_org, classes, totals, budget, p.length).join(least, "region_id"), "tiled")
-        tiled = materialize(select.thin_to_budget(tiled, budget, p.length), "thinned")
-        tiled = select.trim_to_budget(tiled, region_org, budget, p.min_baits)
+        if p.constant_tiling:
+            one = select.constant_density(bounded, p.length, budget).first()  # one row, or none if not even a single probe a place fits
+            density = F.greatest("lo", F.least(F.col("hi"), F.lit(one.density if one else 1)))
+            tiled = materialize(bounded.withColumns({"density": density, "probes": select.bait_count(F.col("len"), density, p.length)}), "tiled")
+        else:
+            _, kinds = tiling.classify(bounded, region_org, budget)
+            tiled = tiling.target_densities(bounded, region_org, kinds, ordered, budget, p.length)
+        tiled = tiling.trim(tiled, region_org, ordered, budget, p.min_baits, p.length)
     return select.emit_probes(tiled, p.length)
 
 

@@ -13,14 +13,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tilewright.functions import cigar, seq as S
-from tilewright.operators import cluster, homology, identify, intervals, select, targets, tree
+from tilewright.operators import cluster, homology, identify, intervals, select, targets, tiling, tree
 from tilewright.operators.kmers import gc_runs, kmer_summary, packed_kmers
 from tilewright.params import Params
 from tilewright.session import materialize, scratch, spread, table
 from tilewright.sources import fasta, gff, newick, outputs, tables
 
 P = Params()
-BUDGET = 3000
 SEED = 14
 
 
@@ -333,28 +332,38 @@ def max_spread_order(spark, sf):
     return select.spread_order(org.join(regions.select("region_id", "pos"), "region_id"), ["org"])
 
 
-def _proportional(spark, sf):
+def _bounded(spark, sf):
     regions, org = _region_table(_regions(spark, sf))
-    bounded = materialize(select.with_bounds(regions, P.length, P.density), "bounded")
-    totals = materialize(select.baits_per_org(bounded, org), "totals")
-    return bounded, org, totals, select.classify_orgs(totals, BUDGET)
+    return materialize(select.with_bounds(regions, P.length, P.density), "bounded"), materialize(org, "region-org")
+
+
+def _budget(bounded):
+    """Half of the densest tiling."""
+    return int(bounded.agg(F.sum("n_hi")).first()[0] or 0) // 2
 
 
 def tiling_class(spark, sf):
-    return _proportional(spark, sf)[3]
+    bounded, org = _bounded(spark, sf)
+    return tiling.classes_table(bounded, org, _budget(bounded))
+
+
+def _targets(spark, sf):
+    bounded, org = _bounded(spark, sf)
+    budget = _budget(bounded)
+    _, kinds = tiling.classify(bounded, org, budget)
+    ordered = materialize(select.priority_order(org, bounded), "ordered")
+    return tiling.target_densities(bounded, org, kinds, ordered, budget, P.length), org, ordered
 
 
 def proportional_tiling(spark, sf):
-    bounded, org, totals, classes = _proportional(spark, sf)
-    return select.proportional_density(bounded, org, classes, totals, BUDGET, P.length).select("region_id", "len", "lo", "hi", "density", "probes")
+    return _targets(spark, sf)[0].select("region_id", "len", "lo", "hi", "density", "probes")
 
 
 def trim_to_budget(spark, sf):
-    bounded, org, totals, classes = _proportional(spark, sf)
-    tiled = select.proportional_density(bounded, org, classes, totals, BUDGET, P.length)
-    ordered = select.priority_order(org, bounded).groupBy("region_id").agg(F.min("priority").alias("priority"))
-    tiled = materialize(select.thin_to_budget(materialize(tiled.join(ordered, "region_id"), "tiled"), BUDGET, P.length), "thinned")
-    return select.trim_to_budget(tiled, org, BUDGET, P.min_baits).select("region_id", "len", "density", "probes")
+    """Balanced densities, cut down to two thirds of their probes."""
+    tiled, org, ordered = _targets(spark, sf)
+    budget = 2 * int(tiled.agg(F.sum("probes")).first()[0] or 0) // 3
+    return tiling.trim(tiled, org, ordered, budget, P.min_baits, P.length).select("region_id", "len", "begin", "density", "probes")
 
 
 def probe_emission(spark, sf):

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from tilewright.functions.seq import STANDARD_CODE
 from tilewright.operators import identify
-from tilewright.plans.queries import BUDGET, P, SEED
+from tilewright.plans.queries import P, SEED
 
 L, K = P.length, P.contiguity
 LOW, HIGH = P.gc_bounds
@@ -97,36 +97,41 @@ ITEM_KMERS = f"{DNA}, {ITEMS}, {windows('iw', 'items', K)}, {windows('dw', 'dna'
 
 
 ROUNDS = 12
+TOTALS = f"""{REGIONS}, {BOUNDS}, totals as materialized (select org, sum(n_lo)::hugeint as n_lo, sum(n_hi)::hugeint as n_hi, count(*) as regions from region_org join tiled using (region_id) group by 1),
+ends as materialized (select region_id, any_value(t.n_lo)::hugeint as n_lo, any_value(t.n_hi)::hugeint as n_hi, min(o.n_hi) as low, max(o.n_lo) as high from region_org join tiled t using (region_id) join totals o using (org) group by 1), wanted as (select (sum(n_hi) // 2)::hugeint as budget from tiled)"""
 
 
 def _classes() -> str:
-    """The fixed point of the organisms' classes, unrolled: each round takes organisms out of Med, and these queries' come to rest in fewer."""
-    out = f"{REGIONS}, {BOUNDS}, totals as (select org, sum(n_lo)::bigint as n_lo, sum(n_hi)::bigint as n_hi from region_org join tiled using (region_id) group by 1), r0 as (select *, 'Med' as class from totals)"
+    """Rounds of ideal = med / n, unrolled: classes are found anew by each ideal, a region counts once and Max before Min; a round that settles is carried on."""
+    out = f"{TOTALS}, s0 as (select (select budget from wanted) as med, count(*)::hugeint as n, []::double[] as seen, false as stop from totals)"
     for k in range(ROUNDS):
-        share = f"(select ({BUDGET} - coalesce(sum(case class when 'Max' then n_hi when 'Min' then n_lo end), 0)) / nullif(count(*) filter (class = 'Med'), 0)::double as ideal from r{k})"
-        out += f", r{k + 1} as (select org, n_lo, n_hi, case when class <> 'Med' then class when n_hi < ideal then 'Max' when n_lo > ideal then 'Min' else 'Med' end as class from r{k}, {share})"
-    return out
+        out += f""", t{k} as (select *, med::double / n as ideal, (select budget from wanted) - coalesce((select sum(case when low * n < med then n_hi when high * n > med then n_lo end) from ends), 0) as med2,
+            (select count(*) from totals where n_hi * n >= med and n_lo * n <= med)::hugeint as n2 from s{k}),
+        s{k + 1} as (select case when halt then med else med2 end as med, case when halt then n else n2 end as n, list_append(seen, ideal) as seen, halt as stop
+            from (select *, stop or n2 = 0 or n2 = (select count(*) from totals) or list_contains(seen, ideal) as halt from t{k}))"""
+    return f"{out}, classes as materialized (select org, regions, case when n_hi * n < med then 'Max' when n_lo * n > med then 'Min' else 'Med' end as class from totals, s{ROUNDS})"
 
 
 def _dense() -> str:
-    last = f"r{ROUNDS}"
-    return f"""{_classes()}, fixed as (select ({BUDGET} - coalesce(sum(case class when 'Max' then n_hi when 'Min' then n_lo end), 0)) / nullif(count(*) filter (class = 'Med'), 0)::double as ideal from {last}),
-    weights as (select org, class, case class when 'Max' then 1.0 when 'Min' then 0.0 else coalesce(greatest(0.0, least(1.0, (ideal - n_lo) / nullif(n_hi - n_lo, 0)::double)), 0.0) end as weight from {last}, fixed),
-    chosen as (select region_id, arg_min(weight, (case class when 'Max' then 0 when 'Med' then 1 else 2 end, weight)) as weight from region_org join weights using (org) group by 1),
-    dense as (select t.*, floor(lo + weight * (hi - lo))::int as density from tiled t join chosen using (region_id)), proportional as (select *, {baits('density')} as probes from dense)"""
-
-
-def _trimmed() -> str:
-    return f"""{_dense()}, caps as (select cap, sum({baits('greatest(lo, least(density, cap))')}) as total from dense, range(1, {L + 1}) t(cap) group by cap),
-    thin as (select greatest(coalesce(max(cap) filter (total <= {BUDGET}), 1), 1) as cap from caps),
-    thinned as (select * exclude (density), greatest(lo, least(density, cap))::int as density from dense, thin), sized as (select *, {baits('density')} as probes from thinned),
+    """Regions one by one, in the order of turns: lacks and gives hold every organism's numbers, times the number of Med organisms."""
+    pick = "list_reduce(list_transform(orgs, lambda o: {'d': greatest(lacks[o], 0), 's': greatest(lacks[o], 0) + gives[o]}), lambda a, b: case when b.d * a.s > a.d * b.s then b else a end)"
+    dense = f"case when a + b = b * (-((-len - 1) // {L})) then 1 when len < {2 * L} then (a * (len - {L})) // (b * (len - {L} + 1)) + 1 else (a * {L - 1}) // (b * (len - {L} + 1)) + 1 end::int"
+    own = "list_transform(range(1, len(lacks) + 1), lambda o: case when list_contains(orgs, o) then {0}[o] - {1} * n else {0}[o] end)"
+    return f"""{_classes().replace('with dna', 'with recursive dna', 1)}, numbered as (select *, row_number() over (order by regions, org) as turn from classes),
     shared as (select *, count(*) over (partition by region_id) as n_org from region_org), ranked as (select org, region_id, row_number() over (partition by org order by n_org, len, region_id) as k from shared join regions using (region_id)),
-    priorities as (select region_id, min(k) as priority from ranked group by 1),
-    held as (select org, region_id, probes, row_number() over w as nth, sum(probes) over (w rows unbounded preceding) as upto from region_org join sized using (region_id) join priorities using (region_id) window w as (partition by org order by priority, region_id)),
-    need as (select region_id, min(case when nth = 1 then 0 else upto end) as need, any_value(probes) as probes from held group by 1),
-    steps as (select need, sum(sum(probes)) over (order by need) as total from need group by need),
-    level as (select greatest({P.min_baits}, coalesce((select min(need) - 1 from steps where total > {BUDGET}), (select max(need) from steps))) as level)
-    select region_id, len, density, probes from sized join need using (region_id, probes), level where need <= level"""
+    seen as (select region_id, bool_or(class = 'Max') as most, min((turn, -k)) filter (class = 'Med') as place, list(turn order by turn) as orgs from ranked join numbered using (org) group by 1),
+    fixed as materialized (select region_id, case when most then hi else lo end as density, case when most then n_hi else n_lo end as probes from seen join tiled using (region_id) where most or place is null),
+    opened as materialized (select region_id, len, n_lo::hugeint as n_lo, n_hi::hugeint as n_hi, orgs, row_number() over (order by place) as i from seen join tiled using (region_id) where not most and place is not null),
+    med as materialized (select (select budget from wanted) - coalesce((select sum(probes) from fixed), 0) as rest, (select count(*) from classes where class = 'Med')::hugeint as n),
+    had as (select turn, rest - n * coalesce((select sum(probes) from region_org join fixed using (region_id) where org = numbered.org), 0) as lack,
+        n * coalesce((select sum(n_hi) from region_org join opened using (region_id) where org = numbered.org), 0) as give from numbered, med),
+    run(i, lacks, gives, region_id, density) as (
+        select 0::bigint, (select list(lack::hugeint order by turn) from had), (select list(give::hugeint order by turn) from had), null::varchar, null::int
+        union all
+        select i, {own.format('lacks', 'probes')}, {own.format('gives', 'n_hi')}, region_id, density from (select *, {baits('density')}::hugeint as probes from (select *, {dense} as density from (
+            select *, (best.s - best.d) * n_lo + best.d * n_hi as a, best.s as b from (select o.*, lacks, gives, n, {pick} as best from run join opened o on o.i = run.i + 1, med))))
+    ), chosen as (select region_id, density::int as density from fixed union all select region_id, density from run where i > 0),
+    proportional as (select t.*, density, {baits('density')} as probes from tiled t join chosen using (region_id))"""
 
 
 def oracle_sql() -> dict[str, str]:
@@ -198,9 +203,8 @@ def oracle_sql() -> dict[str, str]:
         "leaf_expansion": f"with recursive {LCA}, placed as (select cluster_id as region_id, case when cluster_id % 11 = 0 then 'nowhere' else node_id end as node_id from assigned), leaf as (select ancestor, u.node_id as leaf from up u join nodes n on n.node_id = u.node_id where is_leaf) select region_id, coalesce(leaf, node_id) as org from placed left join leaf on ancestor = node_id",
         "stage_counts": f"{REGIONS}, j as (select * from region_org join regions using (region_id)) select stage, count(*) as regions, count(distinct org) as taxa from j, (values ('all', 0), ('long', {2 * L}), ('longer', {10 * L})) t(stage, least) where len >= least group by stage",
         "organism_summary": f"{REGIONS}, {BOUNDS} select org, sum(n_lo)::bigint as probes, 'Min' as class from region_org join tiled using (region_id) group by 1",
-        "tiling_class": f"{_classes()} select org, class from r{ROUNDS}",
+        "tiling_class": f"{_classes()} select org, class from classes",
         "proportional_tiling": f"{_dense()} select region_id, len, lo, hi, density, probes from proportional",
-        "trim_to_budget": _trimmed(),
         "tiling_bounds": f"{REGIONS}, {BOUNDS} select region_id, len, lo, hi, n_lo, n_hi from tiled",
         "bait_counts": f"{REGIONS}, {BOUNDS} select org, sum(n_lo)::bigint as n_lo, sum(n_hi)::bigint as n_hi, count(*) as regions from region_org join tiled using (region_id) group by 1",
         "constant_tiling": f"{REGIONS}, budget as (select sum({baits('4')}) as most from regions), each as (select len, least(d, {HI}) as own, d from regions, range(1, {L + 1}) t(d)), totals as (select d, sum({baits('own')})::bigint as probes from each group by d) select d::int as density, probes from totals where probes <= (select most from budget) order by d desc limit 1",
