@@ -751,6 +751,65 @@ def test_templates_of_a_section_go(spark):
     assert all("Own text number" in x for x in got.values()) and all("Short note" in got[2000 + i] for i in range(6))
 
 
+def test_mirrors_and_articles_stay(spark):
+    """One article under six addresses, also beside a line of its own; a list that the articles of a host share."""
+    story = "<div><p>A long story that is told here.</p><p>It has a second part.</p></div>"
+    rows = [(i, f"http://mirror.com/{i}", f"<body>{story}</body>") for i in range(6)]
+    rows += [(10 + i, f"http://dated.com/{i}", f"<body>{story}<div>Seen on day {i}</div></body>") for i in range(6)]
+    rows += [(20 + i, f"http://cook.com/{i}", f"<body><main><article><h1>Dish number {i}</h1><ul><li>salt</li><li>water</li></ul><p>Boil it for {i} minutes and serve.</p></article></main></body>") for i in range(8)]
+    got = {r.page_id: r.text for r in html_main.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    text = "A long story that is told here.\nIt has a second part."
+    assert [got[i] for i in range(6)] == [text] * 6 and [got[10 + i] for i in range(6)] == [f"{text}\nSeen on day {i}" for i in range(6)]
+    assert all(got[20 + i] == f"Dish number {i}\nsalt\nwater\nBoil it for {i} minutes and serve." for i in range(8))
+
+
+def generated_site(rng, host, n):
+    """Pages of unmarked boxes without article or main: menus and legal lines of the site, boxes of its sections, rotating adverts, its own stories, some of them mirrored or in two boxes."""
+    word = lambda k: " ".join(rng.choice(["stone", "river", "cloud", "paper", "light", "house", "green", "seven"]) + str(rng.randrange(50)) for _ in range(k))
+    menu, legal = word(6), word(9)
+    sections, adverts, mirrored = [word(5) for _ in range(4)], [word(rng.randrange(3, 8)) for _ in range(6)], [word(40) for _ in range(2)]
+    pages = []
+    for i in range(n):
+        story = [rng.choice(mirrored)] if rng.random() < 0.2 else [word(rng.randrange(3, 60)) for _ in range(rng.randrange(1, 3))]
+        boxes = [menu, rng.choice(sections), *story]
+        if rng.random() < 0.5:
+            boxes.insert(rng.randrange(1, 4), rng.choice(adverts))
+        if rng.random() < 0.9:
+            boxes.append(legal)
+        pages.append((host, boxes))
+    return pages
+
+
+def slow_templates(pages, t):
+    """(host, boxes) pages -> the boxes that are templates of each host, by comparing every box with every page."""
+    out = set()
+    for host in {h for h, _ in pages}:
+        own = [boxes for h, boxes in pages if h == host]
+        for box in {b for boxes in own for b in boxes}:
+            texts = ["\n".join(boxes) for boxes in own if box in boxes]
+            around, apart = ({x for x in texts if k * len(box) < m * len(x)} for k, m in ((3, 2), (2, 1)))
+            often = len(texts) >= t.min_share * len(own)
+            section = len(apart) >= t.min_pages and len(apart) >= min(t.section_share * len(own), t.enough)
+            if len(texts) >= t.min_pages and len(around) >= t.min_pages and (often or section):
+                out.add((host, box))
+    return out
+
+
+def test_decisions_on_sites_without_marks(spark, tmp_path):
+    rng = random.Random(21)
+    pages = [p for host, n in (("four.com", 4), ("five.com", 5), ("sixty.com", 60), ("large.com", 1000)) for p in generated_site(rng, host, n)]
+    rows = [(i, f"http://{host}/{i}", "<html><body>" + "".join(f"<div>{b}</div>" for b in boxes) + "</body></html>") for i, (host, boxes) in enumerate(pages)]
+    spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5).write.parquet(f"{tmp_path}/pages.parquet")
+    cut = slow_templates(pages, html_main.Template())
+    got = {r.page_id: r.text for r in queries.op9_site_templates(spark, str(tmp_path)).collect()}
+    changed = Counter()
+    for i, (host, boxes) in enumerate(pages):
+        left = [b for b in boxes if (host, b) not in cut] or boxes
+        assert got[i] == "\n".join(left), (host, boxes)
+        changed[host] += left != boxes
+    assert changed["four.com"] == 0 and changed["five.com"] and changed["sixty.com"] > 50 and changed["large.com"] > 950
+
+
 def test_pages_hold_their_documents(spark, sf):
     texts = {r.doc_id: r.text for r in table(spark, sf, "documents").collect()}
     rows = queries.op9_site_templates(spark, sf).collect()

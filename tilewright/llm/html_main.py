@@ -6,11 +6,11 @@ host with few pages is clean too; so are containers with a role of that kind, or
 headers, footers, sidebars, notices, adverts and reader comments (MARKS). An article, its running text and inline elements are never dropped for their class.
 
 Every element's subtree is hashed from its tag, its text and its children's hashes, once, when it closes. Spark counts, per host, the pages on which each container's hash
-occurs (a page once). Subtrees found on at least ``min_pages`` pages and ``min_share`` of a host's pages are its template and are cut
-from its pages. So are those of a section or a rotating advert: on at least ``min_pages`` pages of different main text, each more than twice as long
-as the subtree, and on ``section_share`` of the host's pages or ``enough`` pages however many it has. Copies of an article count once there. Running text inside an article or main element is
-no template: a paragraph that many pages quote is text. What is left of main or article elements, or else of the
-body, is the main text: a line per block.
+occurs (a page once), and the different main texts of these pages of which the subtree is less than two thirds, and less than half. A subtree that only occurs in one larger subtree stands or falls with that. Only one with ``min_pages`` of the former can be a template, so the
+article that a host serves under several addresses is none. It is one, and is cut from the host's pages, if it is on ``min_share`` of them; or, as that of a section or a rotating
+advert, if it has ``min_pages`` of the latter, and these are ``section_share`` of the host's pages or ``enough`` however many it has. Inside an article or main element running text, lists and tables are
+no template (a paragraph that many pages quote, ingredients that recipes share), while boxes may be. What is left of main or article elements, or else of the
+body, is the main text: a line per block. A page of which templates would leave nothing keeps what it has.
 
 The template table goes to workers as a broadcast only if it is counted to be at most ``BROADCAST`` rows; beyond,
 each host's templates are joined to its pages by shuffle, where adaptive execution splits a hot host.
@@ -40,6 +40,8 @@ from tilewright.session import materialize
 #: Template rows (host and hash, some 60 bytes each) that may be broadcast.
 BROADCAST = 100_000
 COUNTED = 200_000
+#: In the place of a parent's hash: none.
+OUTSIDE = -(1 << 63)
 
 # HTML elements by their role.
 BLOCKS = set("address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol optgroup option p pre search section select summary table tbody td tfoot th thead title tr ul".split())
@@ -47,6 +49,7 @@ VOID = set("area base br col embed hr img input link meta param source track wbr
 RAW = set("script style textarea title noframes noembed iframe xmp".split())
 DROPPED = set("head script style noscript template textarea title nav footer aside form button select option input iframe object svg canvas menu dialog search noframes noembed audio video map".split())
 CONTAINERS = set("div section ul ol dl table aside figure header details center fieldset".split())
+LISTS = set("ul ol dl table figure".split())
 RUNNING = set("p li blockquote pre h1 h2 h3 h4 h5 h6".split())
 CLOSES_P = BLOCKS - {"body", "head", "html", "option", "optgroup", "legend", "caption", "title", "td", "th", "tr", "tbody", "thead", "tfoot"}
 CLOSES = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"}), "option": ({"option"}, {"select"})}
@@ -72,7 +75,7 @@ EDGE = None
 
 @dataclass(frozen=True)
 class Template:
-    """When a subtree is a host's template: on so many of its pages and such a share of them; for a small part of different pages a smaller share, or enough pages, will do."""
+    """When a subtree is a host's template: part of so many different texts, and on such a share of the host's pages; for a small part a smaller share of texts, or enough of them, will do."""
 
     min_pages: int = 5
     min_share: float = 0.5
@@ -130,7 +133,7 @@ class Page:
                 if stack:
                     stack[-1][5].append(f"\x1e{key:x}")
                     stack[-1][6] += size
-                if not inside and (tag in CONTAINERS or here and tag in BLOCKS or tag in RUNNING and not in_main):
+                if not inside and (tag in CONTAINERS and not (in_main and tag in LISTS) or here and tag in BLOCKS or tag in RUNNING and not in_main):
                     self.parts.append((key, size, start, end))
 
         def depth(of: set[str], until: set[str] = frozenset()) -> int:
@@ -186,8 +189,20 @@ class Page:
             stack.append(["main" if main and tag != "article" else tag, start, here, bool(above and (above[2] or above[3])), main or in_main, [], 0])
         close(0)
 
+    def parents(self) -> Iterator[tuple[int, int | None]]:
+        """Each part's hash and that of the least part around it."""
+        around: list[tuple[int, int, int]] = []
+        for key, _, start, end in reversed(self.parts):
+            while around and not (around[-1][1] <= start and end <= around[-1][2]):
+                around.pop()
+            yield key, around[-1][0] if around else None
+            around.append((key, start, end))
+
     def text(self, templates: frozenset[int] | set[int] = frozenset()) -> str:
-        """Blocks of the main text, one a line. templates: hashes to cut, for a page that is hashed."""
+        """Blocks of the main text, one a line. templates: hashes to cut, for a page that is hashed, unless nothing would be left."""
+        return self._shown(templates) or (self._shown(frozenset()) if templates else "")
+
+    def _shown(self, templates: frozenset[int] | set[int]) -> str:
         cut = self.dropped + [(start, end) for key, _, start, end in self.parts if key in templates]
         keep = [(s, e) for tag, s, e in self.main if tag == "main"] or [(s, e) for _, s, e in self.main] or [(0, len(self.events))]
         shown = bytearray(len(self.events))
@@ -206,33 +221,42 @@ class Page:
 
 
 def subtree_counts(pages: DataFrame) -> DataFrame:
-    """pages(host, html) -> host, hash, n, apart: pages of the host with the subtree, and different main texts more than twice as long as it; hash null: all its pages."""
+    """pages(host, html) -> host, hash, n, around, apart, within: pages of the host with the subtree, different main texts of which it is less than two thirds and less than half, and whether it only occurs in one larger subtree; hash null: all its pages."""
     ship(pages.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: Counter = Counter()
+        inside: dict[tuple, tuple] = {}
 
         def hand_on() -> pa.RecordBatch:
             keys = list(seen)
-            out = [pa.array([k[0] for k in keys], pa.string()), *(pa.array([k[i] for k in keys], pa.int64()) for i in (1, 2)), pa.array([seen[k] for k in keys], pa.int64())]
+            ends = [inside.get(k[:2], (None, None)) for k in keys]
+            out = [pa.array([k[0] for k in keys], pa.string()), *(pa.array([k[i] for k in keys], pa.int64()) for i in (1, 2)), pa.array([k[3] for k in keys], pa.bool_()), pa.array([seen[k] for k in keys], pa.int64()), *(pa.array([e[i] for e in ends], pa.int64()) for i in (0, 1))]
             seen.clear()
-            return pa.RecordBatch.from_arrays(out, ["host", "hash", "body", "n"])
+            inside.clear()
+            return pa.RecordBatch.from_arrays(out, ["host", "hash", "body", "small", "n", "low", "high"])
 
         for batch in groups(batches, "html"):
             for host, html in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                seen[host, None, None] += 1
+                seen[host, None, None, False] += 1
                 page = Page(html or "", hashed=True)
                 text = page.text()
                 body = xxhash.xxh64_intdigest(text) - (1 << 63)
                 for key, size in {key: size for key, size, _, _ in page.parts}.items():
-                    seen[host, key, body if 2 * size < len(text) else None] += 1
+                    seen[host, key, body if 3 * size < 2 * len(text) else None, 2 * size < len(text)] += 1
+                for key, parent in page.parents():
+                    parent = OUTSIDE if parent is None else parent
+                    low, high = inside.get((host, key), (parent, parent))
+                    inside[host, key] = min(low, parent), max(high, parent)
                 if len(seen) > COUNTED:
                     yield hand_on()
         yield hand_on()
 
-    rows = pages.select("host", "html").mapInArrow(run, "host string, hash long, body long, n long")
-    once = rows.groupBy("host", "hash", "body").agg(F.sum("n").alias("n"))
-    return once.groupBy("host", "hash").agg(F.sum("n").alias("n"), F.count("body").alias("apart"))
+    rows = pages.select("host", "html").mapInArrow(run, "host string, hash long, body long, small boolean, n long, low long, high long")
+    parents = F.min("low").alias("low"), F.max("high").alias("high")
+    once = rows.groupBy("host", "hash", "body", "small").agg(F.sum("n").alias("n"), *parents)
+    counted = once.groupBy("host", "hash").agg(F.sum("n").alias("n"), F.count("body").alias("around"), F.count(F.when(F.col("small"), F.col("body"))).alias("apart"), *parents)
+    return counted.withColumn("within", F.coalesce((F.col("low") == F.col("high")) & (F.col("low") != OUTSIDE), F.lit(False))).drop("low", "high")
 
 
 def site_templates(pages: DataFrame, t: Template = Template()) -> DataFrame:
@@ -241,7 +265,7 @@ def site_templates(pages: DataFrame, t: Template = Template()) -> DataFrame:
     of_host = counts.where("hash is null").select("host", F.col("n").alias("pages"))
     often = F.col("n") >= t.min_share * F.col("pages")
     section = (F.col("apart") >= t.min_pages) & (F.col("apart") >= F.least(t.section_share * F.col("pages"), F.lit(float(t.enough))))
-    return counts.where("hash is not null").join(of_host, "host").where(often | section).select("host", "hash")
+    return counts.where(F.col("hash").isNotNull() & (F.col("around") >= t.min_pages) & ~F.col("within")).join(of_host, "host").where(often | section).select("host", "hash")
 
 
 def main_text(pages: DataFrame, t: Template = Template(), broadcast_rows: int = BROADCAST) -> DataFrame:
