@@ -884,6 +884,25 @@ def test_adaptive_rules_fire(spark):
     assert all(kept[2000 + i] == bool(i % 3) for i in range(30))
 
 
+def test_limits_come_from_the_sketches(spark):
+    """Sources in which most texts have no symbols at all get limits by what the others have; a lone text of junk and a third of junk don't make room for themselves."""
+    word = lambda i, j: "abcdefghijklmnop"[(i * 7 + j * 3) % 16] * 2 + "qrstuvwxyz"[(i + j * j) % 10] * 2 + f"{i * 100 + j:06d}"
+    text = lambda i, marks: " ".join(word(i, j) + ("#" if j < marks else "") for j in range(50))
+    rows = [(i, text(i, 0), "en", "plain") for i in range(600)]
+    rows += [(1000 + i, text(i, 8 if i % 4 == 0 else 0), "en", "code") for i in range(200)]
+    rows += [(2000 + i, text(i, 40 if i % 3 == 0 else 0), "en", "third") for i in range(90)]
+    rows += [(3000, text(1, 45), "en", "alone"), (3001, text(2, 8), "en", "plain")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    r = quality.Rules()
+    counted = materialize(quality.with_counts(docs, keep=["doc_id", "lang", "source"]), "counted")
+    most = {x.source: x._symbols_most for x in quality.thresholds(quality.sketch(counted, r), r).collect()}
+    assert r.slack["symbols"] // 2 < most["plain"] < most["code"] - 30 and most["code"] < most["third"] < 800 and most["alone"] < 500  # junk has 800 and more
+    kept = {x.doc_id: x.kept for x in quality.quality_report(docs, r).collect()}
+    assert not kept[3000] and not kept[3001]
+    assert all(kept[1000 + i] for i in range(200))
+    assert all(kept[2000 + i] == (i % 3 > 0) for i in range(90))
+
+
 def test_sketches_add_up(spark, docs):
     r = quality.Rules()
     counted = materialize(quality.with_counts(docs, keep=["doc_id", "lang", "source"]), "counted")

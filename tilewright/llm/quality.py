@@ -3,14 +3,16 @@
 Fixed base rules reject texts that are short or repeat themselves. The others are judged against their own language
 and source: for each such group and feature a sketch counts values in buckets of 6 significant bits (relative error
 below 1/32). Sketches are integer counts, so they merge by addition in any order to the same result; here they are partial
-aggregates that Spark merges. A text is kept if each feature stays within the quartiles by ``reach`` times their
-distance plus ``slack``, which keeps groups without any spread from rejecting the first trace. So that a source of
-which over a quarter is junk doesn't set its own rule, no limit goes beyond what 95% of the language's texts stay within
-(all its sources' sketches merged), plus the slack. Thresholds, a row per group, are written out and joined back.
+aggregates that Spark merges. A group's fence is its quartiles widened by ``reach`` times their distance, though, so that a source of
+which over a quarter is junk doesn't set its own rule, no further than what 95% of the language's texts stay within (all its sources' sketches
+merged). Most texts have none of some features, and both quartiles are 0; what is usual beyond the fence then tells sources apart: a limit is the
+fence plus half of ``slack`` plus twice the group's mean excess over the fence, a text's excess counting up to the
+slack and the language's mean as that of ``prior`` more texts. So where a trait is common more of it passes, and a third of
+junk adds less than its own distance. Thresholds, a row per group, are written out and joined back.
 
 Defined results: null text is empty; null language or source is a group of its own; texts of fewer than 10 words fail; a
 group whose texts all failed has no thresholds and needs none; repeated rows count and are judged each; an
-empty empty table gives an empty result; extra columns pass by, whatever their names.
+empty table gives an empty result; extra columns pass by, whatever their names.
 """
 
 from __future__ import annotations
@@ -39,14 +41,15 @@ LONG = 2000
 
 @dataclass(frozen=True)
 class Rules:
-    """min_words and max_repeat (percent of words) are the base rules; slack: of each feature, in its unit, small enough for each rule to fire below the base rules; tail: percent of a language beyond which no limit goes."""
+    """min_words and max_repeat (percent of words) are the base rules; slack: of each feature, in its unit; tail: percent of a language beyond which no fence goes; prior: texts' worth of the language in a group's mean excess."""
 
     min_words: int = 10
     max_repeat: int = 20
     window: int = 5
     reach: int = 4
     tail: int = 5
-    slack: dict[str, int] = field(default_factory=lambda: {"symbols": 100, "dup_lines": 50, "repeats": 150, "word_size": 200})
+    prior: int = 20
+    slack: dict[str, int] = field(default_factory=lambda: {"symbols": 200, "dup_lines": 100, "repeats": 300, "word_size": 300})
 
 
 #: Feature -> numerator and scale over n_words; word_size is limited on both sides, the others above.
@@ -159,8 +162,20 @@ def thresholds(sketches: DataFrame, r: Rules) -> DataFrame:
     tails = quantiles(merged, ["lang", "feature"], {"low": r.tail, "high": 100 - r.tail}).withColumnsRenamed({"lang": "_lang", "feature": "_feature"})
     both = own.join(tails, F.col("lang").eqNullSafe(F.col("_lang")) & (F.col("feature") == F.col("_feature")))
     wide = F.lit(r.reach) * (F.col("q3") - F.col("q1"))
-    least, most = F.greatest(F.col("q1") - wide, F.col("low")) - slack, F.least(F.col("q3") + wide, F.col("high")) + slack
-    limits = both.select("lang", "source", "feature", least.alias("least"), most.alias("most"))
+    fences = both.select(F.col("lang").alias("_lang"), F.col("source").alias("_source"), F.col("feature").alias("_feature"), F.greatest(F.col("q1") - wide, F.col("low")).alias("below"), F.least(F.col("q3") + wide, F.col("high")).alias("above"), slack.alias("slack"))
+    same = F.col("lang").eqNullSafe(F.col("_lang")) & F.col("source").eqNullSafe(F.col("_source")) & (F.col("feature") == F.col("_feature"))
+    over = F.col("n") * F.greatest(F.lit(0), F.least(F.col("slack"), F.col("bucket") - F.col("above")))
+    under = F.col("n") * F.greatest(F.lit(0), F.least(F.col("slack"), F.col("below") - F.col("bucket")))
+    keys = ["lang", "source", "feature"]
+    excess = sketches.join(fences, same).groupBy(*keys).agg(F.first("below").alias("below"), F.first("above").alias("above"), F.first("slack").alias("slack"), F.sum("n").alias("n"), F.sum(over).alias("over"), F.sum(under).alias("under"))
+    whole = W.partitionBy("lang", "feature")  # a row per source
+
+    def more(side: str) -> Column:
+        """Half the slack and twice the mean excess, in whole numbers."""
+        n, all_n, all_over = F.col("n"), F.sum("n").over(whole), F.sum(side).over(whole)
+        return F.call_function("div", F.col("slack"), F.lit(2)) + F.call_function("div", 2 * (F.col(side) * all_n + r.prior * all_over), (n + r.prior) * all_n)
+
+    limits = excess.select(*keys, (F.col("below") - more("under")).alias("least"), (F.col("above") + more("over")).alias("most"))
     pick = lambda f, c: F.max(F.when(F.col("feature") == f, F.col(c))).alias(f"_{f}_{c}")
     return limits.groupBy("lang", "source").agg(*(pick(f, "most") for f in FEATURES), pick("word_size", "least"))
 

@@ -175,9 +175,17 @@ def _op10() -> str:
     ), tails as (
         select lang, feature, min(bucket) filter (100 * upto >= {r.tail} * whole) as low, min(bucket) filter (100 * upto >= {100 - r.tail} * whole) as high
         from pooled group by all
-    ), limits as (
-        select q.lang, source, q.feature, greatest(q1 - {r.reach} * (q3 - q1), low) - slack as least, least(q3 + {r.reach} * (q3 - q1), high) + slack as most
+    ), fences as (
+        select q.lang, source, q.feature, slack, greatest(q1 - {r.reach} * (q3 - q1), low) as below, least(q3 + {r.reach} * (q3 - q1), high) as above
         from quartiles q join tails t on q.lang is not distinct from t.lang and q.feature = t.feature
+    ), excess as (
+        select f.lang, f.source, f.feature, any_value(below) as below, any_value(above) as above, any_value(f.slack) as slack, sum(n) as n,
+               sum(n * greatest(0, least(f.slack, bucket - above))) as more, sum(n * greatest(0, least(f.slack, below - bucket))) as less
+        from sketch s join fences f on s.lang is not distinct from f.lang and s.source is not distinct from f.source and s.feature = f.feature group by all
+    ), limits as (
+        select lang, source, feature, below - slack // 2 - (2 * (less * sum(n) over w + {r.prior} * sum(less) over w)) // ((n + {r.prior}) * sum(n) over w) as least,
+               above + slack // 2 + (2 * (more * sum(n) over w + {r.prior} * sum(more) over w)) // ((n + {r.prior}) * sum(n) over w) as most
+        from excess window w as (partition by lang, feature)
     )
     select doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept from (
         select b.rid, doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
