@@ -519,6 +519,14 @@ def test_targets_fill_up_by_weight(spark):
     assert got == pytest.approx(want)
 
 
+def test_layout_does_not_choose_texts(spark):
+    """Different texts of one id and size, some of them twice: the mix takes the same ones whatever the partitions."""
+    rows = [(7 if i % 3 else None, f"a{i % 350} b c d", "en", f"s{i % 2}", {"k": i}) for i in range(400)] + [(1000 + i, "x y z", "en", "s0", None) for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, extra map<string, int>")
+    mixes = {tuple(sorted(Counter((r.doc_id or 0, r.text, r.source) for r in mixing.repeat_documents(df.repartition(n) if n else df.orderBy(F.desc("text")).coalesce(2), budget=0.6).collect()).items())) for n in (1, 3, 7, 0)}
+    assert len(mixes) == 1 and 150 < sum(n for _, n in mixes.pop()) < 400
+
+
 def test_repeat_documents(odd):
     mixed = mixing.repeat_documents(odd)
     assert mixed.columns == odd.columns

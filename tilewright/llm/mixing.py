@@ -17,7 +17,7 @@ the shared folder and broadcast by Spark only below its threshold.
 
 Defined results: null texts have size 0; the null source is a source, last in order; a source without words has target
 0; documents without words are not taken; rows equal in (source, doc_id, size), also null ids, are numbered and drawn for each, so reruns agree in what is taken of them
-(which of several texts under one id and size is taken follows the layout of the input); an empty table gives
+(where the rows themselves are returned, they are numbered in the order of a hash of their contents, so reruns agree on which of several texts under one id and size, too); an empty table gives
 an empty result; extra columns pass by, whatever their names.
 """
 
@@ -83,17 +83,29 @@ def repeated_keys(sized: DataFrame) -> DataFrame | None:
     return None if peers.isEmpty() else peers
 
 
-def numbered(rows: DataFrame, peers: DataFrame | None, tie: Column | None = None) -> DataFrame:
-    """Adds nth: 0, 1, ... among rows with equal KEYS. No task gathers a key: each numbers its own rows, and the counts of the tasks are added up."""
+def numbered(rows: DataFrame, peers: DataFrame | None) -> DataFrame:
+    """Adds nth: 0, 1, ... among rows with equal KEYS. No task gathers a key: each numbers its own rows, and the counts of the tasks are added up.
+
+    With a column ``print``, a hash of the row's contents, rows are numbered in its order, so the layout decides between rows of equal contents only.
+    """
     zero = F.lit(0).cast("long")
     if peers is None:
         return rows.withColumn("nth", zero)
+    keys = (*KEYS, "print") if "print" in rows.columns else KEYS
     single = rows.join(peers, _same(rows, peers), "left_anti").withColumn("nth", zero)
     held = materialize(rows.join(peers, _same(rows, peers), "left_semi").withColumn("_task", F.spark_partition_id()), "repeated-rows")
-    of_task = held.groupBy(*KEYS, "_task").agg(F.count("*").alias("n"))
-    before = of_task.select(*KEYS, "_task", (F.sum("n").over(W.partitionBy(*KEYS).orderBy("_task")) - F.col("n")).alias("_before"))
-    own = held.withColumn("_own", F.row_number().over(W.partitionBy(*KEYS, "_task").orderBy(zero if tie is None else tie)) - 1)
-    joined = own.join(before, _same(own, before, (*KEYS, "_task")))
+    of_task = materialize(held.groupBy(*keys, "_task").agg(F.count("*").alias("n")), "repeated-counts")
+    before = of_task.select(*keys, "_task", (F.sum("n").over(W.partitionBy(*keys).orderBy("_task")) - F.col("n")).alias("_before"))
+    if "print" in keys:  # contents are counted in 256 lots of a key, then within each lot
+        lot = F.shiftright("print", 56).alias("_lot")
+        of_print = of_task.groupBy(*KEYS, lot, "print").agg(F.sum("n").alias("n"))
+        of_lot = of_print.groupBy(*KEYS, "_lot").agg(F.sum("n").alias("n"))
+        lots = of_lot.select(*KEYS, "_lot", (F.sum("n").over(W.partitionBy(*KEYS).orderBy("_lot")) - F.col("n")).alias("_lots"))
+        inside = of_print.select(*keys, "_lot", (F.sum("n").over(W.partitionBy(*KEYS, "_lot").orderBy("print")) - F.col("n")).alias("_prints"))
+        placed = inside.join(lots, _same(inside, lots, (*KEYS, "_lot"))).select(*(inside[c] for c in keys), (F.col("_lots") + F.col("_prints")).alias("_ahead"))
+        before = before.join(placed, _same(before, placed, keys)).select(*(before[c] for c in keys), "_task", (F.col("_before") + F.col("_ahead")).alias("_before"))
+    own = held.withColumn("_own", F.row_number().over(W.partitionBy(*keys, "_task").orderBy(zero)) - 1)
+    joined = own.join(before, _same(own, before, (*keys, "_task")))
     return single.unionByName(joined.select(*(own[c] for c in rows.columns), (F.col("_own") + F.col("_before")).cast("long").alias("nth")))
 
 
@@ -157,9 +169,11 @@ def plan_mix(sized: DataFrame, weights: tuple[int, ...] = (1, 2, 3), cap: int =
     ranked = sized.where("size > 0").join(open_, F.col("source").eqNullSafe(F.col("t_source")) & (F.col("measure") == F.col("t_measure"))).drop("t_source", "t_measure")
     ranked = ranked.withColumn("rank", _rank(_draw(seed), F.col("rate"))).withColumn("bin", _bin(F.col("rank")))
     zero = F.lit(0).cast("long")
-    coarse = materialize(_cut(ranked.withColumn("before", zero), F.floor(F.col("bin") / BINS).cast("int")), "cut").withColumnsRenamed({"source": "c_source", "cut": "coarse"})
+    first = materialize(_cut(ranked.withColumn("before", zero), F.floor(F.col("bin") / BINS).cast("int")), "cut")
+    coarse = first.withColumnsRenamed({"source": "c_source", "cut": "coarse"})
     inside = ranked.join(coarse, F.col("source").eqNullSafe(F.col("c_source")) & (F.floor(F.col("bin") / BINS) == F.col("coarse"))).drop("c_source")
-    fine = materialize(_cut(inside, F.col("bin")), "cut").withColumnsRenamed({"source": "f_source", "cut": "cut_bin"})
+    second = materialize(_cut(inside, F.col("bin")), "cut")
+    fine = second.withColumnsRenamed({"source": "f_source", "cut": "cut_bin"})
     last = ranked.join(fine, F.col("source").eqNullSafe(F.col("f_source")) & (F.col("bin") == F.col("cut_bin"))).drop("f_source")
     until = F.col("before") + F.sum("size").over(W.partitionBy("source").orderBy("rank", F.col("doc_id").isNull(), "doc_id", "size", "nth").rowsBetween(W.unboundedPreceding, 0))
     near = last.withColumn("until", until).where(2 * F.col("until") - F.col("size") <= 2 * F.col("rest"))
@@ -168,7 +182,7 @@ def plan_mix(sized: DataFrame, weights: tuple[int, ...] = (1, 2, 3), cap: int =
     out = targets.join(bins, _same(targets, bins, ("source",)), "left").drop(bins["source"])
     out = out.join(edge, _same(targets, edge, ("source",)), "left").drop(edge["source"])
     plan = materialize(out, "mix-plan")
-    discard(classes, targets, coarse, fine)
+    discard(classes, targets, first, second)
     return plan, wanted
 
 
@@ -187,9 +201,9 @@ def apply_mix(sized: DataFrame, plan: tuple[DataFrame, DataFrame], seed: str = "
     return joined.withColumn("copies", copies).drop("p_source", "w_source", "w_measure", "whole", "rate", "cut_bin", "edge", "rank", "bin")
 
 
-def _sized(docs: DataFrame, row: bool = False) -> DataFrame:
+def _sized(docs: DataFrame, more: dict[str, Column] | None = None) -> DataFrame:
     size = n_words(F.col("text"))
-    return docs.select(*(["row"] if row else []), F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), size.alias("size"), measure_of(size).alias("measure"))
+    return docs.select(*(x.alias(c) for c, x in (more or {}).items()), F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), size.alias("size"), measure_of(size).alias("measure"))
 
 
 def mix_documents(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), cap: int = 3, budget: float = 1.0, seed: str = "mix") -> DataFrame:
@@ -202,10 +216,12 @@ def mix_documents(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), cap: in
 
 def repeat_documents(docs: DataFrame, weights: tuple[int, ...] = (1, 2, 3), cap: int = 3, budget: float = 1.0, seed: str = "mix") -> DataFrame:
     """The mix itself: each row of documents as often as the mix takes it, with its columns as they were."""
-    sized = materialize(_sized(docs), "sizes")
+    hashed = [F.col(f"`{f.name}`") for f in docs.schema.fields if "map<" not in f.dataType.simpleString() and "variant" not in f.dataType.simpleString()]
+    prints = {"print": F.xxhash64(*hashed)}
+    sized = materialize(_sized(docs, prints), "sizes")
     peers = repeated_keys(sized)
     plan = plan_mix(numbered(sized, peers), weights, cap, budget, seed)
     discard(sized)
-    own = _sized(docs.select(F.struct("*").alias("row"), "doc_id", "source", "text"), row=True)
-    many = apply_mix(numbered(own, peers, F.xxhash64("row.text")), plan, seed).where("copies > 0")
+    own = _sized(docs, {"row": F.struct(*(F.col(f"`{c}`") for c in docs.columns)), **prints})
+    many = apply_mix(numbered(own, peers), plan, seed).where("copies > 0")
     return many.select("row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("copy")).select("row.*")
