@@ -210,7 +210,7 @@ def cluster_genes(genes: DataFrame, divergence: float = 0.15, table: int = 1) ->
     code = S.genetic_code(table) if table else ""
     aligned = materialize(align_families(many, table > 0, code), "aligned")  # read three times
     parts = upgma_clusters(pairwise_distance(aligned), divergence / 2)
-    named = aligned.join(parts, ["family", "uid"]).withColumn("cluster_id", F.concat_ws("_", "family", F.lpad(F.col("part").cast("string"), 5, "0")))
+    named = aligned.join(parts, ["family", "uid"]).withColumn("cluster_id", F.concat_ws("_", "family", F.format_string("%05d", "part")))
     reference = aligned_consensus(named, ["cluster_id"])
     members = named.join(reference, "cluster_id").select("cluster_id", "uid", cigar.build(F.col("aligned"), F.col("reference")).alias("cigar"))
     clusters = reference.select("cluster_id", F.regexp_replace("reference", GAP, "").alias("seq"))

@@ -8,21 +8,30 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from tilewright.session import materialize
+
 #: Taxa in one word of a mask; a mask is an array of as many words as the taxa need.
 WORD = 62
 
 
 def closure(nodes: DataFrame) -> DataFrame:
-    """nodes(node_id, parent_id) -> ancestor, node_id, distance, itself included."""
-    spark = nodes.sparkSession
-    nodes.createOrReplaceTempView("_tilewright_nodes")
-    return spark.sql("""
-        with recursive up(ancestor, node_id, distance) as (
-            select node_id, node_id, 0 from _tilewright_nodes
-            union all
-            select n.parent_id, up.node_id, up.distance + 1 from up join _tilewright_nodes n on n.node_id = up.ancestor where n.parent_id is not null
-        ) select ancestor, node_id, distance from up
-    """)
+    """nodes(node_id, parent_id) -> ancestor, node_id, distance, itself included.
+
+    Paths are doubled: pairs less than 2**k apart, taken on from the node 2**k above, give those less than 2**(k + 1) apart. So a tree of any
+    depth takes as many rounds as its depth has bits; each round's pairs are written once. A parent that is no node is an ancestor only. Nodes above themselves raise ValueError.
+    """
+    own = materialize(nodes.select("node_id", "parent_id"), "nodes")
+    outside = materialize(own.where("parent_id is not null").select(F.col("parent_id").alias("node_id")).distinct().join(own.select("node_id"), "node_id", "left_anti"), "outside")
+    pairs = own.select("node_id").unionByName(outside).select(F.col("node_id").alias("ancestor"), "node_id", F.lit(0).alias("distance"))
+    hop, apart, most = own.where("parent_id is not null").select("node_id", F.col("parent_id").alias("top")), 1, own.count()
+    while not hop.isEmpty():
+        if apart > most:
+            raise ValueError("a node is above itself")
+        further = hop.join(pairs.select(F.col("node_id").alias("top"), "ancestor", "distance"), "top").select("ancestor", "node_id", (F.col("distance") + apart).alias("distance"))
+        pairs = pairs.unionByName(materialize(further, "pairs"))
+        hop = materialize(hop.join(hop.select(F.col("node_id").alias("top"), F.col("top").alias("next")), "top").select("node_id", F.col("next").alias("top")), "hops")
+        apart *= 2
+    return pairs.join(outside, "node_id", "left_anti").select("ancestor", "node_id", "distance")
 
 
 def assign_lca(members: DataFrame, nodes: DataFrame) -> DataFrame:

@@ -189,8 +189,8 @@ def oracle_sql() -> dict[str, str]:
         "cluster_info_files": f"with {CIGARS} select c.family as ClusterID, node_id as TaxonID, '1' as SeqID, uid as GeneID, 1 as Start, length(seq)::int as \"End\", '+' as Strand, cigar as CIGAR from cigars c join dna on uid = id::varchar where length(seq) % 2 = 0",
         "assignment_files": f"with recursive {LCA}, short as (select cluster_id, node_id, round(penetrance, 2) as penetrance from assigned) select cluster_id, case when penetrance < {P.penetrance} then '_LOWPEN_' else node_id end as node_id, penetrance from short",
         "newick_files": f"with recursive {NODES} select node_id, parent_id, is_leaf from nodes",
-        "region_files": f"with {DNA}, {windows('win', 'dna', L)}, {GC}, {RUNS}, placed as (select node_id, lpad(id::varchar, 12, '0') as cluster_id, pos, len, substr(seq, pos, len) as seq from runs join dna using (id) where len >= {2 * L}) select 'FBR_' || lpad((row_number() over (order by node_id, cluster_id, pos) - 1)::varchar, 6, '0') as region_id, * from placed",
-        "probe_files": f"{REGIONS}, one as (select *, {baits('1')} as n, {spacing('1')} as step from regions), placed as (select *, floor((len - {L} - (n - 1) * step) / 2)::bigint as begin from one), offs as (select *, begin + step * unnest(range(0, n)) as o from placed), each as (select o.region_id, c.node_id, o.cluster_id, o.pos + o as clust_pos, substr(o.seq, (o + 1)::int, {L}) as seq from offs o join dna c on c.id = o.cluster_id) select 'Probe_' || lpad((row_number() over (order by region_id, clust_pos) - 1)::varchar, 6, '0') as ProbeID, node_id as TaxonID, cluster_id::varchar as ClustID, clust_pos::int as ClustPos, seq from each",
+        "region_files": f"with {DNA}, {windows('win', 'dna', L)}, {GC}, {RUNS}, placed as (select node_id, lpad(id::varchar, 12, '0') as cluster_id, pos, len, substr(seq, pos, len) as seq from runs join dna using (id) where len >= {2 * L}) select 'FBR_' || printf('%06d', row_number() over (order by node_id, cluster_id, pos) - 1) as region_id, * from placed",
+        "probe_files": f"{REGIONS}, one as (select *, {baits('1')} as n, {spacing('1')} as step from regions), placed as (select *, floor((len - {L} - (n - 1) * step) / 2)::bigint as begin from one), offs as (select *, begin + step * unnest(range(0, n)) as o from placed), each as (select o.region_id, c.node_id, o.cluster_id, o.pos + o as clust_pos, substr(o.seq, (o + 1)::int, {L}) as seq from offs o join dna c on c.id = o.cluster_id) select 'Probe_' || printf('%06d', row_number() over (order by region_id, clust_pos) - 1) as ProbeID, node_id as TaxonID, cluster_id::varchar as ClustID, clust_pos::int as ClustPos, seq from each",
         "interval_files": f"with spans as (select 'u' || user_id as region_id, (event_id % 100 + 1)::int as s, (event_id % 100 + 11)::int as e from events union all select 'u' || user_id, least(event_id % 50 + 30, event_id % 70 + 1)::int, (greatest(event_id % 50 + 30, event_id % 70 + 1) + 1)::int from events where event_id % 40 >= {P.hit_length} and event_id % 101 >= {P.hit_identity}), {merged('region_id')} select * from merged",
         "acgt_segments": r"""with letters as (select doc_id as id, upper(regexp_replace(text, '[^A-Za-z]', '', 'g')) as s from documents),
             chars as (select id, unnest(string_split(s, '')) as c, unnest(range(len(s))) as i from letters where len(s) > 0),

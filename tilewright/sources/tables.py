@@ -81,7 +81,7 @@ def write_table(df: DataFrame, path: str, header: bool = True) -> None:
 
 
 def numbered(df: DataFrame, order: list[str], prefix: str, digits: int, name: str = "id") -> DataFrame:
-    """Adds ids prefix + zero-padded number from 0 in a total order. The rows are sorted by range, so numbering needs no single task."""
+    """Adds ids prefix + number from 0 in a total order, zero-padded to ``digits`` (longer ones stay whole). The rows are sorted by range, so numbering needs no single task."""
     from pyspark.sql import Window as W
 
     ranged = df.repartitionByRange(*order).withColumn("_p", F.spark_partition_id())
@@ -91,7 +91,7 @@ def numbered(df: DataFrame, order: list[str], prefix: str, digits: int, name: st
     sizes = ranged.groupBy("_p").agg(F.count("*").alias("_rows"))
     before = sizes.select("_p", (F.sum("_rows").over(W.orderBy("_p")) - F.col("_rows")).alias("_before"))  # a row per range
     own = F.row_number().over(W.partitionBy("_p").orderBy(*order)) - 1
-    return ranged.withColumn("_own", own).join(before, "_p").withColumn(name, F.concat(F.lit(prefix), F.lpad((F.col("_before") + F.col("_own")).cast("string"), digits, "0"))).drop("_p", "_own", "_before")
+    return ranged.withColumn("_own", own).join(before, "_p").withColumn(name, F.concat(F.lit(prefix), F.format_string(f"%0{digits}d", F.col("_before") + F.col("_own")))).drop("_p", "_own", "_before")
 
 
 def parse_config(text: str) -> dict[str, str]:
