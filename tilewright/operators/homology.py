@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tilewright.functions import seq as S
 from tilewright.operators.intervals import merge_intervals
-from tilewright.operators.kmers import codes, packed_kmers
+from tilewright.operators.kmers import codes
 
 
 def seed_hits(a: DataFrame, b: DataFrame, k: int) -> DataFrame:
@@ -19,31 +19,93 @@ def seed_hits(a: DataFrame, b: DataFrame, k: int) -> DataFrame:
 
     b is the query set; its reverse complement is searched too. Hits on a diagonal are added up before anything is verified.
     """
-    own = packed_kmers(a.select(F.col("id").alias("a_id"), "seq"), k, canonical=False).withColumnRenamed("pos", "a_pos")
-    both = b.select("id", F.explode(F.array(F.struct(F.lit("+").alias("strand"), F.col("seq").alias("seq")), F.struct(F.lit("-").alias("strand"), S.revcomp(F.col("seq")).alias("seq")))).alias("x")).select("id", "x.strand", "x.seq")
-    query = packed_kmers(both.withColumnRenamed("id", "b_id"), k, canonical=False).withColumnRenamed("pos", "b_pos")
-    return own.join(query, "kmer").groupBy("a_id", "b_id", "strand", (F.col("a_pos") - F.col("b_pos")).alias("diagonal")).agg(F.count("*").alias("seeds"))
+    return spaced_hits(a.select("id", "seq"), b.select("id", "seq"), ["1" * k])
 
 
-#: Eight spaced seeds of nine bases each; a pair of similar windows nearly always agrees under one of them somewhere.
+#: Found by search_seeds(8, 11, 28): of simulated windows of 75 with 57 equal bases 99.99% agree under one of them somewhere, and all of those whose differences mostly fall on every third base.
 SEEDS = [
-    "111010001101011",
-    "1100010010000100010111",
-    "1011001010001000010011",
-    "1010110000110000001011",
-    "11010000001000101000111",
-    "110001010000000100101011",
-    "110100000100100000010000111",
-    "1110010000001000010000010011",
+    "11101100001001101101",
+    "101101000100101100111",
+    "1010011000101010011011",
+    "10111001011011011",
+    "1100101001101000100000001011",
+    "10111000000110000101001011",
+    "1111010001001000010101001",
+    "1011101001000000000101000111",
 ]
 
 
-def spaced_keys(df: DataFrame, seeds: list[str] = SEEDS, seq: str = "seq") -> DataFrame:
-    """df(..., seq) -> ..., pos (1-based), key: the bases under the ones of each seed, two bits each, with the seed's number above them. Windows of ACGT only."""
+def simulated_windows(rng: np.random.Generator, n: int, length: int, equal: int) -> np.ndarray:
+    """n windows with exactly ``equal`` equal bases: in every other one differences fall eight times as often on every third base, as those of coding sequences do."""
+    same = np.ones((n, length), dtype=bool)
+    for i, row in enumerate(same):
+        weight = np.ones(length)
+        if i % 2:
+            weight[i // 2 % 3 :: 3] = 8
+        row[rng.choice(length, length - equal, replace=False, p=weight / weight.sum())] = False
+    return same
+
+
+def seed_hit(same: np.ndarray, seed: str) -> np.ndarray:
+    """Whether each window agrees under the seed at any place."""
+    n = same.shape[1] - len(seed) + 1
+    return np.logical_and.reduce([same[:, p : p + n] for p, c in enumerate(seed) if c == "1"]).any(axis=1)
+
+
+def search_seeds(number: int, weight: int, longest: int, length: int = 75, equal: int = 57, windows: int = 6000, tries: int = 300, seed: int = 1) -> list[str]:
+    """Greedy: of ``tries`` random patterns always the one that hits the most windows, those hit before counting a quarter for each time."""
+    rng = np.random.default_rng(seed)
+    same, worth, found = simulated_windows(rng, windows, length, equal), np.ones(windows), []
+    for _ in range(number):
+        best: tuple = (-1.0, "", None)
+        for _ in range(tries):
+            span = int(rng.integers(weight + 2, longest + 1))
+            ones = {0, span - 1, *(1 + rng.choice(span - 2, weight - 2, replace=False)).tolist()}
+            pattern = "".join("1" if i in ones else "0" for i in range(span))
+            hit = seed_hit(same, pattern)
+            if worth[hit].sum() > best[0]:
+                best = (worth[hit].sum(), pattern, hit)
+        found.append(best[1])
+        worth[best[2]] /= 4
+    return found
+
+
+#: Equal keys at places of one distance, from so many on, travel as a run: repeats in tandem don't meet place by place.
+TANDEM = 8
+
+
+def tandem_runs(key: np.ndarray, pos: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Keys at rising places -> key, first place, distance, number: runs of TANDEM or more, and single places (distance 0)."""
+    order = np.argsort(key, kind="stable")
+    key, pos = key[order], pos[order]
+    if not len(key):
+        return key, pos, pos, pos
+    gap = np.where(key[1:] == key[:-1], np.diff(pos), 0)
+    # stretches of one gap within a key; the first place of a stretch belongs to the one before
+    starts = np.flatnonzero(np.concatenate(([True], gap[1:] != gap[:-1]))) if len(gap) else np.zeros(0, np.int64)
+    lengths = np.diff(np.concatenate((starts, [len(gap)])))
+    taken = np.zeros(len(key), dtype=bool)
+    rows = []
+    for at, n in zip(starts.tolist(), lengths.tolist()):
+        if not gap[at] or n + 1 < TANDEM:
+            continue
+        first = at + 1 if taken[at] else at
+        number = at + n - first + 1
+        if number >= TANDEM:
+            taken[first : at + n + 1] = True
+            rows.append((first, gap[at], number))
+    single = np.flatnonzero(~taken)
+    many = np.array(rows, dtype=np.int64).reshape(-1, 3)
+    at = np.concatenate((single, many[:, 0]))
+    return key[at], pos[at], np.concatenate((np.zeros(len(single), np.int64), many[:, 1])), np.concatenate((np.ones(len(single), np.int64), many[:, 2]))
+
+
+def _keyed(df: DataFrame, seeds: list[str], seq: str, runs: bool) -> DataFrame:
     keep = [c for c in df.columns if c != seq]
     ones = [[i for i, c in enumerate(seed) if c == "1"] for seed in seeds]
     if max(map(len, ones)) > 28:
         raise ValueError("a key holds 28 bases")
+    more = ["pos", "key", "step", "n"] if runs else ["pos", "key"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -58,14 +120,29 @@ def spaced_keys(df: DataFrame, seeds: list[str] = SEEDS, seq: str = "seq") -> Da
                         part = base[at : at + n]
                         key, good = key << 2 | part & 3, good & (part < 4)
                     pos = np.flatnonzero(good)
+                    key, extra = key[pos], []
+                    if runs:
+                        key, pos, step, count = tandem_runs(key, pos)
+                        extra = [pa.array(step, pa.int32()), pa.array(count, pa.int32())]
                     rows = pa.array(np.full(len(pos), i))
-                    out = [*(batch.column(c).take(rows) for c in range(1, batch.num_columns)), pa.array(pos + 1, pa.int32()), pa.array(key[pos] | number << 56, pa.int64())]
-                    yield pa.RecordBatch.from_arrays(out, [*keep, "pos", "key"])
+                    out = [*(batch.column(c).take(rows) for c in range(1, batch.num_columns)), pa.array(pos + 1, pa.int32()), pa.array(key | number << 56, pa.int64()), *extra]
+                    yield pa.RecordBatch.from_arrays(out, [*keep, *more])
 
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*keep).schema), "pos int", "key long"])
+    kinds = {"key": "long"}
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*keep).schema), *(f"{c} {kinds.get(c, 'int')}" for c in more)])
     return df.select(seq, *keep).mapInArrow(run, schema)
 
 
+def spaced_keys(df: DataFrame, seeds: list[str] = SEEDS, seq: str = "seq") -> DataFrame:
+    """df(..., seq) -> ..., pos (1-based), key: the bases under the ones of each seed, two bits each, with the seed's number above them. Windows of ACGT only."""
+    return _keyed(df, seeds, seq, False)
+
+
+def spaced_runs(df: DataFrame, seeds: list[str] = SEEDS, seq: str = "seq") -> DataFrame:
+    """spaced_keys with repeats in tandem drawn together: pos, key, step, n stand for n places, ``step`` apart, from pos on."""
+    return _keyed(df, seeds, seq, True)
+
+
 def both_strands(seqs: DataFrame) -> DataFrame:
     """seqs(id, seq, ...) -> the same with strand: each sequence and its reverse complement."""
     strands = F.array(F.struct(F.lit("+").alias("strand"), F.col("seq").alias("seq")), F.struct(F.lit("-").alias("strand"), S.revcomp(F.col("seq")).alias("seq")))
@@ -73,15 +150,25 @@ def both_strands(seqs: DataFrame) -> DataFrame:
 
 
 def spaced_hits(a: DataFrame, b: DataFrame, seeds: list[str] = SEEDS) -> DataFrame:
-    """a, b(id, seq), perhaps with node_id -> a_id, b_id, diagonal, strand, seeds: places where both agree under a seed, on either strand of b, a row per diagonal. With nodes, only pairs of different ones."""
+    """a, b(id, seq), perhaps with node_id -> a_id, b_id, diagonal, strand, seeds: places where both agree under a seed, on either strand of b, a row per diagonal. With nodes, only pairs of different ones.
+
+    Repeats in tandem meet as runs: two runs of m and n places of one distance have m * n pairs of places on m + n - 1 diagonals, and only these are made, with their numbers of pairs.
+    """
     nodes = "node_id" in a.columns and "node_id" in b.columns
     more = ["node_id"] if nodes else []
-    own = spaced_keys(a.select("id", *more, "seq"), seeds).withColumnsRenamed({"id": "a_id", "pos": "a_pos", "node_id": "a_node"})
-    query = spaced_keys(both_strands(b.select("id", *more, "seq")), seeds).withColumnsRenamed({"id": "b_id", "pos": "b_pos", "node_id": "b_node"})
+    own = spaced_runs(a.select("id", *more, "seq"), seeds).withColumnsRenamed({"id": "a_id", "pos": "a_pos", "node_id": "a_node", "step": "a_step", "n": "a_n"})
+    query = spaced_runs(both_strands(b.select("id", *more, "seq")), seeds).withColumnsRenamed({"id": "b_id", "pos": "b_pos", "node_id": "b_node", "step": "b_step", "n": "b_n"})
     met = own.join(query, "key")
     if nodes:
         met = met.where("a_node <> b_node")
-    return met.groupBy("a_id", "b_id", "strand", (F.col("a_pos") - F.col("b_pos")).alias("diagonal")).agg(F.count("*").alias("seeds"))
+    # runs of unlike distances: the places of b's one by one
+    unlike = (F.col("a_n") > 1) & (F.col("b_n") > 1) & (F.col("a_step") != F.col("b_step"))
+    places = F.explode(F.sequence(F.lit(0), F.when(unlike, F.col("b_n") - 1).otherwise(0))).alias("_i")
+    met = met.select("*", places).withColumns({"b_pos": F.col("b_pos") + F.when(unlike, F.col("_i") * F.col("b_step")).otherwise(0), "b_n": F.when(unlike, 1).otherwise(F.col("b_n"))})
+    step = F.greatest("a_step", F.when(F.col("b_n") > 1, F.col("b_step")).otherwise(0))
+    apart = met.select("a_id", "b_id", "strand", "a_n", "b_n", (F.col("a_pos") - F.col("b_pos")).alias("_d"), step.alias("_s"), F.explode(F.sequence(1 - F.col("b_n"), F.col("a_n") - 1)).alias("_t"))
+    pairs = F.least(F.col("a_n") - 1, F.col("b_n") - 1 + F.col("_t")) - F.greatest(F.lit(0), F.col("_t")) + 1
+    return apart.groupBy("a_id", "b_id", "strand", (F.col("_d") + F.col("_s") * F.col("_t")).alias("diagonal")).agg(F.sum(pairs).alias("seeds"))
 
 
 def _overlaps(hits: DataFrame, a: DataFrame, b: DataFrame) -> DataFrame:
