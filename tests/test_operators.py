@@ -3,6 +3,7 @@
 import math
 import random
 from collections import Counter, defaultdict
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -202,20 +203,46 @@ def test_similar_windows_of_other_nodes(spark):
     assert got == slow_similar_starts(seqs, 40, 31) and {i for i, _ in got} == {1, 2, 3, 4}
 
 
+def slow_dust(text, window, threshold):
+    """Bases under perfect intervals, from the scores of all intervals."""
+    score = {}
+    for i in range(len(text) - 3):
+        counts, pairs = Counter(), 0
+        for j in range(i, min(len(text) - 2, i + window - 2)):
+            t = text[j : j + 3]
+            if set(t) - set("ACGT"):
+                break
+            pairs += counts[t]
+            counts[t] += 1
+            if j > i:
+                score[i, j] = Fraction(pairs, j - i)
+    out = set()
+    for (i, j), x in score.items():
+        if 10 * x > threshold and all(score[a, b] <= x for a in range(i, j) for b in range(a + 1, j + 1)):
+            out |= set(range(i + 1, j + 4))
+    return out
+
+
 def test_dust_and_dimers_by_brute_force(spark):
     rng = random.Random(15)
-    seqs = ["".join(rng.choice(letters) for _ in range(rng.randrange(2, 200))) for letters in ("ACGT", "AC", "A", "AAAT", "ACGT") for _ in range(12)]
+    seqs = ["".join(rng.choice(letters) for _ in range(rng.randrange(2, 90))) for letters in ("ACGT", "AC", "A", "AAAT", "ACGTN", "AAAAAAAN") for _ in range(6)]
+    seqs += ["ACGTTGCATG" * 3 + "AC" * 12 + "GGTCATTTTTTTTTTTTCA", "GATTACA" * 9]
     df = spark.createDataFrame(list(enumerate(seqs)), "id int, seq string")
-    masked = defaultdict(set)
-    for r in homology.dust_intervals(df, 30, 12.0).collect():
-        masked[r.id] |= set(range(r.s, r.e))
-    for i, s in enumerate(seqs):
-        size, want = min(28, len(s) - 2), set()
-        for p in range(len(s) - 1 - size) if size >= 2 else ():
-            counts = Counter(s[q : q + 3] for q in range(p, p + size))
-            if 10 * sum(c * (c - 1) / 2 for c in counts.values()) / (size - 1) > 12.0:
-                want |= set(range(p + 1, p + size + 3))
-        assert masked[i] == want
+    for window, threshold in ((20, 12.0), (30, 20.0)):
+        masked, spans = defaultdict(set), defaultdict(list)
+        for r in homology.dust_intervals(df, window, threshold).collect():
+            masked[r.id] |= set(range(r.s, r.e))
+            spans[r.id].append((r.s, r.e))
+        assert all(masked[i] == slow_dust(s, window, threshold) for i, s in enumerate(seqs)) and any(masked.values())
+        assert all(a[1] < b[0] for x in spans.values() for a, b in zip(sorted(x), sorted(x)[1:]))
+    cut = homology.STRETCH
+    try:
+        homology.STRETCH = 7
+        own = np.array([rng.choice([0, 0, 1, 5]) for _ in range(300)], dtype=np.int8)
+        short = homology.perfect_intervals(own, 18, 12.0)
+    finally:
+        homology.STRETCH = cut
+    assert short == homology.perfect_intervals(own, 18, 12.0) and short
     dimers = {r.id: r.dimer for r in homology.self_dimers(df, 9, 8).collect()}
     for i, s in enumerate(seqs):
         flipped = s.translate(FLIP)[::-1]

@@ -243,30 +243,48 @@ def similar_spans(hits: DataFrame, a: DataFrame, b: DataFrame, length: int, leas
     return cut.mapInArrow(run, _schema(cut, "s int, e int"))
 
 
-def dust_intervals(seqs: DataFrame, window: int = 64, threshold: float = 20.0) -> DataFrame:
-    """seqs(id, seq) -> id, s, e: half-open, 1-based stretches of low complexity, unmerged windows joined.
+#: Bases of a sequence whose scores are held at once.
+STRETCH = 1 << 16
+
+
+def perfect_intervals(triplets: np.ndarray, most: int, threshold: float) -> list[tuple[int, int]]:
+    """Triplets -> merged half-open ranges of bases under perfect intervals, of 2 to ``most`` triplets.
 
-    A window's score is the sum of c(c-1)/2 over the counts of its triplets, over one less than their number (symmetric
-    DUST's score, times ten); windows above the threshold are masked. Counts slide along, so time grows with the sequence only.
+    An interval of l triplets scores sum of c(c-1)/2 over the counts of its kinds, over l - 1; it is perfect if its score times ten is above the threshold and no interval inside it scores
+    more. One step for each length: from all intervals of a length to those longer by one, at all places at once.
     """
+    covered = np.zeros(len(triplets) + 3, dtype=np.int64)
+    for at in range(0, len(triplets), STRETCH):
+        own = triplets[at : at + STRETCH + most]
+        n = len(own)
+        before = np.zeros(n, dtype=np.int32)  # of the last k triplets, how many are as the one here
+        total = np.zeros(n, dtype=np.int32)  # pairs of equal triplets in the interval that starts here
+        inside = np.zeros(n, dtype=np.float32)  # the highest score in it
+        for k in range(1, min(most, n)):
+            before[k:] += own[k:] == own[: n - k]
+            total = total[: n - k] + before[k:]
+            score = total / np.float32(k)
+            inside = np.maximum(score, np.maximum(inside[:-1], inside[1:]))
+            hit = np.flatnonzero((10 * score > threshold) & (score >= inside))
+            hit = hit[hit < STRETCH] + at
+            np.add.at(covered, hit, 1)
+            np.add.at(covered, hit + k + 3, -1)
+    on = np.concatenate(([0], (np.cumsum(covered) > 0).astype(np.int8), [0]))
+    return list(zip(np.flatnonzero(np.diff(on) == 1).tolist(), np.flatnonzero(np.diff(on) == -1).tolist()))
+
+
+def dust_intervals(seqs: DataFrame, window: int = 64, threshold: float = 20.0) -> DataFrame:
+    """seqs(id, seq) -> id, s, e: half-open, 1-based stretches of low complexity: the bases under perfect intervals (symmetric DUST) of up to ``window`` bases, joined. Letters beyond ACGT end an interval."""
 
     def mask(text: str) -> list[tuple[int, int]]:
-        base = codes(text) & 3
-        triplets = base[:-2] * 16 + base[1:-1] * 4 + base[2:]
-        size = min(window - 2, len(triplets))
-        if size < 2:
-            return []
-        score = np.zeros(len(triplets) - size + 1, dtype=np.int64)
-        for t in np.unique(triplets):  # at most 64: counts of each triplet in all windows at once
-            total = np.concatenate(([0], np.cumsum(triplets == t)))
-            n = total[size:] - total[:-size]
-            score += n * (n - 1) // 2
-        on = np.flatnonzero(10 * score / (size - 1) > threshold)
-        if not len(on):
-            return []
-        turns = np.flatnonzero(np.diff(on) > size + 2)
-        firsts, lasts = on[np.concatenate(([0], turns + 1))], on[np.concatenate((turns, [len(on) - 1]))]
-        return list(zip((firsts + 1).tolist(), (lasts + size + 3).tolist()))
+        base = codes(text).astype(np.int64)
+        edges = np.flatnonzero(np.diff(np.concatenate(([0], (base < 4).astype(np.int8), [0]))))
+        out = []
+        for start, end in zip(edges[::2].tolist(), edges[1::2].tolist()):
+            own = base[start:end]
+            if len(own) > 3:
+                out += [(s + start + 1, e + start + 1) for s, e in perfect_intervals((own[:-2] * 16 + own[1:-1] * 4 + own[2:]).astype(np.int8), window - 2, threshold)]
+        return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
