@@ -1,5 +1,6 @@
 """Readers, writers and the whole design on invented files."""
 
+import re
 import gzip
 import random
 
@@ -177,8 +178,34 @@ def test_command_line(spark, tmp_path):
             f.write(f"##gff-version 3\nc\ts\tCDS\t1\t600\t.\t+\t0\tID=g{t};Name=n{t}\n##FASTA\n>c\n{dna}\n")
     (tmp_path / "list").write_text("".join(f"{tmp_path}/{t}.gff\t{t}\r\n" for t in "xy"))
     (tmp_path / "black.fa").write_text(">b\n" + "ACGT" * 30 + "\n")
-    main(["--genomes", f"{tmp_path}/list", "--out", f"{tmp_path}/out", "--blacklists", f"{tmp_path}/black.fa", "--probes", "40"])
+    main(["--genomes", f"{tmp_path}/list", "--out", f"{tmp_path}/out", "--blacklists", f"{tmp_path}/black.fa", "--probes", "40", "--summary", "--targets", "none,nx"])
     probes = fasta.read_fasta(spark, f"{tmp_path}/out/probes.fna").collect()
     info = tables.read_named(spark, f"{tmp_path}/out/probes.tsv", tables.PROBE_INFO).collect()
     assert probes and {r.id for r in probes} == {r.ProbeID for r in info} and all(len(r.seq) == 75 for r in probes)
     assert {r.GeneID for r in tables.read_cluster_info(spark, f"{tmp_path}/out/clusters.tsv").collect()} == {"gx.x.1", "gy.y.1"}
+    assert newick.read_newick(spark, f"{tmp_path}/out/nodes.newick").where("is_leaf").count() == 2
+    assert fasta.read_fasta(spark, f"{tmp_path}/out/pseudo_genomes.fna").count() >= 1
+    got = {r.org: (int(r.probes), r["class"]) for r in spark.read.option("sep", "\t").option("header", True).csv(f"{tmp_path}/out/summary.tsv").collect()}
+    assert set(got) == {"x", "y"} and sum(n for n, _ in got.values()) >= len(probes)
+    genomes = {}
+    for t in "xy":
+        text = (tmp_path / f"{t}.gff").read_text()
+        genomes[t] = text.split(">c\n")[1].strip()
+    for overlap, flank in (("none", 0), ("probe", 10), ("context", 10), ("context", 0)):
+        main(["targets", "--clusters", f"{tmp_path}/out/clusters.tsv", "--probes", f"{tmp_path}/out/probes.tsv", "--genomes", f"{tmp_path}/list", "--out", f"{tmp_path}/targets-{overlap}-{flank}", "--flank", str(flank), "--overlap", overlap])
+        rows = fasta.read_fasta(spark, f"{tmp_path}/targets-{overlap}-{flank}").collect()
+        assert rows and len(rows) == len({r.id for r in rows}) and all(r.id.startswith("TGT_0") for r in rows)
+        for r in rows:
+            taxon, place, _ = r.description.split(" | ")
+            a, b = map(int, re.search(r"\((\d+)-(\d+)\)", place).groups())
+            assert r.seq == genomes[taxon][a - 1 : b] and len(r.seq) >= 75
+        if overlap == "none":
+            assert len(rows) == len(probes)
+    with pytest.raises(FileNotFoundError):
+        main(["targets", "--clusters", f"{tmp_path}/nothing", "--probes", f"{tmp_path}/out/probes.tsv", "--genomes", f"{tmp_path}/list", "--out", f"{tmp_path}/t"])
+
+
+def test_deep_trees_are_written():
+    deep = [("n0", None, False)] + [(f"n{i}", f"n{i - 1}", False) for i in range(1, 3000)] + [(f"t{i}", f"n{i}", True) for i in range(3000)]
+    assert sorted(newick.parse(newick.format_newick(deep))) == sorted(deep)
+    assert newick.format_newick([("r", None, False), ("b c", "r", True), ("a", "r", True)]) == "(a,'b c')r;"

@@ -138,29 +138,76 @@ def pairwise_distance(aligned: DataFrame, gap_penalty: float = 0.0) -> DataFrame
     return pairs.mapInArrow(run, f"family {kinds['family']}, a {kinds['uid']}, b {kinds['uid']}, d double")
 
 
-def upgma_labels(n: int, distance: np.ndarray, cut: float) -> list[int]:
-    """Average linkage; merges up to height ``cut`` (half the distance). Ties take the first pair. Labels from 0 by first member."""
+def upgma_tree(n: int, distance: np.ndarray) -> list[tuple[int, int, float]]:
+    """Average linkage: merges (node, node, height), the k-th making node n + k; the height is half the distance. Ties take the first pair."""
     d = distance.astype(float).copy()
     np.fill_diagonal(d, np.inf)
-    members = {i: [i] for i in range(n)}
-    while len(members) > 1:
+    size, node, out = [1] * n, list(range(n)), []
+    for k in range(n - 1):
         i, j = divmod(int(d.argmin()), n)
-        if d[i, j] / 2 > cut:
-            break
-        a, b = len(members[i]), len(members[j])
-        d[i] = d[:, i] = (a * d[i] + b * d[j]) / (a + b)
+        out.append((node[i], node[j], float(d[i, j]) / 2))
+        d[i] = d[:, i] = (size[i] * d[i] + size[j] * d[j]) / (size[i] + size[j])
         d[j] = d[:, j] = np.inf
         d[i, i] = np.inf
-        members[i] += members.pop(j)
+        size[i], node[i] = size[i] + size[j], n + k
+    return out
+
+
+def cut_tree(n: int, merges: list[tuple[int, int, float]], cut: float, reroot: bool = False) -> list[int]:
+    """Labels of the leaves, from 0 by first member: the largest subtrees none of whose leaves is further than ``cut`` from their root.
+
+    reroot: first, if a branch is longer than the two at the root together, the root moves to the middle of the longest branch.
+    """
+    if n < 2:
+        return [0] * n
+    height = [0.0] * n + [h for *_, h in merges]
+    below: dict[int, list[tuple[int, float]]] = {n + k: [(x, h - height[x]) for x in (a, b)] for k, (a, b, h) in enumerate(merges)}
+    root = n + len(merges) - 1
+    branches = [(length, node, x) for node, own in below.items() if node != root for x, length in own]
+    longest = max(branches, key=lambda e: (e[0], -e[2]), default=(0.0, 0, 0))
+    if reroot and longest[0] > sum(length for _, length in below[root]):
+        (x, first), (y, second) = below.pop(root)
+        near: dict[int, list[tuple[int, float]]] = {}
+        length, upper, lower = longest
+        for a, b, n_ab in [(x, y, first + second), *((node, c, m) for node, own in below.items() for c, m in own if (node, c) != (upper, lower))]:
+            near.setdefault(a, []).append((b, n_ab))
+            near.setdefault(b, []).append((a, n_ab))
+        below, todo = {root: [(upper, length / 2), (lower, length / 2)]}, [(upper, root), (lower, root)]
+        while todo:
+            at, above = todo.pop()
+            own = [(c, m) for c, m in near.get(at, []) if c != above]
+            if own:
+                below[at] = own
+                todo += [(c, at) for c, _ in own]
+    order = [root]
+    for node in order:
+        order += [c for c, _ in below.get(node, [])]
+    depth: dict[int, float] = {}
+    for node in reversed(order):
+        depth[node] = max((depth[c] + m for c, m in below.get(node, [])), default=0.0)
+    group: dict[int, int] = {root: -1}
+    leaves: dict[int, list[int]] = {}
+    for node in order:  # a node within the cut takes all below it along
+        if group[node] < 0 and (depth[node] <= cut or node not in below):
+            group[node] = node
+        for c, _ in below.get(node, []):
+            group[c] = group[node]
+        if node < n:
+            leaves.setdefault(group[node], []).append(node)
     label = [0] * n
-    for k, group in enumerate(sorted(members.values(), key=min)):
-        for i in group:
+    for k, own in enumerate(sorted(leaves.values(), key=min)):
+        for i in own:
             label[i] = k
     return label
 
 
-def upgma_clusters(distances: DataFrame, cut: float) -> DataFrame:
-    """distances(family, a, b, d), all pairs of a family -> family, uid, part: subtrees no higher than ``cut``."""
+def upgma_labels(n: int, distance: np.ndarray, cut: float, reroot: bool = False) -> list[int]:
+    """Labels of the subtrees no higher than ``cut`` (half the distance)."""
+    return cut_tree(n, upgma_tree(n, distance), cut, reroot)
+
+
+def upgma_clusters(distances: DataFrame, cut: float, reroot: bool = False) -> DataFrame:
+    """distances(family, a, b, d), all pairs of a family -> family, uid, part: subtrees no higher than ``cut``; reroot: after the root moved to the longest branch's middle."""
 
     def label(df: pd.DataFrame) -> pd.DataFrame:
         names = sorted(set(df["a"]) | set(df["b"]))
@@ -168,7 +215,7 @@ def upgma_clusters(distances: DataFrame, cut: float) -> DataFrame:
         d = np.zeros((len(names), len(names)))
         i, j = df["a"].map(at).to_numpy(), df["b"].map(at).to_numpy()
         d[i, j] = d[j, i] = np.where(df["d"] < 0, 1.0, df["d"])
-        return pd.DataFrame({"family": df["family"].iloc[0], "uid": names, "part": upgma_labels(len(names), d, cut)})
+        return pd.DataFrame({"family": df["family"].iloc[0], "uid": names, "part": upgma_labels(len(names), d, cut, reroot)})
 
     return distances.groupBy("family").applyInPandas(label, "family string, uid string, part int")
 
@@ -203,13 +250,13 @@ def aligned_consensus(aligned: DataFrame, keys: list[str]) -> DataFrame:
     return _joined(best, keys, "reference").unionByName(single.select(*keys, F.regexp_replace("aligned", "[^ACGT]", GAP).alias("reference")))
 
 
-def cluster_genes(genes: DataFrame, divergence: float = 0.15, table: int = 1) -> tuple[DataFrame, DataFrame]:
-    """genes(family, uid, seq) -> (clusters(cluster_id, seq), members(cluster_id, uid, cigar)). table: genetic code through which families are aligned; 0 aligns bases."""
+def cluster_genes(genes: DataFrame, divergence: float = 0.15, table: int = 1, reroot: bool = True) -> tuple[DataFrame, DataFrame]:
+    """genes(family, uid, seq) -> (clusters(cluster_id, seq), members(cluster_id, uid, cigar)). table: genetic code through which families are aligned; 0 aligns bases. reroot: trees are rooted anew at their longest branch before they are cut."""
     single, many = split_singletons(genes)
     alone = singleton_clusters(single)
     code = S.genetic_code(table) if table else ""
     aligned = materialize(align_families(many, table > 0, code), "aligned")  # read three times
-    parts = upgma_clusters(pairwise_distance(aligned), divergence / 2)
+    parts = upgma_clusters(pairwise_distance(aligned), divergence / 2, reroot)
     named = aligned.join(parts, ["family", "uid"]).withColumn("cluster_id", F.concat_ws("_", "family", F.format_string("%05d", "part")))
     reference = aligned_consensus(named, ["cluster_id"])
     members = named.join(reference, "cluster_id").select("cluster_id", "uid", cigar.build(F.col("aligned"), F.col("reference")).alias("cigar"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tilewright.functions import cigar, seq as S
@@ -29,15 +30,16 @@ def target_regions(regions: DataFrame, members: DataFrame, genes: DataFrame, pro
 
     Regions that keep less than half a probe of the member, or end up shorter than a probe, go. A member without a CIGAR is taken to equal its cluster.
     """
-    j = regions.select("cluster_id", "s", "e").join(members, "cluster_id").join(genes.select("gene_id", "chr", "start", "end", "strand", "up", "down", "seq"), "gene_id")
+    j = regions.select("cluster_id", "s", "e").join(members, "cluster_id").join(genes.select("gene_id", *(["path"] if "path" in genes.columns else []), "chr", "start", "end", "strand", "up", "down", "seq"), "gene_id")
     own = F.length("seq") - F.col("up") - F.col("down")
     a = F.coalesce(F.when(F.col("cigar").isNull(), F.col("s")).otherwise(cigar.adjust(F.col("s"), F.col("cigar"), True)), own + 1)
     b = F.coalesce(F.when(F.col("cigar").isNull(), F.col("e") - 1).otherwise(cigar.adjust(F.col("e") - 1, F.col("cigar"))), own)
     j = j.withColumns({"a": F.greatest(F.lit(1), a), "b": F.least(b, own)}).where(F.col("b") - F.col("a") + 1 >= (probe + 1) // 2)
     j = j.withColumns({"x": F.greatest(1 - F.col("up"), F.col("a") - flank), "y": F.least(F.length("seq") - F.col("up"), F.col("b") + flank)}).where(F.col("y") - F.col("x") + 1 >= probe)
     minus = F.col("strand") == "-"
+    where = ["path"] if "path" in genes.columns else []
     return j.select(
-        "taxon_id", "cluster_id", "gene_id", "chr",
+        "taxon_id", "cluster_id", "gene_id", *where, "chr",
         F.when(minus, F.col("end") - F.col("y") + 1).otherwise(F.col("start") + F.col("x") - 1).alias("start"),
         F.when(minus, F.col("end") - F.col("x") + 1).otherwise(F.col("start") + F.col("y") - 1).alias("end"),
         "strand", F.substring(F.col("seq"), F.col("x") + F.col("up"), F.col("y") - F.col("x") + 1).alias("seq"),
@@ -63,3 +65,14 @@ def plan_targets(probes: DataFrame, members: DataFrame, genes: DataFrame, probe:
     probed = probes.select("cluster_id").distinct()
     found = target_regions(regions.distinct(), members.join(probed, "cluster_id", "left_semi"), genes, probe, flank)
     return merge_targets(found) if overlap == "context" else found
+
+
+def joined_targets(targets: DataFrame, contigs: DataFrame) -> DataFrame:
+    """Overlapping or touching targets(taxon_id, path, chr, start, end, cluster_id) as one: taxon_id, path, chr, start, end, strand (+), cluster_id (all, by name), seq, cut from contigs(path, chr, seq) once more."""
+    key = ["taxon_id", "path", "chr"]
+    order = W.partitionBy(*key).orderBy("start", "end", "cluster_id")
+    before = F.max("end").over(order.rowsBetween(W.unboundedPreceding, -1))
+    marked = targets.select(*key, "start", "end", "cluster_id").withColumn("_new", F.coalesce(F.col("start") > before + 1, F.lit(True)).cast("int"))
+    islands = marked.withColumn("_island", F.sum("_new").over(order)).groupBy(*key, "_island").agg(F.min("start").alias("start"), F.max("end").alias("end"), F.concat_ws(",", F.array_sort(F.collect_set("cluster_id"))).alias("cluster_id"))
+    cut = islands.join(contigs.select("path", "chr", F.col("seq").alias("_seq")), ["path", "chr"])
+    return cut.select(*key, "start", "end", F.lit("+").alias("strand"), "cluster_id", F.upper(F.substring(F.col("_seq"), F.col("start"), F.col("end") - F.col("start") + 1)).alias("seq"))

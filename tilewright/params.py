@@ -16,6 +16,7 @@ class Params:
     length: int = 75
     divergence: float = 0.15
     translation_table: int = 1
+    reroot: bool = True
     name_pattern: str = ".+"
     guide_weight: float = 1.0
     penetrance: float = 50.0

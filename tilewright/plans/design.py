@@ -134,7 +134,7 @@ def select_probes(regions: DataFrame, nodes: DataFrame, p: Params, budget: int)
     else:
         if p.constant_tiling:
             one = select.constant_density(bounded, p.length, budget).first()  # one row, or none if not even a single probe a place fits
-            density = F.greatest("lo", F.least(F.col("hi"), F.lit(one.density if one else 1)))
+            density = F.least(F.col("hi"), F.lit(one.density if one else 1))
             tiled = materialize(bounded.withColumns({"density": density, "probes": select.bait_count(F.col("len"), density, p.length)}), "tiled")
         else:
             _, kinds = tiling.classify(bounded, region_org, budget)
@@ -143,14 +143,16 @@ def select_probes(regions: DataFrame, nodes: DataFrame, p: Params, budget: int)
     return select.emit_probes(tiled, p.length)
 
 
-def design(spark: SparkSession, genes: DataFrame, p: Params, nodes: DataFrame | None = None, guide: DataFrame | None = None, blacklists: list[DataFrame] | None = None, folder: str | None = None, force: bool = False) -> dict[str, DataFrame]:
-    """genes(family, uid, taxon_id, seq) -> every phase's table: clusters, members, assignment, nodes, candidates, filtered, probes, and counts of what is left.
+def design(spark: SparkSession, genes: DataFrame, p: Params, nodes: DataFrame | None = None, guide: DataFrame | None = None, blacklists: list[DataFrame] | None = None, folder: str | None = None, force: bool = False, first: list[str] | None = None) -> dict[str, DataFrame]:
+    """genes(family, uid, taxon_id, seq) -> every phase's table: clusters, members, assignment, nodes, placed (clusters on their nodes), candidates, filtered, probes, and counts of what is left.
+
+    first: names of clusters whose regions go before those of others, in this order.
 
     nodes: the tree to assign to; else a consensus of the clusters' groupings, with those of a guide tree(node_id, parent_id, is_leaf) if there is one.
     """
     log.info("parameters:\n%s", p.banner())
     phases = Phases(spark, folder, force, p.digest())
-    clusters, members = cluster.cluster_genes(genes, p.divergence, p.translation_table)
+    clusters, members = cluster.cluster_genes(genes, p.divergence, p.translation_table, p.reroot)
     clusters, members = phases.run("clusters", lambda: clusters), phases.run("members", lambda: members.join(genes.select("uid", "taxon_id"), "uid"))
     nodes = nodes if nodes is not None else phases.run("nodes", lambda: tree.consensus_tree(spark, members, p.guide_weight, guide))
     assigned = phases.run("assignment", lambda: tree.relabel_low(tree.assign_lca(members, nodes), p.penetrance))
@@ -160,13 +162,25 @@ def design(spark: SparkSession, genes: DataFrame, p: Params, nodes: DataFrame |
     found = phases.run("candidates", lambda: numbered(_unsplit(candidate_regions(materialize(runs, "runs"), p)), ["node_id", "cluster_id", "pos"], "BR_", 6, "region_id"))
     found = found.where(F.col("node_id") != "_LOWPEN_")
     kept = phases.run("filtered", lambda: outputs.renumber_filtered(filter_regions(found, p, blacklists)))
+    if first:
+        ranks = spark.createDataFrame([(c, i) for i, c in enumerate(dict.fromkeys(first))], "cluster_id string, target_rank int")
+        kept = kept.join(F.broadcast(ranks), "cluster_id", "left").na.fill(len(first), ["target_rank"])  # as many rows as the caller named
     budget = p.with_genomes(genes.select("taxon_id").distinct().count()).probes
     probes = phases.run("probes", lambda: numbered(select_probes(kept, nodes, p, budget), ["region_id", "clust_pos"], "Probe_", 6, "probe_id"))
     left = [outputs.counts(df, F.col(key), F.col("node_id")).select(F.lit(stage).alias("stage"), "regions", "taxa") for stage, df, key in (("candidates", found, "region_id"), ("filtered", kept, "region_id"), ("probes", probes, "probe_id"))]
     counts = phases.run("counts", lambda: left[0].unionByName(left[1]).unionByName(left[2]))
     for r in counts.collect():  # three rows
         log.info("%s: %d regions of %d taxa", r.stage, r.regions, r.taxa)
-    return {"clusters": clusters, "members": members, "assignment": assigned, "nodes": nodes, "candidates": found, "filtered": kept, "probes": probes, "counts": counts}
+    return {"clusters": clusters, "members": members, "assignment": assigned, "nodes": nodes, "placed": placed, "candidates": found, "filtered": kept, "probes": probes, "counts": counts}
+
+
+def probe_summary(out: dict[str, DataFrame], p: Params, budget: int) -> DataFrame:
+    """The tables of design -> org, probes, class: what each organism gets, those with fewest first."""
+    spark = out["probes"].sparkSession
+    region_org = materialize(select.expand_leaves(out["filtered"], out["nodes"]), "region-org")
+    _, kinds = tiling.classify(select.with_bounds(out["filtered"], p.length, p.density), region_org, budget)
+    sized = out["probes"].groupBy("node_id").agg(F.count("*").alias("probes")).withColumn("region_id", F.col("node_id"))
+    return outputs.summary(sized, select.expand_leaves(sized, out["nodes"]), spark.createDataFrame(list(kinds.items()), "org string, class string"))
 
 
 def _unsplit(regions: DataFrame) -> DataFrame:

@@ -58,12 +58,25 @@ def genes(gff: DataFrame, pattern: str = ".+") -> DataFrame:
     return named.join(contigs(gff), ["path", "chr"]).select("taxon_id", "path", "chr", "family", "uid", "gene_id", "start", "end", "strand", F.when(F.col("strand") == "-", revcomp(cut)).otherwise(cut).alias("seq"))
 
 
-def read_genes(spark: SparkSession, genomes: list[tuple[str, str]], pattern: str = ".+") -> DataFrame:
-    """genomes (path, taxon_id) -> genes of the files."""
+def _of_taxa(spark: SparkSession, genomes: list[tuple[str, str]]) -> DataFrame:
+    """genomes (path, taxon_id) -> read_gff rows with taxon_id."""
     base = lambda c: F.regexp_extract(c, r"([^/]*)$", 1)
     ids = spark.createDataFrame(genomes, "_p string, taxon_id string")
-    gff = read_gff(spark, [p for p, _ in genomes])
-    return genes(gff.join(F.broadcast(ids), base(F.col("path")) == base(F.col("_p"))).drop("_p"), pattern)  # a row per file that the caller named
+    return read_gff(spark, [p for p, _ in genomes]).join(F.broadcast(ids), base(F.col("path")) == base(F.col("_p"))).drop("_p")  # a row per file that the caller named
+
+
+def read_genes(spark: SparkSession, genomes: list[tuple[str, str]], pattern: str = ".+") -> DataFrame:
+    """genomes (path, taxon_id) -> genes of the files."""
+    return genes(_of_taxa(spark, genomes), pattern)
+
+
+def read_placed_genes(spark: SparkSession, genomes: list[tuple[str, str]], flank: int) -> tuple[DataFrame, DataFrame]:
+    """genomes (path, taxon_id) -> all genes with flanks as genes_with_flanks gives them, named as read_genes does (uid), and the contigs."""
+    from tilewright.operators.targets import genes_with_flanks
+
+    rows = _of_taxa(spark, genomes)
+    notes = genes(rows).select(F.col("uid").alias("gene_id"), "path", "chr", "start", "end", "strand")
+    return genes_with_flanks(notes, contigs(rows), flank), contigs(rows)
 
 
 def read_known_genes(spark: SparkSession, paths: list[str], known: DataFrame, flank: int) -> DataFrame:

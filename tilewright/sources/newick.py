@@ -57,9 +57,30 @@ def format_newick(nodes: list[tuple[str, str | None, bool]]) -> str:
     for node, parent, _ in nodes:
         children.setdefault(parent, []).append(node)
 
-    def write(node: str) -> str:
-        below = sorted(children.get(node, []))
-        name = f"'{node.replace(chr(39), chr(39) * 2)}'" if re.search(r"[(),:;'\s\[\]]", node) else node
-        return ("(" + ",".join(map(write, below)) + ")" if below else "") + name
+    def label(node: str) -> str:
+        return f"'{node.replace(chr(39), chr(39) * 2)}'" if re.search(r"[(),:;'\s\[\]]", node) else node
 
-    return ",".join(map(write, sorted(children[None]))) + ";"
+    out: list[str] = []
+    open_: list[tuple[str | None, list[str]]] = [(None, sorted(children[None], reverse=True))]  # no recursion: trees may be deep
+    while open_:
+        node, rest = open_[-1]
+        if rest:
+            child = rest.pop()
+            if out and out[-1] != "(":
+                out.append(",")
+            if child in children:
+                out.append("(")
+                open_.append((child, sorted(children[child], reverse=True)))
+            else:
+                out.append(label(child))
+            continue
+        open_.pop()
+        if node is not None:
+            out += [")", label(node)]
+    return "".join(out) + ";"
+
+
+def write_newick(nodes: DataFrame, path: str) -> None:
+    """nodes(node_id, parent_id, is_leaf) as one line; a tree over taxa meets on the driver, as it does when it is read."""
+    text = format_newick([(r.node_id, r.parent_id, r.is_leaf) for r in nodes.collect()])
+    nodes.sparkSession.createDataFrame([(text,)], "value string").coalesce(1).write.text(path)
