@@ -44,6 +44,7 @@ def assign_lca(members: DataFrame, nodes: DataFrame) -> DataFrame:
     under = up.join(leaf, "node_id").groupBy("ancestor").agg(F.count("*").alias("leaves"))
     depth = up.groupBy("node_id").agg(F.max("distance").alias("depth")).withColumnRenamed("node_id", "ancestor")
     sets = members.join(leaf.withColumnRenamed("node_id", "taxon_id"), "taxon_id", "left_semi").groupBy("cluster_id").agg(F.array_sort(F.collect_set("taxon_id")).alias("taxa"))
+    sets = materialize(sets, "taxa-sets")  # read twice
     each = sets.select("taxa").distinct().select("taxa", F.explode("taxa").alias("node_id"))
     above = each.join(up, "node_id").groupBy("taxa", "ancestor").agg(F.count("*").alias("n")).where(F.col("n") == F.size("taxa"))
     best = above.join(depth, "ancestor").groupBy("taxa").agg(F.max_by("ancestor", "depth").alias("ancestor"))

@@ -101,10 +101,10 @@ def segment_offsets(spark, sf):
 
 
 def pos_to_segment(spark, sf):
-    """Every 37th position of each source's string of segments, separators included: the step is a grid that meets all places of a segment in turn."""
+    """Every position of each source's string of segments, separators included."""
     segs = materialize(intervals.segment_offsets(dna(spark, sf), ["org"], ["id"], F.length("seq")).select("org", F.col("id").alias("segment"), "start", F.length("seq").alias("len")), "segments")
     ends = segs.groupBy("org").agg(F.max(F.col("start") + F.col("len")).alias("total"))
-    points = ends.select("org", F.explode(F.sequence(F.lit(0).cast("long"), F.col("total") - 1, F.lit(37).cast("long"))).alias("pos"))
+    points = ends.select("org", F.explode(F.sequence(F.lit(0).cast("long"), F.col("total") - 1)).alias("pos"))
     found = intervals.locate(points, segs, ["org"])
     return found.select("org", "pos", *(F.coalesce(c, F.lit(-1)).cast("long").alias(c) for c in ("segment", "local")))
 
@@ -385,10 +385,10 @@ def target_regions(spark, sf):
 
 
 def nearest_gap(spark, sf):
-    """Every 41st place of a document's letters and its distances to the nearest N on either side."""
+    """Every place of a document's letters and its distances to the nearest N on either side."""
     letters = table(spark, sf, "documents").select(F.col("doc_id").alias("id"), F.upper(F.regexp_replace("text", "[^A-Za-z]", "")).alias("seq")).where("length(seq) > 0")
     marks = letters.select("id", F.posexplode(F.split("seq", "")).alias("pos", "c")).where("c = 'N'").select("id", F.col("pos").cast("long").alias("pos"))
-    points = letters.select("id", F.explode(F.sequence(F.lit(0).cast("long"), F.length("seq").cast("long") - 1, F.lit(41).cast("long"))).alias("pos"))
+    points = letters.select("id", F.explode(F.sequence(F.lit(0).cast("long"), F.length("seq").cast("long") - 1)).alias("pos"))
     found = intervals.nearest(points, marks, ["id"])
     return found.select("id", "pos", *(F.coalesce(c, F.lit(-1)).cast("long").alias(c) for c in ("before", "after")))
 
@@ -479,7 +479,7 @@ def interval_files(spark, sf):
 def acgt_segments(spark, sf):
     """Maximal runs of ACGT in the documents' own letters, with their offsets, and how far each is from the next one."""
     letters = table(spark, sf, "documents").select(F.col("doc_id").alias("id"), F.regexp_replace("text", "[^A-Za-z]", "").alias("seq"))
-    runs = S.segments_of_acgt(letters.where(F.length("seq") > 0)).where(F.length("seq") >= 4)
+    runs = S.segments_of_acgt(letters.where(F.length("seq") > 0))
     return runs.select("id", F.col("offset").cast("long").alias("offset"), "seq")
 
 

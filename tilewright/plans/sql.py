@@ -153,7 +153,7 @@ def oracle_sql() -> dict[str, str]:
         "pseudo_genomes": f"with {DNA}, placed as (select node_id, id as cluster_id, (row_number() over w)::int as ord, coalesce(sum(length(seq) + 1) over (partition by node_id order by id rows between unbounded preceding and 1 preceding), 0)::bigint as start, sum(length(seq) + 1) over (partition by node_id) as total from dna window w as (partition by node_id order by id)) select node_id, cluster_id, ord, start from placed where total >= {L + P.flank}",
         "segment_offsets": f"with {DNA} select org, id, (row_number() over (partition by org order by id))::int as ord, coalesce(sum(length(seq) + 1) over (partition by org order by id rows between unbounded preceding and 1 preceding), 0)::bigint as start from dna",
         "pos_to_segment": f"""with {DNA}, segs as (select org, id, length(seq) as len, coalesce(sum(length(seq) + 1) over (partition by org order by id rows between unbounded preceding and 1 preceding), 0)::bigint as start from dna),
-            points as (select org, unnest(range(0, total, 37)) as pos from (select org, max(start + len)::bigint as total from segs group by 1))
+            points as (select org, unnest(range(0, total)) as pos from (select org, max(start + len)::bigint as total from segs group by 1))
             select p.org, p.pos, case when p.pos - start < len then id else -1 end as segment, case when p.pos - start < len then p.pos - start else -1 end as local from points p asof join segs s on p.org = s.org and p.pos >= s.start""",
         "middle_windows": f"with {DNA}, {UNIQUE} select node_id, id, floor((s + e - 1) / 2)::int as pos from (select *, row_number() over (partition by node_id order by e - s desc, id, s) as k from uniq) where k <= 25",
         "interval_merge": f"with {SPANS}, {merged('user_id')} select * from merged",
@@ -195,10 +195,10 @@ def oracle_sql() -> dict[str, str]:
         "acgt_segments": r"""with letters as (select doc_id as id, upper(regexp_replace(text, '[^A-Za-z]', '', 'g')) as s from documents),
             chars as (select id, unnest(string_split(s, '')) as c, unnest(range(len(s))) as i from letters where len(s) > 0),
             marked as (select *, i - row_number() over (partition by id order by i) as island from chars where c in ('A', 'C', 'G', 'T'))
-            select id, min(i)::bigint as "offset", string_agg(c, '' order by i) as seq from marked group by id, island having count(*) >= 4""",
+            select id, min(i)::bigint as "offset", string_agg(c, '' order by i) as seq from marked group by id, island""",
         "nearest_gap": """with letters as (select doc_id as id, upper(regexp_replace(text, '[^A-Za-z]', '', 'g')) as s from documents),
             marks as (select id, i from (select id, unnest(string_split(s, '')) as c, unnest(range(len(s))) as i from letters where len(s) > 0) where c = 'N'),
-            points as (select id, unnest(range(0, len(s), 41)) as pos from letters where len(s) > 0)
+            points as (select id, unnest(range(0, len(s))) as pos from letters where len(s) > 0)
             select p.id, p.pos, coalesce(p.pos - a.i, -1) as before, coalesce(b.i - p.pos, -1) as after from points p asof left join marks a on p.id = a.id and p.pos >= a.i asof left join marks b on p.id = b.id and p.pos <= b.i""",
         "leaf_expansion": f"with recursive {LCA}, placed as (select cluster_id as region_id, case when cluster_id % 11 = 0 then 'nowhere' else node_id end as node_id from assigned), leaf as (select ancestor, u.node_id as leaf from up u join nodes n on n.node_id = u.node_id where is_leaf) select region_id, coalesce(leaf, node_id) as org from placed left join leaf on ancestor = node_id",
         "stage_counts": f"{REGIONS}, j as (select * from region_org join regions using (region_id)) select stage, count(*) as regions, count(distinct org) as taxa from j, (values ('all', 0), ('long', {2 * L}), ('longer', {10 * L})) t(stage, least) where len >= least group by stage",
