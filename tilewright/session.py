@@ -39,9 +39,14 @@ def shared_dir(spark: SparkSession) -> str:
     return named.rstrip("/")
 
 
+def own_dir(spark: SparkSession) -> str:
+    """This application's folder below the shared one."""
+    return f"{shared_dir(spark)}/tilewright/{spark.sparkContext.applicationId}"
+
+
 def scratch(spark: SparkSession, label: str) -> str:
-    """A fresh path below the shared folder."""
-    return f"{shared_dir(spark)}/tilewright/{label}-{uuid.uuid4().hex}"
+    """A fresh path below the application's folder."""
+    return f"{own_dir(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 def materialize(df: DataFrame, label: str, compression: str = "zstd") -> DataFrame:
@@ -65,8 +70,8 @@ def discard(*tables: DataFrame) -> None:
 
 
 def clean_up(spark: SparkSession) -> None:
-    """Delete all intermediate tables below the shared folder; results that were not written elsewhere can't be read afterwards."""
-    target = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/tilewright")
+    """Delete all intermediate tables of this application; results that were not written elsewhere can't be read afterwards."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(own_dir(spark))
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
