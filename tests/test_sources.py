@@ -1,14 +1,13 @@
 """Readers, writers and the whole design on invented files."""
 
-import re
 import gzip
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
 from tilewright.params import Params
-
 from tilewright.plans.design import Phases, design, select_probes
 from tilewright.sources import fasta, gff, newick, tables
 

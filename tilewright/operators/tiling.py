@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tilewright.operators.select import baits_per_org, with_bounds
+from tilewright.operators.select import baits_per_org
 from tilewright.session import discard, materialize
 
 SCANNED = "region_id string, len long, begin long, density int, probes long"
@@ -299,17 +299,3 @@ def best_cap(needs: DataFrame, budget: int, low: int = 1) -> int:
 def tune_regions(ordered: DataFrame, tiled: DataFrame, budget: int) -> int:
     """The most regions per organism at which the probes of all regions fit the budget; a region stays if any of its organisms has it among so many."""
     return best_cap(tiled.select("region_id", "probes").join(ordered.groupBy("region_id").agg(F.min("priority").alias("need")), "region_id"), budget)
-
-
-def tune_baits(needs: DataFrame, budget: int) -> int:
-    """needs(region_id, need, probes), as select.needed_baits gives them -> the most probes per organism at which all regions that stay fit the budget."""
-    return best_cap(needs, budget)
-
-
-def proportional(regions: DataFrame, region_org: DataFrame, ordered: DataFrame, budget: int, floor: int, probe: int, least: int) -> DataFrame:
-    """regions(region_id, len, ...) -> the regions that stay, with density, probes, len and begin, within the budget as far as the floor allows."""
-    bounded = materialize(with_bounds(regions, probe, least), "bounded")
-    _, kinds = classify(bounded, region_org, budget)
-    tiled = target_densities(bounded, region_org, kinds, ordered, budget, probe)
-    return trim(tiled, region_org, ordered, budget, floor, probe)
-
