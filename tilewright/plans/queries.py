@@ -373,7 +373,7 @@ def probe_emission(spark, sf):
 
 
 def target_regions(spark, sf):
-    """Probes of each document's longest stretch, back on all documents of its family."""
+    """Probes at every 200th place of each document, back on all documents of its family."""
     rows = materialize(dna(spark, sf), "dna")
     members = _cigars(spark, sf).select(F.col("family").alias("cluster_id"), F.col("uid").alias("gene_id"), "cigar").join(rows.select(F.col("id").cast("string").alias("gene_id"), F.col("org").alias("taxon_id")), "gene_id")
     contigs = rows.select(F.col("id").cast("string").alias("path"), F.lit("1").alias("chr"), "seq")
