@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tilewright.functions import seq as S
 from tilewright.operators.intervals import merge_intervals, segment_offsets, subtract_intervals
-from tilewright.operators.kmers import kmer_summary, packed_kmers, spans_of
+from tilewright.operators.kmers import gc_windows, kmer_summary, packed_kmers, spans_of  # noqa: F401
 from tilewright.session import materialize
 
 #: Unified nearest-neighbour enthalpies (kcal/mol) and entropies (cal/mol/K) of DNA duplexes, SantaLucia 1998.
@@ -66,12 +66,6 @@ def unique_starts(seqs: DataFrame, length: int, k: int, first: int = 1, broadcas
     return subtract_intervals(starts, bad, ["id"]).drop("piece")
 
 
-def gc_windows(seqs: DataFrame, length: int, low: int, high: int, first: int = 1) -> DataFrame:
-    """seqs(id, seq) -> id, pos, gc of windows with low <= gc < high."""
-    windows = S.explode_windows(seqs.select("id", "seq"), length, first=first)
-    return windows.select("id", "pos", S.gc_of_acgt(F.col("window")).alias("gc")).where((F.col("gc") >= low) & (F.col("gc") < high))
-
-
 def window_tm(seqs: DataFrame, length: int, first: int = 1) -> DataFrame:
     """seqs(id, seq of ACGT) -> id, pos, tm of every window.
 
