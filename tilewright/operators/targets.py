@@ -30,19 +30,25 @@ def target_regions(regions: DataFrame, members: DataFrame, genes: DataFrame, pro
 
     Regions that keep less than half a probe of the member, or end up shorter than a probe, go. A member without a CIGAR is taken to equal its cluster.
     """
-    j = regions.select("cluster_id", "s", "e").join(members, "cluster_id").join(genes.select("gene_id", *(["path"] if "path" in genes.columns else []), "chr", "start", "end", "strand", "up", "down", "seq"), "gene_id")
+    of_cluster = regions.groupBy("cluster_id").agg(F.collect_list(F.struct("s", (F.col("e") - 1).alias("t"))).alias("_at"))  # a cluster's regions lie on its one sequence
+    where = ["path"] if "path" in genes.columns else []
+    j = of_cluster.join(members, "cluster_id").join(genes.select("gene_id", *where, "chr", "start", "end", "strand", "up", "down", "seq"), "gene_id")
+    s, e = F.transform("_at", lambda x: x["s"]), F.transform("_at", lambda x: x["t"])
     own = F.length("seq") - F.col("up") - F.col("down")
-    a = F.coalesce(F.when(F.col("cigar").isNull(), F.col("s")).otherwise(cigar.adjust(F.col("s"), F.col("cigar"), True)), own + 1)
-    b = F.coalesce(F.when(F.col("cigar").isNull(), F.col("e") - 1).otherwise(cigar.adjust(F.col("e") - 1, F.col("cigar"))), own)
-    j = j.withColumns({"a": F.greatest(F.lit(1), a), "b": F.least(b, own)}).where(F.col("b") - F.col("a") + 1 >= (probe + 1) // 2)
-    j = j.withColumns({"x": F.greatest(1 - F.col("up"), F.col("a") - flank), "y": F.least(F.length("seq") - F.col("up"), F.col("b") + flank)}).where(F.col("y") - F.col("x") + 1 >= probe)
+    # all of a member's regions at once: its CIGAR is read once for either end
+    j = j.withColumns({"_s": F.when(F.col("cigar").isNull(), s).otherwise(cigar.adjust_all(s, F.col("cigar"), True)), "_e": F.when(F.col("cigar").isNull(), e).otherwise(cigar.adjust_all(e, F.col("cigar")))})
+    both = F.transform(F.arrays_zip("_s", "_e"), lambda x: F.struct(F.greatest(F.lit(1), F.coalesce(x["_s"], own + 1)).alias("a"), F.least(F.coalesce(x["_e"], own), own).alias("b")))
+    kept = F.filter(both, lambda x: x["b"] - x["a"] + 1 >= (probe + 1) // 2)
+    wide = F.transform(kept, lambda x: F.struct(F.greatest(1 - F.col("up"), x["a"] - flank).alias("x"), F.least(F.length("seq") - F.col("up"), x["b"] + flank).alias("y")))
+    long_ = F.filter(wide, lambda x: x["y"] - x["x"] + 1 >= probe)
+    cut = F.transform(long_, lambda x: F.struct(x["x"].alias("x"), x["y"].alias("y"), F.substring(F.col("seq"), x["x"] + F.col("up"), x["y"] - x["x"] + 1).alias("seq")))
+    j = j.select("taxon_id", "cluster_id", "gene_id", *where, "chr", "start", "end", "strand", F.inline(cut))
     minus = F.col("strand") == "-"
-    where = ["path"] if "path" in genes.columns else []
     return j.select(
         "taxon_id", "cluster_id", "gene_id", *where, "chr",
         F.when(minus, F.col("end") - F.col("y") + 1).otherwise(F.col("start") + F.col("x") - 1).alias("start"),
         F.when(minus, F.col("end") - F.col("x") + 1).otherwise(F.col("start") + F.col("y") - 1).alias("end"),
-        "strand", F.substring(F.col("seq"), F.col("x") + F.col("up"), F.col("y") - F.col("x") + 1).alias("seq"),
+        "strand", "seq",
     )
 
 
