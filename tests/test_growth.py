@@ -5,8 +5,8 @@ import time
 
 from pyspark.sql import functions as F
 
-from tilewright.functions import seq as S
-from tilewright.operators import identify, intervals, kmers
+from tilewright.functions import cigar, seq as S
+from tilewright.operators import cluster, homology, identify, intervals, kmers
 
 
 def plan(df):
@@ -66,3 +66,53 @@ def test_ranges_of_places_equal_single_ones(spark, monkeypatch):
     points = ranges.select("k", F.explode(F.sequence("lo", F.col("hi") - 1)).alias("pos"))
     found = intervals.locate_ranges(ranges, segs, ["k"])
     assert sorted(map(str, found.collect())) == sorted(map(str, intervals.locate(points, segs, ["k"]).collect()))
+
+
+def test_positions_of_a_long_cigar_take_one_pass(spark):
+    text = "".join(f"1M{n % 2}D1I" for n in range(40_000))
+    df = spark.createDataFrame([(text,)], "c string")
+    start = time.time()
+    found = df.select(cigar.adjust_all(F.sequence(F.lit(1), F.lit(60_001)), F.col("c")).alias("x"), cigar.simplify(F.col("c")).alias("s")).first()
+    assert time.time() - start < 30
+    assert found.s == text
+    # two pairs of operations take three places and make four bases: the second place of three is a base two on, the deletion is at that base
+    assert found.x[:6] == [1, 3, 3, 5, 7, 7] and found.x[-2:] == [79_999, None]
+
+
+def test_adjust_all_equals_single_positions(spark):
+    df = spark.createDataFrame([("2=3X1N2D4S1I5H6P2M", [0, 1, 5, 6, 8, 9, 10, 11, None]), ("", [1]), (None, [1]), ("3M", None)], "c string, p array<int>")
+    for greedy in (False, True):
+        found = [r.x for r in df.select(cigar.adjust_all(F.col("p"), F.col("c"), greedy).alias("x")).collect()]
+        assert found == [[0, 1, 5, *([6] * 2 if greedy else [5] * 2), 11, 12, None, None], [None], None, None]
+
+
+def test_votes_are_counted_as_a_stream(spark):
+    rng = random.Random(4)
+    rows = [(rng.choice(("a", "b", None, "c")), "".join(rng.choices("ACGT-N", k=rng.choice((5, 12))))) for _ in range(60)] + [("gaps", "---"), ("none", None), ("void", "")]
+    df = spark.createDataFrame(rows, "k string, aligned string").repartition(5)
+
+    def slow(key, gap):
+        own = [x for k, x in rows if k == key and x is not None]
+        columns = [[x[i] for x in own if i < len(x) and x[i] in "ACGT"] for i in range(max(map(len, own), default=0))]
+        return "".join(min(set(c), key=lambda b: (-c.count(b), b)) if c else gap for c in columns)
+
+    found = cluster.consensus(df, ["k"])
+    assert {r.k: r.seq for r in found.collect()} == {k: slow(k, "") for k in ("a", "b", "c", None)}
+    assert {r.k: r.reference for r in cluster.aligned_consensus(df, ["k"]).collect()} == {k: slow(k, "-") for k in ("a", "b", "c", None, "gaps", "void")}
+    assert "Generate" not in plan(found)  # no row per base
+
+
+def test_dimers_and_hairpins_equal_brute_force(spark):
+    rng = random.Random(5)
+    flip = str.maketrans("ACGT", "TGCA")
+    texts = {i: "".join(rng.choices("ACGT", k=rng.choice((0, 8, 14, 20, 31)))) for i in range(60)}
+    df = spark.createDataFrame([*texts.items(), (99, None)], "id int, seq string")
+
+    def dimer(t, window, least):
+        back, n = t.translate(flip)[::-1], len(t)
+        return any(sum(t[i + k] == back[j + k] for k in range(window)) >= least for i in range(n - window + 1) for j in range(n - window + 1))
+
+    found = {r.id: r.dimer for r in homology.self_dimers(df, 9, 7).collect()}
+    assert found == {i: dimer(t, 9, 7) for i, t in texts.items()} | {99: False} and len(set(found.values())) == 2
+    want = {(i, p + 1, loop) for i, t in texts.items() for loop in (1, 2, 3) for p in range(len(t) - 6 - loop + 1) if t[p : p + 3].translate(flip)[::-1] == t[p + 3 + loop : p + 6 + loop]}
+    assert want and set(map(tuple, homology.hairpins(df, stem=3).collect())) == want

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tilewright.functions import seq as S
 from tilewright.operators.intervals import merge_intervals
-from tilewright.operators.kmers import codes
+from tilewright.operators.kmers import codes, pieces, row_batches
 
 
 def seed_hits(a: DataFrame, b: DataFrame, k: int) -> DataFrame:
@@ -243,6 +243,9 @@ def similar_spans(hits: DataFrame, a: DataFrame, b: DataFrame, length: int, leas
     return cut.mapInArrow(run, _schema(cut, "s int, e int"))
 
 
+#: Oligos that are compared at once.
+LOT = 1 << 12
+
 #: Bases of a sequence whose scores are held at once.
 STRETCH = 1 << 16
 
@@ -294,32 +297,62 @@ def dust_intervals(seqs: DataFrame, window: int = 64, threshold: float = 20.0) -
     return seqs.select("id", "seq").mapInArrow(run, f"id {seqs.schema['id'].dataType.simpleString()}, s int, e int")
 
 
+_FLIP = np.arange(256, dtype=np.uint8)
+_FLIP[[ord(b) for b in S.BASES]] = [ord(b) for b in S.COMPLEMENT]
+
+
 def hairpins(seqs: DataFrame, stem: int = 6, loops: tuple[int, ...] = (1, 2, 3)) -> DataFrame:
-    """seqs(id, seq) -> id, pos, loop: places where a stem meets its reverse complement after a loop."""
-    widest = 2 * stem + max(loops)
-    padded = seqs.select("id", F.concat("seq", F.lit("-" * (max(loops) - min(loops)))).alias("seq"))
-    windows = S.explode_windows(padded, widest)
-    fits = F.array(*(F.when(S.revcomp(F.substring("window", 1, stem)) == F.substring("window", stem + loop + 1, stem), F.lit(loop)) for loop in loops))
-    return windows.select("id", "pos", F.explode(F.array_compact(fits)).alias("loop"))
+    """seqs(id, seq) -> id, pos, loop: places where a stem meets its reverse complement after a loop. All places of a sequence are compared at once."""
+
+    def found(texts: list[str | None]) -> Iterator[tuple[int, list[np.ndarray]]]:
+        for i, text in enumerate(texts):
+            base = np.frombuffer((text or "").encode("ascii", "replace"), np.uint8)
+            for loop in loops:
+                n = len(base) - 2 * stem - loop + 1
+                if n > 0:
+                    same = np.ones(n, dtype=bool)
+                    for k in range(stem):
+                        far = 2 * stem + loop - 1 - k
+                        same &= _FLIP[base[k : k + n]] == base[far : far + n]
+                    at = np.flatnonzero(same) + 1
+                    yield i, [at, np.full(len(at), loop)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches, 1):
+            yield from row_batches(batch.column(0), found(batch.column(1).to_pylist()), ["id", "pos", "loop"], [pa.int32()] * 2)
+
+    return seqs.select("id", "seq").mapInArrow(run, f"id {seqs.schema['id'].dataType.simpleString()}, pos int, loop int")
+
+
+def dimers(oligos: np.ndarray, window: int, least: int) -> np.ndarray:
+    """Oligos of one length, a column each -> whether a window of each agrees with the oligo's reverse complement in ``least`` bases or more at some shift."""
+    n, back, out = len(oligos), _FLIP[oligos[::-1]], np.zeros(oligos.shape[1], dtype=bool)
+    kind = np.uint8 if window < 256 else np.int32
+    for shift in range(window - n, n - window + 1):
+        same = (oligos[max(shift, 0) : n + min(shift, 0)] == back[max(-shift, 0) : n - max(shift, 0)]).astype(kind)
+        total = same[:window].sum(axis=0, dtype=kind)
+        most = total.copy()
+        for k in range(window, len(same)):
+            total += same[k]
+            total -= same[k - window]
+            np.maximum(most, total, out=most)
+        out |= most >= least
+    return out
 
 
 def self_dimers(oligos: DataFrame, window: int = 15, least: int = 13) -> DataFrame:
-    """oligos(id, seq) -> id, dimer: whether, at some shift, a window of an oligo agrees with its reverse complement in ``least`` bases or more."""
-    flip = bytes.maketrans(S.BASES.encode(), S.COMPLEMENT.encode())
-
-    def pairs(text: str) -> bool:
-        one = text.encode("ascii", "replace")
-        a, b = np.frombuffer(one, np.uint8), np.frombuffer(one.translate(flip)[::-1], np.uint8)
-        n = len(a)
-        for shift in range(window - n, n - window + 1):
-            same = a[max(shift, 0) : n + min(shift, 0)] == b[max(-shift, 0) : n - max(shift, 0)]
-            total = np.concatenate(([0], np.cumsum(same)))
-            if (total[window:] - total[:-window]).max(initial=0) >= least:
-                return True
-        return False
+    """oligos(id, seq) -> id, dimer: whether, at some shift, a window of an oligo agrees with its reverse complement in ``least`` bases or more. Oligos of one length are compared together."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([pairs(x or "") for x in batch.column(1).to_pylist()], pa.bool_())], ["id", "dimer"])
+        for batch in pieces(batches, 1):
+            texts = [(x or "").encode("ascii", "replace") for x in batch.column(1).to_pylist()]
+            sizes = np.array([len(x) for x in texts])
+            found = np.zeros(len(texts), dtype=bool)
+            for n in np.unique(sizes[sizes >= window]).tolist():
+                own = np.flatnonzero(sizes == n)
+                for at in range(0, len(own), LOT):
+                    some = own[at : at + LOT]
+                    found[some] = dimers(np.ascontiguousarray(np.frombuffer(b"".join([texts[i] for i in some.tolist()]), np.uint8).reshape(-1, n).T), window, least)
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.bool_())], ["id", "dimer"])
 
     return oligos.select("id", "seq").mapInArrow(run, f"id {oligos.schema['id'].dataType.simpleString()}, dimer boolean")
