@@ -53,7 +53,11 @@ COLUMNS = 1 << 14
 SPREAD = 40_000
 #: Bands whose postings are dealt out at once, and postings that a task then sorts; they bound disk and memory.
 PASS = 8
+#: Bands of the first lot of several.
+FIRST = 2
 SORTED = 1 << 19
+#: Nodes whose links a task remembers.
+HELD = 200_000
 #: Shingles hashed at once; bounds the memory for long texts.
 LOT = 1 << 13
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
@@ -141,15 +145,39 @@ def _near(a: np.ndarray, b: np.ndarray, bits: int) -> np.ndarray:
     return out
 
 
+class Joined:
+    """Which of a task's links join up nodes that weren't yet; forgets all beyond HELD nodes, so memory is bounded and some links may come twice."""
+
+    def __init__(self) -> None:
+        self.parent: dict[int, int] = {}
+
+    def _find(self, x: int) -> int:
+        root = x
+        while self.parent.setdefault(root, root) != root:
+            root = self.parent[root]
+        while self.parent[x] != root:
+            self.parent[x], x = root, self.parent[x]
+        return root
+
+    def add(self, a: int, b: int) -> bool:
+        if len(self.parent) > HELD:
+            self.parent.clear()
+        a, b = self._find(a), self._find(b)
+        self.parent[max(a, b)] = min(a, b)
+        return a != b
+
+
 def _search_lists(bits: int, limit: int | None):
-    """Lists of (value, node, with a limit also all bands) -> links that span what is near in each list."""
+    """Lists of (value, node, with a limit also all bands) -> links that span what is near in each list. With a limit, lists hold each node's root so far, and a link between roots that are the same or that the task has joined up already is left out."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        joined = Joined()
         for batch in batches:
             lists = batch.column(0)
             rows = lists.flatten()
             values = np.asarray(rows.field("value")).astype(np.int64).view(np.uint64)
             nodes = np.asarray(rows.field("node"))
+            roots = nodes if limit is None else np.asarray(rows.field("root"))
             whole = None if limit is None else np.asarray(rows.field("bands").flatten()).astype(np.int64).view(np.uint64).reshape(len(rows), -1)
             offsets = np.asarray(lists.offsets) - lists.offsets[0].as_py()
             sizes = np.diff(offsets)
@@ -164,8 +192,8 @@ def _search_lists(bits: int, limit: int | None):
                 at = offsets[:-1][sizes == n]
                 for i, j in combinations(range(n), 2) if len(at) else ():
                     hit = near(at + i, at + j)
-                    us.append(nodes[at[hit] + i])
-                    vs.append(nodes[at[hit] + j])
+                    us.append(at[hit] + i)
+                    vs.append(at[hit] + j)
             for at, n in zip(offsets[:-1][sizes > 8].tolist(), sizes[sizes > 8].tolist()):
                 left, front = np.arange(at, at + n), []
                 while len(left):  # a spanning forest, node by node
@@ -174,11 +202,14 @@ def _search_lists(bits: int, limit: int | None):
                     node = front.pop()
                     hit = near(left, node)
                     found, left = left[hit], left[~hit]
-                    us.append(np.full(len(found), nodes[node]))
-                    vs.append(nodes[found])
+                    us.append(np.full(len(found), node))
+                    vs.append(found)
                     front += found.tolist()
             u, v = (np.concatenate(x) if x else np.zeros(0, dtype=np.int64) for x in (us, vs))
-            yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], ["u", "v"])
+            if limit is not None:
+                fresh = np.array([joined.add(a, b) for a, b in zip(roots[u].tolist(), roots[v].tolist())], dtype=bool)
+                u, v = u[fresh], v[fresh]
+            yield pa.RecordBatch.from_arrays([pa.array(nodes[u], pa.int64()), pa.array(nodes[v], pa.int64())], ["u", "v"])
 
     return run
 
@@ -245,12 +276,12 @@ def _further(bits: int):
     return run
 
 
-def near_links(entries: DataFrame, nodes: DataFrame, bits: int = BITS, longest: int = LIST, limit: int | None = None) -> DataFrame:
+def near_links(entries: DataFrame, nodes: DataFrame, bits: int = BITS, longest: int = LIST, limit: int | None = None, known: DataFrame | None = None) -> DataFrame:
     """entries(band, value, id), nodes(id, bands) -> links (u, v) that join up all ids whose values in a band differ in at most ``bits`` (at most 4).
 
     limit: instead, links join up all ids that share a posting and whose bands together differ in at most so many bits; those of a posting of more than
     ``longest`` are all joined up, whatever they differ in. A node has 20 postings for each band, so the longest posting is a small part of
-    the rows that are dealt out.
+    the rows that are dealt out. known(node, root), with a limit: what other bands have joined up; links within that are left out.
     """
     ship(entries.sparkSession)
     triples = covering_triples()
@@ -263,9 +294,11 @@ def near_links(entries: DataFrame, nodes: DataFrame, bits: int = BITS, longest:
     index = (dealt.repartition("posting") if limit is None else dealt.repartition(-(-n * len(triples) // SORTED), "posting")).sortWithinPartitions("posting")
     listed = materialize(index.mapInArrow(_shared(1, longest, ["posting", "node"]), "posting long, node long, long boolean"), "listed")  # few: most postings stand alone
     band = F.floor(F.col("posting") / (len(triples) << 24)).cast("int")
-    own = ["value", "node"] if limit is None else ["value", "node", "bands"]
+    own = ["value", "node"] if limit is None else ["value", "node", "bands", "root"]
     found = listed if limit is None else listed.where("not long")
     found = found.join(nodes.select(F.col("id").alias("node"), "bands"), "node").withColumn("value", F.col("bands")[band])
+    if limit is not None:
+        found = found.join(known, "node", "left").withColumn("root", F.coalesce("root", "node")) if known is not None else found.withColumn("root", F.col("node"))
     short = found.where("not long").groupBy("posting").agg(F.collect_list(F.struct(*own)).alias("rows"))
     links = short.select("rows").mapInArrow(_search_lists(bits, limit), "u long, v long")
     if listed.where("long").isEmpty():
@@ -379,8 +412,15 @@ def components(prints: DataFrame, bits: int = BITS, longest: int = LIST, limit:
     groups_ = prints.groupBy("bands").agg(F.min("doc_id").alias("doc_id"), *([F.min("key").alias("key")] if verify else []))
     nodes = materialize(groups_.withColumn("id", F.col("bands")[0] if most == 1 else F.monotonically_increasing_id()), "nodes")  # written once: ids stay
     entries = nodes.select("id", F.posexplode("bands").alias("band", "value"))
-    lots = [entries.where((F.col("band") >= i) & (F.col("band") < i + PASS)) for i in range(0, most, PASS)]
-    links = reduce(DataFrame.unionByName, [near_links(lot, nodes, bits, longest, limit) for lot in lots])
+    lot = lambda i, j: entries.where((F.col("band") >= i) & (F.col("band") < j))
+    if limit is None:
+        links = reduce(DataFrame.unionByName, [near_links(lot(i, i + PASS), nodes, bits, longest) for i in range(0, most, PASS)])
+    else:  # near copies meet in lists of every band: the few of the first lot join most of them up, and later lots add only what that leaves apart
+        cuts, links, known = [0, *range(min(FIRST, most), most, PASS), most], None, None
+        for i, j in zip(cuts, cuts[1:]):
+            more = materialize(near_links(lot(i, j), nodes, bits, longest, limit, known), "near-links")
+            links = more if links is None else links.unionByName(more)
+            known = connected_components(links) if j < most else None
     if verify:
         near = materialize(connected_components(links).withColumnRenamed("node", "id"), "candidates")
         links = verify(near.join(nodes.select("id", "key"), "id"))
