@@ -5,8 +5,10 @@ import time
 
 from pyspark.sql import functions as F
 
+from tilewright import session
 from tilewright.functions import cigar, seq as S
-from tilewright.operators import cluster, homology, identify, intervals, kmers
+from tilewright.operators import cluster, homology, identify, intervals, kmers, tree
+from tilewright.plans import queries
 
 
 def plan(df):
@@ -116,3 +118,18 @@ def test_dimers_and_hairpins_equal_brute_force(spark):
     assert found == {i: dimer(t, 9, 7) for i, t in texts.items()} | {99: False} and len(set(found.values())) == 2
     want = {(i, p + 1, loop) for i, t in texts.items() for loop in (1, 2, 3) for p in range(len(t) - 6 - loop + 1) if t[p : p + 3].translate(flip)[::-1] == t[p + 3 + loop : p + 6 + loop]}
     assert want and set(map(tuple, homology.hairpins(df, stem=3).collect())) == want
+
+
+def test_taxa_meet_once_in_tasks_that_rows_need(spark, monkeypatch):
+    monkeypatch.setattr(session, "ROWS_OF_TASK", 10)
+    df = spark.createDataFrame([(i % 50, i % 3) for i in range(300)], "k int, v int")
+    assert session.dealt_by_size(df, 300, "k").rdd.getNumPartitions() == 30
+    nodes = spark.createDataFrame([("a", "x", True), ("b", "x", True), ("c", "r", True), ("x", "r", False), ("r", None, False)], "node_id string, parent_id string, is_leaf boolean")
+    members = spark.createDataFrame([(1, "a"), (1, "a"), (1, "b"), (2, "c"), (2, "c"), (3, "a"), (3, "c")], "cluster_id int, taxon_id string")
+    found = {tuple(r) for r in tree.assign_lca(members, nodes).collect()}
+    assert found == {(1, "x", 100.0), (2, "c", 100.0), (3, "r", 200 / 3)}
+
+
+def test_members_are_dealt_out_once(spark, sf):
+    found = queries._taxa_members(spark, sf).groupBy("cluster_id").agg(F.collect_set("taxon_id").alias("taxa"))
+    assert plan(found).count("Exchange hashpartitioning") == 1

@@ -37,7 +37,7 @@ def closure(nodes: DataFrame) -> DataFrame:
 def assign_lca(members: DataFrame, nodes: DataFrame) -> DataFrame:
     """members(cluster_id, taxon_id), nodes(node_id, parent_id, is_leaf) -> cluster_id, node_id (deepest node above all its taxa), penetrance (percent of the node's leaves it has).
 
-    Clusters with the same taxa are assigned once.
+    Clusters with the same taxa are assigned once. Members may be repeated.
     """
     up = closure(nodes)
     leaf = nodes.where("is_leaf").select("node_id")
@@ -49,6 +49,7 @@ def assign_lca(members: DataFrame, nodes: DataFrame) -> DataFrame:
     above = each.join(up, "node_id").groupBy("taxa", "ancestor").agg(F.count("*").alias("n")).where(F.col("n") == F.size("taxa"))
     best = above.join(depth, "ancestor").groupBy("taxa").agg(F.max_by("ancestor", "depth").alias("ancestor"))
     placed = best.join(under, "ancestor").select("taxa", F.col("ancestor").alias("node_id"), (100.0 * F.size("taxa") / F.col("leaves")).alias("penetrance"))
+    placed = materialize(placed, "placed")  # a row per set of taxa: Spark knows its size and can send it to the clusters
     return sets.join(placed, "taxa").select("cluster_id", "node_id", "penetrance")
 
 
