@@ -28,12 +28,13 @@ def read_gff(spark: SparkSession, paths: list[str]) -> DataFrame:
 
 
 def features(gff: DataFrame, kind: str = "CDS") -> DataFrame:
-    """read_gff rows -> path, at, chr, start, end, strand, attributes of features of one kind. Lines that begin with ## or #! are skipped."""
-    lines = gff.where("part = 0").select("path", F.posexplode(F.split("text", "\n")).alias("at", "line")).where(~F.col("line").startswith("##") & ~F.col("line").startswith("#!"))
+    """read_gff rows, perhaps with taxon_id -> path, at, chr, start, end, strand, attributes (, taxon_id) of features of one kind. Lines that begin with ## or #! are skipped."""
+    more = ["taxon_id"] if "taxon_id" in gff.columns else []
+    lines = gff.where("part = 0").select("path", *more, F.posexplode(F.split("text", "\n")).alias("at", "line")).where(~F.col("line").startswith("##") & ~F.col("line").startswith("#!"))
     f = F.split("line", "\t")
-    wide = lines.where(F.size(f) >= 9).select("path", "at", *(f[i].alias(f"f{i}") for i in (0, 2, 3, 4, 6, 8)))
+    wide = lines.where(F.size(f) >= 9).select("path", *more, "at", *(f[i].alias(f"f{i}") for i in (0, 2, 3, 4, 6, 8)))
     attributes = F.expr("map_from_entries(transform(filter(split(f8, ';'), x -> contains(x, '=')), x -> struct(trim(split(x, '=', 2)[0]), split(x, '=', 2)[1])))")
-    return wide.where(F.col("f2") == kind).select("path", "at", F.col("f0").alias("chr"), F.expr("try_cast(f3 as int)").alias("start"), F.expr("try_cast(f4 as int)").alias("end"), F.col("f6").alias("strand"), attributes.alias("attributes"))
+    return wide.where(F.col("f2") == kind).select("path", "at", F.col("f0").alias("chr"), F.expr("try_cast(f3 as int)").alias("start"), F.expr("try_cast(f4 as int)").alias("end"), F.col("f6").alias("strand"), attributes.alias("attributes"), *more)
 
 
 def contigs(gff: DataFrame) -> DataFrame:
@@ -49,8 +50,7 @@ def genes(gff: DataFrame, pattern: str = ".+") -> DataFrame:
     """
     from tilewright.operators.cluster import family_name
 
-    found = features(gff).join(gff.select("path", "taxon_id").distinct(), "path")
-    found = found.withColumn("name", F.try_element_at("attributes", F.lit("Name"))).withColumn("family", family_name("name", pattern))
+    found = features(gff).withColumn("name", F.try_element_at("attributes", F.lit("Name"))).withColumn("family", family_name("name", pattern))
     number = F.row_number().over(W.partitionBy("taxon_id").orderBy("at"))
     gene = F.coalesce(F.try_element_at("attributes", F.lit("ID")), F.lit("UNKNOWN"))
     named = found.withColumns({"gene_id": gene, "uid": F.concat_ws(".", gene, "taxon_id", number.cast("string"))})
