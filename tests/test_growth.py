@@ -9,6 +9,7 @@ from tilewright import session
 from tilewright.functions import cigar, seq as S
 from tilewright.operators import cluster, homology, identify, intervals, kmers, tree
 from tilewright.plans import queries
+from tilewright.sources import gff
 
 
 def plan(df):
@@ -133,3 +134,14 @@ def test_taxa_meet_once_in_tasks_that_rows_need(spark, monkeypatch):
 def test_members_are_dealt_out_once(spark, sf):
     found = queries._taxa_members(spark, sf).groupBy("cluster_id").agg(F.collect_set("taxon_id").alias("taxa"))
     assert plan(found).count("Exchange hashpartitioning") == 1
+
+
+def test_runs_carry_columns_and_regions_leave_bases_behind(spark, sf):
+    df = spark.createDataFrame([(1, "x", "ACGT" * 5), (2, None, "AAAA" * 5)], "id int, org string, seq string")
+    assert {tuple(r) for r in kmers.gc_runs(df, 8, 3, 6, with_seq=True, keep=["org"]).collect()} == {(1, 1, 20, 13, "ACGT" * 5, "x")}
+    assert queries._regions(spark, sf).columns == ["id", "node_id", "org", "pos", "len", "region_id"]
+
+
+def test_features_keep_their_taxon(spark):
+    df = spark.createDataFrame([("p", "t", 0, "c1\tx\tCDS\t1\t6\t.\t+\t0\tID=g")], "path string, taxon_id string, part int, text string")
+    assert gff.features(df).first().taxon_id == "t" and "taxon_id" not in gff.features(df.drop("taxon_id")).columns
