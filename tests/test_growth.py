@@ -3,6 +3,7 @@
 import random
 import time
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from tilewright import session
@@ -145,3 +146,27 @@ def test_runs_carry_columns_and_regions_leave_bases_behind(spark, sf):
 def test_features_keep_their_taxon(spark):
     df = spark.createDataFrame([("p", "t", 0, "c1\tx\tCDS\t1\t6\t.\t+\t0\tID=g")], "path string, taxon_id string, part int, text string")
     assert gff.features(df).first().taxon_id == "t" and "taxon_id" not in gff.features(df.drop("taxon_id")).columns
+
+
+def test_kmers_travel_in_few_bytes():
+    rng = random.Random(6)
+    for k in (4, 15, 31):
+        raw = np.unique(np.array([rng.randrange(1 << 2 * k) for _ in range(5000)], dtype=np.int64))
+        values = np.sort(kmers.mixed(raw, k))
+        assert len(np.unique(values)) == len(raw) and sorted(kmers.unmixed(values, k).tolist()) == raw.tolist()
+        cuts = kmers.bucket_cuts(values, k, 7)
+        assert cuts[0] == 0 and cuts[-1] == len(values) and (np.concatenate([kmers.unsqueeze(kmers.squeeze(values[a:b])) for a, b in zip(cuts, cuts[1:]) if b > a]) == values).all()
+    assert len(kmers.squeeze(np.arange(0, 1 << 20, 200, dtype=np.uint64))) < 2 * (1 << 20) // 200
+    assert kmers._of_labels(kmers._labels(np.array([-5, 300, -5]))).tolist() == [-5, 300, -5]
+
+
+def test_marked_pieces_equal_broadcast_kmers(spark, monkeypatch):
+    monkeypatch.setattr(kmers, "PIECE", 150)
+    monkeypatch.setattr(kmers, "BUCKET", 100)
+    rng = random.Random(7)
+    rows = [(i, rng.choice(("a", "b", None)), "".join(rng.choices("ACGTN", weights=(9, 9, 9, 9, 1), k=rng.choice((0, 5, 12, 90))))) for i in range(60)] + [(99, "a", None)]
+    df = spark.createDataFrame(rows, "id int, node_id string, seq string")
+    for length, k, first in ((12, 5, 1), (8, 8, 3)):
+        a, b = (identify.unique_starts(df, length, k, first, most) for most in (1 << 20, 0))
+        assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect())) and a.count() > 0
+        assert a.dtypes == b.dtypes

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from tilewright.functions import seq as S
 from tilewright.operators.intervals import merge_intervals, segment_offsets, subtract_intervals
-from tilewright.operators.kmers import gc_windows, kmer_summary, packed_kmers, spans_of  # noqa: F401
+from tilewright.operators.kmers import gc_windows, kmer_summary, spans_of, unshared_runs  # noqa: F401
 from tilewright.session import materialize
 
 #: Unified nearest-neighbour enthalpies (kcal/mol) and entropies (cal/mol/K) of DNA duplexes, SantaLucia 1998.
@@ -38,31 +38,34 @@ def pseudo_genomes(clusters: DataFrame, least: int) -> DataFrame:
     return placed.join(long_, placed["node_id"].eqNullSafe(long_["node_id"]), "left_semi")
 
 
-#: Shared k-mers (8 bytes each) that may be broadcast; beyond, they are joined.
+#: Bases of sequences whose shared k-mers (8 bytes each) may be broadcast; beyond, they are marked in pieces.
 BROADCAST = 1 << 21
 
 
-def shared_kmers(seqs: DataFrame, k: int) -> DataFrame:
-    """seqs(node_id, seq) -> kmer: every k-mer that, on either strand, occurs in two nodes or more."""
+def _labelled(seqs: DataFrame) -> DataFrame:
+    """seqs(node_id, seq, ...) -> the same with label, a number per node, for node_id."""
     nodes = seqs.select("node_id").distinct().withColumn("label", F.row_number().over(W.orderBy("node_id")).cast("long"))  # a row per node
     nodes = materialize(nodes, "node-numbers")
-    coded = seqs.join(nodes, seqs["node_id"].eqNullSafe(nodes["node_id"])).select("seq", "label")
-    return kmer_summary(coded, k, "labels").select("kmer")
+    return seqs.join(nodes, seqs["node_id"].eqNullSafe(nodes["node_id"])).select(*(seqs[c] for c in seqs.columns if c != "node_id"), "label")
+
+
+def shared_kmers(seqs: DataFrame, k: int) -> DataFrame:
+    """seqs(node_id, seq) -> kmer: every k-mer that, on either strand, occurs in two nodes or more."""
+    return kmer_summary(_labelled(seqs.select("node_id", "seq")), k, "labels").select("kmer")
 
 
 def unique_starts(seqs: DataFrame, length: int, k: int, first: int = 1, broadcast_kmers: int = BROADCAST) -> DataFrame:
     """seqs(id, node_id, seq) -> id, s, e: half-open runs of window starts (1-based) that hold no k-mer of another node.
 
-    A shared k-mer at p rules out the starts from p - (length - k) to p: intervals to merge and subtract, never a row per window. Shared k-mers are few and
-    go to the sequences; where they are counted to be more than ``broadcast_kmers``, positions are found by a join.
+    A shared k-mer at p rules out the starts from p - (length - k) to p: never a row per window. Of few bases the shared k-mers go to the sequences; of more than
+    ``broadcast_kmers`` they are marked piece by piece (``kmers.unshared_runs``).
     """
+    bases = seqs.agg(F.sum(F.length("seq")).alias("n")).first().n or 0
+    if bases > broadcast_kmers:
+        return unshared_runs(_labelled(seqs.select("id", "node_id", "seq")), k, length, first, bases)
     starts = seqs.where(F.length("seq") >= length + first - 1).select("id", F.lit(first).alias("s"), (F.length("seq") - length + 2).alias("e"))
-    shared = materialize(shared_kmers(seqs, k), "shared-kmers")
-    if shared.count() <= broadcast_kmers:
-        bad = spans_of(seqs, np.sort(np.array([r.kmer for r in shared.collect()], dtype=np.int64)), k, length)  # at most broadcast_kmers
-    else:
-        found = packed_kmers(seqs.select("id", "seq"), k).join(shared, "kmer", "left_semi")
-        bad = merge_intervals(found.select("id", (F.col("pos") - (length - k)).alias("s"), (F.col("pos") + 1).alias("e")), ["id"])
+    shared = shared_kmers(seqs, k).collect()  # fewer than broadcast_kmers
+    bad = spans_of(seqs, np.sort(np.array([r.kmer for r in shared], dtype=np.int64)), k, length)
     return subtract_intervals(starts, bad, ["id"]).drop("piece")
 
 
