@@ -170,3 +170,32 @@ def test_marked_pieces_equal_broadcast_kmers(spark, monkeypatch):
         a, b = (identify.unique_starts(df, length, k, first, most) for most in (1 << 20, 0))
         assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect())) and a.count() > 0
         assert a.dtypes == b.dtypes
+
+
+def slow_distance(x, y, penalty):
+    base = [(p in "ACGT", q in "ACGT", p == q) for p, q in zip(x, y)]
+    over = sum(p and q for p, q, _ in base) + penalty * sum(p != q for p, q, _ in base)
+    return 1 - sum(p and q and e for p, q, e in base) / over if over else -1.0
+
+
+def test_pairs_meet_block_by_block(spark, monkeypatch):
+    monkeypatch.setattr(cluster, "BLOCK_ROWS", 5)
+    monkeypatch.setattr(cluster, "BLOCK_BASES", 700)
+    rng = random.Random(12)
+    rows = []
+    for family, n, length, letters in (("one", 1, 5, "ACGT"), ("two", 2, 64, "ACGT"), ("many", 31, 200, "ACGT"), ("gaps", 23, 130, "AACCGT-Nn"), ("void", 3, 4, "-"), ("none", 2, 0, "A")):
+        rows += [(family, f"{family[0]}{i}", "".join(rng.choices(letters, k=length))) for i in range(n)]
+    rows += [("many", "m0", rows[5][2]), ("many", None, "A" * 200), (None, "x", "A"), (None, "y", "A")]  # an id twice, and none
+    df = spark.createDataFrame(rows, "family string, uid string, aligned string").repartition(3)
+    for penalty in (0.0, 0.5):
+        want = sorted((f, a, b, slow_distance(x, y, penalty)) for f, a, x in rows for g, b, y in rows if f and f == g and a and b and a < b)
+        found = cluster.pairwise_distance(df, penalty)
+        assert sorted(map(tuple, found.collect())) == want
+    assert found.dtypes == [("family", "string"), ("a", "string"), ("b", "string"), ("d", "double")]
+
+
+def test_dna_of_any_text(spark):
+    texts = ["Hello, World", "", None, "ÄßKK\x00aé1z", "123"]
+    got = [r.s for r in spark.createDataFrame([(t,) for t in texts], "t string").select(S.dna_of_text(F.col("t")).alias("s")).collect()]
+    slow = lambda t: "".join("ACGT"[(ord(c.lower()) - 97) % 4] for c in t if c.isascii() and c.isalpha())
+    assert got == [None if t is None else slow(t) for t in texts]
