@@ -199,3 +199,51 @@ def test_dna_of_any_text(spark):
     got = [r.s for r in spark.createDataFrame([(t,) for t in texts], "t string").select(S.dna_of_text(F.col("t")).alias("s")).collect()]
     slow = lambda t: "".join("ACGT"[(ord(c.lower()) - 97) % 4] for c in t if c.isascii() and c.isalpha())
     assert got == [None if t is None else slow(t) for t in texts]
+
+
+def related(rng, n, length, letters="ACGT", copies=0.4):
+    """Texts of one length that come from few: copies, near copies and others."""
+    texts = ["".join(rng.choices(letters, k=length))]
+    while len(texts) < n:
+        old = rng.choice(texts)
+        rate = 0 if rng.random() < copies else rng.choice([0.02, 0.05, 0.08, 0.8])
+        texts.append("".join(rng.choice(letters) if rng.random() < rate else c for c in old))
+    return texts
+
+
+def test_clusters_without_pair_rows_equal_those_of_all_pairs(spark, monkeypatch):
+    monkeypatch.setattr(cluster, "BLOCK_ROWS", 7)
+    rng = random.Random(13)
+    rows = [(f"f{k}", f"{rng.random():.6f}", t) for k in range(6) for t in related(rng, rng.choice((2, 9, 60)), rng.choice((20, 100, 150)))]
+    rows += [("void", "v1", "--"), ("void", "v2", "--"), ("one", "o", "ACGT"), ("gaps", "g1", "AC-TNN"), ("gaps", "g2", "ACGT--"), ("gaps", "g3", "ACGTAA"), (None, "x", "A"), (None, "y", "A")]
+    df = spark.createDataFrame(rows, "family string, uid string, aligned string").repartition(3)
+    distances = cluster.pairwise_distance(df)
+    for cut in (0.02, 0.075, 0.25):
+        found = cluster.family_clusters(df, cut)
+        assert sorted(map(tuple, found.collect())) == sorted(map(tuple, cluster.upgma_clusters(distances, cut).collect()))
+    assert dict(found.dtypes) == {"family": "string", "uid": "string", "part": "int"}
+
+
+def test_average_linkage_equals_the_least_of_the_matrix():
+    rng = np.random.default_rng(14)
+    for n in (1, 2, 3, 12, 40):
+        for kinds in (2, 4, 1000):
+            d = rng.integers(0, kinds, (n, n)) / 7
+            d = np.triu(d, 1) + np.triu(d, 1).T
+            want, left, size, node = [], np.where(np.eye(n, dtype=bool), np.inf, d), [1] * n, list(range(n))
+            for k in range(n - 1):
+                i, j = divmod(int(left.argmin()), n)
+                want.append((node[i], node[j], float(left[i, j]) / 2))
+                left[i] = left[:, i] = (size[i] * left[i] + size[j] * left[j]) / (size[i] + size[j])
+                left[j] = left[:, j] = np.inf
+                left[i, i] = np.inf
+                size[i], node[i] = size[i] + size[j], n + k
+            assert cluster.upgma_tree(n, d) == want
+
+
+def test_copies_take_no_room_in_a_cluster(spark):
+    """20,000 copies of two texts: their pairs alone would be 2 * 10 ** 8."""
+    df = spark.range(20_000).selectExpr("'f' as family", "cast(id as string) as uid", "if(id % 3 = 0, repeat('ACGT', 25), repeat('AAGG', 25)) as aligned")
+    start = time.time()
+    assert {tuple(r) for r in cluster.family_clusters(df, 0.05).select("part", (F.col("uid") % 3 == 0).alias("x")).distinct().collect()} == {(0, True), (1, False)}
+    assert time.time() - start < 60
