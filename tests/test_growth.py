@@ -247,3 +247,18 @@ def test_copies_take_no_room_in_a_cluster(spark):
     start = time.time()
     assert {tuple(r) for r in cluster.family_clusters(df, 0.05).select("part", (F.col("uid") % 3 == 0).alias("x")).distinct().collect()} == {(0, True), (1, False)}
     assert time.time() - start < 60
+
+
+def test_places_without_a_wanted_key_are_no_rows(spark, monkeypatch):
+    rng = random.Random(29)
+    texts = lambda name, n, length: spark.createDataFrame([(f"{name}{i}", "".join(rng.choices("ACGTN", (9, 9, 9, 9, 1), k=length))) for i in range(n)], "id string, seq string")
+    a, b = texts("a", 30, 400), texts("b", 3, 60)
+    for seeds in (["1" * 5], ["1101011", "11100011", "1111"]):
+        few = sorted(map(tuple, homology.spaced_hits(a, b, seeds).collect()))
+        wanted = np.unique([r.key for r in homology.spaced_runs(homology.both_strands(b), seeds).collect()])
+        rows = sorted(map(tuple, homology.spaced_runs(a, seeds, wanted=wanted).collect()))
+        assert rows == sorted(tuple(r) for r in homology.spaced_runs(a, seeds).collect() if r.key in set(wanted.tolist())) and rows
+        with monkeypatch.context() as m:
+            m.setattr(homology, "SENT", 0)
+            assert few and few == sorted(map(tuple, homology.spaced_hits(a, b, seeds).collect()))
+    assert homology.spaced_hits(a, b.where("false")).count() == 0

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tilewright.functions import seq as S
 from tilewright.operators.intervals import merge_intervals
-from tilewright.operators.kmers import codes, pieces, row_batches
+from tilewright.operators.kmers import ROWS, codes, pieces, row_batches
 
 
 def seed_hits(a: DataFrame, b: DataFrame, k: int) -> DataFrame:
@@ -100,33 +100,101 @@ def tandem_runs(key: np.ndarray, pos: np.ndarray) -> tuple[np.ndarray, ...]:
     return key[at], pos[at], np.concatenate((np.zeros(len(single), np.int64), many[:, 1])), np.concatenate((np.ones(len(single), np.int64), many[:, 2]))
 
 
-def _keyed(df: DataFrame, seeds: list[str], seq: str, runs: bool) -> DataFrame:
+#: Keys of the smaller side that may be sent to all tasks.
+SENT = 1 << 22
+
+
+def _powers(base: np.ndarray, widest: int) -> dict[int, np.ndarray]:
+    """Two bits a base -> width: the bases from each place on as one number, for widths of 1, 2, 4 up to the widest."""
+    out, width = {1: base}, 1
+    while 2 * width <= widest:
+        one = out[width]
+        out[2 * width] = one[: max(len(one) - width, 0)] << 2 * width | one[width:]
+        width *= 2
+    return out
+
+
+def _steps(ones: list[int]) -> list[tuple[int, int]]:
+    """A seed's places -> stretches (place, width) of one width each, powers of two."""
+    out, i = [], 0
+    while i < len(ones):
+        n = next((k for k in range(1, len(ones) - i) if ones[i + k] != ones[i] + k), len(ones) - i)
+        width = 1 << n.bit_length() - 1
+        out.append((ones[i], width))
+        i += width
+    return out
+
+
+class _Wanted:
+    """Tells which keys are among some: most others fall out by a table of the keys' upper bits after mixing, the rest by search."""
+
+    def __init__(self, keys: np.ndarray) -> None:
+        self.keys, self.shift = keys, np.uint64(64 - min(max(len(keys).bit_length() + 4, 16), 26))
+        self.table = np.zeros(1 << 64 - int(self.shift), dtype=bool)
+        self.table[self._slot(keys)] = True
+
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return (keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift
+
+    def places(self, keys: np.ndarray) -> np.ndarray:
+        if not len(self.keys):
+            return np.zeros(0, dtype=np.int64)
+        at = np.flatnonzero(self.table[self._slot(keys)])
+        return at[self.keys[np.minimum(np.searchsorted(self.keys, keys[at]), len(self.keys) - 1)] == keys[at]]
+
+
+def _keyed(df: DataFrame, seeds: list[str], seq: str, runs: bool, wanted: np.ndarray | None = None) -> DataFrame:
+    """wanted: only rows of these keys, sorted ones."""
     keep = [c for c in df.columns if c != seq]
     ones = [[i for i, c in enumerate(seed) if c == "1"] for seed in seeds]
     if max(map(len, ones)) > 28:
         raise ValueError("a key holds 28 bases")
     more = ["pos", "key", "step", "n"] if runs else ["pos", "key"]
+    steps = [_steps(places) for places in ones]
+    widest = max(width for own in steps for _, width in own)
+    sent = None if wanted is None else df.sparkSession.sparkContext.broadcast(wanted)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        few = None if sent is None else _Wanted(sent.value)
         for batch in batches:
+            rows: list[np.ndarray] = []
+            held: list[tuple[np.ndarray, ...]] = []
+            size = 0
+
+            def emit() -> pa.RecordBatch:
+                at, columns = pa.array(np.concatenate(rows)), [np.concatenate(x) for x in zip(*held)]
+                kinds = [pa.int32(), pa.int64(), pa.int32(), pa.int32()]
+                return pa.RecordBatch.from_arrays([*(batch.column(c).take(at) for c in range(1, batch.num_columns)), *(pa.array(x, kind) for x, kind in zip(columns, kinds))], [*keep, *more])
+
             for i, text in enumerate(batch.column(0).to_pylist()):
                 base = codes(text or "")
-                for number, places in enumerate(ones):
+                bad, powers = base > 3, _powers(base & 3, widest)
+                whole = not bad.any()
+                for number, (places, own) in enumerate(zip(ones, steps)):
                     n = len(base) - places[-1]
                     if n <= 0:
                         continue
-                    key, good = np.zeros(n, dtype=np.int64), np.ones(n, dtype=bool)
-                    for at in places:
-                        part = base[at : at + n]
-                        key, good = key << 2 | part & 3, good & (part < 4)
-                    pos = np.flatnonzero(good)
-                    key, extra = key[pos], []
+                    key = np.zeros(n, dtype=np.int64)
+                    for at, width in own:
+                        key = key << 2 * width | powers[width][at : at + n]
+                    key |= number << 56
+                    pos = np.arange(n) if few is None else few.places(key)
+                    if not whole:
+                        pos = pos[~np.logical_or.reduce([bad[pos + at] for at in places])]
+                    if not len(pos):
+                        continue
+                    found = (pos, key[pos])
                     if runs:
-                        key, pos, step, count = tandem_runs(key, pos)
-                        extra = [pa.array(step, pa.int32()), pa.array(count, pa.int32())]
-                    rows = pa.array(np.full(len(pos), i))
-                    out = [*(batch.column(c).take(rows) for c in range(1, batch.num_columns)), pa.array(pos + 1, pa.int32()), pa.array(key | number << 56, pa.int64()), *extra]
-                    yield pa.RecordBatch.from_arrays(out, [*keep, *more])
+                        key, pos, step, count = tandem_runs(*found[::-1])
+                        found = (pos, key, step, count)
+                    rows.append(np.full(len(pos), i))
+                    held.append((found[0] + 1, *found[1:]))
+                    size += len(pos)
+                    if size >= ROWS:
+                        yield emit()
+                        rows, held, size = [], [], 0
+            if held:
+                yield emit()
 
     kinds = {"key": "long"}
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*keep).schema), *(f"{c} {kinds.get(c, 'int')}" for c in more)])
@@ -138,9 +206,9 @@ def spaced_keys(df: DataFrame, seeds: list[str] = SEEDS, seq: str = "seq") -> Da
     return _keyed(df, seeds, seq, False)
 
 
-def spaced_runs(df: DataFrame, seeds: list[str] = SEEDS, seq: str = "seq") -> DataFrame:
-    """spaced_keys with repeats in tandem drawn together: pos, key, step, n stand for n places, ``step`` apart, from pos on."""
-    return _keyed(df, seeds, seq, True)
+def spaced_runs(df: DataFrame, seeds: list[str] = SEEDS, seq: str = "seq", wanted: np.ndarray | None = None) -> DataFrame:
+    """spaced_keys with repeats in tandem drawn together: pos, key, step, n stand for n places, ``step`` apart, from pos on. wanted: only these keys, sorted ones."""
+    return _keyed(df, seeds, seq, True, wanted)
 
 
 def both_strands(seqs: DataFrame) -> DataFrame:
@@ -152,12 +220,15 @@ def both_strands(seqs: DataFrame) -> DataFrame:
 def spaced_hits(a: DataFrame, b: DataFrame, seeds: list[str] = SEEDS) -> DataFrame:
     """a, b(id, seq), perhaps with node_id -> a_id, b_id, diagonal, strand, seeds: places where both agree under a seed, on either strand of b, a row per diagonal. With nodes, only pairs of different ones.
 
-    Repeats in tandem meet as runs: two runs of m and n places of one distance have m * n pairs of places on m + n - 1 diagonals, and only these are made, with their numbers of pairs.
+    If b has few keys (SENT at most), they go to the sequences of a, whose other places never become rows. Repeats in tandem meet as runs: two runs of m and n places of one distance have m * n pairs of places on m + n - 1 diagonals, and only these are made, with their numbers of pairs.
     """
     nodes = "node_id" in a.columns and "node_id" in b.columns
     more = ["node_id"] if nodes else []
-    own = spaced_runs(a.select("id", *more, "seq"), seeds).withColumnsRenamed({"id": "a_id", "pos": "a_pos", "node_id": "a_node", "step": "a_step", "n": "a_n"})
-    query = spaced_runs(both_strands(b.select("id", *more, "seq")), seeds).withColumnsRenamed({"id": "b_id", "pos": "b_pos", "node_id": "b_node", "step": "b_step", "n": "b_n"})
+    keys = spaced_runs(both_strands(b.select("id", *more, "seq")), seeds)
+    bases = b.agg(F.sum(F.length("seq")).alias("n")).first().n or 0
+    wanted = np.unique(keys.select("key").distinct().toPandas()["key"].to_numpy(np.int64)) if 2 * bases * len(seeds) <= SENT else None
+    own = spaced_runs(a.select("id", *more, "seq"), seeds, wanted=wanted).withColumnsRenamed({"id": "a_id", "pos": "a_pos", "node_id": "a_node", "step": "a_step", "n": "a_n"})
+    query = keys.withColumnsRenamed({"id": "b_id", "pos": "b_pos", "node_id": "b_node", "step": "b_step", "n": "b_n"})
     met = own.join(query, "key")
     if nodes:
         met = met.where("a_node <> b_node")
@@ -174,9 +245,8 @@ def spaced_hits(a: DataFrame, b: DataFrame, seeds: list[str] = SEEDS) -> DataFra
 def _overlaps(hits: DataFrame, a: DataFrame, b: DataFrame) -> DataFrame:
     """The stretches of both sequences that meet on each diagonal: keys, start (in a), x, y."""
     mine = a.select(F.col("id").alias("a_id"), F.col("seq").alias("a_seq"))
-    theirs = b.select(F.col("id").alias("b_id"), F.col("seq").alias("b_seq"))
-    query = F.when(F.col("strand") == "-", S.revcomp(F.col("b_seq"))).otherwise(F.col("b_seq"))
-    pairs = hits.join(theirs, "b_id").join(mine, "a_id").withColumn("_q", query)
+    theirs = both_strands(b.select("id", "seq")).select(F.col("id").alias("b_id"), "strand", F.col("seq").alias("_q"))  # turned once, not for each diagonal
+    pairs = hits.join(theirs, ["b_id", "strand"]).join(mine, "a_id")
     start = F.greatest(F.lit(1), F.col("diagonal") + 1)
     return pairs.select(
         *DIAGONAL, start.alias("start"), F.substring(F.col("a_seq"), start, F.length("_q")).alias("x"), F.substring(F.col("_q"), start - F.col("diagonal"), F.length("_q")).alias("y")
