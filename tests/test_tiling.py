@@ -227,3 +227,38 @@ def test_layout_does_not_matter(spark):
         tiled = tiling.target_densities(bounded, region_org, kinds, ordered, 500, L)
         results.add(tuple(sorted((r.region_id, r.len, r.begin, r.density) for r in tiling.trim(tiled, region_org, ordered, 300, 4, L).collect())))
     assert len(results) == 1
+
+
+@pytest.mark.parametrize("sizes", [(40,), (25, 60, 60, 61, 200)])
+def test_regions_of_one_organism_are_trimmed_by_sums(spark, monkeypatch, sizes):
+    """No region of a single organism is scanned for it, and equal ranks go by region_id."""
+    lengths = {f"r{i:03d}": sizes[i % len(sizes)] for i in range(50)}
+    orgs = {r: [f"o{i % 3 if i < 40 else 0}"] for i, r in enumerate(lengths)}
+    slow, density = Slow(lengths, orgs, 3), {r: 1 + i % 5 for i, r in enumerate(lengths)}
+    density = {r: min(d, tiling.densest(lengths[r], L)) for r, d in density.items()}
+    regions, region_org = frames(spark, lengths, orgs)
+    known = spark.createDataFrame([(r, d, baits(lengths[r], d)) for r, d in density.items()], "region_id string, density int, probes long")
+    tiled = regions.join(known, "region_id")
+    whole = sum(baits(lengths[r], d) for r, d in density.items())
+    rows = tiled.join(region_org, "region_id").select("region_id", F.array("org").alias("orgs"), F.col("len").cast("long").alias("rank"), F.col("len").cast("long").alias("len"), F.lit(0).cast("long").alias("begin"), "density", "probes")
+    ordered = select.priority_order(region_org, regions)
+    monkeypatch.setattr(tiling, "_scan", None)
+    for goal, least in ((whole - 1, 2), (whole // 2, 2), (0, 0), (0, 9)):
+        want = slow.trim(density, goal, least)
+        for left in (tiling.trim(tiled, region_org, ordered, goal, least, L), tiling.trimmed(tiling.by_sets(rows), goal, least, L)):
+            assert {r.region_id: (r.len, r.begin, r.density, r.probes) for r in left.collect()} == want
+
+
+def test_organisms_have_tasks_of_their_own(spark):
+    lengths, orgs = made(5, n=80, organisms=4, shared=0.0)
+    regions, region_org = frames(spark, lengths, orgs)
+    slow, held = Slow(lengths, orgs, 3), select.with_bounds(regions, L, 3).join(region_org, "region_id")
+    rows = held.select("region_id", F.array("org").alias("orgs"), F.col("len").cast("long").alias("rank"), "len", F.lit(0).alias("begin"), "lo", "hi", "n_lo", "n_hi")
+    tiles = tiling.by_sets(rows, "n_lo", "n_hi")
+    budget = sum(map(slow.hi, lengths)) // 2
+    kinds = dict.fromkeys(slow.names, "Med")
+    found = tiling.densities(tiles, kinds, budget, L)
+    assert {r.region_id: r.density for r in found.rows.collect()} == slow.targets(kinds, budget)
+    files = found.rows.where("set >= 0").withColumn("file", F.input_file_name()).groupBy("file").agg(F.countDistinct("set").alias("n")).collect()
+    assert [r.n for r in files] == [1] * 4
+    assert found.probes == {r.set: r.n for r in found.rows.groupBy("set").agg(F.sum("probes").alias("n")).collect()}
